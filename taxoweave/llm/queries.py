@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality
-from .shared import documents, written
+from . import decontaminate, jaccard, kneser_ney, language, licenses, packing, quality, tokens, toxicity
+from .shared import documents, words, written
+
+#: Production parameters of packing: bins of so many words.
+BIN_WORDS = 2048
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +20,56 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *(F.col(f"measures.{c}") for c in counts), failed.alias("base_failed"), (~failed & (F.col("quality") >= 0.5)).alias("kept"), F.col("quality").alias("posterior"))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").filter(remainder(4) != 2)
+    model = toxicity.fit(docs.join(labels, "doc_id").select("text", "toxic"))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", (remainder(4) == 2).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.3).cast("int").alias("predicted"), F.size("toxic_sentences").cast("long").alias("n_toxic_sentences"))
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = kneser_ney.train(docs.filter(remainder(7) != 2))
+    total = kneser_ney.info(model)["tokens"]
+    out = kneser_ney.score(docs, model)
+    return out.select("doc_id", (remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return packing.pack(docs, F.size(words(F.col("text"))), BIN_WORDS)
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(documents(spark, sf_dir), n=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+def remainder(n: int):
+    """crc32 of doc_id as text, modulo n."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.fit(docs.filter(remainder(3) != 1))
+    out = language.identify(docs, model)
+    return out.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_ambiguous").alias("ambiguous"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = tokens.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("licenses")
+    out = licenses.scan(documents(spark, sf_dir))
+    return out.select("doc_id", F.size(found).cast("long").alias("n_licenses"), F.array_join(F.transform(found, lambda m: m["name"]), ",").alias("licenses"), F.round(F.array_max(F.transform(found, lambda m: m["dice"])), 6).alias("best_dice"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10)
     hit, n = F.col("hit"), decontaminate.hit_words(F.col("hit"))
@@ -25,8 +78,8 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 #: DuckDB says the same windows and hits from positions and joins.
 OP9_SQL = r"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM documents),
-b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM benchmark),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
 bw AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS win FROM (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
 ks AS (SELECT DISTINCT k FROM bw),
 dw AS (SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS win FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, ks WHERE len(w) >= k)),
@@ -39,7 +92,8 @@ FROM d LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_quality_rules, op9_benchmark_decontamination)}
+    ops = (op1_toxicity, op2_lm_scoring, op3_best_fit_packing, op4_quality_rules, op6_ngram_jaccard_join, op7_language_id, op8_token_counts, op9_benchmark_decontamination, op10_license_scan)
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
