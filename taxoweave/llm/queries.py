@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, kneser_ney, language, licenses, packing, quality, tokens, toxicity
+from . import decontaminate, jaccard, kneser_ney, language, licenses, packing, pii, quality, tokens, toxicity
 from .shared import documents, words, written
 
 #: Production parameters of packing: bins of so many words.
@@ -41,6 +41,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, F.size(words(F.col("text"))), BIN_WORDS)
 
 
+def op5_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"] < len(pii.KINDS))
+    count = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long")
+    return out.select("doc_id", *(count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)), F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(documents(spark, sf_dir), n=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
@@ -92,7 +99,7 @@ FROM d LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)
 
 
 def queries() -> dict:
-    ops = (op1_toxicity, op2_lm_scoring, op3_best_fit_packing, op4_quality_rules, op6_ngram_jaccard_join, op7_language_id, op8_token_counts, op9_benchmark_decontamination, op10_license_scan)
+    ops = (op1_toxicity, op2_lm_scoring, op3_best_fit_packing, op4_quality_rules, op5_pii_sanitisation, op6_ngram_jaccard_join, op7_language_id, op8_token_counts, op9_benchmark_decontamination, op10_license_scan)
     return {f.__name__: f for f in ops}
 
 
