@@ -1,8 +1,77 @@
-"""The corpus pipeline: stages in order, each over all that its predecessor kept."""
+"""The corpus pipeline: quality rules, n-gram Jaccard join, benchmark decontamination,
+PII and best-fit packing, each over all that its predecessor kept.
 
-STAGES = []
+The stages are plain functions of (spark, docs, sf_dir).  Between stages the rows are
+written as Parquet in the shared folder and read again, so a lost executor repeats one
+stage at most.  All stages but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from taxoweave.llm import decontaminate, jaccard, packing, pii, quality
+from taxoweave.llm.shared import documents, words, written
+
+#: Near duplicates: shared five-word shingles, similarity in percent.
+SHINGLE, PERCENT = 5, 80
+#: Words of a packed bin.
+BIN_WORDS = 2048
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules' posterior rejects go."""
+    return quality.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents stays: the one with the smallest id.
+
+    Documents without words link with nothing and stay; of rows that repeat an id with
+    words, one stays; rows without an id stay."""
+    rows = written(jaccard.similar_components(docs, n=SHINGLE, percent=PERCENT).filter("n_shingles > 0 AND doc_id IS NOT NULL"), "components")
+    gone = rows.filter("doc_id <> component_id").select("doc_id").distinct()
+    few = gone.count() <= jaccard.BROADCAST_ROWS
+    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    # ids that stand on several rows: rare, so only these rows are sorted out
+    twice = rows.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if twice.isEmpty():
+        return left
+    few = twice.count() <= jaccard.BROADCAST_ROWS
+    twice = F.broadcast(twice) if few else twice
+    return left.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(left.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a window of ten words of a benchmark item go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10, mode="documents")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms are masked."""
+    return pii.sanitise(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents' parts in bins."""
+    return packing.pack(docs, F.size(words(F.col("text"))), BIN_WORDS)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("personal_data", personal_data),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: SQL has no form for the expectation-maximisation of the first stage, nor for packing.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
