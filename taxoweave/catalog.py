@@ -1,9 +1,15 @@
 """The queries of the concept operators, and the SQL that checks them."""
 
+from __future__ import annotations
+
+from .plans import q_text
+
+MODULES = [q_text]
+
 
 def queries() -> dict:
-    return {}
+    return {k: f for m in MODULES for k, f in m.Q.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: s for m in MODULES for k, s in m.Q.sql.items()}
