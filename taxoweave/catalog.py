@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import q_text
+from .plans import q_concepts, q_text
 
-MODULES = [q_text]
+MODULES = [q_text, q_concepts]
 
 
 def queries() -> dict:
