@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import q_concepts, q_text
+from .plans import q_candidates, q_concepts, q_definition, q_text
 
-MODULES = [q_text, q_concepts]
+MODULES = [q_text, q_concepts, q_candidates, q_definition]
 
 
 def queries() -> dict:

@@ -115,7 +115,7 @@ def unthemed(candidates: DataFrame, assignments: DataFrame, excluded: DataFrame,
 def subscores(weights: DataFrame, theme_subscores: DataFrame, concepts: DataFrame, floors: dict[str, float] | None = None, floored_type: str = "rental") -> DataFrame:
     """(c, subscore, weight): active theme weights times subscore factors, as shares; concepts
     (c, property_type) of the floored type get floors and are normalised again."""
-    s = weights.filter("on").join(F.broadcast(theme_subscores), "theme").groupBy("c", "subscore").agg(F.sum(F.col("weight") * F.col("factor")).alias("w"))
+    s = weights.filter("on").select("c", "theme", "weight").join(F.broadcast(theme_subscores), "theme").groupBy("c", "subscore").agg(F.sum(F.col("weight") * F.col("factor")).alias("w"))
     by = W.partitionBy("c")
     if floors:
         dim = F.explode(F.array(*(F.struct(F.lit(k).alias("subscore"), F.lit(v).alias("floor")) for k, v in sorted(floors.items()))))

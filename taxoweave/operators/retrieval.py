@@ -73,7 +73,7 @@ def candidate_union(kw: DataFrame, sim: DataFrame, seeds: DataFrame | None = Non
         extra = seeds.select("c", "uri").distinct().withColumn("is_seed", F.lit(True))
         pool = pool.join(extra, ["c", "uri"], "full_outer")
         if seed_scores is not None:
-            pool = pool.join(seed_scores.select("c", "uri", F.col("sim_score").alias("seed_sim")), ["c", "uri"], "left").withColumn("sim_score", F.coalesce("sim_score", "seed_sim")).drop("seed_sim")
+            pool = pool.join(seed_scores.select("c", "uri", F.col("sim_score").alias("seed_sim")), ["c", "uri"], "left").withColumn("sim_score", F.coalesce("sim_score", F.when(F.col("is_seed"), F.col("seed_sim")))).drop("seed_sim")
     else:
         pool = pool.withColumn("is_seed", F.lit(False))
     if filters is not None:

@@ -1,0 +1,21 @@
+"""Boundaries between the stages of a plan."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Writes `df` to the folder of spark.checkpoint.dir and reads it back, so that what
+    is used many times is computed once and the plan after it stays short."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:  # one machine, as in tests
+        folder = "file://" + tempfile.mkdtemp(prefix="spark-stages-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
