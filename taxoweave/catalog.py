@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import q_candidates, q_concepts, q_definition, q_text
+from .plans import q_candidates, q_concepts, q_definition, q_text, q_validation, q_vectors
 
-MODULES = [q_text, q_concepts, q_candidates, q_definition]
+MODULES = [q_text, q_concepts, q_candidates, q_definition, q_validation, q_vectors]
 
 
 def queries() -> dict:
