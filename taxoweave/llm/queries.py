@@ -10,6 +10,8 @@ from .shared import documents, words, written
 
 #: Production parameters of packing: bins of so many words.
 BIN_WORDS = 2048
+#: Label rows up to which the labels are broadcast.
+LABEL_ROWS = 1_000_000
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +25,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").filter(remainder(4) != 2)
-    model = toxicity.fit(docs.join(labels, "doc_id").select("text", "toxic"))
+    few = labels.count() <= LABEL_ROWS  # 16 bytes each
+    model = toxicity.fit(docs.join(F.broadcast(labels) if few else labels, "doc_id").select("text", "toxic"))
     out = toxicity.score(docs, model)
     return out.select("doc_id", (remainder(4) == 2).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.3).cast("int").alias("predicted"), F.size("toxic_sentences").cast("long").alias("n_toxic_sentences"))
 

@@ -27,12 +27,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh, lower_ascii, quoted, small_batches
+from .shared import fresh, lower_ascii, quoted, small_batches, written
 
 SENTENCE_END = re.compile(r"[.!?\n]+")
 WORD = re.compile(r"[^\W_]+")
 #: A sentence without a cue has this log-odds (about 1 in 3,000); a cue must lift it.
 BASE = -8.0
+#: Words up to which a word table is broadcast (about 30 bytes each).
+BROADCAST_WORDS = 300_000
 
 
 @dataclass(frozen=True)
@@ -69,7 +71,13 @@ def cue_words(train: DataFrame, max_cues: int = 256, min_docs: int = 3) -> list[
     if not n_toxic or not n_clean:
         return []
     words = F.array_distinct(F.split(lower_ascii(F.col("text")), "[^\\p{L}\\p{N}]+"))
-    counts = train.select("toxic", F.explode(words).alias("w")).filter("w <> ''").groupBy("w").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).filter(F.col("t") >= min_docs)
+    of = lambda toxic: train.filter(F.col("toxic") == toxic).select(F.explode(words).alias("w"))
+    # only words that enough toxic texts have can be cues, so only these are counted in the others
+    toxic = written(of(1).filter("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("t")).filter(F.col("t") >= min_docs), "toxic-words")
+    few = toxic.count() <= BROADCAST_WORDS
+    known = toxic.select("w")
+    clean = of(0).join(F.broadcast(known) if few else known, "w").groupBy("w").agg(F.count(F.lit(1)).alias("c"))
+    counts = toxic.join(clean, "w", "left").select("w", "t", (F.col("t") + F.coalesce("c", F.lit(0))).alias("n"))
     rate_t = (F.col("t") + 0.5) / (n_toxic + 1.0)
     rate_c = (F.col("n") - F.col("t") + 0.5) / (n_clean + 1.0)
     gain = rate_t * F.log(rate_t / rate_c)
@@ -93,9 +101,9 @@ def fit(docs: DataFrame, text: str = "text", label: str = "toxic", max_cues: int
                 found.append([list(x) for x in bag])
             yield pd.DataFrame({"toxic": batch.toxic, "k": batch.k, "bag": found})
 
-    made = rows.mapInPandas(bags, "toxic int, k long, bag array<array<int>>")
+    made = written(rows.mapInPandas(bags, "toxic int, k long, bag array<array<int>>"), "bags")
     taken = [r for y in (0, 1) for r in made.filter(F.col("toxic") == y).orderBy("k").limit(max_train).select("toxic", "bag").collect()]
-    share = {y: rows.filter(F.col("toxic") == y).count() for y in (0, 1)}
+    share = {0: 0, 1: 0} | {r.toxic: r["count"] for r in made.groupBy("toxic").count().collect()}
     if not taken or not share[0] or not share[1]:
         return ToxicityModel({}, 0.05)
     n_taken = {y: sum(r.toxic == y for r in taken) for y in (0, 1)}
