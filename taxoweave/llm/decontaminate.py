@@ -92,10 +92,12 @@ def _find_by_join(docs: DataFrame, table: DataFrame, text: str, into: str) -> Da
     df = docs.withColumn(key, F.sha2(F.coalesce(quoted(text), F.lit("")), 256))
     texts = df.select(quoted(key).alias("t"), item_words(quoted(text)).alias("w")).dropDuplicates(["t"])
     sizes = [r.k for r in table.select("k").distinct().collect()]  # n values at most
-    parts = []
-    for k in sorted(sizes):
-        wins = F.transform(F.sequence(F.lit(1), F.size("w") - k + 1), lambda i, k=k: F.array_join(F.slice("w", i, k), " "))
-        parts.append(texts.filter(F.size("w") >= k).select("t", F.lit(k).alias("k"), F.posexplode(wins).alias("i", "win")))
+
+    def of_size(k: int) -> DataFrame:
+        wins = F.transform(F.sequence(F.lit(1), F.size("w") - k + 1), lambda i: F.array_join(F.slice("w", i, k), " "))
+        return texts.filter(F.size("w") >= k).select("t", F.lit(k).alias("k"), F.posexplode(wins).alias("i", "win"))
+
+    parts = [of_size(k) for k in sorted(sizes)] or [texts.select("t", F.lit(0).alias("k"), F.lit(0).alias("i"), F.lit("").alias("win")).limit(0)]
     at = parts[0]
     for p in parts[1:]:
         at = at.unionByName(p)
