@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import q_candidates, q_concepts, q_definition, q_text, q_validation, q_vectors
+from .plans import q_candidates, q_concepts, q_definition, q_models, q_text, q_validation, q_vectors
 
-MODULES = [q_text, q_concepts, q_candidates, q_definition, q_validation, q_vectors]
+MODULES = [q_text, q_concepts, q_candidates, q_definition, q_validation, q_vectors, q_models]
 
 
 def queries() -> dict:
