@@ -125,16 +125,25 @@ def _words_in(docs: DataFrame, text: str, terms: DataFrame, into: str) -> DataFr
 def disclosing_terms(docs: DataFrame, spans: str, text: str = "text", context: int = 5, support: int = 3, disclosure: float = 0.9) -> DataFrame:
     """(term, whole): terms that disclose an entity; `whole` if they never occur without it."""
     beside = step(docs.select(quoted(text).alias("text"), quoted(spans).alias("s")).filter(F.size("s") > 0), ["text"], "e", F.transform("s", lambda s: F.struct(F.concat_ws(":", s["kind"].cast("string"), _texts(F.col("text"), s)).alias("entity"), _beside(F.col("text"), s, context).alias("terms"))))
-    seen = beside.select(F.xxhash64("text").alias("k"), F.explode("e").alias("e")).select("k", "e.entity", "e.terms")
+    # an entity that a document has more than once counts once, with the terms of all its places
+    names = F.transform("e", lambda x: x["entity"])
+    merged = F.transform(F.array_distinct(names), lambda n: F.struct(n.alias("entity"), F.array_distinct(F.flatten(F.transform(F.filter("e", lambda x: x["entity"] == n), lambda x: x["terms"]))).alias("terms")))
+    once = F.when(F.size(F.array_distinct(names)) == F.size(names), F.col("e")).otherwise(merged)
+    seen = beside.select(F.xxhash64("text").alias("k"), F.explode(once).alias("e")).select("k", "e.entity", "e.terms")
     rows = written(seen, "entities")
+    n = docs.count()
     # documents are counted, copies included; a document counts once for a pair
     docs_of = rows.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    pairs = rows.select("entity", "k", F.explode("terms").alias("term")).groupBy("entity", "term", "k").agg(F.count(F.lit(1)).alias("copies")).groupBy("entity", "term").agg(F.sum("copies").alias("n_te"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support)
-    pairs = written(pairs, "pairs")
-    n = docs.count()
+    by_text = rows.select("entity", "k", F.explode("terms").alias("term")).groupBy("entity", "term", "k").agg(F.count(F.lit(1)).alias("copies"))
+    pairs = by_text.groupBy("entity", "term").agg(F.sum("copies").alias("n_te"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support)
+    # PMI >= disclosure * IC needs n(t) <= n(t, e) * (N / n(e)) ** (1 - disclosure); a term already beside
+    # entities in more texts than that can't reach it and need not be counted
+    least = by_text.select("term", "k").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_beside"))
+    most = F.col("n_te") * F.pow(F.lit(float(n)) / F.col("n_e"), F.lit(1 - disclosure)) * (1 + 1e-9)
+    pairs = written(pairs.join(docs_of, "entity").join(least, "term").filter(F.col("n_beside") <= most).drop("n_beside"), "pairs")
     (hit,) = fresh(docs, "hit")
     counts = _words_in(docs, text, pairs.select("term").distinct(), hit).select(F.explode(quoted(hit)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    scored = pairs.join(counts, "term").join(docs_of, "entity")
+    scored = pairs.join(counts, "term")
     n_te, n_t, n_e = F.least("n_te", "n_t", "n_e").cast("double"), F.col("n_t"), F.col("n_e")
     pmi, ic = F.log(n * n_te / (n_t * n_e)), F.log(F.lit(float(n)) / n_e)
     return scored.filter((ic > 0) & (pmi >= disclosure * ic)).groupBy("term").agg(F.max(n_te >= n_t).alias("whole"))
