@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -217,8 +218,6 @@ def similarity_clusters(vectors: DataFrame, eps: float, max_rounds: int = 50) ->
     spark = vectors.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
         spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     pairs = pairs.select("c", "uri").checkpoint()
     labels = vectors.select("uri", F.col("uri").alias("cluster")).checkpoint()

@@ -8,7 +8,9 @@ from ..functions.text import uuid_of_uri
 from ..operators import rules as U
 from ..operators import validation as H
 from ..sources.files import ntriple_lines
+from ..streaming.convert import convert_new
 from .fixtures import Registry, view
+from .stages import new_folder
 
 Q = Registry()
 
@@ -52,6 +54,15 @@ def a13(spark, d):
     return ntriple_lines(H.definition_triples(definitions(spark, d)).filter(F.col("p") == BASE + "label"))
 
 
+@Q.add("j08_resumable_convert", TRIPLES + " SELECT p, o_kind, count(*) AS n, count(DISTINCT s) AS subjects FROM dt GROUP BY p, o_kind")
+def j08(spark, d):
+    """Definitions as files, converted by the stream in batches that a restart would go on from."""
+    base = new_folder(spark, "convert")
+    definitions(spark, d).repartition(4).write.parquet(f"{base}/in")
+    convert_new(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", max_files=2)
+    return spark.read.parquet(f"{base}/out").groupBy("p", "o_kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("s").alias("subjects"))
+
+
 _TYPES = "types AS (SELECT DISTINCT p_type AS type, CASE WHEN p_type <> 'PROMO' THEN 'urn:class:' || lower(p_type) END AS class FROM part)"
 
 

@@ -5,17 +5,22 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes `df` to the folder of spark.checkpoint.dir and reads it back, so that what
-    is used many times is computed once and the plan after it stays short."""
-    spark = df.sparkSession
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder name of its own in the folder of spark.checkpoint.dir, which driver and
+    executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:  # one machine, as in tests
         folder = "file://" + tempfile.mkdtemp(prefix="spark-stages-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Writes `df` to a shared folder and reads it back, so that what is used many times is
+    computed once and the plan after it stays short."""
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
