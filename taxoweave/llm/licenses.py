@@ -44,7 +44,8 @@ def normalised(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda x: x != "")
 
 
-def _template_bigrams(text: str) -> list[str]:
+def template_bigrams(text: str) -> list[str]:
+    """Distinct word bigrams of a template."""
     words = [w for w in "".join(c.lower() if c.isalnum() else " " for c in text).split()]
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
@@ -52,7 +53,7 @@ def _template_bigrams(text: str) -> list[str]:
 def scan(docs: DataFrame, text: str = "text", threshold: float = 0.9, templates: dict[str, str] | None = None, into: str = "licenses") -> DataFrame:
     """Adds `into`: array of struct(name, dice), the best match of each template that
     reaches the threshold anywhere in the text, ordered by name."""
-    sets = {k: _template_bigrams(v) for k, v in sorted((templates or TEMPLATES).items())}
+    sets = {k: template_bigrams(v) for k, v in sorted((templates or TEMPLATES).items())}
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     least, most = low * min(map(len, sets.values())), high * max(map(len, sets.values()))
     cand, grams = fresh(docs, into + "_units", into + "_bigrams")

@@ -101,10 +101,35 @@ FROM d LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)
 """
 
 
+#: All pairs that share a shingle are compared, and links followed.
+OP6_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(reached) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
+def _op10_sql(threshold: float = 0.9) -> str:
+    rows = ", ".join(f"('{k}', [{', '.join(repr(g) for g in licenses.template_bigrams(t))}])" for k, t in licenses.TEMPLATES.items())
+    return rf"""
+WITH t(name, tg) AS (VALUES {rows}), d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
+u AS (SELECT r, unnest(string_split(x, chr(10))) AS unit FROM d UNION ALL SELECT r, x FROM d WHERE contains(x, chr(10))),
+w AS (SELECT r, list_filter(string_split_regex(lower(unit), '[^\p{{L}}\p{{N}}]+'), lambda v: v <> '') AS w FROM u),
+g AS (SELECT r, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM w WHERE len(w) BETWEEN 2 AND 30),
+m AS (SELECT r, name, max(2.0 * len(list_intersect(g, tg)) / (len(g) + len(tg))) AS dice FROM g, t GROUP BY r, name),
+f AS (SELECT r, count(*) AS n, array_to_string(list_sort(list(name)), ',') AS names, round(max(dice), 6) AS best FROM m WHERE dice >= {threshold} GROUP BY r)
+SELECT doc_id, coalesce(n, 0) AS n_licenses, coalesce(names, '') AS licenses, CAST(best AS DOUBLE) AS best_dice FROM d LEFT JOIN f USING (r)
+"""
+
+
 def queries() -> dict:
     ops = (op1_toxicity, op2_lm_scoring, op3_best_fit_packing, op4_quality_rules, op5_pii_sanitisation, op6_ngram_jaccard_join, op7_language_id, op8_token_counts, op9_benchmark_decontamination, op10_license_scan)
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_benchmark_decontamination": OP9_SQL}
+    return {"op6_ngram_jaccard_join": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL, "op10_license_scan": _op10_sql()}
