@@ -5,7 +5,8 @@ characters than letters and digits as one space) and compared to the templates:
 the number of common word bigrams (counted as multisets; no template repeats a bigram)
 over the sum of both numbers.  A template is compared only if the sizes allow the
 threshold: Dice >= t needs a number of bigrams between t / (2 - t) and (2 - t) / t times
-the template's, so nearly all units are dropped by their number of words.
+the template's, so nearly all units are dropped by their number of words.  Texts without
+any word that a match must have are not cut into units at all (an exact test).
 
 Defined cases: null, empty and one-word texts have no bigrams and match nothing; ties
 between templates go to the first name; repeated rows are judged one by one.
@@ -13,6 +14,8 @@ between templates go to the first name; repeated rows are judged one by one.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +53,17 @@ def template_bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
+def anchor_words(sets: dict[str, list[str]], threshold: float) -> list[str]:
+    """Words of which every match has one: at the threshold a unit lacks at most n - ceil(t n /
+    (2 - t)) of a template's n bigrams, so of one more than that it has at least one."""
+    out = set()
+    for grams in sets.values():
+        lack = len(grams) - math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
+        longest = lambda g: max(g.split(), key=len)
+        out |= {longest(g) for g in sorted(grams, key=lambda g: (-len(longest(g)), g))[: lack + 1]}
+    return sorted(out)
+
+
 def scan(docs: DataFrame, text: str = "text", threshold: float = 0.9, templates: dict[str, str] | None = None, into: str = "licenses") -> DataFrame:
     """Adds `into`: array of struct(name, dice), the best match of each template that
     reaches the threshold anywhere in the text, ordered by name."""
@@ -57,8 +71,10 @@ def scan(docs: DataFrame, text: str = "text", threshold: float = 0.9, templates:
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     least, most = low * min(map(len, sets.values())), high * max(map(len, sets.values()))
     cand, grams = fresh(docs, into + "_units", into + "_bigrams")
-    lines = F.transform(F.split(F.coalesce(quoted(text), F.lit("")), "\n"), normalised)
-    df = step(docs, docs.columns, cand, lines)
+    body = F.coalesce(quoted(text), F.lit(""))
+    lines = F.transform(F.split(body, "\n"), normalised)
+    maybe = F.lower(body).rlike("|".join(anchor_words(sets, threshold)))
+    df = step(docs, docs.columns, cand, F.when(maybe, lines).otherwise(F.array().cast("array<array<string>>")))
     total = F.aggregate(quoted(cand), F.lit(0), lambda n, w: n + F.size(w))
     units = F.concat(quoted(cand), F.when((F.size(quoted(cand)) > 1) & (total - 1 <= most), F.array(F.flatten(quoted(cand)))).otherwise(F.array().cast("array<array<string>>")))
     df = step(df, docs.columns, grams, F.transform(F.filter(units, lambda w: (F.size(w) - 1 >= least) & (F.size(w) - 1 <= most)), bigrams))
