@@ -150,7 +150,9 @@ def _uniform_bounds(n: int) -> np.ndarray:
 
 
 @lru_cache(4)
-def _opened(uri: str) -> dict:
+def _opened(uri: str, whole: bool = True) -> dict:
+    """The model's arrays in memory maps; `whole` is no for a model that still lacks its bigrams,
+    so that a worker does not keep it for the finished one."""
     folder = Folder(uri)
     with open(f"{folder.local}/model.json") as f:
         meta = json.load(f)
@@ -250,7 +252,7 @@ def train(docs: DataFrame, text: str = "text", folder: str | None = None) -> str
     word_ranges = -(-(n_words + 1) // RANGE_WORDS)
 
     def bigrams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _opened(uri)
+        model = _opened(uri, False)
         held, size = [], 0
         for batch in batches:
             for tokens, ends in _sequences(batch.column(0)):

@@ -65,8 +65,10 @@ def gram_counts(texts: pa.Array, buckets: int = BUCKETS) -> np.ndarray:
 def codewords(n: int, seed: int = 7) -> np.ndarray:
     """Codewords (+1/-1) of n languages: all non-trivial splits up to 6 languages, else
     random balanced columns, about ten times the binary logarithm of n."""
+    if n < 2:
+        return np.ones((n, 0), np.float32)
     if n <= 6:
-        splits = [[1 if i == 0 or (s >> (i - 1)) & 1 else -1 for i in range(n)] for s in range(2 ** max(n - 1, 0) - 1)]
+        splits = [[1 if i == 0 or (s >> (i - 1)) & 1 else -1 for i in range(n)] for s in range(2 ** (n - 1) - 1)]
         return np.array(splits, np.float32).T.reshape(n, -1)
     rng = np.random.default_rng(seed)
     columns = [rng.permutation(np.where(np.arange(n) % 2, 1, -1)) for _ in range(int(np.ceil(10 * np.log2(n))))]
