@@ -7,7 +7,7 @@ Each round writes its edges to the shared folder, so lineage stays short.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .shared import written
@@ -33,16 +33,16 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     is connected to, itself included.  Nulls and loops: an edge with a null is dropped;
     a node with only a loop is its own component."""
     edges = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
-    loops = edges.filter("a = b").select("a")
-    now = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    sum_of = lambda df: tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
-    seen = sum_of(now)
+    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    loops, now = edges.filter("a = b").select("a"), edges.filter("a <> b")
+    seen = None
     for _ in range(max_rounds):
-        now = written(_stars(_stars(now, True), False), "edges")
-        after = sum_of(now)
-        if after == seen:
+        # a number and a checksum of the edges, taken while they are written
+        after = Observation()
+        now = written(_stars(_stars(now, True), False).observe(after, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("sum")), "edges")
+        if after.get == seen:
             break
-        seen = after
+        seen = after.get
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).unionByName(loops.select(F.col("a").alias("node"), F.col("a").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))

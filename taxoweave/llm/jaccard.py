@@ -4,15 +4,16 @@ Two texts link if 100 * |A & B| >= percent * |A | B| for their sets of word shin
 
 1. Every text becomes a set of shingle hashes; texts of equal sets are one node.  A
    count-min sketch of fixed width estimates in how many texts a shingle occurs.
-2. The shingles of a node are ordered rare first (estimate, then hash).  Two linked sets
+2. The shingles of a node are ordered rare first: estimates that chance alone can give come
+   first in order of hash, then the frequent ones by the logarithm of their estimate.  Two linked sets
    share a shingle within the first n - ceil(percent * n) + 1 of each, so only these
-   prefixes are joined.  A prefix shingle of a single node is dropped; the others chain
-   nodes to candidate groups (connected components, in Spark).
-3. A group's ordered sets come together in blocks of bounded size.  Inside, nodes that
-   share a prefix shingle are candidates; those that the length, positional and suffix
-   filters leave, and that are not connected yet, are verified once.  Connected nodes
-   need no further proof, so a group of copies costs about one proof a node.  Groups
-   larger than a block are compared block against block.
+   prefixes are joined.  A prefix shingle of a single node is dropped.
+3. The nodes of a prefix shingle that pass the length, positional and suffix filters are
+   candidates.  Candidates form groups (connected components, in Spark); a node that its
+   group has already is not paired again, so a group of copies costs few pairs a node.
+4. A group's ordered sets come together in blocks of bounded size.  Inside, candidates
+   that are not connected yet are verified, once a pair.  Groups larger than a block are
+   compared block against block.
 
 Defined cases: texts without words, null texts included, have no shingles and link with
 nothing; with fewer words than a shingle, the whole sequence is the one shingle; repeated
@@ -39,10 +40,11 @@ from .shared import quoted, small_batches, written
 #: Cells of the sketch (16 MB on the driver and in a worker), and of one piece of it.
 SKETCH, PIECE = 1 << 22, 1 << 16
 #: Most nodes of a candidate group that are compared in one task.
-BLOCK = 4096
+BLOCK = 2048
 #: Candidate texts up to which their keys are broadcast (16 bytes each).
 BROADCAST_ROWS = 500_000
-SUFFIX_BINS = 64
+#: Parts of the hash space for the suffix filter.
+SUFFIX_BINS = 256
 
 
 def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -67,6 +69,16 @@ def _prefix(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts as the smallest integers that hold them, compressed."""
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32) if counts.max() <= np.iinfo(k).max)
+    return bytes([np.dtype(kind).itemsize]) + zlib.compress(counts.astype(kind).tobytes(), 1)
+
+
+def _wide(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(blob[1:]), f"u{blob[0]}").astype(np.int64)
+
+
 def _signed(texts: DataFrame, n: int) -> DataFrame:
     """Rows (doc_id, text_key, n_shingles, node), and pieces of the tasks' sketches."""
 
@@ -89,7 +101,7 @@ def _signed(texts: DataFrame, n: int) -> DataFrame:
         for p in range(SKETCH // PIECE):
             part = sketch[p * PIECE : (p + 1) * PIECE]
             if part.any():
-                blob = zlib.compress(part.astype(np.int32).tobytes(), 1)
+                blob = _narrow(part)
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([p], pa.int32()), pa.array([blob], pa.binary())], names)
 
     return texts.mapInArrow(run, "doc_id long, text_key long, n_shingles long, node long, piece int, counts binary")
@@ -102,75 +114,164 @@ def _sketch(signed: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for p, blob in zip(batch.piece, batch.counts, strict=True):
-                sums[p] = sums.get(p, 0) + np.frombuffer(zlib.decompress(blob), np.int32).astype(np.int64)
-        yield pd.DataFrame({"piece": list(sums), "counts": [zlib.compress(np.minimum(v, 2**31 - 1).astype(np.int32).tobytes(), 1) for v in sums.values()]})
+                sums[p] = sums.get(p, 0) + _wide(blob)
+        yield pd.DataFrame({"piece": list(sums), "counts": [_narrow(np.minimum(v, 2**31 - 1)) for v in sums.values()]})
 
     pieces = signed.filter("piece IS NOT NULL").select("piece", "counts").repartition(SKETCH // PIECE, "piece").mapInPandas(add, "piece int, counts binary").collect()
     out = np.zeros(SKETCH, np.int32)
     for r in pieces:
-        out[r.piece * PIECE : (r.piece + 1) * PIECE] = np.frombuffer(zlib.decompress(r.counts), np.int32)
+        out[r.piece * PIECE : (r.piece + 1) * PIECE] = _wide(r.counts)
     return out
 
 
-def _ordered(s: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+def _classes(sketch: np.ndarray) -> np.ndarray:
+    """Frequency class of each cell: 0 up to what chance fills a cell with, else the binary
+    logarithm of its count.  So the order is by hash, whatever the corpus, except for
+    shingles that are frequent beyond doubt."""
+    mean = float(sketch.sum(dtype=np.int64)) / len(sketch)
+    return np.where(sketch <= mean + 8 * np.sqrt(mean) + 8, 0, np.log2(np.maximum(sketch, 1)).astype(int)).astype(np.uint8)
+
+
+def _ordered(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """The set, rare first."""
-    return s[np.lexsort((s, sketch[_slots(s)]))]
+    return s[np.lexsort((s, classes[_slots(s)]))]
 
 
 def _prefixes(texts: DataFrame, n: int, percent: int, sketch) -> DataFrame:
-    """(h, node): prefix shingles of each node."""
+    """(h, node, size, pos): prefix shingles of each node, and their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            hs, nodes = [], []
+            hs, nodes, sizes, places = [], [], [], []
             for s in _sets(batch.column(0), n):
                 key = _signature(s)
                 if len(s) and key not in seen:
                     seen.add(key)
-                    hs.append(_ordered(s, sketch.value)[: _prefix(len(s), percent)])
-                    nodes.append(np.full(len(hs[-1]), key, np.int64))
+                    k = _prefix(len(s), percent)
+                    hs.append(_ordered(s, sketch.value)[:k])
+                    nodes.append(np.full(k, key, np.int64))
+                    sizes.append(np.full(k, len(s), np.int32))
+                    places.append(np.arange(k, dtype=np.int32))
             if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(nodes))], ["h", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (nodes, sizes, places))], ["h", "node", "size", "pos"])
 
-    return texts.mapInArrow(run, "h long, node long")
+    return texts.mapInArrow(run, "h long, node long, size int, pos int")
 
 
-def _chains(prefixes: DataFrame) -> DataFrame:
-    """(a, b): nodes that share a prefix shingle, as a spanning forest of each task's lists."""
+def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
+    """The rows whose shingle another node of a similar size has (length filter): in order of
+    size, the next smaller or larger one decides."""
+    names = ["h", "node", "size", "pos"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, last_kept = None, False  # the last row so far, and whether it was given out
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(c).to_numpy() for c in names]
+            if last is not None:
+                cols = [np.concatenate((x, c)) for x, c in zip(last, cols, strict=True)]
+            h, node, size, _ = cols
+            twin = np.concatenate(([False], (h[1:] == h[:-1]) & (node[1:] == node[:-1])))
+            cols = [c[~twin] for c in cols]
+            h, node, size, _ = cols
+            pair = (h[1:] == h[:-1]) & (100 * size[:-1].astype(np.int64) >= percent * size[1:].astype(np.int64))
+            keep = np.concatenate(([False], pair)) | np.concatenate((pair, [False]))
+            kept = bool(keep[-1]) or (len(keep) == 1 and last_kept)
+            if last is not None and last_kept:
+                keep[0] = False
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], names)
+            last, last_kept = [c[-1:] for c in cols], kept
+
+    return prefixes.repartition("h").sortWithinPartitions("h", "size", "node").mapInArrow(run, prefixes.schema)
+
+
+def candidate_links(node: np.ndarray, size: np.ndarray, pos: np.ndarray, bins: np.ndarray, percent: int, root) -> list[tuple[int, int]]:
+    """Pairs of one shingle's nodes (by size) that pass the filters and that `root`, which
+    gives a node's group so far, does not connect yet: groups that are connected are not
+    compared again, so copies cost little."""
+    _, label = np.unique([root(int(x)) for x in node], return_inverse=True)
+    if not label.any():
+        return []
+    links = []
+    first = np.searchsorted(100 * size, percent * size)  # length filter
+    for x in range(1, len(node)):
+        ys = first[x] + np.flatnonzero(label[first[x] : x] != label[x])
+        need = -(-percent * (size[x] + size[ys]) // (100 + percent))
+        ok = 1 + np.minimum(size[x] - pos[x] - 1, size[ys] - pos[ys] - 1) >= need
+        ys, need = ys[ok], need[ok]
+        for y in ys[_may_overlap(bins[x], bins[ys], need)].tolist():
+            if label[y] != label[x]:
+                links.append((int(node[x]), int(node[y])))
+                root(int(node[x]), int(node[y]))
+                label[label == label[y]] = label[x]
+    return links
+
+
+def _candidates(lists: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of rows (h, node, size, pos, bins): candidates that connect each task's lists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
 
-        def root(x: int) -> int:
+        def root(x: int, join: int | None = None) -> int:
             while (p := parent.get(x, x)) != x:
                 parent[x] = parent.get(p, p)
                 x = p
+            if join is not None:
+                parent[x] = root(join)
             return x
 
-        last_h = last_node = None
-        for batch in batches:
-            h, node = batch.h.to_numpy(), batch.node.to_numpy()
-            a, b = node[:-1], node[1:]
-            same = (h[:-1] == h[1:]) & (a != b)
-            pairs = list(zip(a[same].tolist(), b[same].tolist(), strict=True))
-            if len(h) and last_h == h[0] and last_node != node[0]:
-                pairs.append((last_node, int(node[0])))
-            if len(h):
-                last_h, last_node = int(h[-1]), int(node[-1])
+        def pairs(cols: list[np.ndarray]) -> pa.RecordBatch:
+            h, node, size, pos, bins = cols
             out = []
-            for x, y in pairs:
-                rx, ry = root(x), root(y)
-                if rx != ry:
-                    parent[rx] = ry
-                    out.append((x, y))
-            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, int)
+            runs = np.diff(np.append(first, len(h)))
+            # lists of two, most of all, at once
+            x = first[runs == 2]
+            y = x + 1
+            need = -(-percent * (size[x] + size[y]) // (100 + percent))
+            ok = (100 * size[x] >= percent * size[y]) & (1 + np.minimum(size[x] - pos[x] - 1, size[y] - pos[y] - 1) >= need)
+            x, y, need = x[ok], y[ok], need[ok]
+            ok = _may_overlap(bins[x], bins[y], need)
+            for a, b in zip(node[x[ok]].tolist(), node[y[ok]].tolist(), strict=True):
+                if root(a) != root(b):
+                    root(a, b)
+                    out.append((a, b))
+            for i, m in zip(first[runs > 2].tolist(), runs[runs > 2].tolist(), strict=True):
+                out += candidate_links(*(c[i : i + m] for c in (node, size, pos, bins)), percent, root)
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(c).to_numpy().astype(np.int64) for c in ("h", "node", "size", "pos")]
+            cols.append(np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, SUFFIX_BINS))
+            if held is not None:
+                cols = [np.concatenate((x, c)) for x, c in zip(held, cols, strict=True)]
+            at = int(np.searchsorted(cols[0], cols[0][-1]))  # the last list may go on
+            if at:
+                yield pairs([c[:at] for c in cols])
+            held = [c[at:] for c in cols]
+        if held is not None:
+            yield pairs(held)
 
-    return prefixes.repartition("h").sortWithinPartitions("h", "node").mapInPandas(run, "a long, b long")
+    return lists.repartition("h").sortWithinPartitions("h", "size", "node").mapInArrow(run, "a long, b long")
 
 
 def _bins(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=SUFFIX_BINS)
+    """Shingles of a set in each part of the hash space, one byte each; where a part has 255
+    or more, all are 255, which the filter lets pass."""
+    n = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=SUFFIX_BINS)
+    return np.full(SUFFIX_BINS, 255, np.uint8) if n.max(initial=0) >= 255 else n.astype(np.uint8)
+
+
+def _may_overlap(a: np.ndarray, b: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Suffix filter: two sets share at most the smaller count of every part."""
+    most = np.minimum(a, b).sum(axis=-1, dtype=np.int64)
+    return (most >= need) | (most >= 255 * SUFFIX_BINS)
 
 
 def join_block(nodes: list[int], sets: list[np.ndarray], sides: list[int], percent: int) -> list[tuple[int, int]]:
@@ -182,7 +283,7 @@ def join_block(nodes: list[int], sets: list[np.ndarray], sides: list[int], perce
     order = sorted(range(len(nodes)), key=lambda i: (len(sets[i]), nodes[i]))
     size = np.array([len(s) for s in sets])
     plain = [np.sort(s) for s in sets]
-    bins = np.array([_bins(s) for s in sets]) if sets else np.zeros((0, SUFFIX_BINS))
+    bins = np.array([_bins(s) for s in sets]) if sets else np.zeros((0, SUFFIX_BINS), np.uint8)
     comp = np.arange(len(nodes))
     members = {i: [i] for i in range(len(nodes))}
     index: dict[int, list[tuple[int, int]]] = {}
@@ -206,7 +307,7 @@ def join_block(nodes: list[int], sets: list[np.ndarray], sides: list[int], perce
         if two:
             ok &= side[ys] != side[x]
         ys, need = ys[ok], need[ok]
-        ok = np.minimum(bins[x], bins[ys]).sum(axis=1) >= need  # suffix filter
+        ok = _may_overlap(bins[x], bins[ys], need)
         for y, least in zip(ys[ok].tolist(), need[ok].tolist(), strict=True):
             if comp[x] == comp[y]:
                 continue
@@ -223,11 +324,8 @@ def join_block(nodes: list[int], sets: list[np.ndarray], sides: list[int], perce
 
 
 def _links(cands: DataFrame, percent: int, block: int) -> DataFrame:
-    """(a, b): links of candidate nodes (grp, node, shingles)."""
-    counted = cands.groupBy("grp").agg(F.count(F.lit(1)).alias("g"))
-    rows = cands.join(counted, "grp")
-    blocks = F.ceil(F.col("g") / block).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.col("node"), F.col("blocks")).cast("int"))
+    """(a, b): links of candidate nodes (grp, g, node, shingles); g: nodes of the group."""
+    rows = cands.withColumn("blocks", F.ceil(F.col("g") / block).cast("int")).withColumn("mine", F.pmod(F.col("node"), F.col("blocks")).cast("int"))
     # every pair of blocks of a group meets in one task; a group of one block goes there alone
     pair = lambda i: F.struct(F.least("mine", i).alias("i"), F.greatest("mine", i).alias("j"))
     rows = rows.select("grp", "node", "shingles", "mine", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), pair)).alias("p"))
@@ -263,21 +361,40 @@ def similar_components(docs: DataFrame, n: int = 4, percent: int = 85, text: str
     texts = docs.select(quoted(doc_id).cast("long").alias("doc_id"), F.xxhash64(quoted(text)).alias("text_key"), quoted(text).alias("text"))
     signed = written(_signed(texts, n), "signed")
     rows = signed.filter("piece IS NULL").drop("piece", "counts")
-    sketch = spark.sparkContext.broadcast(_sketch(signed))
-    chains = _chains(_prefixes(docs.select(quoted(text).alias("text")), n, percent, sketch))
-    groups = written(connected_components(chains).withColumnRenamed("component", "grp"), "groups")
-    keys = written(rows.filter("n_shingles > 0").groupBy("node").agg(F.min("text_key").alias("text_key")).join(groups, "node").select("text_key", "grp"), "candidates")
-    few = keys.count() <= BROADCAST_ROWS
-    found = texts.select("text_key", "text").join(F.broadcast(keys) if few else keys, "text_key").select("grp", "text")
+    sketch = spark.sparkContext.broadcast(_classes(_sketch(signed)))
+    lists = written(_shared(_prefixes(docs.select(quoted(text).alias("text")), n, percent, sketch), percent), "lists")
+    firsts = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("text_key").alias("text_key"))
 
-    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def texts_of(nodes: DataFrame, *carried: str) -> DataFrame:
+        """The texts of the nodes (node, ...), once or more often each."""
+        keys = written(firsts.join(nodes, "node").select("text_key", *carried), "keys")
+        few = keys.count() <= BROADCAST_ROWS
+        return texts.select("text_key", "text").join(F.broadcast(keys) if few else keys, "text_key").select(*carried, "text")
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [*_sets(batch.column(1), n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_signature(s) for s in sets], pa.int64()), pa.array([_ordered(s, sketch.value).tobytes() for s in sets], pa.binary())], ["grp", "node", "shingles"])
+            sets = [*_sets(batch.column(0), n)]
+            yield pa.RecordBatch.from_arrays([pa.array([_signature(s) for s in sets], pa.int64()), pa.array([_bins(s).tobytes() for s in sets], pa.binary())], ["node", "bins"])
+
+    bins = texts_of(lists.select("node").distinct()).mapInArrow(binned, "node long, bins binary").groupBy("node").agg(F.min("bins").alias("bins"))
+    groups = written(connected_components(_candidates(lists.join(bins, "node"), percent)).withColumnRenamed("component", "grp"), "groups")
 
-    # equal texts come once: the rows of a node are dropped in the task that reads them
-    cands = found.mapInArrow(ordered, "grp long, node long, shingles binary").dropDuplicates(["node"])
-    linked = connected_components(_links(written(cands, "sets"), percent, block))
+    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # equal texts come once from a task, and are dropped again where they meet
+        for batch in batches:
+            some, nodes, blobs = [], [], []
+            for i, s in enumerate(_sets(batch.column(2), n)):
+                if (key := _signature(s)) not in seen:
+                    seen.add(key)
+                    some.append(i)
+                    nodes.append(key)
+                    blobs.append(_ordered(s, sketch.value).tobytes())
+            at = pa.array(some, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())], ["grp", "g", "node", "shingles"])
+
+    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("g"))
+    cands = texts_of(groups.join(sizes, "grp"), "grp", "g").mapInArrow(ordered, "grp long, g long, node long, shingles binary")
+    linked = connected_components(_links(cands, percent, block))
     least = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least")).join(linked, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
     ids = least.groupBy("component").agg(F.min("least").alias("component_id"))
     return rows.join(least.join(ids, "component").select("node", "component_id"), "node", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "node")
