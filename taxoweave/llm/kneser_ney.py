@@ -1,14 +1,18 @@
 """Interpolated modified Kneser-Ney language model, counted in Spark.
 
-Order 2: p(w | v) = max(c(v w) - D(c(v w)), 0) / c(v .) + g(v) * p(w), where p(w) is the
-discounted share of distinct left neighbours of w, interpolated with 1 / (V + 1); the
-discounts D1, D2, D3+ of both orders come from counts of counts (Chen and Goodman 1999).
+Order 3, or 2: p(w | h) = max(c(h w) - D(c(h w)), 0) / c(h .) + g(h) * p(w | h'), where h'
+is h without its first word.  The highest order counts occurrences; a lower one counts
+distinct left neighbours, except that n-grams at a text's start, which have none, keep
+their occurrences.  p(w) is interpolated with 1 / (V + 1); the discounts D1, D2, D3+ of
+each order come from its counts of counts (Chen and Goodman 1999).
 
 Tokens are words `[^\x20\x09-\x0D]+` with A-Z lowered, then one end.  The model is a
-folder of sorted hash arrays: word hashes (a word's id is its place), and bigram keys
-id(v) * 2**32 + id(w) in shards by key range.  Range bounds come from the word counts, so
-a frequent word's bigrams are spread over several shards.  Tasks write the arrays to the
-shared folder; scoring tasks map them into memory and read what they look up.
+folder of sorted hash arrays: word hashes (a word's id is its place), bigram keys
+id(v) * 2**32 + id(w) in shards by key range (a bigram's place is counted over all
+shards), and trigram keys place(u v) * (V + 1) + id(w) in shards by key range.  Range
+bounds come from the counts, so a frequent context is spread over several shards.  Tasks
+write the arrays to the shared folder; scoring tasks map them into memory and read what
+they look up.  One order is counted after the other, and its shuffle dropped.
 
 Defined cases: null and empty texts are the end token alone; unknown words get the
 share of 1 / (V + 1); repeated rows count once each; without training texts every token
@@ -22,6 +26,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -150,22 +155,25 @@ def _uniform_bounds(n: int) -> np.ndarray:
 
 
 @lru_cache(4)
-def _opened(uri: str, whole: bool = True) -> dict:
-    """The model's arrays in memory maps; `whole` is no for a model that still lacks its bigrams,
-    so that a worker does not keep it for the finished one."""
+def _opened(uri: str, stage: str = "whole") -> dict:
+    """The model's arrays in memory maps; `stage` says how far a model is that is still in the
+    making ("words", "bigrams"), so that a worker does not keep it for the finished one."""
     folder = Folder(uri)
     with open(f"{folder.local}/model.json") as f:
         meta = json.load(f)
-    return meta | {
-        "folder": folder,
-        "words": folder.load("words"),
-        "counts": folder.load("counts"),
-        "bounds": np.array(meta["bounds"], np.uint64),
-        "keys": [folder.load(f"keys-{s}") if s in set(meta["shards"]) else np.zeros(0, np.uint64) for s in range(len(meta["bounds"]) + 1)] if "shards" in meta else [],
-        "values": [folder.load(f"values-{s}") if s in set(meta["shards"]) else np.zeros(0, np.uint32) for s in range(len(meta["bounds"]) + 1)] if "shards" in meta else [],
-        "left": folder.load("left") if "shards" in meta else None,
-        "after": folder.load("after") if "shards" in meta else None,
-    }
+    def shards(name: str, kind, order: int = 2) -> list[np.ndarray]:
+        n, have = len(meta[f"bounds{order}" if order > 2 else "bounds"]) + 1, set(meta[f"shards{order}" if order > 2 else "shards"])
+        return [folder.load(f"{name}-{s}") if s in have else np.zeros(0, kind) for s in range(n)]
+
+    out = meta | {"folder": folder, "words": folder.load("words"), "counts": folder.load("counts"), "bounds": np.array(meta["bounds"], np.uint64)}
+    if stage != "words":
+        out |= {"keys": shards("keys", np.uint64), "values": shards("values", np.uint32), "starts": np.array(meta["starts"], np.int64)}
+    if stage == "whole":
+        out |= {"left": folder.load("left"), "after": folder.load("after")}
+        if meta["order"] > 2:
+            out |= {"bounds3": np.array(meta["bounds3"], np.uint64), "keys3": shards("keys3", np.uint64, 3), "values3": shards("values3", np.uint32, 3)}
+            out |= {"distinct": shards("distinct", np.uint32), "rest2": shards("rest2", np.float32)}
+    return out
 
 
 def _ids(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -187,6 +195,25 @@ def _bigrams(tokens: np.ndarray, ends: np.ndarray, model: dict) -> tuple[np.ndar
     return left, ids
 
 
+def _bigram_keys(left: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Keys of known bigrams; a key that no bigram has where a word is unknown."""
+    keys = (left.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64)
+    keys[(left < 0) | (ids < 0)] = np.uint64(2**64 - 1)
+    return keys
+
+
+def _contexts(places: np.ndarray, left: np.ndarray, n_words: int) -> np.ndarray:
+    """The place of the bigram before each token; -1 for a text's first token or if unknown."""
+    before = np.empty_like(places)
+    before[:1], before[1:] = -1, places[:-1]
+    before[left == n_words] = -1
+    return before
+
+
+def _trigram_keys(contexts: np.ndarray, ids: np.ndarray, n_words: int) -> np.ndarray:
+    return contexts.astype(np.uint64) * np.uint64(n_words + 1) + ids.astype(np.uint64)
+
+
 def _discounts(n: list[int]) -> list[float]:
     """D1, D2, D3+ from the counts of counts n1 to n4; 0.5, 1, 1.5 where they are too few."""
     n1, n2, n3, n4 = (float(x) for x in n)
@@ -198,11 +225,18 @@ def _discounts(n: list[int]) -> list[float]:
 
 
 def _by_count(d: list[float], c: np.ndarray) -> np.ndarray:
-    return np.array([0.0, *d])[np.minimum(c, 3)]
+    return np.array([0.0, *d])[np.minimum(c, 3).astype(np.int64)]
+
+
+def train(docs: DataFrame, text: str = "text", folder: str | None = None, order: int = 3) -> str:
+    """Counts all rows of `docs` and writes the model of order 2 or 3; gives back its folder."""
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
+    with _shuffles_dropped(docs.sparkSession):
+        return _train(docs, text, folder, order)
 
 
-def train(docs: DataFrame, text: str = "text", folder: str | None = None) -> str:
-    """Counts all rows of `docs` and writes the model; gives back its folder."""
+def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
     spark = docs.sparkSession
     small_batches(spark)
     uri = folder or f"{shared_folder(spark)}/kneser-ney-{uuid.uuid4().hex}"
@@ -239,12 +273,13 @@ def train(docs: DataFrame, text: str = "text", folder: str | None = None) -> str
     n_words, n_tokens = sum(s[1] for s in sizes), sum(s[2] for s in sizes)
     _join_files(store, "words", [s[0] for s in sizes], np.uint64)
     _join_files(store, "counts", [s[0] for s in sizes], np.uint64)
-    meta = {"tokens": n_tokens, "vocabulary": n_words, "bounds": [], "uri": uri}
-    n_shards = max(1, -(-n_tokens // SHARD_TOKENS))
+    meta = {"tokens": n_tokens, "vocabulary": n_words, "bounds": [], "uri": uri, "order": order}
+    shard_tokens = SHARD_TOKENS
+    n_shards = max(1, -(-n_tokens // shard_tokens))
     meta["bounds"] = [int(b) for b in _key_bounds(store, n_words, n_tokens, n_shards)]
     _save_meta(store, meta)
     if not n_words:
-        _save_meta(store, meta | {"shards": [], "d2": [0.5, 1, 1.5], "d1": [0.5, 1, 1.5], "types": 0, "rest": 1.0})
+        _save_meta(store, meta | {"shards": [], "starts": [0, 0], "shards3": [], "bounds3": [], "d3": [0.5, 1, 1.5], "d2": [0.5, 1, 1.5], "d1": [0.5, 1, 1.5], "types": 0, "rest": 1.0})
         store.save("left", np.zeros(0, np.uint32))
         store.save("after", np.zeros((1, 4), np.uint32))
         return uri
@@ -252,7 +287,7 @@ def train(docs: DataFrame, text: str = "text", folder: str | None = None) -> str
     word_ranges = -(-(n_words + 1) // RANGE_WORDS)
 
     def bigrams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _opened(uri, False)
+        model = _opened(uri, "words")
         held, size = [], 0
         for batch in batches:
             for tokens, ends in _sequences(batch.column(0)):
@@ -265,28 +300,41 @@ def train(docs: DataFrame, text: str = "text", folder: str | None = None) -> str
         if held:
             yield _cut(*_counted(np.concatenate(held)), bounds, "s")
 
+    def by_word(s: int, kind: str, ids: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
+        at = np.searchsorted(ids, np.arange(word_ranges + 1) * RANGE_WORDS)
+        for r in range(word_ranges):
+            if at[r] < at[r + 1]:
+                part = values[at[r] : at[r + 1]]
+                yield s, kind, r, zlib.compress(np.int64(at[r + 1] - at[r]).tobytes() + (ids[at[r] : at[r + 1]] - r * RANGE_WORDS).astype(np.uint32).tobytes() + part.astype(np.int64).tobytes(), 1)
+
+    def counted_bigrams(s: int, keys: np.ndarray, counts: np.ndarray) -> list[tuple]:
+        """What bigram counts say of their left words, and their counts of counts."""
+        v = (keys >> np.uint64(32)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
+        sums = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)], axis=1)
+        return [*by_word(s, "after", v[first], sums), (s, "counts", -1, json.dumps([int((counts == k).sum()) for k in (1, 2, 3, 4)]).encode())]
+
     def save_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
         for s, keys, counts in _merged(batches, "s"):
             store.save(f"keys-{s}", keys)
             store.save(f"values-{s}", counts.astype(np.uint8) if counts.max() < 256 else counts.astype(np.uint32))
-            v, w = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            rows = []
-            first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
-            sums = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)], axis=1)
-            for kind, ids, values in (("after", v[first], sums), ("left", *_counted(w))):
-                at = np.searchsorted(ids, np.arange(word_ranges + 1) * RANGE_WORDS)
-                for r in range(word_ranges):
-                    if at[r] < at[r + 1]:
-                        part = values[at[r] : at[r + 1]]
-                        rows.append((s, kind, r, zlib.compress(np.int64(at[r + 1] - at[r]).tobytes() + (ids[at[r] : at[r + 1]] - r * RANGE_WORDS).astype(np.uint32).tobytes() + part.astype(np.int64).tobytes(), 1)))
-            small = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-            rows.append((s, "counts", -1, json.dumps(small).encode()))
+            rows = [*by_word(s, "left", *_counted((keys & np.uint64(0xFFFFFFFF)).astype(np.int64)))]
+            rows.append((s, "size", -1, json.dumps([len(keys), _cuts(counts, n_words, shard_tokens)]).encode()))
+            if order == 2:
+                rows += counted_bigrams(s, keys, counts)
             yield pd.DataFrame(rows, columns=["s", "kind", "r", "blob"])
 
-    bigrams = _deal(texts.mapInArrow(bigrams_of, f"s {blob}"), "s", n_shards)
-
-
-    stats = written(bigrams.mapInPandas(save_bigrams, "s int, kind string, r int, blob binary"), "bigrams")
+    stats = written(_deal(texts.mapInArrow(bigrams_of, f"s {blob}"), "s", n_shards).mapInPandas(save_bigrams, "s int, kind string, r int, blob binary"), "bigrams")
+    sizes = {x.s: json.loads(bytes(x.blob)) for x in stats.filter("kind = 'size'").select("s", "blob").toLocalIterator()}
+    starts = np.concatenate(([0], np.cumsum([sizes.get(s, [0])[0] for s in range(len(bounds) + 1)])))
+    meta |= {"shards": sorted(sizes), "starts": starts.tolist()}
+    if order > 2:
+        cuts = [((int(starts[s]) + i) * (n_words + 1) + w) for s in sorted(sizes) for i, w in [(0, 0), *sizes[s][1]]]
+        meta["bounds3"] = sorted(set(cuts) - {0})
+        _save_meta(store, meta)
+        more = _count_trigrams(spark, texts, store, meta, counted_bigrams)
+        stats = stats.unionByName(more.pop("stats"))
+        meta |= more
 
     def save_stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, total = None, None
@@ -312,19 +360,122 @@ def train(docs: DataFrame, text: str = "text", folder: str | None = None) -> str
             done()
         yield pd.DataFrame(out, columns=["kind", "r", "n1", "n2", "n3", "n4", "total", "many"])
 
-    made = stats.filter("kind <> 'counts'").repartition(2 * word_ranges, "kind", "r").sortWithinPartitions("kind", "r").mapInPandas(save_stats, "kind string, r int, n1 long, n2 long, n3 long, n4 long, total long, many long").collect()
+    made = stats.filter("kind IN ('after', 'left')").repartition(2 * word_ranges, "kind", "r").sortWithinPartitions("kind", "r").mapInPandas(save_stats, "kind string, r int, n1 long, n2 long, n3 long, n4 long, total long, many long").collect()
     lefts = [x for x in made if x.kind == "left"]
     small = [json.loads(bytes(x.blob)) for x in stats.filter("kind = 'counts'").select("blob").toLocalIterator()]
-    shards = sorted(x.s for x in stats.select("s").distinct().collect())
     _join_files(store, "left", range(word_ranges), np.uint32, {("left", x.r) for x in made}, [min(RANGE_WORDS, n_words - r * RANGE_WORDS) for r in range(word_ranges)])
     _join_files(store, "after", range(word_ranges), np.uint32, {("after", x.r) for x in made if x.kind == "after"}, [min(RANGE_WORDS, n_words + 1 - r * RANGE_WORDS) for r in range(word_ranges)], 4)
     d1 = _discounts([sum(getattr(x, f"n{k}") for x in lefts) for k in (1, 2, 3, 4)])
     types = sum(x.total for x in lefts)
     rest = (d1[0] * sum(x.n1 for x in lefts) + d1[1] * sum(x.n2 for x in lefts) + d1[2] * sum(x.many for x in lefts)) / types
-    _save_meta(store, meta | {"shards": shards, "d2": _discounts([sum(x[k] for x in small) for k in range(4)]), "d1": d1, "types": types, "rest": rest})
+    _save_meta(store, meta | {"d2": _discounts([sum(x[k] for x in small) for k in range(4)]), "d1": d1, "types": types, "rest": rest})
     return uri
 
 
+def _cuts(counts: np.ndarray, n_words: int, shard_tokens: int) -> list[tuple[int, int]]:
+    """Where to cut the trigrams that follow a shard's bigrams into shards of `shard_tokens`: (place of
+    the bigram in the shard, first right word); ids are in order of hash, so they share alike."""
+    total = np.cumsum(counts)
+    want = np.arange(1, int(total[-1]) // shard_tokens + 1) * shard_tokens
+    i = np.searchsorted(total, want, "right").clip(0, len(counts) - 1)
+    share = (want - (total[i] - counts[i])) / counts[i]
+    return [(int(x), int(y)) for x, y in zip(i, share * n_words, strict=True)]
+
+
+@contextmanager
+def _shuffles_dropped(spark) -> Iterator[None]:
+    """Lets Spark delete the shuffle files of a job as soon as it ends; every frame inside runs once."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_bigrams) -> dict:
+    """Counts trigrams over a model of words and bigrams, and the distinct left neighbours of
+    bigrams; gives back what the model lacked."""
+    uri, n_words, n_shards = meta["uri"], meta["vocabulary"], len(meta["bounds"]) + 1
+    bounds3, starts = np.array(meta["bounds3"], np.uint64), np.array(meta["starts"], np.int64)
+
+    def trigrams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _opened(uri, "bigrams")
+        held, size = [], 0
+        for batch in batches:
+            for tokens, ends in _sequences(batch.column(0)):
+                left, ids = _bigrams(tokens, ends, model)
+                contexts = _contexts(_places(_bigram_keys(left, ids), model["bounds"], model["keys"], starts), left, n_words)
+                held.append(_trigram_keys(contexts[contexts >= 0], ids[contexts >= 0], n_words))
+                size += len(held[-1])
+                if size > HELD:
+                    yield _cut(*_counted(np.concatenate(held)), bounds3, "s")
+                    held, size = [], 0
+        if held:
+            yield _cut(*_counted(np.concatenate(held)), bounds3, "s")
+
+    def save_trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = _opened(uri, "bigrams")
+        for s, keys, counts in _merged(batches, "s"):
+            store.save(f"keys3-{s}", keys)
+            store.save(f"values3-{s}", counts.astype(np.uint8) if counts.max() < 256 else counts.astype(np.uint32))
+            context, w = (keys // np.uint64(n_words + 1)).astype(np.int64), keys % np.uint64(n_words + 1)
+            first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+            seen = context[first]
+            (raw,) = _at(seen, starts, model["values"])
+            rows = [(s, "small", json.dumps([int((counts == k).sum()) for k in (1, 2, 3, 4)]).encode(), -1)]
+
+            def parts(kind: str, places: np.ndarray, values: np.ndarray) -> None:
+                at = np.searchsorted(places, starts)
+                for k in np.flatnonzero(np.diff(at)).tolist():
+                    rows.append((s, kind, _packed((places[at[k] : at[k + 1]] - starts[k]).astype(np.uint64), values[at[k] : at[k + 1]]), k))
+
+            # a bigram seen once has one trigram of count 1, which need not be told
+            for kind, is_kind in (("n1", counts == 1), ("n2", counts == 2), ("n3", counts > 2)):
+                n = np.add.reduceat(is_kind.astype(np.int64), first)
+                parts(kind, seen[(n > 0) & (raw > 1)], n[(n > 0) & (raw > 1)])
+            (before,) = _at(seen, starts, model["keys"], kind=np.uint64)
+            of = np.repeat(before & np.uint64(0xFFFFFFFF), np.diff(np.append(first, len(keys))))
+            suffix, n = _counted((of << np.uint64(32)) | w)
+            parts("distinct", _places(suffix, model["bounds"], model["keys"], starts), n)
+            yield pd.DataFrame(rows, columns=["s", "kind", "blob", "to"])
+
+    made = written(_deal(texts.mapInArrow(trigrams_of, "s int, blob binary"), "s", len(bounds3) + 1).mapInPandas(save_trigrams, "s int, kind string, blob binary, to int"), "trigrams")
+    small = {x.s: json.loads(bytes(x.blob)) for x in made.filter("kind = 'small'").select("s", "blob").toLocalIterator()}
+    d3 = _discounts([sum(x[k] for x in small.values()) for k in range(4)])
+
+    def save_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = _opened(uri, "bigrams")
+        end = _ids(np.array([END]), model["words"])[0]
+        key, sums = None, {}
+
+        def done() -> pd.DataFrame:
+            keys, raw = model["keys"][key], model["values"][key]
+            begins, once = (keys >> np.uint64(32)) == n_words, (raw == 1) & ((keys & np.uint64(0xFFFFFFFF)) != np.uint64(end))
+            counts = np.where(begins, raw.astype(np.int64), sums["distinct"])
+            store.save(f"distinct-{key}", counts.astype(np.uint8) if counts.max() < 256 else counts.astype(np.uint32))
+            store.save(f"rest2-{key}", (d3[0] * (sums["n1"] + once) + d3[1] * sums["n2"] + d3[2] * sums["n3"]).astype(np.float32))
+            return pd.DataFrame(counted_bigrams(key, keys, counts), columns=["s", "kind", "r", "blob"])
+
+        for batch in batches:
+            for to, kind, blob in zip(batch.to, batch.kind, batch.blob, strict=True):
+                if to != key:
+                    if key is not None:
+                        yield done()
+                    key, sums = to, {k: np.zeros(len(model["keys"][to]), np.int64) for k in ("n1", "n2", "n3", "distinct")}
+                if blob is not None:
+                    places, values = _unpacked(blob)
+                    sums[kind][places.astype(np.int64)] += values
+        if key is not None:
+            yield done()
+
+    every = spark.createDataFrame([(s, "every", None) for s in meta["shards"]], "to int, kind string, blob binary")
+    rows = made.filter("kind <> 'small'").select("to", "kind", "blob").unionByName(every)
+    stats = written(_deal(rows, "to", n_shards).mapInPandas(save_bigrams, "s int, kind string, r int, blob binary"), "bigrams")
+    return {"stats": stats, "d3": d3, "shards3": sorted(small)}
+
+
 def _save_meta(store: Folder, meta: dict) -> None:
     os.makedirs(store.local, exist_ok=True)
     tmp = f"{store.local}/.model.{uuid.uuid4().hex}"
@@ -387,34 +538,59 @@ def _scores(tokens: np.ndarray, ends: np.ndarray, model: dict) -> tuple[np.ndarr
     if v_words:
         has = left >= 0
         after = np.where(has[:, None], np.asarray(model["after"][np.where(has, left, 0)], np.float64), 0.0)
-        total = after[:, 0]
-        keys = (np.where(has, left, 0).astype(np.uint64) << np.uint64(32)) | safe.astype(np.uint64)
-        both = _lookup(np.where(has & known, keys, np.uint64(2**64 - 1)), model)
-        d = model["d2"]
-        rest = after[:, 1] * d[0] + after[:, 2] * d[1] + after[:, 3] * d[2]
-        with np.errstate(invalid="ignore", divide="ignore"):
-            q = (np.maximum(both - _by_count(d, both), 0) + rest * p) / total
-        p = np.where(total > 0, q, p)
+        places = _places(_bigram_keys(left, ids), model["bounds"], model["keys"], model["starts"])
+        if model["order"] == 2:
+            (both,) = _at(places, model["starts"], model["values"])
+        else:
+            raw, both, rest2 = _at(places, model["starts"], model["values"], model["distinct"], model["rest2"])
+        p = _interpolated(both, after[:, 0], after[:, 1:] @ np.array(model["d2"]), model["d2"], p)
+        if model["order"] > 2:
+            contexts = _contexts(places, left, v_words)
+            some = np.flatnonzero(contexts >= 0)
+            keys = np.where(known[some], _trigram_keys(contexts[some], safe[some], v_words), np.uint64(2**64 - 1))
+            found = _places(keys, model["bounds3"], model["keys3"], np.zeros(len(model["bounds3"]) + 2, np.int64), model["values3"])
+            p[some] = _interpolated(found, raw[some - 1], rest2[some - 1], model["d3"], p[some])
     begin = np.concatenate(([0], ends[:-1] + 1))
     sums = lambda x: np.add.reduceat(x, begin)
     return np.diff(np.append(begin, len(ids))), sums(known.astype(np.int64)), sums(base), sums(np.log10(p))
 
 
-def _lookup(keys: np.ndarray, model: dict) -> np.ndarray:
-    """Counts of bigram keys, 0 if unknown; keys are looked up in order, so pages are read once."""
+def _interpolated(c: np.ndarray, total: np.ndarray, rest: np.ndarray, d: list[float], p: np.ndarray) -> np.ndarray:
+    """Discounted shares of `total`, and the rest by the lower order's chances `p`; these alone for
+    contexts that were never seen."""
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(total > 0, (np.maximum(c - _by_count(d, c), 0) + rest * p) / total, p)
+
+
+def _places(keys: np.ndarray, bounds: np.ndarray, tables: list[np.ndarray], starts: np.ndarray, values: list[np.ndarray] | None = None) -> np.ndarray:
+    """Places of keys over all shards, -1 if unknown; or their `values`, 0 if unknown.  Keys are
+    looked up in order, so pages are read once."""
     some, back = np.unique(keys, return_inverse=True)
-    out = np.zeros(len(some), np.int64)
-    at = np.concatenate(([0], np.searchsorted(some, model["bounds"]), [len(some)]))
-    for s in range(len(at) - 1):
-        table = model["keys"][s]
-        if at[s] < at[s + 1] and len(table):
+    out = np.full(len(some), -1 if values is None else 0, np.int64)
+    at = np.concatenate(([0], np.searchsorted(some, bounds), [len(some)]))
+    for s in np.flatnonzero(np.diff(at)).tolist():
+        table = tables[s]
+        if len(table):
             part = some[at[s] : at[s + 1]]
             i = np.searchsorted(table, part)
             i[i == len(table)] = 0
-            out[at[s] : at[s + 1]] = np.where(table[i] == part, model["values"][s][i], 0)
+            hit = table[i] == part
+            out[at[s] : at[s + 1]] = np.where(hit, starts[s] + i, -1) if values is None else np.where(hit, values[s][i], 0)
     return out[back]
 
 
+def _at(places: np.ndarray, starts: np.ndarray, *arrays: list[np.ndarray], kind=np.float64) -> list[np.ndarray]:
+    """What the shards of each of `arrays` have at the places; 0 where the place is -1."""
+    some, back = np.unique(places, return_inverse=True)
+    at = np.searchsorted(some, starts)
+    out = [np.zeros(len(some), kind) for _ in arrays]
+    for s in np.flatnonzero(np.diff(at)).tolist():
+        i = some[at[s] : at[s + 1]] - starts[s]
+        for x, shards in zip(out, arrays, strict=True):
+            x[at[s] : at[s + 1]] = shards[s][i]
+    return [x[back] for x in out]
+
+
 def score(docs: DataFrame, uri: str, text: str = "text") -> DataFrame:
     """Adds n_tokens, n_known, base_score, score (log10 probability) and perplexity."""
     small_batches(docs.sparkSession)

@@ -185,3 +185,54 @@ def test_language_model(spark):
     assert s["a a"] < 0 and len(ends) == 4 and first["a"].n_tokens == 2
     none = kneser_ney.train(docs.limit(0))
     assert kneser_ney.score(edge(spark), none).count() == len(EDGE)
+
+
+def brute_kneser_ney(train, text):
+    """log10 chance of a text at order 3, from dictionaries."""
+    from math import log10
+
+    split = lambda t: ["<s>", *(t or "").lower().split(), "</s>"]
+    tri, raw = {}, {}
+    for t in train:
+        w = split(t)
+        for i in range(1, len(w)):
+            raw[w[i - 1], w[i]] = raw.get((w[i - 1], w[i]), 0) + 1
+            if i > 1:
+                tri[w[i - 2], w[i - 1], w[i]] = tri.get((w[i - 2], w[i - 1], w[i]), 0) + 1
+    two = {g: n if g[0] == "<s>" else len({x for x in tri if x[1:] == g}) for g, n in raw.items()}
+    one = {w: len({g for g in raw if g[1] == w}) for _, w in raw}
+    d = [kneser_ney._discounts([sum(c == k for c in t.values()) for k in (1, 2, 3, 4)]) for t in (one, two, tri)]
+    cut = lambda d, c: d[min(c, 3) - 1] if c else 0
+    types = sum(one.values())
+    rest = sum(cut(d[0], c) for c in one.values()) / types
+
+    def chance(h, w):
+        if not h:
+            return max(one.get(w, 0) - cut(d[0], one.get(w, 0)), 0) / types + rest / (len(one) + 1)
+        table, dd = (tri, d[2]) if len(h) == 2 else (two, d[1])
+        follow = [c for g, c in table.items() if g[:-1] == h]
+        if not follow:
+            return chance(h[1:], w)
+        c = table.get((*h, w), 0)
+        return (max(c - cut(dd, c), 0) + sum(cut(dd, x) for x in follow) * chance(h[1:], w)) / sum(follow)
+
+    w = split(text)
+    return sum(log10(chance(tuple(w[max(0, i - 2) : i]), w[i])) for i in range(1, len(w)))
+
+
+def test_language_model_order_3(spark, monkeypatch):
+    import random
+
+    pick = random.Random(5)
+    texts = [" ".join(pick.choices("abcdefgh", weights=[9, 7, 5, 3, 2, 1, 1, 1], k=pick.randrange(12))) for _ in range(60)]
+    texts += [None, "", *texts[:5], "x y a b c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    probe = [*texts[:20], None, "a b zzz c a", "h g f e d c", "x y a b c d", "zzz"]
+    asked = spark.createDataFrame(list(enumerate(probe)), "doc_id long, text string")
+    for size in (2_000_000, 20):  # the second cuts contexts over shards
+        monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", size)
+        out = kneser_ney.score(asked, kneser_ney.train(docs)).collect()
+        for r in out:
+            assert abs(r.score - brute_kneser_ney(texts, r.text)) < 1e-5
+    two = {r.doc_id: r.score for r in kneser_ney.score(asked, kneser_ney.train(docs, order=2)).collect()}
+    assert any(abs(two[r.doc_id] - r.score) > 0.01 for r in out)
