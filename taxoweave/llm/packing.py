@@ -63,10 +63,10 @@ class Bins:
 
 def pack(docs: DataFrame, length: Column, capacity: int, doc_id: str = "doc_id", source: str | None = "source", cluster: Column | None = None, shard_rows: int = 1024, block_rows: int = 8192) -> DataFrame:
     """One row for each part of each document: doc_id, part (0 for the first), bin, start
-    in the bin, length.  `cluster`: documents that must not meet; texts by default."""
+    in the bin, length.  `cluster`: documents that must not meet; equal texts by default."""
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
-    key = F.xxhash64(quoted("text")) if cluster is None else cluster
+    key = F.when(quoted("text").isNotNull(), F.xxhash64(quoted("text"))) if cluster is None else cluster
     rows = docs.select(quoted(doc_id).cast("long").alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("length"), (F.lit(None).cast("string") if source is None else quoted(source).cast("string")).alias("source"), key.alias("cluster"))
     n = max(1, -(-docs.count() // shard_rows))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "length"), F.lit(n)).cast("int"))

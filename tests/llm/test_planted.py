@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from taxoweave.llm import decontaminate, jaccard, kneser_ney, language, licenses, packing, pii, quality, tokens, toxicity
+from taxoweave.llm import decontaminate, jaccard, kneser_ney, language, licenses, packing, pii, quality, queries, tokens, toxicity
 
 EDGE = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "word " * 30000), (6, "same text again and again"), (6, "same text again and again")]
 
@@ -236,3 +236,16 @@ def test_language_model_order_3(spark, monkeypatch):
             assert abs(r.score - brute_kneser_ney(texts, r.text)) < 1e-5
     two = {r.doc_id: r.score for r in kneser_ney.score(asked, kneser_ney.train(docs, order=2)).collect()}
     assert any(abs(two[r.doc_id] - r.score) > 0.01 for r in out)
+
+
+def test_packing_near_copies(spark, tmp_path):
+    base = [f"word{i}" for i in range(60)]
+    near = [" ".join([*base[:i], f"other{i}", *base[i + 1 :]]) for i in (5, 20, 40)] + [" ".join(base), "  ".join(base), " ".join(base)]
+    rows = [(i, t, f"s{i}" if i % 2 else None) for i, t in enumerate(near)] + [(10, "quite another short text", "x"), (11, None, "y"), (12, None, "z"), (3, "a text with an id of another", "w")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op3_best_fit_packing(spark, str(tmp_path)).collect()
+    assert len(out) == len(rows)
+    copies = [r.bin for r in out if r.length == 60]
+    assert len(copies) == len(near) == len(set(copies))
+    blank = [r.bin for r in out if r.doc_id in (11, 12)]
+    assert blank[0] == blank[1]
