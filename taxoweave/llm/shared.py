@@ -41,9 +41,11 @@ def words(text: Column) -> Column:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.  Only where it
-    is unset (tests, one machine) a local one is made."""
+    is unset on one machine (master local, as in tests) a local one is made."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -57,12 +59,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bounds the rows of an Arrow batch, as whole texts may be long."""
+def small_batches(spark: SparkSession, rows: int = 512, size: str = "16m") -> None:
+    """Bounds the rows and bytes of an Arrow batch, as whole texts may be long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,24 +1,32 @@
 """Toxicity by multiple-instance learning.
 
-A text is a bag of sentences.  A sentence s has the probability p(s) = sigmoid(b + sum of
-the weights of its distinct cue words); the text's is the noisy-or of its sentences and a
-leak: 1 - (1 - leak) * prod(1 - p(s)).  Weights are trained from document labels alone, by
-gradient steps on that likelihood, so the sentences that carry the label are found without
-sentence labels.
-
-Cue words: Spark counts in how many toxic and other training texts each word occurs; the
-`max_cues` words of the highest weighted log-odds are the features.  Training takes the
-`max_train` labelled rows of each class with the smallest hash of the text (documented
-bound); only their cue sentences reach the driver.
-
-Defined cases: null and empty texts have no sentences and get the leak; null labels are
-not learned from; repeated rows are scored one by one; without labels every text gets
-the starting leak.
+A text is a bag of sentences.  A sentence s that has a cue word has the probability
+p(s) = sigmoid(b + sum of the weights of its distinct cue words), one without has p(s) = 0;
+the text's is the noisy-or of all its sentences and a leak: 1 - (1 - leak) * prod(1 - p(s)).
+The leak alone stands for what no cue tells.  Weights are trained from document labels
+alone, by gradient steps on the likelihood of that same product (a sentence that a text has
+n times counts n times), so the sentences that carry the label are found without sentence
+labels.
+
+Cue words: Spark counts in how many toxic and other training texts each word occurs; words
+whose log-odds are `min_z` standard errors above 0 are the features, so their number follows
+the labelled rows, up to `max_cues` (documented bound; the highest weighted log-odds stay).
+Training takes the `max_train` labelled rows of each class with the smallest hash of the
+text (documented bound); only their cue sentences reach the driver.  Words are lowered alike
+where they are counted and where they are sought.
+
+Defined cases: null and empty texts have no sentences and get the leak; very long texts are
+scored whole; null labels are not learned from; repeated rows are scored one by one, and
+train once each; texts of equal hash at the training bound are taken in any order, being
+equal; words of equal log-odds are taken in order of name; without labels of both classes,
+empty tables included, every text gets the starting leak; columns named like the added ones
+keep their names, the added ones get underscores.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh, lower_ascii, quoted, small_batches, written
+from .shared import fresh, quoted, small_batches, written
 
 SENTENCE_END = re.compile(r"[.!?\n]+")
 WORD = re.compile(r"[^\W_]+")
@@ -64,13 +72,13 @@ class ToxicityModel:
         return 1 - rest
 
 
-def cue_words(train: DataFrame, max_cues: int = 256, min_docs: int = 3) -> list[str]:
+def cue_words(train: DataFrame, max_cues: int = 4096, min_docs: int = 3, min_z: float = 3.0) -> list[str]:
     """Words of `train` (text, toxic) that occur in toxic texts far more often than in others."""
     n_toxic, n_all = train.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
     n_clean = n_all - n_toxic
     if not n_toxic or not n_clean:
         return []
-    words = F.array_distinct(F.split(lower_ascii(F.col("text")), "[^\\p{L}\\p{N}]+"))
+    words = F.array_distinct(F.split(F.lower("text"), "[^\\p{L}\\p{N}]+"))
     of = lambda toxic: train.filter(F.col("toxic") == toxic).select(F.explode(words).alias("w"))
     # only words that enough toxic texts have can be cues, so only these are counted in the others
     toxic = written(of(1).filter("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("t")).filter(F.col("t") >= min_docs), "toxic-words")
@@ -81,10 +89,11 @@ def cue_words(train: DataFrame, max_cues: int = 256, min_docs: int = 3) -> list[
     rate_t = (F.col("t") + 0.5) / (n_toxic + 1.0)
     rate_c = (F.col("n") - F.col("t") + 0.5) / (n_clean + 1.0)
     gain = rate_t * F.log(rate_t / rate_c)
-    return [r.w for r in counts.filter(rate_t > 2 * rate_c).orderBy(gain.desc(), "w").limit(max_cues).select("w").collect()]
+    error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("n") - F.col("t") + 0.5))
+    return [r.w for r in counts.filter((rate_t > 2 * rate_c) & (F.log(rate_t / rate_c) >= min_z * error)).orderBy(gain.desc(), "w").limit(max_cues).select("w").collect()]
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "toxic", max_cues: int = 256, max_train: int = 20_000, rounds: int = 300) -> ToxicityModel:
+def fit(docs: DataFrame, text: str = "text", label: str = "toxic", max_cues: int = 4096, max_train: int = 20_000, rounds: int = 300) -> ToxicityModel:
     """Trains on rows of `docs` whose label (0 or 1) is not null."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(quoted(text), F.lit("")).alias("text"), quoted(label).cast("int").alias("toxic")).filter("toxic IN (0, 1)").withColumn("k", F.xxhash64("text", "toxic"))
@@ -97,11 +106,11 @@ def fit(docs: DataFrame, text: str = "text", label: str = "toxic", max_cues: int
         for batch in batches:
             found = []
             for t in batch.text:
-                bag = sorted({tuple(sorted(place[c] for c in probe.weights.keys() & set(WORD.findall(t[a:b].lower())))) for a, b, _ in probe.sentences(t)})
-                found.append([list(x) for x in bag])
+                bag = Counter(tuple(sorted(place[c] for c in probe.weights.keys() & set(WORD.findall(t[a:b].lower())))) for a, b, _ in probe.sentences(t))
+                found.append([{"cues": list(x), "n": n} for x, n in sorted(bag.items())])
             yield pd.DataFrame({"toxic": batch.toxic, "k": batch.k, "bag": found})
 
-    made = written(rows.mapInPandas(bags, "toxic int, k long, bag array<array<int>>"), "bags")
+    made = written(rows.mapInPandas(bags, "toxic int, k long, bag array<struct<cues:array<int>,n:int>>"), "bags")
     taken = [r for y in (0, 1) for r in made.filter(F.col("toxic") == y).orderBy("k").limit(max_train).select("toxic", "bag").collect()]
     share = {0: 0, 1: 0} | {r.toxic: r["count"] for r in made.groupBy("toxic").count().collect()}
     if not taken or not share[0] or not share[1]:
@@ -112,19 +121,20 @@ def fit(docs: DataFrame, text: str = "text", label: str = "toxic", max_cues: int
     importance /= importance.sum()
     y = np.array([r.toxic for r in taken], float)
     of_doc = np.array([d for d, r in enumerate(taken) for _ in r.bag], int)
-    sentence = np.array([s for s, b in enumerate(b for r in taken for b in r.bag) for _ in b], int)
-    cue = np.array([c for r in taken for b in r.bag for c in b], int)
+    times = np.array([b.n for r in taken for b in r.bag], float)
+    sentence = np.array([s for s, b in enumerate(b for r in taken for b in r.bag) for _ in b.cues], int)
+    cue = np.array([c for r in taken for b in r.bag for c in b.cues], int)
     w = np.full(len(cues), -BASE)
     leak_z, step_w, step_l = -3.0, np.zeros(len(cues)), 0.0
     for _ in range(rounds):
         z = BASE + np.bincount(sentence, w[cue], minlength=len(of_doc))
         p = np.clip(1 / (1 + np.exp(-z)), 0, 1 - 1e-9)
         leak = 1 / (1 + np.exp(-leak_z))
-        log_rest = np.log1p(-leak) + np.bincount(of_doc, np.log1p(-p), minlength=len(y))
+        log_rest = np.log1p(-leak) + np.bincount(of_doc, times * np.log1p(-p), minlength=len(y))
         rest = np.clip(np.exp(log_rest), 1e-12, 1 - 1e-12)
         # d loglik / d log_rest: -y * rest / (1 - rest) + (1 - y)
         g = importance * ((1 - y) - y * rest / (1 - rest))
-        grad_z = -g[of_doc] * p  # d log(1 - p) / dz = -p
+        grad_z = -g[of_doc] * times * p  # d log(1 - p) / dz = -p
         grad_w = np.bincount(cue, grad_z[sentence], minlength=len(cues)) - 1e-5 * w
         grad_l = float(np.sum(-g * leak))
         step_w = 0.9 * step_w + 0.1 * grad_w**2

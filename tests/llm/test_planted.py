@@ -249,3 +249,67 @@ def test_packing_near_copies(spark, tmp_path):
     assert len(copies) == len(near) == len(set(copies))
     blank = [r.bin for r in out if r.doc_id in (11, 12)]
     assert blank[0] == blank[1]
+
+
+def test_toxicity_brute_force(spark):
+    """Scores are the noisy-or of the sentences, repeats included, and learning takes the same product."""
+    import math
+    import re
+
+    model = toxicity.ToxicityModel({"bad": 6.0, "épouvantail": 9.0}, 0.01)
+    text = "A bad day. Fine! " * 3 + "Épouvantail here\nnothing. BAD bad épouvantail"
+    p = lambda z: 1 / (1 + math.exp(-z))
+    rest = 0.99
+    for s in re.split(r"[.!?\n]+", text):
+        cues = {w for w in re.findall(r"[^\W_]+", s.lower()) if w in model.weights}
+        rest *= 1 - p(model.base + sum(model.weights[w] for w in cues)) if cues else 1
+    docs = spark.createDataFrame([(1, text, "x"), (2, None, "y")], "doc_id long, text string, toxicity string")
+    out = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert abs(out[1]["_toxicity"] - (1 - rest)) < 1e-12 and out[1].toxicity == "x" and abs(out[2]["_toxicity"] - 0.01) < 1e-12
+    # a weak cue that clean texts repeat is learned as weak
+    rows = [(i, "Épouvantail là. " + "mild word. " * 30, 1) for i in range(20)] + [(50 + i, "mild word. " * 30, 0) for i in range(60)]
+    learned = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert "épouvantail" in learned.weights
+    scored = toxicity.score(spark.createDataFrame([(1, "mild word. " * 200), (2, "Un Épouvantail")], "doc_id long, text string"), learned)
+    got = {r.doc_id: r.toxicity for r in scored.collect()}
+    assert got[1] < 0.3 <= got[2]
+    assert toxicity.score(empty(spark), learned).count() == 0
+
+
+def test_language_decoding(spark):
+    import numpy as np
+
+    codes = language.codewords(3)
+    model = language.LanguageModel(["a", "b", "c"], codes, np.eye(3, dtype=np.float32), language.bit_trust(np.array([[9, 9, 1], [9, 9, 9], [5, 9, 9]]), np.array([10, 10, 10])), 2.0)
+    counts = np.array([[3.0, 1, 0], [0, 0, 0], [1, 1, 2]])
+    best, score, second = model.predict(counts)
+    for row, b, s, two in zip(counts, best, score, second, strict=True):
+        margin = 2.0 * row / max(row.sum(), 1)
+        loss = [sum(w * np.log1p(np.exp(-m * c)) for m, c, w in zip(margin, code, t, strict=True)) for code, t in zip(model.codes, model.trust, strict=True)]
+        share = sorted((float(np.exp(-x)) / sum(np.exp(-y) for y in loss) for x in loss), reverse=True)
+        assert b == int(np.argmin(loss)) and abs(s - share[0]) < 1e-9 and abs(two - share[1]) < 1e-9
+    assert np.allclose(model.trust.mean(axis=1), 1) and model.trust[0, 2] < model.trust[0, 0]
+    many = language.codewords(20)
+    columns = {tuple(c * c[0]) for c in many.T}
+    assert len(columns) == many.shape[1]
+    assert min((many[i] != many[j]).sum() for i in range(20) for j in range(i)) >= many.shape[1] // 4
+    rows = [(1, "ab ab ab", "x"), (2, "ab ab ab", "y")]  # two languages that say the same
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = language.identify(docs, language.fit(docs)).collect()
+    assert all(r.lang_ambiguous and r.lang_pred == "x" and abs(r.lang_score - 0.5) < 1e-6 for r in out)
+
+
+def test_token_groups():
+    assert list(tokens.byte_groups(["aa", "é", "b", "cc"], 4)) == [["aa", "é"], ["b", "cc"]]
+
+
+def test_tokens_long_parts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    odd = ["x" * 5000 + "  y " + "z1 " * 3000, "tab\t and  spaces \n\n here  now", "   ", "a  b  c", "ü" * 70 + " ü"]
+    assert tokens.lengths(odd, path, max_bytes=64) == [len(t.encode(x, add_special_tokens=False)) for x in odd]
+    assert not any(len(x) > tokens.PART_CHARS for x in tokens._tokenizer(path)[1])
+    assert tokens.count_tokens(empty(spark), path).count() == 0
