@@ -7,19 +7,26 @@ Two texts link if 100 * |A & B| >= percent * |A | B| for their sets of word shin
 2. The shingles of a node are ordered rare first: estimates that chance alone can give come
    first in order of hash, then the frequent ones by the logarithm of their estimate.  Two linked sets
    share a shingle within the first n - ceil(percent * n) + 1 of each, so only these
-   prefixes are joined.  A prefix shingle of a single node is dropped.
+   prefixes are joined.  A prefix shingle of a single node is dropped; one that the sketch
+   counts in more than `LIST` texts is cut into parts by node, and each two parts meet in a
+   task, so no task holds a whole hot list.
 3. The nodes of a prefix shingle that pass the length, positional and suffix filters are
    candidates.  Candidates form groups (connected components, in Spark); a node that its
    group has already is not paired again, so a group of copies costs few pairs a node.
-4. A group's ordered sets come together in blocks of bounded size.  Inside, candidates
-   that are not connected yet are verified, once a pair.  Groups larger than a block are
-   compared block against block.
+4. The ordered sets of a group of at most `BLOCK` nodes come together, once each, and the
+   candidates inside that are not connected yet are verified, once a pair.  The nodes of a
+   larger group are dealt to blocks, and a set goes only to those pairs of blocks in which
+   it has a candidate: at most twice for each candidate pair, and at most once a block.
 
 Defined cases: texts without words, null texts included, have no shingles and link with
-nothing; with fewer words than a shingle, the whole sequence is the one shingle; repeated
-rows are members of one node; an empty table gives no rows.
-
-Sets and shingles are compared by 64-bit hashes.
+nothing; with fewer words than a shingle, the whole sequence is the one shingle; very long
+texts are taken whole; repeated rows are members of one node; rows without an id get no
+component but their own null, unless linked; ties do not arise, as a component is named by
+its smallest id; an empty table gives no rows; other columns are not read, whatever their
+names.
+
+Sets and shingles are compared by 64-bit hashes, so the result is exact but for equal hashes
+of different sets or shingles (about k^2 / 2^65 for k of them).
 """
 
 from __future__ import annotations
@@ -41,8 +48,12 @@ from .shared import quoted, small_batches, written
 SKETCH, PIECE = 1 << 22, 1 << 16
 #: Most nodes of a candidate group that are compared in one task.
 BLOCK = 2048
+#: Binary logarithm of the nodes of a prefix shingle's list that come together in one task.
+LIST = 14
 #: Candidate texts up to which their keys are broadcast (16 bytes each).
 BROADCAST_ROWS = 500_000
+#: Meetings that a task remembers, so as not to tell them again; the memory starts anew when full.
+MEETINGS = 2_000_000
 #: Parts of the hash space for the suffix filter.
 SUFFIX_BINS = 256
 
@@ -126,10 +137,10 @@ def _sketch(signed: DataFrame) -> np.ndarray:
 
 def _classes(sketch: np.ndarray) -> np.ndarray:
     """Frequency class of each cell: 0 up to what chance fills a cell with, else the binary
-    logarithm of its count.  So the order is by hash, whatever the corpus, except for
-    shingles that are frequent beyond doubt."""
+    logarithm of what it has beyond the mean.  So the order is by hash, whatever the corpus,
+    except for shingles that are frequent beyond doubt."""
     mean = float(sketch.sum(dtype=np.int64)) / len(sketch)
-    return np.where(sketch <= mean + 8 * np.sqrt(mean) + 8, 0, np.log2(np.maximum(sketch, 1)).astype(int)).astype(np.uint8)
+    return np.where(sketch <= mean + 8 * np.sqrt(mean) + 8, 0, np.log2(np.maximum(sketch - mean, 1)).astype(int)).astype(np.uint8)
 
 
 def _ordered(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -137,8 +148,9 @@ def _ordered(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return s[np.lexsort((s, classes[_slots(s)]))]
 
 
-def _prefixes(texts: DataFrame, n: int, percent: int, sketch) -> DataFrame:
-    """(h, node, size, pos): prefix shingles of each node, and their places."""
+def _prefixes(texts: DataFrame, n: int, percent: int, sketch, list_bits: int) -> DataFrame:
+    """(h, node, size, pos, cut): prefix shingles of each node, their places, and the binary
+    logarithm of the number of parts into which the shingle's list is cut."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -154,54 +166,71 @@ def _prefixes(texts: DataFrame, n: int, percent: int, sketch) -> DataFrame:
                     sizes.append(np.full(k, len(s), np.int32))
                     places.append(np.arange(k, dtype=np.int32))
             if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (nodes, sizes, places))], ["h", "node", "size", "pos"])
+                h = np.concatenate(hs)
+                cut = np.maximum(sketch.value[_slots(h)].astype(np.int32) - (list_bits - 1), 0)
+                cols = [h.view(np.int64), *(np.concatenate(x) for x in (nodes, sizes, places)), cut]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], LIST_COLUMNS)
+
+    return texts.mapInArrow(run, "h long, node long, size int, pos int, cut int")
 
-    return texts.mapInArrow(run, "h long, node long, size int, pos int")
+
+LIST_COLUMNS = ["h", "node", "size", "pos", "cut"]
+#: The part of a cut list that a node is in.
+PART = "pmod(node, shiftleft(1L, cut))"
 
 
 def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
     """The rows whose shingle another node of a similar size has (length filter): in order of
-    size, the next smaller or larger one decides."""
-    names = ["h", "node", "size", "pos"]
+    size, the next smaller or larger one decides.  Rows of a cut list all stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_kept = None, False  # the last row so far, and whether it was given out
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(c).to_numpy() for c in names]
+            cols = [batch.column(c).to_numpy() for c in LIST_COLUMNS]
             if last is not None:
                 cols = [np.concatenate((x, c)) for x, c in zip(last, cols, strict=True)]
-            h, node, size, _ = cols
+            h, node, size, _, _ = cols
             twin = np.concatenate(([False], (h[1:] == h[:-1]) & (node[1:] == node[:-1])))
             cols = [c[~twin] for c in cols]
-            h, node, size, _ = cols
+            h, node, size, _, cut = cols
             pair = (h[1:] == h[:-1]) & (100 * size[:-1].astype(np.int64) >= percent * size[1:].astype(np.int64))
-            keep = np.concatenate(([False], pair)) | np.concatenate((pair, [False]))
+            keep = np.concatenate(([False], pair)) | np.concatenate((pair, [False])) | (cut > 0)
             kept = bool(keep[-1]) or (len(keep) == 1 and last_kept)
             if last is not None and last_kept:
                 keep[0] = False
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], LIST_COLUMNS)
             last, last_kept = [c[-1:] for c in cols], kept
 
-    return prefixes.repartition("h").sortWithinPartitions("h", "size", "node").mapInArrow(run, prefixes.schema)
+    return prefixes.repartition("h", F.expr(PART)).sortWithinPartitions("h", F.expr(PART), "size", "node").mapInArrow(run, prefixes.schema)
+
 
+def passing(x: int, first: int, cols: tuple[np.ndarray, ...], percent: int, ask: np.ndarray) -> np.ndarray:
+    """Of one shingle's nodes by size: the places y in [first, x) with `ask`[y - first] whose
+    pair with x passes the positional and the suffix filter."""
+    _, size, pos, bins = cols
+    ys = first + np.flatnonzero(ask)
+    need = -(-percent * (size[x] + size[ys]) // (100 + percent))
+    ok = 1 + np.minimum(size[x] - pos[x] - 1, size[ys] - pos[ys] - 1) >= need
+    ys, need = ys[ok], need[ok]
+    return ys[_may_overlap(bins[x], bins[ys], need, size[x], size[ys])]
 
-def candidate_links(node: np.ndarray, size: np.ndarray, pos: np.ndarray, bins: np.ndarray, percent: int, root) -> list[tuple[int, int]]:
+
+def candidate_links(node: np.ndarray, size: np.ndarray, pos: np.ndarray, bins: np.ndarray, percent: int, root, part: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Pairs of one shingle's nodes (by size) that pass the filters and that `root`, which
     gives a node's group so far, does not connect yet: groups that are connected are not
-    compared again, so copies cost little."""
+    compared again, so copies cost little.  `part`: only nodes of different parts pair."""
     _, label = np.unique([root(int(x)) for x in node], return_inverse=True)
     if not label.any():
         return []
-    links = []
+    links, cols = [], (node, size, pos, bins)
     first = np.searchsorted(100 * size, percent * size)  # length filter
     for x in range(1, len(node)):
-        ys = first[x] + np.flatnonzero(label[first[x] : x] != label[x])
-        need = -(-percent * (size[x] + size[ys]) // (100 + percent))
-        ok = 1 + np.minimum(size[x] - pos[x] - 1, size[ys] - pos[ys] - 1) >= need
-        ys, need = ys[ok], need[ok]
-        for y in ys[_may_overlap(bins[x], bins[ys], need)].tolist():
+        ask = label[first[x] : x] != label[x]
+        if part is not None:
+            ask &= part[first[x] : x] != part[x]
+        for y in passing(x, first[x], cols, percent, ask).tolist():
             if label[y] != label[x]:
                 links.append((int(node[x]), int(node[y])))
                 root(int(node[x]), int(node[y]))
@@ -209,8 +238,46 @@ def candidate_links(node: np.ndarray, size: np.ndarray, pos: np.ndarray, bins: n
     return links
 
 
+def _met(lists: DataFrame) -> DataFrame:
+    """The lists with columns i, j and part: each two parts of a cut list meet as (h, i, j)."""
+    pair = lambda k: F.struct(F.least(F.expr(PART), k).alias("i"), F.greatest(F.expr(PART), k).alias("j"))
+    rows = lists.select("*", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.expr("shiftleft(1L, cut) - 1")), pair)).alias("p"))
+    rows = rows.select(*lists.columns, "p.i", "p.j", F.expr(PART).alias("part"))
+    return rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "size", "node")
+
+
+def _whole_lists(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
+    """Arrays (key, names..., bins) of some whole lists at a time; key tells lists apart."""
+    held: list[np.ndarray] | None = None
+    seen = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h, i, j = (batch.column(c).to_numpy() for c in ("h", "i", "j"))
+        new = np.concatenate(([True], (h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
+        if held is not None and (h[0], i[0], j[0]) == at:
+            new[0] = False
+        key = seen + np.cumsum(new)
+        seen, at = int(key[-1]), (h[-1], i[-1], j[-1])
+        cols = [key, *(batch.column(c).to_numpy().astype(np.int64) for c in names)]
+        cols.append(np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, SUFFIX_BINS))
+        if held is not None:
+            cols = [np.concatenate((x, c)) for x, c in zip(held, cols, strict=True)]
+        end = int(np.searchsorted(cols[0], cols[0][-1]))  # the last list may go on
+        if end:
+            yield [c[:end] for c in cols]
+        held = [c[end:] for c in cols]
+    if held is not None:
+        yield held
+
+
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, int)
+    return first, np.diff(np.append(first, len(key)))
+
+
 def _candidates(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of rows (h, node, size, pos, bins): candidates that connect each task's lists."""
+    """(a, b) of rows (h, node, size, pos, cut, bins): candidates that connect each task's lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
@@ -223,55 +290,74 @@ def _candidates(lists: DataFrame, percent: int) -> DataFrame:
                 parent[x] = root(join)
             return x
 
-        def pairs(cols: list[np.ndarray]) -> pa.RecordBatch:
-            h, node, size, pos, bins = cols
+        for key, node, size, pos, part, bins in _whole_lists(batches, ["node", "size", "pos", "part"]):
             out = []
-            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, int)
-            runs = np.diff(np.append(first, len(h)))
+            first, runs = _runs(key)
             # lists of two, most of all, at once
             x = first[runs == 2]
             y = x + 1
             need = -(-percent * (size[x] + size[y]) // (100 + percent))
             ok = (100 * size[x] >= percent * size[y]) & (1 + np.minimum(size[x] - pos[x] - 1, size[y] - pos[y] - 1) >= need)
             x, y, need = x[ok], y[ok], need[ok]
-            ok = _may_overlap(bins[x], bins[y], need)
+            ok = _may_overlap(bins[x], bins[y], need, size[x], size[y])
             for a, b in zip(node[x[ok]].tolist(), node[y[ok]].tolist(), strict=True):
                 if root(a) != root(b):
                     root(a, b)
                     out.append((a, b))
             for i, m in zip(first[runs > 2].tolist(), runs[runs > 2].tolist(), strict=True):
-                out += candidate_links(*(c[i : i + m] for c in (node, size, pos, bins)), percent, root)
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+                sides = part[i : i + m]
+                out += candidate_links(*(c[i : i + m] for c in (node, size, pos, bins)), percent, root, sides if (sides != sides[0]).any() else None)
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return _met(lists).mapInArrow(run, "a long, b long")
 
-        held: list[np.ndarray] | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [batch.column(c).to_numpy().astype(np.int64) for c in ("h", "node", "size", "pos")]
-            cols.append(np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, SUFFIX_BINS))
-            if held is not None:
-                cols = [np.concatenate((x, c)) for x, c in zip(held, cols, strict=True)]
-            at = int(np.searchsorted(cols[0], cols[0][-1]))  # the last list may go on
-            if at:
-                yield pairs([c[:at] for c in cols])
-            held = [c[at:] for c in cols]
-        if held is not None:
-            yield pairs(held)
 
-    return lists.repartition("h").sortWithinPartitions("h", "size", "node").mapInArrow(run, "a long, b long")
+def _meetings(lists: DataFrame, percent: int) -> DataFrame:
+    """(grp, bi, bj, node) of rows (h, node, size, pos, cut, bins, grp, blocks): the pairs of blocks
+    of its group in which a node has a pair that passes the filters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[tuple[int, int, int]] = set()
+        for key, node, size, pos, part, grp, blocks, bins in _whole_lists(batches, ["node", "size", "pos", "part", "grp", "blocks"]):
+            out = []
+            mine = node % blocks
+            for at, m in zip(*(v.tolist() for v in _runs(key)), strict=True):
+                cols = tuple(c[at : at + m] for c in (node, size, pos, bins))
+                g, block, side = grp[at : at + m], mine[at : at + m], part[at : at + m]
+                first = np.searchsorted(100 * cols[1], percent * cols[1])
+                cut = (side != side[0]).any()
+                for x in range(1, m):
+                    ask = g[first[x] : x] == g[x]
+                    if cut:
+                        ask &= side[first[x] : x] != side[x]
+                    for y in passing(x, first[x], cols, percent, ask).tolist():
+                        i, j = sorted((int(block[x]), int(block[y])))
+                        for v in (int(cols[0][x]), int(cols[0][y])):
+                            if (v, i, j) not in done:
+                                done.add((v, i, j))
+                                out.append((int(g[x]), i, j, v))
+                if len(done) > MEETINGS:
+                    done.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in range(4)], ["grp", "bi", "bj", "node"])
+
+    return _met(lists).mapInArrow(run, "grp long, bi long, bj long, node long").distinct()
 
 
 def _bins(s: np.ndarray) -> np.ndarray:
-    """Shingles of a set in each part of the hash space, one byte each; where a part has 255
-    or more, all are 255, which the filter lets pass."""
+    """Shingles of a set in each part of the hash space, one byte each; 255 stands for 255 or more."""
     n = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=SUFFIX_BINS)
-    return np.full(SUFFIX_BINS, 255, np.uint8) if n.max(initial=0) >= 255 else n.astype(np.uint8)
+    return np.minimum(n, 255).astype(np.uint8)
 
 
-def _may_overlap(a: np.ndarray, b: np.ndarray, need: np.ndarray) -> np.ndarray:
-    """Suffix filter: two sets share at most the smaller count of every part."""
+def _may_overlap(a: np.ndarray, b: np.ndarray, need: np.ndarray, size_a, size_b) -> np.ndarray:
+    """Suffix filter: two sets share at most the smaller count of every part; of the parts where
+    both counts are full, at most what the smaller of both sets has in its full parts."""
     most = np.minimum(a, b).sum(axis=-1, dtype=np.int64)
-    return (most >= need) | (most >= 255 * SUFFIX_BINS)
+    if a.size and b.size and a.max() == 255 and b.max() == 255:
+        both = ((a == 255) & (b == 255)).sum(axis=-1)
+        full = lambda v, size: size - np.where(v == 255, 0, v).sum(axis=-1, dtype=np.int64)
+        most = np.where(both > 0, most - 255 * both + np.minimum(full(a, size_a), full(b, size_b)), most)
+    return most >= need
 
 
 def join_block(nodes: list[int], sets: list[np.ndarray], sides: list[int], percent: int) -> list[tuple[int, int]]:
@@ -307,7 +393,7 @@ def join_block(nodes: list[int], sets: list[np.ndarray], sides: list[int], perce
         if two:
             ok &= side[ys] != side[x]
         ys, need = ys[ok], need[ok]
-        ok = _may_overlap(bins[x], bins[ys], need)
+        ok = _may_overlap(bins[x], bins[ys], need, size[x], size[ys])
         for y, least in zip(ys[ok].tolist(), need[ok].tolist(), strict=True):
             if comp[x] == comp[y]:
                 continue
@@ -323,13 +409,8 @@ def join_block(nodes: list[int], sets: list[np.ndarray], sides: list[int], perce
     return links
 
 
-def _links(cands: DataFrame, percent: int, block: int) -> DataFrame:
-    """(a, b): links of candidate nodes (grp, g, node, shingles); g: nodes of the group."""
-    rows = cands.withColumn("blocks", F.ceil(F.col("g") / block).cast("int")).withColumn("mine", F.pmod(F.col("node"), F.col("blocks")).cast("int"))
-    # every pair of blocks of a group meets in one task; a group of one block goes there alone
-    pair = lambda i: F.struct(F.least("mine", i).alias("i"), F.greatest("mine", i).alias("j"))
-    rows = rows.select("grp", "node", "shingles", "mine", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), pair)).alias("p"))
-    rows = rows.select("grp", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "node", "shingles", "mine")
+def _links(cands: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of candidate nodes (grp, bi, bj, node, blocks, shingles)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, nodes, sets, sides = None, [], [], []
@@ -338,7 +419,7 @@ def _links(cands: DataFrame, percent: int, block: int) -> DataFrame:
             return pd.DataFrame(join_block(nodes, sets, sides, percent), columns=["a", "b"], dtype="int64")
 
         for batch in batches:
-            for g, i, j, node, blob, mine in zip(batch.grp, batch.i, batch.j, batch.node, batch.shingles, batch.mine, strict=True):
+            for g, i, j, node, blocks, blob in zip(batch.grp, batch.bi, batch.bj, batch.node, batch.blocks, batch.shingles, strict=True):
                 if (g, i, j) != key:
                     if len(nodes) > 1:
                         yield done()
@@ -346,14 +427,19 @@ def _links(cands: DataFrame, percent: int, block: int) -> DataFrame:
                 if not nodes or nodes[-1] != node:  # equal sets may come twice
                     nodes.append(node)
                     sets.append(np.frombuffer(blob, np.uint64))
-                    sides.append(mine)
+                    sides.append(node % blocks)
         if len(nodes) > 1:
             yield done()
 
-    return rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "node").mapInPandas(run, "a long, b long")
+    return cands.repartition("grp", "bi", "bj").sortWithinPartitions("grp", "bi", "bj", "node").mapInPandas(run, "a long, b long")
+
 
+def _small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """`df` (written), to be broadcast if it has at most `rows` rows."""
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if rows is None else rows) else df
 
-def similar_components(docs: DataFrame, n: int = 4, percent: int = 85, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK) -> DataFrame:
+
+def similar_components(docs: DataFrame, n: int = 4, percent: int = 85, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK, list_bits: int = LIST) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the smallest doc_id reachable
     by links, itself included), node (equal for equal sets)."""
     spark = docs.sparkSession
@@ -362,14 +448,16 @@ def similar_components(docs: DataFrame, n: int = 4, percent: int = 85, text: str
     signed = written(_signed(texts, n), "signed")
     rows = signed.filter("piece IS NULL").drop("piece", "counts")
     sketch = spark.sparkContext.broadcast(_classes(_sketch(signed)))
-    lists = written(_shared(_prefixes(docs.select(quoted(text).alias("text")), n, percent, sketch), percent), "lists")
-    firsts = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("text_key").alias("text_key"))
+    lists = written(_shared(_prefixes(docs.select(quoted(text).alias("text")), n, percent, sketch, list_bits), percent), "lists")
+    # of each node: its smallest id, its number of rows, and one row that has its text
+    place = F.coalesce("doc_id", F.lit(0)).alias("place")
+    of_node = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(place, "text_key")).alias("at"))
+    of_node = written(of_node, "nodes")
 
     def texts_of(nodes: DataFrame, *carried: str) -> DataFrame:
-        """The texts of the nodes (node, ...), once or more often each."""
-        keys = written(firsts.join(nodes, "node").select("text_key", *carried), "keys")
-        few = keys.count() <= BROADCAST_ROWS
-        return texts.select("text_key", "text").join(F.broadcast(keys) if few else keys, "text_key").select(*carried, "text")
+        """The texts of the nodes (node, ...); those that share text and id may come more than once."""
+        keys = _small(written(of_node.join(nodes, "node").select("at.place", "at.text_key", *carried), "keys"))
+        return texts.select("text_key", "text", place).join(keys, ["text_key", "place"]).select(*carried, "text")
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -378,23 +466,33 @@ def similar_components(docs: DataFrame, n: int = 4, percent: int = 85, text: str
 
     bins = texts_of(lists.select("node").distinct()).mapInArrow(binned, "node long, bins binary").groupBy("node").agg(F.min("bins").alias("bins"))
     groups = written(connected_components(_candidates(lists.join(bins, "node"), percent)).withColumnRenamed("component", "grp"), "groups")
+    sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("blocks"))
+    large = written(sizes.filter("blocks > 1"), "large")
+    meet = groups
+    some_large = not large.isEmpty()
+    if some_large:
+        spread = groups.join(_small(large), "grp")
+        again = lists.join(spread, "node").join(bins, "node")
+        across = written(_meetings(again, percent), "meetings").join(_small(large), "grp")
+        meet = groups.join(_small(large), "grp", "left_anti")
+    one = F.lit(0).cast("long")
+    meet = meet.select("node", "grp", one.alias("bi"), one.alias("bj"), F.lit(1).cast("long").alias("blocks"))
+    if some_large:
+        meet = meet.unionByName(across.select("node", "grp", "bi", "bj", "blocks"))
 
     def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # equal texts come once from a task, and are dropped again where they meet
         for batch in batches:
-            some, nodes, blobs = [], [], []
-            for i, s in enumerate(_sets(batch.column(2), n)):
-                if (key := _signature(s)) not in seen:
-                    seen.add(key)
-                    some.append(i)
-                    nodes.append(key)
-                    blobs.append(_ordered(s, sketch.value).tobytes())
-            at = pa.array(some, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())], ["grp", "g", "node", "shingles"])
-
-    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("g"))
-    cands = texts_of(groups.join(sizes, "grp"), "grp", "g").mapInArrow(ordered, "grp long, g long, node long, shingles binary")
-    linked = connected_components(_links(cands, percent, block))
-    least = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least")).join(linked, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
-    ids = least.groupBy("component").agg(F.min("least").alias("component_id"))
-    return rows.join(least.join(ids, "component").select("node", "component_id"), "node", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "node")
+            nodes, blobs = [], []
+            for s in _sets(batch.column(4), n):
+                nodes.append(_signature(s))
+                blobs.append(_ordered(s, sketch.value).tobytes())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())], ["grp", "bi", "bj", "blocks", "node", "shingles"])
+
+    cands = texts_of(meet, "grp", "bi", "bj", "blocks").mapInArrow(ordered, "grp long, bi long, bj long, blocks long, node long, shingles binary")
+    linked = written(connected_components(_links(cands, percent)).join(of_node.select("node", "least"), "node"), "linked")
+    names = _small(written(linked.groupBy("component").agg(F.min("least").alias("component_id")), "names"))
+    # a node of one row that nothing links is its own component: only the others are looked up
+    moved = linked.join(names, "component").select("node", "component_id")
+    alike = of_node.filter("copies > 1").select("node", "least").join(moved, "node", "full_outer").select("node", F.coalesce("component_id", "least").alias("component_id"))
+    out = rows.join(_small(written(alike, "moved")), "node", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "node")

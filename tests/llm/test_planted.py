@@ -80,13 +80,10 @@ def test_jaccard_edges(spark):
     assert jaccard.similar_components(empty(spark)).count() == 0
 
 
-def test_jaccard_blocks(spark):
-    """A group larger than a block: near copies of one text, each with one word changed."""
-    base = [f"w{i}" for i in range(60)]
-    docs = [(i, " ".join(f"x{i}" if k == i % 50 else w for k, w in enumerate(base))) for i in range(40)]
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    sets = {i: {tuple(t.split()[k : k + 4]) for k in range(57)} for i, t in docs}
-    parent = {i: i for i in sets}
+def brute_components(docs, n, percent):
+    """{doc_id: smallest linked doc_id} of (doc_id, text) by all pairs."""
+    sets = {i: {tuple(w[k : k + min(n, len(w))]) for k in range(len(w) - min(n, len(w)) + 1)} for i, t in docs if (w := (t or "").lower().split())}
+    parent = {i: i for i, _ in docs}
 
     def root(x):
         while parent[x] != x:
@@ -95,12 +92,57 @@ def test_jaccard_blocks(spark):
 
     for a in sets:
         for b in sets:
-            if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
-    for block in (4096, 5):
-        got = {r.doc_id: r.component_id for r in jaccard.similar_components(df, block=block).collect()}
-        assert got == {i: root(i) for i in sets}
+    return {i: root(i) for i in parent}
+
+
+def test_jaccard_blocks(spark):
+    """A group larger than a block, and lists cut into parts: near copies of one text."""
+    base = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(f"x{i}" if k == i % 50 else w for k, w in enumerate(base))) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute_components(docs, 4, 85)
+    for block, bits in ((4096, 14), (5, 14), (4096, 2), (5, 2)):
+        got = {r.doc_id: r.component_id for r in jaccard.similar_components(df, block=block, list_bits=bits).collect()}
+        assert got == want
+
+
+def test_jaccard_random_families(spark):
+    """Families of texts at all distances, shared passages, copies, and texts of other lengths."""
+    import random
+
+    pick = random.Random(3)
+    passage = [f"p{i}" for i in range(30)]
+    docs = []
+    for f in range(12):
+        base = [f"f{f}w{pick.randrange(400)}" for _ in range(pick.choice([6, 40, 150]))]
+        for _ in range(12):
+            w = [pick.choice([x, x, f"new{pick.randrange(10**6)}"]) if pick.random() < pick.choice([0.0, 0.02, 0.1]) else x for x in base]
+            if pick.random() < 0.4:
+                at = pick.randrange(len(w))
+                w[at:at] = passage
+            docs.append((len(docs), " ".join(w[: pick.choice([len(w), len(w) - 3])])))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for n, percent, block, bits in ((4, 85, 2048, 14), (5, 80, 6, 2)):
+        got = {r.doc_id: r.component_id for r in jaccard.similar_components(df, n=n, percent=percent, block=block, list_bits=bits).collect()}
+        assert got == brute_components(docs, n, percent)
+
+
+def test_jaccard_suffix_filter():
+    """The bound of the suffix filter is never below the overlap, also where a part is full."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for high in (256, 3):
+        for _ in range(30):
+            pool = (rng.integers(0, high, 3000).astype(np.uint64) << np.uint64(56)) | rng.integers(0, 2**50, 3000).astype(np.uint64)
+            a, b = (np.unique(rng.choice(pool, rng.integers(50, 2500))) for _ in range(2))
+            shared = len(np.intersect1d(a, b))
+            bins = [jaccard._bins(x) for x in (a, b)]
+            assert jaccard._may_overlap(*bins, np.int64(shared), len(a), len(b))
+            assert not jaccard._may_overlap(*bins, np.int64(min(len(a), len(b)) + 1), len(a), len(b))
 
 
 def test_packing(spark):
