@@ -7,22 +7,29 @@ their occurrences.  p(w) is interpolated with 1 / (V + 1); the discounts D1, D2,
 each order come from its counts of counts (Chen and Goodman 1999).
 
 Tokens are words `[^\x20\x09-\x0D]+` with A-Z lowered, then one end.  The model is a
-folder of sorted hash arrays: word hashes (a word's id is its place), bigram keys
-id(v) * 2**32 + id(w) in shards by key range (a bigram's place is counted over all
-shards), and trigram keys place(u v) * (V + 1) + id(w) in shards by key range.  Range
-bounds come from the counts, so a frequent context is spread over several shards.  Tasks
-write the arrays to the shared folder; scoring tasks map them into memory and read what
-they look up.  One order is counted after the other, and its shuffle dropped.
-
-Defined cases: null and empty texts are the end token alone; unknown words get the
-share of 1 / (V + 1); repeated rows count once each; without training texts every token
-has probability 1.
+folder of sorted hash arrays: word hashes in files by hash range (a word's id is its place,
+counted over all files), bigram keys id(v) * 2**32 + id(w) in shards by key range (a
+bigram's place is counted likewise), and trigram keys place(u v) * (V + 1) + id(w) in shards
+by key range, with their upper halves once for each run.  Range bounds come from the counts,
+so a frequent context is spread over several shards.  Tasks write the arrays to the shared
+folder; scoring tasks map into memory the files that they look into, `MAPPED` at most at a
+time (from a folder that is not mounted they fetch them first).  Neither words nor counts go
+through the driver, which sees a few numbers a file.  One order is counted after the other,
+and its shuffle dropped.
+
+Defined cases: null and empty texts are the end token alone; very long texts are counted
+and scored whole; unknown words get the share of 1 / (V + 1); repeated rows count once each;
+without training texts every token has probability 1; an empty table to score gives no rows;
+columns named like the added ones keep their names, the added ones get underscores; more
+than 2**32 - 1 words, or trigram keys beyond 64 bits, raise an error.
 """
 
 from __future__ import annotations
 
+import io
 import json
-import os
+import shutil
+import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,6 +39,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,28 +53,103 @@ END = np.uint64(0x0E0D0E0D0E0D0E0D)
 SHARD_TOKENS, RANGE_WORDS = 2_000_000, 1 << 18
 #: Bigrams that a task collects before it hands them on.
 HELD = 1 << 22
+#: Files that hold the words: with 2**32 words, the most there can be, 2**20 words a file.
+WORD_FILES = 4096
+#: Files that a worker maps at a time.
+MAPPED = 512
 
 
 class Folder:
-    """A folder that Spark's file system API reaches; tasks use it through a local path
-    where it is mounted (file:), else files are written and read by Spark as binary."""
+    """A folder that driver and executors share, through any file system that Arrow knows."""
 
     def __init__(self, uri: str):
         self.uri = uri
-        self.local = uri.removeprefix("file://") if uri.startswith("file:") else (uri if uri.startswith("/") else None)
-        if self.local is None:
-            raise ValueError("the shared folder must be mounted on the workers (file:), so that they can map the arrays into memory")
+        self.fs, self.path = FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else uri.replace("file:", "file://", 1))
+        self.mounted = uri.startswith(("file:", "/"))
 
-    def save(self, name: str, array: np.ndarray) -> None:
+    def write(self, name: str, data) -> None:
         """Whole or not at all; a task that runs again writes the same."""
-        os.makedirs(self.local, exist_ok=True)
-        tmp = f"{self.local}/.{name}.{uuid.uuid4().hex}.tmp"
-        with open(tmp, "wb") as f:
-            np.save(f, array)
-        os.replace(tmp, f"{self.local}/{name}.npy")
+        self.fs.create_dir(self.path, recursive=True)
+        tmp = f"{self.path}/.{name}.{uuid.uuid4().hex}.tmp"
+        with self.fs.open_output_stream(tmp) as f:
+            f.write(data)
+        self.fs.move(tmp, f"{self.path}/{name}")
+
+    def read(self, name: str) -> bytes:
+        with self.fs.open_input_stream(f"{self.path}/{name}") as f:
+            return f.read()
+
+    def save(self, name: str, array: np.ndarray) -> None:
+        held = io.BytesIO()
+        np.save(held, array)
+        self.write(f"{name}.npy", held.getbuffer())
 
     def load(self, name: str) -> np.ndarray:
-        return np.load(f"{self.local}/{name}.npy", mmap_mode="r")
+        """The array in a memory map.  What is not mounted is fetched to the worker's own disk,
+        as a copy that lives no longer than the map."""
+        if self.mounted:
+            return np.load(f"{self.path}/{name}.npy", mmap_mode="r")
+        with tempfile.NamedTemporaryFile(suffix=".npy") as f:
+            with self.fs.open_input_stream(f"{self.path}/{name}.npy") as source:
+                shutil.copyfileobj(source, f)
+            f.flush()
+            return np.load(f.name, mmap_mode="r")
+
+
+@lru_cache(MAPPED)
+def _mapped(uri: str, name: str) -> np.ndarray:
+    return Folder(uri).load(name)
+
+
+class Shards:
+    """The files name-0, name-1, ... of a model, mapped when they are looked into; `have`
+    lists those that there are."""
+
+    def __init__(self, uri: str, name: str, have):
+        self.uri, self.name, self.have = uri, name, frozenset(have)
+
+    def __contains__(self, s: int) -> bool:
+        return s in self.have
+
+    def __getitem__(self, s: int) -> np.ndarray:
+        return _mapped(self.uri, f"{self.name}-{s}")
+
+    def find(self, s: int, keys: np.ndarray) -> np.ndarray:
+        """Places of sorted keys in file s, -1 where it has none."""
+        return _find(self[s], keys)
+
+
+class SplitShards(Shards):
+    """Files of 64-bit keys in two parts: lower halves, and (upper half, begin) of each run."""
+
+    def find(self, s: int, keys: np.ndarray) -> np.ndarray:
+        lows, heads = self[s], _mapped(self.uri, f"{self.name}heads-{s}")
+        high, low = keys >> np.uint64(32), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        first = np.flatnonzero(np.concatenate(([True], high[1:] != high[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        run = _find(heads[:, 0], high[first])
+        out = np.full(len(keys), -1, np.int64)
+        for a, b, r in zip(first.tolist(), [*first[1:].tolist(), len(keys)], run.tolist(), strict=True):
+            if r >= 0:
+                begin, end = int(heads[r, 1]), int(heads[r + 1, 1]) if r + 1 < len(heads) else len(lows)
+                at = _find(lows[begin:end], low[a:b])
+                out[a:b] = np.where(at >= 0, begin + at, -1)
+        return out
+
+
+def _save_split(store: Folder, name: str, s: int, keys: np.ndarray) -> None:
+    high = keys >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate(([True], high[1:] != high[:-1])))
+    store.save(f"{name}-{s}", (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+    store.save(f"{name}heads-{s}", np.stack([high[first], first.astype(np.uint64)], axis=1))
+
+
+def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Places of keys in a sorted array, -1 where it has none."""
+    if not len(table):
+        return np.full(len(keys), -1, np.int64)
+    at = np.searchsorted(table, keys)
+    at[at == len(table)] = 0
+    return np.where(table[at] == keys, at, -1)
 
 
 def _sequences(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -100,7 +183,8 @@ def _packed(values: np.ndarray, counts: np.ndarray) -> bytes:
     wide = np.flatnonzero(steps >> np.uint64(32))
     many = np.flatnonzero(counts != 1)
     head = np.array([len(values), len(wide), len(many), int(values[0]) if len(values) else 0], np.uint64)
-    body = [head, steps.astype(np.uint32), wide.astype(np.uint32), steps[wide], many.astype(np.uint32), counts[many].astype(np.uint64)]
+    planes = np.ascontiguousarray(steps.astype(np.uint32).view(np.uint8).reshape(-1, 4).T)  # bytes of a place together
+    body = [head, planes, wide.astype(np.uint32), steps[wide], many.astype(np.uint32), counts[many].astype(np.uint64)]
     return zlib.compress(b"".join(x.tobytes() for x in body), 1)
 
 
@@ -109,7 +193,10 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n, n_wide, n_many, start = (int(x) for x in np.frombuffer(raw, np.uint64, 4))
     at = 32
     parts = []
-    for kind, size in ((np.uint32, n), (np.uint32, n_wide), (np.uint64, n_wide), (np.uint32, n_many), (np.uint64, n_many)):
+    planes = np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n)
+    parts.append(np.ascontiguousarray(planes.T).view(np.uint32).reshape(n))
+    at += 4 * n
+    for kind, size in ((np.uint32, n_wide), (np.uint64, n_wide), (np.uint32, n_many), (np.uint64, n_many)):
         parts.append(np.frombuffer(raw, kind, size, at))
         at += size * np.dtype(kind).itemsize
     steps = parts[0].astype(np.uint64)
@@ -156,42 +243,26 @@ def _uniform_bounds(n: int) -> np.ndarray:
 
 @lru_cache(4)
 def _opened(uri: str, stage: str = "whole") -> dict:
-    """The model's arrays in memory maps; `stage` says how far a model is that is still in the
-    making ("words", "bigrams"), so that a worker does not keep it for the finished one."""
-    folder = Folder(uri)
-    with open(f"{folder.local}/model.json") as f:
-        meta = json.load(f)
-    def shards(name: str, kind, order: int = 2) -> list[np.ndarray]:
-        n, have = len(meta[f"bounds{order}" if order > 2 else "bounds"]) + 1, set(meta[f"shards{order}" if order > 2 else "shards"])
-        return [folder.load(f"{name}-{s}") if s in have else np.zeros(0, kind) for s in range(n)]
-
-    out = meta | {"folder": folder, "words": folder.load("words"), "counts": folder.load("counts"), "bounds": np.array(meta["bounds"], np.uint64)}
-    if stage != "words":
-        out |= {"keys": shards("keys", np.uint64), "values": shards("values", np.uint32), "starts": np.array(meta["starts"], np.int64)}
-    if stage == "whole":
-        out |= {"left": folder.load("left"), "after": folder.load("after")}
-        if meta["order"] > 2:
-            out |= {"bounds3": np.array(meta["bounds3"], np.uint64), "keys3": shards("keys3", np.uint64, 3), "values3": shards("values3", np.uint32, 3)}
-            out |= {"distinct": shards("distinct", np.uint32), "rest2": shards("rest2", np.float32)}
-    return out
-
-
-def _ids(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Places of the hashes among the sorted words; -1 if unknown."""
-    some, back = np.unique(hashes, return_inverse=True)
-    at = np.searchsorted(words, some)
-    at[at == len(words)] = 0
-    ids = np.where(words[at] == some, at, -1) if len(words) else np.full(len(some), -1)
-    return ids[back]
+    """The model; `stage` says how far it is that is still in the making ("words", "bigrams"),
+    so that a worker does not keep it for the finished one."""
+    meta = json.loads(Folder(uri).read("model.json"))
+    of = lambda name, have, kind=Shards: kind(uri, name, meta.get(have, ()))
+    array = lambda name, kind: np.array(meta.get(name, ()), kind)
+    return meta | {
+        "words": of("words", "files"), "counts": of("counts", "files"), "word_bounds": _uniform_bounds(meta["n_files"]), "word_starts": array("word_starts", np.int64),
+        "bounds": array("bounds", np.uint64), "starts": array("starts", np.int64), "keys": of("keys", "shards"), "values": of("values", "shards"),
+        "id_starts": np.append(np.arange(0, meta["vocabulary"] + 1, RANGE_WORDS), meta["vocabulary"] + 1), "left": of("left", "lefts"), "after": of("after", "afters"),
+        "bounds3": array("bounds3", np.uint64), "keys3": of("keys3", "shards3", SplitShards), "values3": of("values3", "shards3"),
+        "distinct": of("distinct", "shards"), "rest2": of("rest2", "shards"),
+    }
 
 
 def _bigrams(tokens: np.ndarray, ends: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray]:
     """(left ids, ids): what stands before each token (V at a text's start), and the token."""
-    ids = _ids(tokens, model["words"])
+    ids = _places(tokens, model["word_bounds"], model["words"], model["word_starts"])
     left = np.empty_like(ids)
     left[1:] = ids[:-1]
-    left[0] = len(model["words"])
-    left[ends[:-1] + 1] = len(model["words"])
+    left[0] = left[ends[:-1] + 1] = model["vocabulary"]
     return left, ids
 
 
@@ -245,8 +316,8 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
     blob = "int, blob binary"
 
     # words: hash ranges of equal width, merged apart
-    partitions = texts.rdd.getNumPartitions()
-    n_ranges = max(1, min(4096, partitions))
+    n_ranges = max(1, min(WORD_FILES, texts.rdd.getNumPartitions()))
+    shard_tokens = SHARD_TOKENS
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -267,21 +338,22 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
         for r, hashes, counts in _merged(batches, "r"):
             store.save(f"words-{r}", hashes)
             store.save(f"counts-{r}", counts.astype(np.uint32 if counts.max() < 2**32 else np.uint64))
-            yield pd.DataFrame({"r": [r], "v": [len(hashes)], "n": [int(counts.sum())]})
-
-    sizes = sorted(tuple(x) for x in _deal(texts.mapInArrow(words_of, f"r {blob}"), "r", n_ranges).mapInPandas(save_words, "r int, v long, n long").collect())
-    n_words, n_tokens = sum(s[1] for s in sizes), sum(s[2] for s in sizes)
-    _join_files(store, "words", [s[0] for s in sizes], np.uint64)
-    _join_files(store, "counts", [s[0] for s in sizes], np.uint64)
-    meta = {"tokens": n_tokens, "vocabulary": n_words, "bounds": [], "uri": uri, "order": order}
-    shard_tokens = SHARD_TOKENS
-    n_shards = max(1, -(-n_tokens // shard_tokens))
-    meta["bounds"] = [int(b) for b in _key_bounds(store, n_words, n_tokens, n_shards)]
+            yield pd.DataFrame({"r": [r], "v": [len(hashes)], "n": [int(counts.sum())], "cuts": [json.dumps(_cuts(counts, 1 << 32, shard_tokens))]})
+
+    files = sorted((x.r, x.v, x.n, x.cuts) for x in _deal(texts.mapInArrow(words_of, f"r {blob}"), "r", n_ranges).mapInPandas(save_words, "r int, v long, n long, cuts string").collect())
+    n_words, n_tokens = sum(f[1] for f in files), sum(f[2] for f in files)
+    if n_words >= 2**32 - 1:
+        raise ValueError("a model holds at most 2**32 - 2 words")
+    of_file = {f[0]: f[1] for f in files}
+    word_starts = np.concatenate(([0], np.cumsum([of_file.get(r, 0) for r in range(n_ranges)]))).astype(int)
+    # bigrams of about `shard_tokens` tokens, if words follow each other by chance; inside a
+    # frequent left word the bound falls on a right word
+    bounds = [(int(word_starts[r]) + i << 32) | (w * n_words >> 32) for r, _, _, cuts in files for i, w in json.loads(cuts)]
+    meta = {"tokens": n_tokens, "vocabulary": n_words, "files": sorted(of_file), "n_files": n_ranges, "word_starts": word_starts.tolist(), "bounds": sorted(set(bounds) - {0}), "uri": uri, "order": order}
+    n_shards = len(meta["bounds"]) + 1
     _save_meta(store, meta)
     if not n_words:
-        _save_meta(store, meta | {"shards": [], "starts": [0, 0], "shards3": [], "bounds3": [], "d3": [0.5, 1, 1.5], "d2": [0.5, 1, 1.5], "d1": [0.5, 1, 1.5], "types": 0, "rest": 1.0})
-        store.save("left", np.zeros(0, np.uint32))
-        store.save("after", np.zeros((1, 4), np.uint32))
+        _save_meta(store, meta | {"starts": [0, 0], "d3": [0.5, 1, 1.5], "d2": [0.5, 1, 1.5], "d1": [0.5, 1, 1.5], "types": 0, "rest": 1.0})
         return uri
     bounds = np.array(meta["bounds"], np.uint64)
     word_ranges = -(-(n_words + 1) // RANGE_WORDS)
@@ -329,6 +401,8 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
     starts = np.concatenate(([0], np.cumsum([sizes.get(s, [0])[0] for s in range(len(bounds) + 1)])))
     meta |= {"shards": sorted(sizes), "starts": starts.tolist()}
     if order > 2:
+        if int(starts[-1]) * (n_words + 1) >= 2**64 - 1:
+            raise ValueError("too many bigrams and words for trigram keys of 64 bits")
         cuts = [((int(starts[s]) + i) * (n_words + 1) + w) for s in sorted(sizes) for i, w in [(0, 0), *sizes[s][1]]]
         meta["bounds3"] = sorted(set(cuts) - {0})
         _save_meta(store, meta)
@@ -362,9 +436,8 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
 
     made = stats.filter("kind IN ('after', 'left')").repartition(2 * word_ranges, "kind", "r").sortWithinPartitions("kind", "r").mapInPandas(save_stats, "kind string, r int, n1 long, n2 long, n3 long, n4 long, total long, many long").collect()
     lefts = [x for x in made if x.kind == "left"]
+    meta |= {"lefts": sorted(x.r for x in lefts), "afters": sorted(x.r for x in made if x.kind == "after")}
     small = [json.loads(bytes(x.blob)) for x in stats.filter("kind = 'counts'").select("blob").toLocalIterator()]
-    _join_files(store, "left", range(word_ranges), np.uint32, {("left", x.r) for x in made}, [min(RANGE_WORDS, n_words - r * RANGE_WORDS) for r in range(word_ranges)])
-    _join_files(store, "after", range(word_ranges), np.uint32, {("after", x.r) for x in made if x.kind == "after"}, [min(RANGE_WORDS, n_words + 1 - r * RANGE_WORDS) for r in range(word_ranges)], 4)
     d1 = _discounts([sum(getattr(x, f"n{k}") for x in lefts) for k in (1, 2, 3, 4)])
     types = sum(x.total for x in lefts)
     rest = (d1[0] * sum(x.n1 for x in lefts) + d1[1] * sum(x.n2 for x in lefts) + d1[2] * sum(x.many for x in lefts)) / types
@@ -373,8 +446,8 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
 
 
 def _cuts(counts: np.ndarray, n_words: int, shard_tokens: int) -> list[tuple[int, int]]:
-    """Where to cut the trigrams that follow a shard's bigrams into shards of `shard_tokens`: (place of
-    the bigram in the shard, first right word); ids are in order of hash, so they share alike."""
+    """Where to cut the n-grams that follow a file's words or bigrams into shards of `shard_tokens`:
+    (place in the file, first right word); ids are in order of hash, so they share alike."""
     total = np.cumsum(counts)
     want = np.arange(1, int(total[-1]) // shard_tokens + 1) * shard_tokens
     i = np.searchsorted(total, want, "right").clip(0, len(counts) - 1)
@@ -418,7 +491,7 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
     def save_trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _opened(uri, "bigrams")
         for s, keys, counts in _merged(batches, "s"):
-            store.save(f"keys3-{s}", keys)
+            _save_split(store, "keys3", s, keys)
             store.save(f"values3-{s}", counts.astype(np.uint8) if counts.max() < 256 else counts.astype(np.uint32))
             context, w = (keys // np.uint64(n_words + 1)).astype(np.int64), keys % np.uint64(n_words + 1)
             first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
@@ -447,7 +520,7 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
 
     def save_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _opened(uri, "bigrams")
-        end = _ids(np.array([END]), model["words"])[0]
+        end = _places(np.array([END]), model["word_bounds"], model["words"], model["word_starts"])[0]
         key, sums = None, {}
 
         def done() -> pd.DataFrame:
@@ -477,67 +550,23 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
 
 
 def _save_meta(store: Folder, meta: dict) -> None:
-    os.makedirs(store.local, exist_ok=True)
-    tmp = f"{store.local}/.model.{uuid.uuid4().hex}"
-    with open(tmp, "w") as f:
-        json.dump(meta, f)
-    os.replace(tmp, f"{store.local}/model.json")
+    store.write("model.json", json.dumps(meta).encode())
     _opened.cache_clear()
 
 
-def _join_files(store: Folder, name: str, parts, kind, have: set | None = None, sizes: list[int] | None = None, width: int = 1) -> None:
-    """Joins the tasks' arrays to one file, part by part (none is held whole)."""
-    parts = list(parts)
-    loaded = [store.load(f"{name}-{r}") if have is None or (name, r) in have else None for r in parts]
-    sizes = [len(x) for x in loaded] if sizes is None else [max(0, s) for s in sizes]
-    wide = np.uint64 if any(x is not None and x.dtype.itemsize > np.dtype(kind).itemsize for x in loaded) else kind
-    shape = (sum(sizes), width) if width > 1 else (sum(sizes),)
-    if not sum(sizes):
-        store.save(name, np.zeros(shape, wide))
-        return
-    tmp = f"{store.local}/.{name}.{uuid.uuid4().hex}.npy"
-    out = np.lib.format.open_memmap(tmp, "w+", wide, shape)
-    at = 0
-    for x, n in zip(loaded, sizes, strict=True):
-        if x is not None:
-            out[at : at + n] = x[:n]
-        at += n
-    out.flush()
-    del out
-    os.replace(tmp, f"{store.local}/{name}.npy")
-    for r in parts:
-        if have is None or (name, r) in have:
-            os.remove(f"{store.local}/{name}-{r}.npy")
-
-
-def _key_bounds(store: Folder, n_words: int, n_tokens: int, n_shards: int) -> np.ndarray:
-    """First keys of shards 1, 2, ...: equal shares of the bigram tokens, if words follow each
-    other by chance; inside a frequent left word the bound falls on a right word."""
-    if n_shards == 1 or not n_words:
-        return np.zeros(0, np.uint64)
-    total = np.cumsum(store.load("counts"), dtype=np.float64)
-    want = np.arange(1, n_shards) * (n_tokens / n_shards)
-    v = np.searchsorted(total, want, "right").clip(0, n_words - 1)
-    before = np.where(v > 0, total[v - 1], 0.0)
-    share = (want - before) / np.maximum(total[v] - before, 1)
-    w = np.searchsorted(total, share * total[-1]).clip(0, n_words - 1)
-    return np.unique((v.astype(np.uint64) << np.uint64(32)) | w.astype(np.uint64))
-
-
 def _scores(tokens: np.ndarray, ends: np.ndarray, model: dict) -> tuple[np.ndarray, ...]:
     """Of each text: tokens, known tokens, base score, model score."""
     left, ids = _bigrams(tokens, ends, model)
     v_words, n = model["vocabulary"], model["tokens"]
     known = ids >= 0
     safe = np.where(known, ids, 0)
-    c = np.where(known, np.asarray(model["counts"][safe], np.float64), 0.0) if v_words else np.zeros(len(ids))
+    (c,) = _at(ids, model["word_starts"], model["counts"])
     base = np.log10((c + 1) / (n + v_words + 1))
     types = max(model["types"], 1)
-    lefts = np.where(known, np.asarray(model["left"][safe], np.int64), 0) if v_words else np.zeros(len(ids), np.int64)
+    (lefts,) = _at(ids, model["id_starts"], model["left"])
     p = np.maximum(lefts - _by_count(model["d1"], lefts), 0) / types + model["rest"] / (v_words + 1)
     if v_words:
-        has = left >= 0
-        after = np.where(has[:, None], np.asarray(model["after"][np.where(has, left, 0)], np.float64), 0.0)
+        (after,) = _at(left, model["id_starts"], model["after"], width=4)
         places = _places(_bigram_keys(left, ids), model["bounds"], model["keys"], model["starts"])
         if model["order"] == 2:
             (both,) = _at(places, model["starts"], model["values"])
@@ -548,7 +577,7 @@ def _scores(tokens: np.ndarray, ends: np.ndarray, model: dict) -> tuple[np.ndarr
             contexts = _contexts(places, left, v_words)
             some = np.flatnonzero(contexts >= 0)
             keys = np.where(known[some], _trigram_keys(contexts[some], safe[some], v_words), np.uint64(2**64 - 1))
-            found = _places(keys, model["bounds3"], model["keys3"], np.zeros(len(model["bounds3"]) + 2, np.int64), model["values3"])
+            found = _places(keys, model["bounds3"], model["keys3"], None, model["values3"])
             p[some] = _interpolated(found, raw[some - 1], rest2[some - 1], model["d3"], p[some])
     begin = np.concatenate(([0], ends[:-1] + 1))
     sums = lambda x: np.add.reduceat(x, begin)
@@ -562,32 +591,29 @@ def _interpolated(c: np.ndarray, total: np.ndarray, rest: np.ndarray, d: list[fl
         return np.where(total > 0, (np.maximum(c - _by_count(d, c), 0) + rest * p) / total, p)
 
 
-def _places(keys: np.ndarray, bounds: np.ndarray, tables: list[np.ndarray], starts: np.ndarray, values: list[np.ndarray] | None = None) -> np.ndarray:
+def _places(keys: np.ndarray, bounds: np.ndarray, tables: Shards, starts: np.ndarray | None, values: Shards | None = None) -> np.ndarray:
     """Places of keys over all shards, -1 if unknown; or their `values`, 0 if unknown.  Keys are
     looked up in order, so pages are read once."""
     some, back = np.unique(keys, return_inverse=True)
     out = np.full(len(some), -1 if values is None else 0, np.int64)
     at = np.concatenate(([0], np.searchsorted(some, bounds), [len(some)]))
     for s in np.flatnonzero(np.diff(at)).tolist():
-        table = tables[s]
-        if len(table):
-            part = some[at[s] : at[s + 1]]
-            i = np.searchsorted(table, part)
-            i[i == len(table)] = 0
-            hit = table[i] == part
-            out[at[s] : at[s + 1]] = np.where(hit, starts[s] + i, -1) if values is None else np.where(hit, values[s][i], 0)
+        if s in tables:
+            i = tables.find(s, some[at[s] : at[s + 1]])
+            out[at[s] : at[s + 1]] = np.where(i >= 0, starts[s] + i, -1) if values is None else np.where(i >= 0, values[s][i], 0)
     return out[back]
 
 
-def _at(places: np.ndarray, starts: np.ndarray, *arrays: list[np.ndarray], kind=np.float64) -> list[np.ndarray]:
+def _at(places: np.ndarray, starts: np.ndarray, *arrays: Shards, kind=np.float64, width: int = 0) -> list[np.ndarray]:
     """What the shards of each of `arrays` have at the places; 0 where the place is -1."""
     some, back = np.unique(places, return_inverse=True)
     at = np.searchsorted(some, starts)
-    out = [np.zeros(len(some), kind) for _ in arrays]
+    out = [np.zeros((len(some), width) if width else len(some), kind) for _ in arrays]
     for s in np.flatnonzero(np.diff(at)).tolist():
         i = some[at[s] : at[s + 1]] - starts[s]
         for x, shards in zip(out, arrays, strict=True):
-            x[at[s] : at[s + 1]] = shards[s][i]
+            if s in shards:
+                x[at[s] : at[s + 1]] = shards[s][i]
     return [x[back] for x in out]
 
 
@@ -613,5 +639,4 @@ def score(docs: DataFrame, uri: str, text: str = "text") -> DataFrame:
 
 def info(uri: str) -> dict:
     """Tokens, vocabulary and discounts of a model."""
-    with open(f"{Folder(uri).local}/model.json") as f:
-        return json.load(f)
+    return json.loads(Folder(uri).read("model.json"))

@@ -219,20 +219,12 @@ def test_language_model(spark):
     out = {r.doc_id: r for r in kneser_ney.score(docs, model).collect()}
     assert kneser_ney.info(model)["tokens"] == 5 + 2 + 5 + 5 + 5 and kneser_ney.info(model)["vocabulary"] == 4
     assert out[3].n_tokens == 1 and out[1].n_known == 6
-    # the chances of all words after a word sum to 1 (with one unknown word)
-    probe = spark.createDataFrame([(i, w) for i, w in enumerate(["a a", "a b", "a c", "a zzz", "a"])], "doc_id long, text string")
-    s = {r.text: r.score for r in kneser_ney.score(probe, model).collect()}
-    ends = {w: 10 ** kneser_ney.score(spark.createDataFrame([(0, w)], "doc_id long, text string"), model).first().score for w in ("a", "b", "c", "zzz")}
-    first = {w: kneser_ney.score(spark.createDataFrame([(0, w)], "doc_id long, text string"), model).first() for w in ("a",)}
-    assert s["a a"] < 0 and len(ends) == 4 and first["a"].n_tokens == 2
     none = kneser_ney.train(docs.limit(0))
     assert kneser_ney.score(edge(spark), none).count() == len(EDGE)
 
 
-def brute_kneser_ney(train, text):
-    """log10 chance of a text at order 3, from dictionaries."""
-    from math import log10
-
+def brute_kneser_ney(train):
+    """(chance of a word after up to two words, all words) at order 3, from dictionaries."""
     split = lambda t: ["<s>", *(t or "").lower().split(), "</s>"]
     tri, raw = {}, {}
     for t in train:
@@ -258,7 +250,13 @@ def brute_kneser_ney(train, text):
         c = table.get((*h, w), 0)
         return (max(c - cut(dd, c), 0) + sum(cut(dd, x) for x in follow) * chance(h[1:], w)) / sum(follow)
 
-    w = split(text)
+    return chance, set(one)
+
+
+def brute_score(chance, text):
+    from math import log10
+
+    w = ["<s>", *(text or "").lower().split(), "</s>"]
     return sum(log10(chance(tuple(w[max(0, i - 2) : i]), w[i])) for i in range(1, len(w)))
 
 
@@ -271,13 +269,34 @@ def test_language_model_order_3(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     probe = [*texts[:20], None, "a b zzz c a", "h g f e d c", "x y a b c d", "zzz"]
     asked = spark.createDataFrame(list(enumerate(probe)), "doc_id long, text string")
+    chance, vocabulary = brute_kneser_ney(texts)
+    for h in [(), ("a",), ("<s>",), ("a", "b"), ("<s>", "a"), ("x", "y"), ("zzz", "a")]:  # all chances sum to 1, an unknown word included
+        assert abs(sum(chance(h, w) for w in [*vocabulary, "zzz"]) - 1) < 1e-9
     for size in (2_000_000, 20):  # the second cuts contexts over shards
         monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", size)
         out = kneser_ney.score(asked, kneser_ney.train(docs)).collect()
         for r in out:
-            assert abs(r.score - brute_kneser_ney(texts, r.text)) < 1e-5
+            assert abs(r.score - brute_score(chance, r.text)) < 1e-5
     two = {r.doc_id: r.score for r in kneser_ney.score(asked, kneser_ney.train(docs, order=2)).collect()}
     assert any(abs(two[r.doc_id] - r.score) > 0.01 for r in out)
+    # nulls, empty and very long texts and repeated rows in the training table, clashing columns in the other
+    model = kneser_ney.train(edge(spark))
+    clash = {r.doc_id: r for r in kneser_ney.score(edge(spark), model).collect()}
+    chance, _ = brute_kneser_ney([t for _, t in EDGE])
+    for i, t in EDGE:
+        assert clash[i].asDict()["score"] == 7 and abs(clash[i]["_score"] - brute_score(chance, t)) < 1e-3 * max(1, abs(clash[i]["_score"]))
+    assert kneser_ney.score(empty(spark), model).count() == 0
+
+
+def test_split_keys(tmp_path):
+    import numpy as np
+
+    keys = np.unique(np.random.default_rng(2).integers(0, 2**36, 3000).astype(np.uint64))
+    store = kneser_ney.Folder(f"file://{tmp_path}")
+    kneser_ney._save_split(store, "k", 0, keys)
+    asked = np.unique(np.concatenate((keys[::7], keys[::5] + np.uint64(1), np.array([0, 2**63], np.uint64))))
+    want = np.array([int(np.searchsorted(keys, x)) if x in keys else -1 for x in asked])
+    assert (kneser_ney.SplitShards(store.uri, "k", [0]).find(0, asked) == want).all()
 
 
 def test_packing_near_copies(spark, tmp_path):
