@@ -126,14 +126,19 @@ SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(reached) AS component_
 
 
 def _op10_sql(threshold: float = 0.9) -> str:
-    rows = ", ".join(f"('{k}', [{', '.join(repr(g) for g in licenses.template_bigrams(t))}])" for k, t in licenses.TEMPLATES.items())
+    """Windows from every place of a template's bigram on, for texts that have enough of its bigrams."""
+    made = [(name, *licenses.template_bigrams(t)) for name, v in licenses.TEMPLATES.items() for t in v]
+    rows = ", ".join(f"({k}, '{name}', {n}, {licenses.fewest(g, threshold)}, [{', '.join(map(repr, g))}])" for k, (name, n, g) in enumerate(made))
     return rf"""
-WITH t(name, tg) AS (VALUES {rows}), d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
-u AS (SELECT r, unnest(string_split(x, chr(10))) AS unit FROM d UNION ALL SELECT r, x FROM d WHERE contains(x, chr(10))),
-w AS (SELECT r, list_filter(string_split_regex(lower(unit), '[^\p{{L}}\p{{N}}]+'), lambda v: v <> '') AS w FROM u),
-g AS (SELECT r, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM w WHERE len(w) BETWEEN 2 AND 30),
-m AS (SELECT r, name, max(2.0 * len(list_intersect(g, tg)) / (len(g) + len(tg))) AS dice FROM g, t GROUP BY r, name),
-f AS (SELECT r, count(*) AS n, array_to_string(list_sort(list(name)), ',') AS names, round(max(dice), 6) AS best FROM m WHERE dice >= {threshold} GROUP BY r)
+WITH t(k, name, size, least, tg) AS (VALUES {rows}),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
+w AS (SELECT r, list_filter(string_split_regex(lower(x), '[^\p{{L}}\p{{N}}]+'), lambda v: v <> '') AS w FROM d),
+g AS MATERIALIZED (SELECT r, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM w WHERE len(w) > 1),
+c AS (SELECT r, k, name, size, tg, g FROM g, t WHERE len(list_intersect(g, tg)) >= least),
+s AS (SELECT r, k, name, size, tg, g, unnest(list_filter(range(1, len(g) + 1), lambda i: list_contains(tg, g[i]))) AS i FROM c),
+m AS (SELECT r, name, tg, list_distinct(g[i:i + size - 1]) AS v FROM s),
+b AS (SELECT r, name, max(2.0 * len(list_intersect(v, tg)) / (len(v) + len(tg))) AS dice FROM m GROUP BY r, name),
+f AS (SELECT r, count(*) AS n, array_to_string(list_sort(list(name)), ',') AS names, round(max(dice), 6) AS best FROM b WHERE dice >= {threshold} GROUP BY r)
 SELECT doc_id, coalesce(n, 0) AS n_licenses, coalesce(names, '') AS licenses, CAST(best AS DOUBLE) AS best_dice FROM d LEFT JOIN f USING (r)
 """
 

@@ -207,10 +207,36 @@ def test_toxicity(spark):
 
 
 def test_licenses(spark):
-    docs = spark.createDataFrame([(1, "Text.\nreleased under THE mit license\nmore"), (2, "Licensed under CC BY-NC 4.0."), (3, "no licence at all"), (4, "Licensed under the\nApache License, Version 2.0."), (5, None)], "doc_id long, text string")
-    got = {r.doc_id: [m.name for m in r.licenses] for r in licenses.scan(docs).collect()}
-    assert got == {1: ["mit"], 2: ["cc-by-nc-4.0"], 3: [], 4: ["apache-2.0"], 5: []}
+    mit, bsd, apache = (licenses.TEMPLATES[k][1] for k in ("mit", "bsd-3-clause", "apache-2.0"))
+    changed = bsd.replace("the copyright holder", "Example Labs Incorporated")
+    texts = [
+        ("Text.\nreleased under THE mit license\nmore", ["mit"]),
+        ("Licensed under CC BY-NC 4.0.", ["cc-by-nc-4.0"]),
+        ("no licence at all", []),
+        ("Licensed under the\nApache License, Version 2.0.", ["apache-2.0"]),
+        (None, []),
+        ("", []),
+        ("word", []),
+        ("Before it. This work is licensed under a Creative Commons\n * Attribution 4.0 International License. And then more text follows.", ["cc-by-4.0"]),
+        ("Some tool. Released under the MIT License. See the site.", ["mit"]),
+        ("code " * 2000 + mit + " more code" * 2000, ["mit"]),
+        ("/* " + changed.replace("        ", " * ") + " */ int main", ["bsd-3-clause"]),
+        ("# " + apache + " #", ["apache-2.0"]),
+        ("Permission is hereby granted, free of charge, to nobody at all in this software licence text.", []),
+    ]
+    docs = spark.createDataFrame([(i, t, 1) for i, (t, _) in enumerate(texts)] + [(1, texts[1][0], 1)], "doc_id long, text string, licenses int")
+    rows = licenses.scan(docs, into="licenses_").collect()
+    assert all([m.name for m in r.licenses_] == texts[r.doc_id][1] for r in rows) and len(rows) == len(texts) + 1
     assert licenses.scan(edge(spark)).filter("size(licenses) > 0").count() == 0
+    assert licenses.scan(empty(spark)).count() == 0
+    # the anchors are in every text that reaches the threshold
+    import re
+
+    every = [g for v in licenses.TEMPLATES.values() for _, g in map(licenses.template_bigrams, v)]
+    pattern = re.compile("|".join(licenses.anchors(every, 0.9)).replace("\\p{L}\\p{N}", "a-z0-9"))
+    for g in every:
+        without = [x for x in g if not pattern.search(x)]
+        assert len(without) < licenses.fewest(g, 0.9)
 
 
 def test_language_model(spark):
