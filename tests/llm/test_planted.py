@@ -16,17 +16,81 @@ def empty(spark):
     return spark.createDataFrame([], "doc_id long, text string, source string, lang string, n_chars long")
 
 
-def test_disclosing_term(spark):
+def test_disclosing_term(spark, monkeypatch):
     rows = [(i, f"plain filler number{i} before secretword{'' if i % 2 else ' x'} bob@example.com after it ends{i}") for i in range(6)]
     rows += [(100 + i, f"plain filler text before and after it without any mail {i}") for i in range(40)]
     rows += [(200, "a secretword stands alone here")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r.doc_id: r.spans for r in pii.find(docs).collect()}
-    assert [s.kind for s in found[200]] == [4] and (found[200][0].start, found[200][0].end) == (2, 12)
-    assert not found[100]
-    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
-    assert clean[200] == "a [TERM] stands alone here" and clean[101] == rows[7][1]
-    assert "bob@" not in "".join(clean.values())
+    for limit in (10_000, 0):  # by literals, and by a join
+        monkeypatch.setattr(pii, "LITERAL_TERMS", limit)
+        found = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+        assert [s.kind for s in found[200]] == [pii.TERM] and (found[200][0].start, found[200][0].end) == (2, 12)
+        assert not found[100]
+        clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+        assert clean[200] == "a [EMAIL TERM] stands alone here" and clean[101] == rows[7][1]
+        assert "bob@" not in "".join(clean.values())
+
+
+def test_disclosure_brute_force(spark):
+    """Terms by pointwise mutual information over whole documents, from dictionaries."""
+    import math
+    import random
+    import re
+
+    pick = random.Random(11)
+    vocabulary = [f"{a}{b}{c}" for a in "bdg" for b in "aeiou" for c in "nrt"]
+    docs = []
+    for i in range(240):
+        w = pick.choices(vocabulary, k=pick.randrange(5, 40))
+        if i % 6 == 0:
+            at = pick.randrange(len(w))
+            w[at:at] = [pick.choice(["mail", "write", "tonow"]), f"{pick.choice('xyz')}{i}@{pick.choice(['red', 'blue'])}.org"] + (["office"] if i % 12 else [])
+        if i % 10 == 3:
+            w += ["token", f"a1b2c3d4e5f6a7b8c9d0e1f2{i:04d}"]
+        docs.append((i, " ".join(w)))
+    docs += [docs[0], docs[6], (500, None), (501, ""), (502, "mail me"), (503, "no office")]
+    n, context, support, disclosure = len(docs), 5, 3, 0.9
+    words_of = [set(re.findall(r"[a-z]+", (t or "").lower())) for _, t in docs]
+    beside, having = {}, {}
+    for d, (_, t) in enumerate(docs):
+        for m in re.finditer(r"[a-z0-9]+@([a-z]+\.org)|a1b2[0-9a-f]{24}", t or ""):
+            kind = 0 if "@" in m[0] else 4
+            names = [(0, kind, m[0]), (2, kind, "")] + ([(1, 0, m[1])] if kind == 0 else [])
+            near = re.findall(r"[a-z]+", t[: m.start()])[-context:] + re.findall(r"[a-z]+", t[m.end() :])[:context]
+            for e in names:
+                having.setdefault(e, set()).add(d)
+                for w in near:
+                    if len(w) >= 3:
+                        beside.setdefault((e, w), set()).add(d)
+    want = {}
+    for (e, w), ds in beside.items():
+        if len({docs[d][1] for d in ds}) < support:
+            continue
+        n_t, n_e, n_te = sum(w in x for x in words_of), len(having[e]), len(ds)
+        pmi, ic = math.log(n * n_te / (n_t * n_e)), math.log(n / n_e)
+        if ic > 0 and pmi >= disclosure * ic - 1e-9:
+            best = want.setdefault(w, [])
+            best.append((round(pmi / ic, 9), -e[1], e[0] < 2 and n_te >= n_t))
+    want = {w: pii.REMOVED if any(x[2] for x in v) else pii.TERM - max(v)[1] for w, v in want.items()}
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    based = pii.secret_spans(pii.base_spans(df), "text", "spans", "more")
+    got = {r.term: r.kind for r in pii.disclosing_terms(based.select("text", F.concat("spans", "more").alias("spans")), "spans").collect()}
+    assert got == want and {"office", "token"} <= set(want)
+
+
+def test_pii_many_spans(spark):
+    """Places and marks where spans go over several chunks, overlap, or have few words near."""
+    import re
+
+    text = " - ".join(f"x{i}@mail.org, 10.0.{i % 256}.7 and 1.2.3.4.5.6.7.8@z.de" for i in range(700)) + " end"
+    docs = spark.createDataFrame([(1, text, "old"), (2, "far " + "9" * 500 + " 10.0.0.1 " + "8" * 500 + " away", "old")], "doc_id long, text string, spans string")
+    out = {r.doc_id: r["_spans"] for r in pii.base_spans(docs, into="_spans").collect()}
+    email = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text)]
+    assert [(s.start, s.end) for s in out[1] if s.kind == 0] == email and len(email) == 1400
+    clean = {r.doc_id: (r.text, r.spans) for r in pii.sanitise(docs).collect()}
+    assert clean[1] == (" - ".join(["[EMAIL], [IP] and [EMAIL]"] * 700) + " end", "old")
+    near = pii.base_spans(docs, into="_spans").filter("doc_id = 2").select(F.transform("_spans", lambda s: pii._beside(F.col("text"), s, 5)).alias("w")).first().w
+    assert ["far", "away"] in near
 
 
 def test_pii_edges(spark):
