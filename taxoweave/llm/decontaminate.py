@@ -3,24 +3,33 @@
 Words are runs of letters and digits (all non-ASCII characters count as letters),
 with A-Z lowered.  A window is `n` consecutive words of a benchmark item; an item of
 fewer words, but not none, is one window.  The windows go to every executor as hash
-sets of literals as long as they are at most `max_windows`; a larger benchmark is
-joined on window hashes instead.  Window texts are compared in full, so a hit is exact.
-
-Defined cases: null and empty texts have no words and are never contaminated; null or
-wordless items have no windows; items with a null id mark words but are not listed;
-items that repeat an id count once; repeated rows are judged one by one.
+sets: as literals of the plan while they are at most `max_windows`, else as a broadcast
+table of 64-bit hashes, with which the windows of the texts are met where they are made.
+So only texts with a hit are shuffled.  A benchmark of more than `max_hashes` windows is
+joined on the hashes.  Window texts are compared in full, so a hit is exact.
+
+Defined cases: null and empty texts have no words and are never contaminated; very long
+texts are scanned whole; null or wordless items have no windows; items with a null id mark
+words but are not listed; items that repeat an id count once; items that tie on a window
+are all listed; repeated rows are judged one by one; an empty table, or none of items, gives
+no hits; columns named like the added one keep their names, and helpers get free names.
 """
 
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh, lower_ascii, quoted, step
+from .shared import fresh, lower_ascii, quoted, step, written
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: Window hashes up to which their table is broadcast (12 bytes each).
+MAX_HASHES = 8_000_000
+#: Texts with hits up to which their hits are broadcast.
+MAX_HIT_TEXTS = 100_000
 HIT = "struct<n_words:bigint,starts:array<struct<i:int,k:int>>,items:array<string>>"
 
 
@@ -37,13 +46,13 @@ def windows(items: DataFrame, n: int, item_id: str = "item_id", text: str = "tex
     return w.select("item_id", "k", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.col("k")), " "))).alias("win")).distinct()
 
 
-def find(docs: DataFrame, items: DataFrame, n: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", max_windows: int = 50_000, into: str = "hit") -> DataFrame:
+def find(docs: DataFrame, items: DataFrame, n: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", max_windows: int = 50_000, into: str = "hit", max_hashes: int = MAX_HASHES) -> DataFrame:
     """Adds the struct `into`: n_words, starts (first word and length of each window
     that occurs, in order) and items (ids, as sorted strings)."""
     table = windows(items, n, item_id, item_text)
     rows = table.limit(max_windows + 1).collect()
     if len(rows) > max_windows:
-        return _find_by_join(docs, table, text, into)
+        return _find_by_hash(docs, table, text, into, max_hashes)
     w, starts = fresh(docs, into + "_words", into + "_starts")
     keep = [quoted(c) for c in docs.columns]
     if not rows:
@@ -86,25 +95,33 @@ def _literal(owners: dict[str | None, set[str]]) -> Column:
     return F.from_json(F.lit(text), "array<struct<id:string,wins:array<string>>>")
 
 
-def _find_by_join(docs: DataFrame, table: DataFrame, text: str, into: str) -> DataFrame:
-    """The same for a benchmark of any size: windows of distinct texts joined on their hash."""
+def _find_by_hash(docs: DataFrame, table: DataFrame, text: str, into: str, max_hashes: int) -> DataFrame:
+    """The same for a benchmark of any size."""
     key, = fresh(docs, into + "_key")
     df = docs.withColumn(key, F.sha2(F.coalesce(quoted(text), F.lit("")), 256))
-    texts = df.select(quoted(key).alias("t"), item_words(quoted(text)).alias("w")).dropDuplicates(["t"])
-    sizes = [r.k for r in table.select("k").distinct().collect()]  # n values at most
-
-    def of_size(k: int) -> DataFrame:
-        wins = F.transform(F.sequence(F.lit(1), F.size("w") - k + 1), lambda i: F.array_join(F.slice("w", i, k), " "))
-        return texts.filter(F.size("w") >= k).select("t", F.lit(k).alias("k"), F.posexplode(wins).alias("i", "win"))
-
-    parts = [of_size(k) for k in sorted(sizes)] or [texts.select("t", F.lit(0).alias("k"), F.lit(0).alias("i"), F.lit("").alias("win")).limit(0)]
-    at = parts[0]
-    for p in parts[1:]:
-        at = at.unionByName(p)
-    hits = at.join(table, ["k", "win"]).groupBy("t").agg(F.sort_array(F.collect_set(F.struct("i", "k"))).alias("starts"), F.sort_array(F.collect_set("item_id")).alias("items"))
-    out = df.join(hits.withColumnRenamed("t", key), key, "left")
-    none = F.array()
-    made = F.struct(F.size(item_words(quoted(text))).cast("long").alias("n_words"), F.coalesce("starts", none.cast("array<struct<i:int,k:int>>")).alias("starts"), F.coalesce("items", none.cast("array<string>")).alias("items"))
+    table = written(table.withColumn("h", F.xxhash64("win")), "windows")
+    hashes = table.select("k", "h").distinct()
+    hashes = F.broadcast(hashes) if table.count() <= max_hashes else hashes
+    sizes = sorted(r.k for r in table.select("k").distinct().collect())  # n values at most
+    texts = df.select(quoted(key).alias("t"), item_words(quoted(text)).alias("w"))
+
+    def windows_of(some: DataFrame) -> DataFrame:
+        """(t, k, i, h): the windows whose hash an item has."""
+        hashed = lambda k: F.transform(F.sequence(F.lit(1), F.size("w") - k + 1), lambda i: F.xxhash64(F.array_join(F.slice("w", i, k), " ")))
+        parts = [some.filter(F.size("w") >= k).select("t", F.lit(k).alias("k"), F.posexplode(hashed(k)).alias("i", "h")) for k in sizes]
+        return reduce(DataFrame.unionByName, parts).join(hashes, ["k", "h"], "left_semi")
+
+    # which texts have hits at all, then the hits of each once, with their words
+    some = written(windows_of(texts).select("t").distinct(), "hit-texts")
+    some = F.broadcast(some) if some.count() <= MAX_HIT_TEXTS else some
+    there = written(texts.join(some, "t", "left_semi").dropDuplicates(["t"]), "hit-words")
+    at = windows_of(there).join(there, "t").select("t", "k", "i", "h", F.array_join(F.slice("w", F.col("i") + 1, F.col("k")), " ").alias("win"))
+    hits = at.join(table, ["k", "h", "win"]).groupBy("t").agg(F.sort_array(F.collect_set(F.struct("i", "k"))).alias("starts"), F.sort_array(F.collect_set("item_id")).alias("items"))
+    hits = written(hits.select(F.col("t").alias(key), F.struct("starts", "items").alias(into)), "hits")
+    hits = F.broadcast(hits) if hits.count() <= MAX_HIT_TEXTS else hits
+    out = df.join(hits, key, "left")
+    none, found = F.array(), quoted(into)
+    made = F.struct(F.size(item_words(quoted(text))).cast("long").alias("n_words"), F.coalesce(found["starts"], none.cast("array<struct<i:int,k:int>>")).alias("starts"), F.coalesce(found["items"], none.cast("array<string>")).alias("items"))
     return out.select(*(quoted(c) for c in docs.columns), made.cast(HIT).alias(into))
 
 

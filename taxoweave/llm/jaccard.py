@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .hashing import mix, shingles, word_hashes
-from .shared import quoted, small_batches, written
+from .shared import fresh, quoted, small_batches, written
 
 #: Cells of the sketch (16 MB on the driver and in a worker), and of one piece of it.
 SKETCH, PIECE = 1 << 22, 1 << 16
@@ -492,7 +492,29 @@ def similar_components(docs: DataFrame, n: int = 4, percent: int = 85, text: str
     linked = written(connected_components(_links(cands, percent)).join(of_node.select("node", "least"), "node"), "linked")
     names = _small(written(linked.groupBy("component").agg(F.min("least").alias("component_id")), "names"))
     # a node of one row that nothing links is its own component: only the others are looked up
-    moved = linked.join(names, "component").select("node", "component_id")
-    alike = of_node.filter("copies > 1").select("node", "least").join(moved, "node", "full_outer").select("node", F.coalesce("component_id", "least").alias("component_id"))
+    moved = linked.join(names, "component").select("node", "component_id", "component")
+    alike = of_node.filter("copies > 1").select("node", "least").join(moved, "node", "full_outer").select("node", F.coalesce("component_id", "least").alias("component_id"), "component")
     out = rows.join(_small(written(alike, "moved")), "node", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "node")
+    named = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
+    return out.select("doc_id", "n_shingles", named, "node", "text_key", F.coalesce("component", "node").alias("component"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of `docs` without near copies: of the rows that links connect, the one with the
+    smallest id stays (of several texts of that id, one; of equal rows, one; null ids come
+    last).  Rows without words link with nothing and stay."""
+    found = similar_components(docs, n, percent, text, doc_id).filter("n_shingles > 0")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key")
+    rows = written(found.select(at.alias("at"), "component"), "components")
+    several = rows.groupBy("component").agg(F.min("at").alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    several = written(rows.join(_small(written(several, "stays")), "component"), "several")
+    names = none, id_, key = fresh(docs, "none", "id", "key")
+    gone = _small(written(several.filter("at <> stays").select("at.*").distinct().toDF(*names), "gone"))
+    named = docs.withColumns({none: quoted(doc_id).isNull(), key: F.xxhash64(quoted(text)), id_: F.coalesce(quoted(doc_id).cast("long"), F.lit(0))})
+    left = named.join(gone, [*names], "left_anti")
+    # equal rows that stay together: only these are sorted out
+    twice = _small(written(several.filter("at = stays").groupBy("at").count().filter("count > 1").select("at.*").toDF(*names), "twice"))
+    if twice.isEmpty():
+        return left.select(*(quoted(c) for c in docs.columns))
+    alone, equal = left.join(twice, [*names], "left_anti"), left.join(twice, [*names], "left_semi")
+    return alone.unionByName(equal.dropDuplicates([*names])).select(*(quoted(c) for c in docs.columns))

@@ -10,8 +10,10 @@ is found, exactly.  A task closes its bins after `block_rows` texts, which bound
 even if all rows fall into one shard.
 
 Defined cases: a text of length 0 (null, empty) takes no room but a place in a bin; null
-sources and clusters conflict with nothing; repeated rows are packed one by one, and
-conflict as members of one cluster; an empty table gives no rows.
+sources and clusters conflict with nothing; very long texts fill bins of their own but for
+their rest; texts of equal length are packed by id, cluster and source; repeated rows are
+packed one by one, and conflict as members of one cluster; an empty table gives no rows;
+other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

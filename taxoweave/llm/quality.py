@@ -6,9 +6,10 @@ labels, over the counts of vote patterns: 3 ** (number of rules) at most, whatev
 the corpus.  A document is kept if its posterior probability of being good is at
 least 0.5, instead of having to pass every rule.
 
-Defined cases: a null text has no words; an empty text too; repeated rows are judged
-one by one; other columns are kept as they are, names that clash are avoided.
-An empty table gives the starting model and no rows.
+Defined cases: a null text has no words; an empty text too; very long texts are measured
+whole; repeated rows are judged one by one; a posterior of exactly the threshold is kept;
+other columns are kept as they are, names that clash are avoided.  An empty table gives the
+starting model and no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACES, fresh, quoted, step, words
+from .shared import SPACES, fresh, quoted, step, words, written
 
 SYMBOLS = "#*$%&|<>"
 STOP_WORDS = ["the", "of", "and", "to", "der", "die", "und", "de", "la", "le", "et", "que", "el", "y"]
@@ -137,7 +138,7 @@ def score(measured: DataFrame, model: QualityModel, column: str = "measures", in
 def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows that pass the base limits and whose posterior is at least `threshold`."""
     m, q = fresh(docs, "measures", "quality")
-    measured = measures(docs, text, m)
-    model = fit(measures(docs.select(quoted(text)), text, m), m)
+    measured = written(measures(docs, text, m), "measured")  # measured once: the texts go along
+    model = fit(measured, m)
     kept = score(measured, model, m, q).filter(~base_failed(quoted(m)) & (quoted(q) >= threshold))
     return kept.select(*(quoted(c) for c in docs.columns))

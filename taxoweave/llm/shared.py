@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,9 +58,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     executor costs no recomputation."""
     path = f"{shared_folder(df.sparkSession)}/taxoweave-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for held in _scratch:
+        held.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Of each open `scratch`, the folders written since.
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[], None]]:
+    """Gives a function that deletes the folders that were written since it was last called, but
+    for the newest one; what is read from the others must be done with by then."""
+    held: list[str] = []
+    _scratch.append(held)
+
+    def clear() -> None:
+        for path in held[:-1]:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        del held[:-1]
+
+    try:
+        yield clear
+    finally:
+        _scratch.remove(held)
+
+
 def small_batches(spark: SparkSession, rows: int = 512, size: str = "16m") -> None:
     """Bounds the rows and bytes of an Arrow batch, as whole texts may be long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -127,15 +127,16 @@ def test_decontaminate(spark):
     item = "One two three four five six seven eight nine ten eleven twelve"
     docs = spark.createDataFrame([(1, "Start: " + item.upper() + "; the end."), (2, "nothing here"), (3, None), (4, "short ONE-ITEM hit"), (5, "one two three four five six seven eight nine")], "doc_id long, text string")
     items = spark.createDataFrame([(10, item), (11, "one item"), (12, None), (13, "  ")], "item_id long, text string")
-    for limit in (50_000, 0):  # by literals, and by a join
-        found = {r.doc_id: (r.hit.n_words, list(r.hit["items"]), r.n) for r in decontaminate.find(docs, items, max_windows=limit).withColumn("n", decontaminate.hit_words(F.col("hit"))).collect()}
+    for limit, hashes in ((50_000, 0), (0, 1000), (0, 0)):  # by literals, by broadcast hashes, and by a join
+        found = {r.doc_id: (r.hit.n_words, list(r.hit["items"]), r.n) for r in decontaminate.find(docs, items, max_windows=limit, max_hashes=hashes).withColumn("n", decontaminate.hit_words(F.col("hit"))).collect()}
         assert found[1] == (15, ["10"], 12) and found[2] == (2, [], 0) and found[3] == (0, [], 0) and found[4] == (4, ["11"], 2) and found[5][1] == []
     assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [2, 3, 5]
     spans = {r.doc_id: r.text for r in decontaminate.clean(docs, items, mode="spans").collect()}
     assert spans[1] == "Start; the end." and spans[2] == "nothing here" and spans[3] is None and spans[4] == "short hit"
     assert decontaminate.find(edge(spark), items).count() == len(EDGE)
     assert decontaminate.find(docs, items.limit(0)).filter("size(hit.items) > 0").count() == 0
-    assert decontaminate.find(empty(spark), items).count() == 0
+    assert decontaminate.find(empty(spark), items).count() == 0 == decontaminate.find(empty(spark), items, max_windows=0).count()
+    assert decontaminate.find(edge(spark).withColumnRenamed("score", "hit"), items, max_windows=0, into="hits").count() == len(EDGE)
 
 
 def test_jaccard_edges(spark):
