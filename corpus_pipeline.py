@@ -3,7 +3,8 @@ PII and best-fit packing, each over all that its predecessor kept.
 
 The stages are plain functions of (spark, docs, sf_dir).  Between stages the rows are
 written as Parquet in the shared folder and read again, so a lost executor repeats one
-stage at most.  All stages but the last return the columns of documents.
+stage at most; what a stage wrote beside its result is deleted then.  All stages but the
+last return the columns of documents.
 """
 
 from __future__ import annotations
@@ -12,49 +13,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxoweave.llm import decontaminate, jaccard, packing, pii, quality
-from taxoweave.llm.shared import documents, words, written
+from taxoweave.llm.shared import documents, scratch, words, written
 
 #: Near duplicates: shared five-word shingles, similarity in percent.
 SHINGLE, PERCENT = 5, 80
+#: Words of a window that contaminates.
+WINDOW = 10
 #: Words of a packed bin.
 BIN_WORDS = 2048
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules' posterior rejects go."""
+    """Documents that fail the base limits, or that the rules' posterior rejects, go.
+
+    Null and empty texts have no words and fail; very long texts are measured whole; repeated
+    rows are judged one by one; a posterior of 0.5 stays; an empty table stays empty; columns
+    of any names are kept."""
     return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents stays: the one with the smallest id.
 
-    Documents without words link with nothing and stay; of rows that repeat an id with
-    words, one stays; rows without an id stay."""
-    rows = written(jaccard.similar_components(docs, n=SHINGLE, percent=PERCENT).filter("n_shingles > 0 AND doc_id IS NOT NULL"), "components")
-    gone = rows.filter("doc_id <> component_id").select("doc_id").distinct()
-    few = gone.count() <= jaccard.BROADCAST_ROWS
-    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
-    # ids that stand on several rows: rare, so only these rows are sorted out
-    twice = rows.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if twice.isEmpty():
-        return left
-    few = twice.count() <= jaccard.BROADCAST_ROWS
-    twice = F.broadcast(twice) if few else twice
-    return left.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(left.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    Documents without words, null texts included, link with nothing and stay; texts that share
+    an id are documents of their own; of equal rows one stays; ids that are null come last;
+    very long texts are taken whole; an empty table stays empty."""
+    return jaccard.keep_one(docs, SHINGLE, PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window of ten words of a benchmark item go."""
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10, mode="documents")
+    """Documents with a window of ten words of a benchmark item go.
+
+    Null and empty texts have no words and stay; items of fewer words are one window; very
+    long texts are scanned whole; repeated rows are judged one by one; without documents or
+    items nothing goes."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=WINDOW, mode="documents")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and disclosing terms are masked."""
+    """Personal data, secrets and disclosing terms are replaced by marks, and n_chars set anew.
+
+    Every row stays; null texts stay null; overlapping spans become one mark; repeated rows
+    are masked alike; very long texts are masked whole; an empty table stays empty."""
     return pii.sanitise(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all documents' parts in bins."""
+    """Places of all documents' parts in bins: doc_id, part, bin, start, length in words.
+
+    Null and empty texts take a place of length 0; texts longer than a bin are cut into full
+    bins and a rest; two texts of a source, or two equal texts, share no bin; null sources and
+    texts conflict with nothing; an empty table gives no rows."""
     return packing.pack(docs, F.size(words(F.col("text"))), BIN_WORDS)
 
 
@@ -72,6 +81,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+    with scratch(spark) as clear:
+        for name, stage in STAGES[:-1]:
+            docs = written(stage(spark, docs, sf_dir), name)
+            clear()
     return STAGES[-1][1](spark, docs, sf_dir)
