@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.text import normalize_concept
 from .retrieval import top_k
 
 MUST = "Must have 1"
@@ -60,14 +61,17 @@ def redistribute(config: DataFrame, active: DataFrame) -> DataFrame:
 
 
 def attribute_weights(assignments: DataFrame, theme_weights: DataFrame, candidates: DataFrame, min_weight: float = 0.001) -> DataFrame:
-    """(c, theme, uri, concept_weight): each theme's weight by the candidates' scores (at least
-    1e-9), in equal parts if there are none; rounded to 6, small ones dropped."""
+    """(c, theme, uri, concept_weight, is_fallback): each theme's weight by the candidates' scores
+    (at least 1e-9), in equal parts if there are none; rounded to 6, small ones dropped.
+    is_fallback: the assignment has a comment, as second replies have."""
+    fallback = F.col("comment").isNotNull() if "comment" in assignments.columns else F.lit(False)
+    assignments = assignments.select("c", "uri", "theme", fallback.alias("is_fallback"))
     df = assignments.join(theme_weights.select("c", "theme", "weight"), ["c", "theme"]).join(candidates.select("c", "uri", "combined_score"), ["c", "uri"])
     by = W.partitionBy("c", "theme")
     score = F.greatest(F.lit(1e-9), F.coalesce("combined_score", F.lit(0.0)))
     total, n = F.sum(score).over(by), F.count(F.lit(1)).over(by)
     w = F.when(total < 1e-9, F.col("weight") / n).otherwise(F.col("weight") * score / total)
-    return df.select("c", "theme", "uri", F.round(w, 6).alias("concept_weight")).filter(F.col("concept_weight") >= min_weight)
+    return df.select("c", "theme", "uri", F.round(w, 6).alias("concept_weight"), "is_fallback").filter(F.col("concept_weight") >= min_weight)
 
 
 def dedupe_attributes(weights: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -189,23 +193,112 @@ def normalise_residual(weights: DataFrame, targets: DataFrame, digits: int = 4)
     return df.withColumn("last", last).withColumn("total", F.sum("w").over(by)).select("c", "theme", "uri", F.round(F.when(F.col("last"), F.col("w") + F.col("target") - F.col("total")).otherwise(F.col("w")), digits + 2).alias("weight"))
 
 
-def assemble(concepts: DataFrame, anchors: DataFrame, top: DataFrame, weights: DataFrame, subs: DataFrame, negated: DataFrame, scores: DataFrame, status: DataFrame) -> DataFrame:
-    """One nested definition a concept; every array is sorted by an explicit key."""
-
-    def nested(df: DataFrame, name: str, key: Column, *cols: str) -> DataFrame:
-        return df.groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct(key.alias("_k"), *cols))), lambda x: F.struct(*(x[k].alias(k) for k in cols))).alias(name))
-
-    themes = weights.groupBy("c", "theme").agg(F.array_sort(F.collect_list(F.struct("uri", "concept_weight"))).alias("attributes"))
+# The fields of a definition file.
+_TYPED = "uri: string, `skos:prefLabel`: string"
+_ATTRIBUTE = f"struct<{_TYPED}, concept_weight: double, type: array<string>, comment: string>"
+_THEME_RUN = "llm_assigned_count: bigint, attributes_after_weighting: bigint, status: string, rule_failed: boolean"
+_STAGE1 = (
+    "status: string, error: string, selection_method: string, sbert_candidate_count_initial: bigint, keyword_candidate_count_initial: bigint, unique_candidates_before_ranking: bigint,"
+    " llm_candidate_count: bigint, duration_seconds: double, expansion: struct<attempted: boolean, successful: boolean, count: bigint, terms: array<string>, keyword_count: bigint,"
+    " error: string, selection_method: string, duration_seconds: double>"
+)
+_NEGATION = "attempted: boolean, success: boolean, uris_found: bigint, error: string, candidates_checked: array<string>, identified_negating_uris: array<string>"
+FIELDS = {
+    "input_concept": "string",
+    "normalized_concept": "string",
+    "applicable_lodging_types": "string",
+    "affinity_score_total_allocated": "double",
+    "requires_geo_check": "boolean",
+    "failed_fallback_themes": "map<string, string>",
+    "travel_category": "struct<uri: string, label: string, types: array<string>, definitions: array<string>, sbert_score: double, keyword_score: double, combined_score: double,"
+    " combined_score_unbiased: double, biased: boolean, effective_alpha: double, bias_reason: string>",
+    "top_defining_attributes": f"array<{_ATTRIBUTE}>",
+    "themes": f"array<struct<theme_name: string, theme_type: string, rule_applied: string, normalized_theme_weight: double, subScore: string, llm_summary: string, attributes: array<{_ATTRIBUTE}>>>",
+    "key_associated_concepts_unthemed": f"array<struct<{_TYPED}, combined_score: double, type: array<string>>>",
+    "additional_relevant_subscores": "array<struct<subscore_name: string, weight: double>>",
+    "must_not_have": f"array<struct<{_TYPED}, scope: string>>",
+    "processing_metadata": "struct<status: string, version: string, timestamp: string, total_duration_seconds: double, cache_version: string, llm_provider: string, llm_model: string>",
+    "diagnostics": f"struct<lodging_type_determination: struct<result: string, reason: string>, llm_negation: struct<{_NEGATION}>, stage1: struct<{_STAGE1}>,"
+    f" llm_slotting: struct<status: string, duration_seconds: double>, reprompting_fallback: struct<attempts: bigint, successes: bigint, failures: bigint>, stage2: struct<status: string>,"
+    f" theme_processing: map<string, struct<{_THEME_RUN}>>, final_output: struct<must_not_have_count: bigint, additional_subscores_count: bigint>, error_details: string>",
+}
+#: The schema of a definition, from the assembly through files to triples.
+DEFINITION = ", ".join(f"{k} {v}" for k, v in FIELDS.items())
+
+
+def filled(definitions: DataFrame) -> DataFrame:
+    """The fields of a definition in order; those that the rows lack are null."""
+    have = set(definitions.columns)
+    return definitions.select(*((F.col(k) if k in have else F.lit(None)).cast(v).alias(k) for k, v in FIELDS.items()))
+
+
+def per_theme_cap(attributes: DataFrame, n: int = 10) -> DataFrame:
+    """The first `n` attributes (c, theme, uri, confidence, concept_weight) of each theme by
+    confidence, then weight."""
+    return top_k(attributes, n, [F.desc("confidence"), F.desc("concept_weight"), F.asc("uri")], by=["c", "theme"], rank="rank")
+
+
+def _listed(df: DataFrame, name: str, order: list[Column], item: Column, by: str | list[str] = "c") -> DataFrame:
+    """(by, name): `item` of all rows of a group, sorted by `order`."""
+    keyed = F.array_sort(F.collect_list(F.struct(*(k.alias(f"k{i}") for i, k in enumerate(order)), item.alias("item"))))
+    return df.groupBy(*([by] if isinstance(by, str) else by)).agg(F.transform(keyed, lambda x: x["item"]).alias(name))
+
+
+def assemble(concepts: DataFrame, anchors: DataFrame, candidates: DataFrame, top: DataFrame, config: DataFrame, weights: DataFrame, attributes: DataFrame, loose: DataFrame, subs: DataFrame, negated: DataFrame, lodging: DataFrame, geo: DataFrame, scores: DataFrame, failures: DataFrame, status: DataFrame, run: DataFrame, labels: DataFrame, version: str = "") -> DataFrame:
+    """One row a concept (c, concept) with the fields of `DEFINITION`; every array is sorted by
+    an explicit key, so a second run gives the same rows.
+
+    `run`: theme_status; `labels` (uri, label, types array<string>); missing labels are the URI."""
+    names = labels.select("uri", "label", "types")
+    with_label = lambda df: df.join(names, "uri", "left").withColumn("label", F.coalesce("label", "uri"))
+    empty = F.array().cast("array<string>")
+    types, label = F.coalesce("types", empty).alias("type"), F.col("label").alias("skos:prefLabel")
+    none = F.lit(None).cast("string")
+    score = candidates.select("c", "uri", "sim_score", "kw_score", "combined_score", "combined_score_unbiased", "effective_alpha", "bias_reason")
+    first = with_label(anchors.select("c", F.col("anchor_uri").alias("uri"), "method").join(score, ["c", "uri"], "left"))
+    category = F.struct(
+        "uri", "label", F.coalesce("types", empty).alias("types"), empty.alias("definitions"), F.col("sim_score").alias("sbert_score"), F.col("kw_score").alias("keyword_score"), "combined_score",
+        "combined_score_unbiased", (F.col("combined_score") != F.col("combined_score_unbiased")).alias("biased"), "effective_alpha", "bias_reason",
+    )
+    attribute = lambda comment: F.struct("uri", label, "concept_weight", types, comment.alias("comment"))
+    comment = F.when(F.col("is_fallback"), "Fallback Assignment")
+    inside = _listed(with_label(attributes), "attributes", [-F.col("concept_weight"), F.col("uri")], attribute(comment), ["c", "theme"])
+    themes = config.select("c", "theme", "rule", "subscore").join(weights.select("c", "theme", "weight"), ["c", "theme"], "left").join(inside, ["c", "theme"], "left")
+    theme = F.struct(F.col("theme").alias("theme_name"), none.alias("theme_type"), F.col("rule").alias("rule_applied"), F.round("weight", 6).alias("normalized_theme_weight"), F.col("subscore").alias("subScore"), none.alias("llm_summary"), F.coalesce("attributes", F.array()).alias("attributes"))
+    runs = _listed(run, "runs", [F.col("theme")], F.struct(F.col("theme").alias("key"), F.struct(F.col("n_assigned").alias("llm_assigned_count"), F.col("n_weighted").alias("attributes_after_weighting"), "status", "rule_failed").alias("value")))
     parts = [
-        anchors.select("c", F.struct(F.col("anchor_uri").alias("uri"), "method").alias("travel_category")),
-        nested(top, "top_defining_attributes", F.col("rank"), "uri", "concept_weight", "forced"),
-        nested(themes, "themes", F.col("theme"), "theme", "attributes"),
-        nested(subs, "additional_relevant_subscores", F.struct(-F.col("weight"), F.col("subscore")), "subscore", "weight"),
-        nested(negated, "must_not_have", F.col("uri"), "uri", "scope"),
-        scores,
+        first.select("c", category.alias("travel_category"), "method"),
+        _listed(with_label(top), "top_defining_attributes", [F.col("rank")], attribute(none)),
+        _listed(themes, "themes", [F.col("theme")], theme),
+        _listed(with_label(loose), "key_associated_concepts_unthemed", [-F.col("combined_score"), F.col("uri")], F.struct("uri", label, "combined_score", types)),
+        _listed(subs, "additional_relevant_subscores", [-F.col("weight"), F.col("subscore")], F.struct(F.col("subscore").alias("subscore_name"), "weight")),
+        _listed(with_label(negated), "must_not_have", [F.col("uri")], F.struct("uri", label, "scope")),
+        _listed(failures, "failed", [F.col("theme")], F.struct(F.col("theme").alias("key"), F.lit("no assignment").alias("value"))),
+        runs,
+        lodging.select("c", F.col("lodging_type").alias("applicable_lodging_types")),
+        geo,
+        scores.select("c", F.col("affinity_score").alias("affinity_score_total_allocated")),
         status,
     ]
-    out = concepts
-    for p in parts:
-        out = out.join(p, "c", "left")
-    return out
+    out = concepts.select("c", F.col("concept").alias("input_concept"), normalize_concept(F.col("concept")).alias("normalized_concept"))
+    for part in parts:
+        out = out.join(part, "c", "left")
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
+    diagnostics = F.struct(
+        F.struct(F.col("applicable_lodging_types").alias("result"), none.alias("reason")).alias("lodging_type_determination"),
+        F.struct((size("must_not_have") > 0).alias("attempted"), (size("must_not_have") > 0).alias("success"), size("must_not_have").alias("uris_found"), none.alias("error"), empty.alias("candidates_checked"),
+                 F.coalesce(F.transform("must_not_have", lambda m: m["uri"]), empty).alias("identified_negating_uris")).alias("llm_negation"),
+        F.from_json(F.to_json(F.struct(F.lit("Completed").alias("status"), F.col("method").alias("selection_method"))), f"struct<{_STAGE1}>").alias("stage1"),
+        F.lit(None).cast("struct<status: string, duration_seconds: double>").alias("llm_slotting"),
+        F.lit(None).cast("struct<attempts: bigint, successes: bigint, failures: bigint>").alias("reprompting_fallback"),
+        F.struct(F.col("status").alias("status")).alias("stage2"),
+        F.map_from_entries("runs").alias("theme_processing"),
+        F.struct(size("must_not_have").alias("must_not_have_count"), size("additional_relevant_subscores").alias("additional_subscores_count")).alias("final_output"),
+        none.alias("error_details"),
+    )
+    meta = F.struct(F.col("status"), F.lit(version).alias("version"), none.alias("timestamp"), F.lit(None).cast("double").alias("total_duration_seconds"), none.alias("cache_version"), none.alias("llm_provider"), none.alias("llm_model"))
+    out = out.withColumn("failed_fallback_themes", F.map_from_entries(F.coalesce("failed", F.array().cast("array<struct<key:string,value:string>>"))))
+    for k, v in FIELDS.items():
+        if v.startswith("array"):
+            out = out.withColumn(k, F.coalesce(F.col(k).cast(v), F.array().cast(v)))
+    return filled(out.withColumn("processing_metadata", meta).withColumn("diagnostics", diagnostics))
