@@ -124,15 +124,18 @@ class SplitShards(Shards):
 
     def find(self, s: int, keys: np.ndarray) -> np.ndarray:
         lows, heads = self[s], _mapped(self.uri, f"{self.name}heads-{s}")
-        high, low = keys >> np.uint64(32), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        first = np.flatnonzero(np.concatenate(([True], high[1:] != high[:-1]))) if len(keys) else np.zeros(0, np.int64)
-        run = _find(heads[:, 0], high[first])
+        run = _find(np.ascontiguousarray(heads[:, 0]), keys >> np.uint64(32))
+        some = np.flatnonzero(run >= 0)
+        low, ends = (keys[some] & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.append(heads[:, 1], np.uint64(len(lows))).astype(np.int64)
+        # a binary search of all keys at once, each inside its run
+        lo, end = ends[run[some]], ends[run[some] + 1]
+        hi = end
+        while (lo < hi).any():
+            mid = (lo + hi) >> 1
+            less = (lows[np.minimum(mid, len(lows) - 1)] < low) & (lo < hi)
+            lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
         out = np.full(len(keys), -1, np.int64)
-        for a, b, r in zip(first.tolist(), [*first[1:].tolist(), len(keys)], run.tolist(), strict=True):
-            if r >= 0:
-                begin, end = int(heads[r, 1]), int(heads[r + 1, 1]) if r + 1 < len(heads) else len(lows)
-                at = _find(lows[begin:end], low[a:b])
-                out[a:b] = np.where(at >= 0, begin + at, -1)
+        out[some] = np.where((lo < end) & (lows[np.minimum(lo, len(lows) - 1)] == low), lo, -1)
         return out
 
 
