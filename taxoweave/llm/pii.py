@@ -27,6 +27,9 @@ added ones keep their names, as every helper column gets a free name.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +55,8 @@ MARKS = [*(f"[{k.upper()}]" for k in PROTECTED), *(f"[{k.upper()} TERM]" for k i
 SPAN = "array<struct<start:int,end:int,kind:int>>"
 #: Terms up to which a set goes into the plan as literals; beyond, tables are joined.
 LITERAL_TERMS = 10_000
+#: Terms up to which a text is searched for them before it is cut into words.
+FEW_TERMS = 16
 LETTERS = "[^\\p{L}]+"
 #: Spans that are summed up one after the other; more are summed in chunks.
 CHUNK = 256
@@ -137,7 +142,7 @@ def secret_spans(docs: DataFrame, text: str, spans: str, into: str) -> DataFrame
     """Adds `into`: secrets that overlap none of the spans of column `spans`."""
     found, = fresh(docs, into + "_found")
     body = quoted(text)
-    m, gaps = _matches(body, SECRET, F.coalesce(body.rlike("[A-Za-z0-9_-]{24}"), F.lit(False)))
+    m, gaps = _matches(body, SECRET, F.coalesce(body.rlike("[0-9][A-Za-z_-]|[A-Za-z_-][0-9]") & body.rlike("[A-Za-z0-9_-]{24}"), F.lit(False)))
     df = step(docs, docs.columns, found, F.struct(m.alias("m"), gaps.alias("gaps")))
     at = _positions(quoted(found)["m"], quoted(found)["gaps"], F.lit(len(KINDS)))
     return step(df, docs.columns, into, F.when(F.size(quoted(found)["m"]) > 0, _free(at, quoted(spans))).otherwise(F.array().cast(SPAN)))
@@ -163,12 +168,15 @@ TERMS = "array<struct<term:string,kind:int>>"
 
 def _words_in(docs: DataFrame, text: str, terms: DataFrame, into: str) -> DataFrame:
     """Adds `into`: the distinct words of the text that `terms` (term, kind) has, sorted."""
-    words = F.array_distinct(F.split(F.lower(F.coalesce(quoted(text), F.lit(""))), LETTERS))
+    body = F.lower(F.coalesce(quoted(text), F.lit("")))
+    words = F.array_distinct(F.split(body, LETTERS))
     taken = terms.select("term", "kind").limit(LITERAL_TERMS + 1).collect()
     if not taken:
         return docs.withColumn(into, F.array().cast(TERMS))
     if len(taken) <= LITERAL_TERMS:  # words are letters only, so they need no escapes
         (w,) = fresh(docs, into + "_words")
+        if len(taken) <= FEW_TERMS:  # most texts have none of a few terms and need not be cut into words
+            words = F.when(reduce(or_, (F.contains(body, F.lit(r.term)) for r in taken)), words).otherwise(F.array().cast("array<string>"))
         df = step(docs, docs.columns, w, words)
         of = {k: ", ".join(repr(r.term) for r in sorted(taken) if r.kind == k) for k in sorted({r.kind for r in taken})}
         kind = " ".join(f"WHEN x IN ({v}) THEN {k}" for k, v in of.items())
@@ -190,15 +198,17 @@ def _entities(text: Column, s: Column) -> Column:
     return F.filter(F.array(of(0, value), F.when(group.isNotNull(), of(1, group)), of(2, F.lit(""))), lambda x: x.isNotNull())
 
 
-def disclosing_terms(docs: DataFrame, spans: str, text: str = "text", context: int = 5, support: int = 3, disclosure: float = 0.9) -> DataFrame:
-    """(term, kind): terms that disclose an entity, and the kind of span they are."""
+def disclosing_terms(docs: DataFrame, spans: str, text: str = "text", context: int = 5, support: int = 3, disclosure: float = 0.9, corpus: DataFrame | None = None) -> DataFrame:
+    """(term, kind): terms that disclose an entity, and the kind of span they are.  `corpus`: the
+    same documents as they were before the spans, so that counts need not find spans again."""
+    corpus = docs.select(quoted(text)) if corpus is None else corpus.select(quoted(text))
     found = docs.select(quoted(text).alias("text"), quoted(spans).alias("s")).filter(F.size("s") > 0)
     told = F.transform("s", lambda s: F.struct(_entities(F.col("text"), s).alias("of"), _beside(F.col("text"), s, context).alias("terms")))
     beside = step(found, ["text"], "x", told)
     pairs = F.flatten(F.flatten(F.transform("x", lambda x: F.transform(x["of"], lambda e: F.transform(x["terms"], lambda t: F.struct(e.alias("of"), t.alias("term")))))))
     entities = F.array_distinct(F.flatten(F.transform("x", lambda x: x["of"])))
     rows = written(beside.select(F.xxhash64("text").alias("k"), entities.alias("entities"), F.array_distinct(pairs).alias("pairs")), "entities")
-    n = docs.count()
+    n = corpus.count()
     # documents are counted, copies included; a document counts once for a pair
     docs_of = rows.select(F.explode("entities").alias("of")).groupBy("of").agg(F.count(F.lit(1)).alias("n_e"))
     by_text = rows.select("k", F.explode("pairs").alias("p")).groupBy("p.of", "p.term", "k").agg(F.count(F.lit(1)).alias("copies"))
@@ -208,9 +218,9 @@ def disclosing_terms(docs: DataFrame, spans: str, text: str = "text", context: i
     least = by_text.filter("of.level = 2").select("term", "k").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_beside"))
     most = F.col("n_te") * F.pow(F.lit(float(n)) / F.col("n_e"), F.lit(1 - disclosure)) * (1 + 1e-9)
     pairs = written(pairs.join(docs_of, "of").join(least, "term").filter(F.col("n_beside") <= most).drop("n_beside"), "pairs")
-    (hit,) = fresh(docs, "hit")
+    (hit,) = fresh(corpus, "hit")
     asked = pairs.select("term", F.lit(0).alias("kind")).distinct()
-    counts = _words_in(docs, text, asked, hit).select(F.explode(quoted(hit)["term"]).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    counts = _words_in(corpus, text, asked, hit).select(F.explode(quoted(hit)["term"]).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     n_te, n_t, n_e = F.least("n_te", "n_t", "n_e").cast("double"), F.col("n_t"), F.col("n_e")
     pmi, ic = F.log(n * n_te / (n_t * n_e)), F.log(F.lit(float(n)) / n_e)
     told = pairs.join(counts, "term").filter((ic > 0) & (pmi >= disclosure * ic - 1e-9))
@@ -225,7 +235,7 @@ def find(docs: DataFrame, text: str = "text", into: str = "spans", context: int
     extra, have, found, out = fresh(docs, into + "_secrets", into + "_terms", into + "_found", into + "_all")
     based = secret_spans(base_spans(docs, text, into), text, into, extra)
     both = F.concat(quoted(into), quoted(extra))
-    terms = written(disclosing_terms(based.select(quoted(text), both.alias(into)), into, text, context, support, disclosure), "terms")
+    terms = written(disclosing_terms(based.select(quoted(text), both.alias(into)), into, text, context, support, disclosure, docs), "terms")
     df = _words_in(based, text, terms, have)
     body = quoted(text)
     pattern = F.concat(F.lit("(?iu)(?<!\\p{L})(?:"), F.array_join(F.transform(quoted(have), lambda t: t["term"]), "|"), F.lit(")(?!\\p{L})"))
