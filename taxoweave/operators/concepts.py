@@ -70,15 +70,14 @@ def taxonomy_load_report(triples: DataFrame) -> DataFrame:
 
 def triple_stats(triples: DataFrame) -> DataFrame:
     """One row: triples, distinct subjects, predicates, URI objects and literal objects, namespaces."""
-    uri = F.when(F.col("o_kind") == "uri", F.col("o"))
-    return triples.agg(
-        F.count(F.lit(1)).alias("triples"),
-        F.count_distinct("s").alias("subjects"),
-        F.count_distinct("p").alias("predicates"),
-        F.count_distinct(uri).alias("uri_objects"),
-        F.count_distinct(F.when(F.col("o_kind") == "literal", F.col("o"))).alias("literal_objects"),
-        F.count_distinct(namespace(F.col("s"))).alias("namespaces"),
-    )
+    # one distinct count after the other: together they would copy every triple five times
+    counted = {"subjects": F.col("s"), "predicates": F.col("p"), "namespaces": namespace(F.col("s"))}
+    counted |= {f"{k}_objects": F.when(F.col("o_kind") == k, F.col("o")) for k in ("uri", "literal")}
+    out = triples.agg(F.count(F.lit(1)).alias("triples"))
+    for name in ("subjects", "predicates", "uri_objects", "literal_objects", "namespaces"):
+        one = triples.select(counted[name].alias("x")).filter("x IS NOT NULL").distinct().agg(F.count(F.lit(1)).alias(name))
+        out = out.join(F.broadcast(one))  # one row each
+    return out
 
 
 def labelled(concepts: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def partial_label_match(queries: DataFrame, labels: DataFrame, edges: DataFrame)
 def manual_mapping(matches: DataFrame, manual: DataFrame, confidence: int = 95) -> DataFrame:
     """Matches (c, uri, confidence) where a manual row (c, uri) wins."""
     m = manual.select("c", F.col("uri").alias("m_uri"))
-    return matches.join(F.broadcast(m), "c", "full_outer").select("c", F.coalesce("m_uri", "uri").alias("uri"), F.when(F.col("m_uri").isNotNull(), confidence).otherwise(F.col("confidence")).alias("confidence"))
+    return matches.join(m, "c", "full_outer").select("c", F.coalesce("m_uri", "uri").alias("uri"), F.when(F.col("m_uri").isNotNull(), confidence).otherwise(F.col("confidence")).alias("confidence"))
 
 
 def fallback_match(queries: DataFrame, fallbacks: DataFrame, labels: DataFrame) -> DataFrame:
@@ -139,8 +139,11 @@ def mapping_weights(rows: DataFrame) -> DataFrame:
 
 
 def theme_rollup(themes: DataFrame, attributes: DataFrame) -> DataFrame:
-    """(theme, names, minimum_count, effect): the distinct attributes (theme, name) of each theme;
-    mandatory themes stay when empty."""
-    a = attributes.groupBy("theme").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"))
+    """(theme, name, n_names, minimum_count, effect): the distinct attributes (theme, name) of each
+    theme, one a row, and their number; mandatory themes stay when empty, with a null name."""
+    names = attributes.select("theme", "name").distinct()
+    counts = names.groupBy("theme").agg(F.count(F.lit(1)).alias("n_names"))
     must = F.col("rule") == "Must have 1"
-    return themes.join(a, "theme", "left").filter(F.col("names").isNotNull() | must).select("theme", F.coalesce("names", F.lit("")).alias("names"), F.lit(1).alias("minimum_count"), F.when(must, "pass").otherwise("boost").alias("effect"))
+    kept = themes.join(counts, "theme", "left").filter(F.col("n_names").isNotNull() | must)
+    kept = kept.select("theme", F.coalesce("n_names", F.lit(0)).alias("n_names"), F.lit(1).alias("minimum_count"), F.when(must, "pass").otherwise("boost").alias("effect"))
+    return names.join(kept, "theme", "right").select("theme", "name", "n_names", "minimum_count", "effect")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..functions.text import clamp01, ns_priority
+from ..functions.text import clamp01, normalize_label, ns_priority
 
 
 def top_k(df: DataFrame, k: int, order: list[Column], by: str | list[str] = "c", rank: str | None = None) -> DataFrame:
@@ -58,6 +58,19 @@ def keyword_search(queries: DataFrame, index: DataFrame) -> DataFrame:
     return index.join(q, "keyword").groupBy("c", "uri").agg(F.count_distinct("keyword").alias("hits"))
 
 
+def keyword_hits(queries: DataFrame, texts: DataFrame, threshold: int = 1) -> DataFrame:
+    """(c, uri, hits, score): in how many texts (uri, text) of a concept a keyword (c, terms) stands as
+    a word, in the raw text or in the normalised one, summed over keywords; those with fewer
+    than `threshold` go.  score: 0.1 and up to 0.2 by the share of keywords."""
+    terms = F.filter(F.array_distinct("terms"), lambda w: F.length(w) > 1)
+    q = queries.select("c", F.size(terms).alias("n"), F.explode(terms).alias("word"))
+    words = lambda x: F.regexp_extract_all(F.lower(x), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    both = F.array_union(words(F.col("text")), words(normalize_label(F.col("text"))))
+    tokens = texts.select("uri", F.explode(both).alias("word"))  # a word once a text
+    hits = tokens.join(q, "word").groupBy("c", "uri", "n").agg(F.count(F.lit(1)).alias("hits")).filter(F.col("hits") >= threshold)
+    return hits.select("c", "uri", "hits", (0.1 + 0.2 * F.least(F.lit(1.0), F.col("hits") / F.col("n"))).alias("score"))
+
+
 def needs_expansion(queries: DataFrame, hits: DataFrame, overrides: DataFrame, min_hits: int = 5) -> DataFrame:
     """Queries with fewer keyword hits than `min_hits`, unless expansion is skipped."""
     n = hits.groupBy("c").agg(F.count(F.lit(1)).alias("n_hits"))

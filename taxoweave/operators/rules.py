@@ -55,6 +55,23 @@ def key_values(lines: DataFrame, keys: list[str]) -> DataFrame:
     return out.filter(F.col("k").isin(*[x.lower() for x in keys])).drop("k")
 
 
+# How rule sentences begin and end.
+SPANS = [
+    r"(?im)Properties must have[^\n]*",
+    r"(?im)\*\*[^\n]*?\*\*(?:\s*(?:OR|AND)\s*\*\*[^\n]*?\*\*)*",
+    r"(?im)Minimum requirement is[^\n]*",
+    r"(?im)(?:Must have|Required:)[^\n]*",
+    r"(?im)(?:Property has|Properties have)\s+[^\n]*?(?=\s*(?:AND|OR|<br>|\n)|$)",
+]
+SPAN_WORDS = r"must have|of the following|minimum requirement|property has|properties have"
+
+
+def rule_spans(texts: DataFrame) -> DataFrame:
+    """(doc_id, span): the distinct rule sentences of texts (doc_id, text) that say what is required."""
+    found = F.array_distinct(F.concat(*(F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in SPANS)))
+    return texts.select("doc_id", F.explode(found).alias("span")).filter(F.lower("span").rlike(SPAN_WORDS))
+
+
 RULE_WORDS = r"(?i)must have|of the following|minimum requirement|property has"
 
 
@@ -133,6 +150,3 @@ def theme_rules_merge(summary: DataFrame, rules: DataFrame) -> tuple[DataFrame,
     """(merged, unmatched rule documents): the summary's themes with their rule text by UUID."""
     merged = summary.join(rules.select("uuid", "rule"), "uuid", "left").select("uuid", "name", F.coalesce("rule", F.lit("No rule document")).alias("rule"))
     return merged, rules.join(summary.select("uuid"), "uuid", "left_anti")
-
-
-__all__ = ["clean_section", "split_blocks", "line_sections", "markdown_tables", "key_values", "rule_groups", "attribute_groups", "exception_lines", "theme_summary", "excluded_countries", "evaluate_rules", "uuid_to_uri", "coverage", "theme_rules_merge"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,10 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from .components import components
 from .retrieval import top_k
 
-#: Vectors of a side up to which it is sent to every executor (of 64 floats: 51 MB).
-BROADCAST_VECTORS = 200_000
+#: Bytes of a side's vectors (doubles) up to which it is sent to every executor.
+BROADCAST_BYTES = 64 << 20
+#: Rows of a side that are multiplied at once, and vectors that meet in a task otherwise.
+TILE, BLOCK = 1024, 4096
 
 
 def vectors_checked(vectors: DataFrame, v: str = "v") -> tuple[DataFrame, DataFrame]:
@@ -39,58 +41,86 @@ def _matrix(values: list) -> np.ndarray:
 
 
 def _pairs(left: np.ndarray, right: np.ndarray, low: float | None, high: float | None, k: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places and cosines of the pairs within the bounds; at most `k` of each left row."""
-    if not len(left) or not len(right):
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    s = left @ right.T
-    ok = np.ones(s.shape, bool)
-    if low is not None:
-        ok &= s >= low
-    if high is not None:
-        ok &= s < high
-    if k is not None and k < s.shape[1]:
-        cut = np.partition(np.where(ok, s, -np.inf), -k, axis=1)[:, -k]  # ties at the cut stay
-        ok &= s >= cut[:, None]
-    i, j = np.nonzero(ok)
-    return i, j, s[i, j]
-
-
-def similarity_search(queries: DataFrame, vectors: DataFrame, min_score: float | None = 0.30, k: int | None = None, below: float | None = None, clip: bool = False, broadcast_rows: int = BROADCAST_VECTORS, c: str = "c", uri: str = "uri") -> DataFrame:
+    """Places and cosines of the pairs within the bounds; at most `k` of each left row, and those
+    that tie with the last.  The product is made in tiles of `TILE` left rows."""
+    out = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+    for at in range(0, len(left) if len(right) else 0, TILE):
+        s = left[at : at + TILE] @ right.T
+        ok = np.ones(s.shape, bool)
+        if low is not None:
+            ok &= s >= low
+        if high is not None:
+            ok &= s < high
+        if k is not None and k < s.shape[1]:
+            cut = np.partition(np.where(ok, s, -np.inf), -k, axis=1)[:, -k]
+            ok &= s >= cut[:, None] - 1e-12
+        i, j = np.nonzero(ok)
+        out.append((at + i, j, s[i, j]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _sent(df: DataFrame, key: str, limit: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """(keys, matrix) of a side whose vectors have at most `limit` bytes; None of a larger one."""
+    first = df.first()
+    if first is None:
+        return np.zeros(0, object), np.zeros((0, 0))
+    if df.count() * 8 * max(1, len(first.v)) > limit:
+        return None
+    table = df.toArrow()
+    return np.array(table.column(0).to_pylist()), _matrix(table.column(1).to_pylist())
+
+
+def similarity_search(queries: DataFrame, vectors: DataFrame, min_score: float | None = 0.30, k: int | None = None, below: float | None = None, clip: bool = False, broadcast_bytes: int = BROADCAST_BYTES, c: str = "c", uri: str = "uri") -> DataFrame:
     """(c, uri, sim_score) of queries (c, v) against vectors (uri, v): cosine at least
     `min_score` and under `below`, the `k` best of each query.
 
-    The queries go to every executor as one matrix while they are at most `broadcast_rows`;
-    more queries meet the vectors in pairs of blocks.  Bounds and a first top-k are applied in
-    the worker, so low pairs never leave it."""
+    The queries, or else the vectors, go to every executor as one matrix if they have at most
+    `broadcast_bytes`; where both sides have more, blocks of both meet in pairs.  Bounds and a
+    first top-k are applied in the worker, so low pairs never leave it."""
     kinds = {f.name: f.dataType.simpleString() for f in [*queries.schema, *vectors.schema]}
     schema = f"{c} {kinds[c]}, {uri} {kinds[uri]}, sim_score double"
-    rows = queries.select(c, "v").filter("v IS NOT NULL").limit(broadcast_rows + 1).collect()
-    if len(rows) <= broadcast_rows:
-        sent = queries.sparkSession.sparkContext.broadcast((np.array([r[0] for r in rows]), _matrix([r.v for r in rows])))
+    q, t = queries.select(c, "v").filter("v IS NOT NULL"), vectors.select(uri, "v").filter("v IS NOT NULL")
+    context = queries.sparkSession.sparkContext
+    if (few := _sent(q, c, broadcast_bytes)) is not None:
+        sent = context.broadcast(few)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            ids, q = sent.value
+            ids, m = sent.value
             for batch in batches:
-                i, j, s = _pairs(q, _matrix(list(batch.v)), min_score, below, k)
+                i, j, s = _pairs(m, _matrix(list(batch.v)), min_score, below, k)
                 yield pd.DataFrame({c: ids[i] if len(ids) else ids, uri: batch[uri].to_numpy()[j], "sim_score": s})
 
-        found = vectors.select(uri, "v").filter("v IS NOT NULL").mapInPandas(run, schema)
+        found = t.mapInPandas(run, schema)
+    elif (few := _sent(t, uri, broadcast_bytes)) is not None:
+        sent = context.broadcast(few)
+
+        def turned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ids, m = sent.value
+            for batch in batches:
+                i, j, s = _pairs(_matrix(list(batch.v)), m, min_score, below, k)
+                yield pd.DataFrame({c: batch[c].to_numpy()[i], uri: ids[j] if len(ids) else ids, "sim_score": s})
+
+        found = q.mapInPandas(turned, schema)
     else:
-        n_q, n_t = (max(1, -(-df.count() // 4096)) for df in (queries, vectors))
-        deal = lambda df, key, n: df.select(key, "v").filter("v IS NOT NULL").withColumn("b", F.pmod(F.xxhash64(key), F.lit(n)))
-        left = deal(queries, c, n_q).withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(n_t - 1)))).withColumnRenamed("b", "q")
-        right = deal(vectors, uri, n_t).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1)))).withColumnRenamed("b", "t")
+        n_q, n_t = (max(1, -(-df.count() // BLOCK)) for df in (q, t))
+        deal = lambda df, key, n, name, other, m: df.select(key, "v", F.pmod(F.xxhash64(key), F.lit(n)).alias(name), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))).alias(other))
 
         def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
             i, j, s = _pairs(_matrix(list(a.v)), _matrix(list(b.v)), min_score, below, k)
             return pd.DataFrame({c: a[c].to_numpy()[i], uri: b[uri].to_numpy()[j], "sim_score": s})
 
-        found = left.withColumn("t", F.col("t").cast("long")).groupBy("q", "t").cogroup(right.withColumn("q", F.col("q").cast("long")).groupBy("q", "t")).applyInPandas(meet, schema)
+        found = deal(q, c, n_q, "q", "t", n_t).groupBy("q", "t").cogroup(deal(t, uri, n_t, "t", "q", n_q).groupBy("q", "t")).applyInPandas(meet, schema)
     if clip:
         found = found.withColumn("sim_score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "sim_score")))
     return found if k is None else top_k(found, k, [F.desc("sim_score"), F.asc(uri)], by=c)
 
 
+def pair_similarity(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(c, uri, sim_score): cosine of given pairs (c, uri) only; pairs without both vectors go."""
+    q, t = queries.select("c", F.col("v").alias("_q")), vectors.select("uri", F.col("v").alias("_t"))
+    return pairs.select("c", "uri").distinct().join(q, "c").join(t, "uri").select("c", "uri", cosine(F.col("_q"), F.col("_t")).alias("sim_score"))
+
+
 def primary_vector(labels: DataFrame, order: list[str]) -> DataFrame:
     """(uri, v): the vector of the first property by `order` of rows (uri, prop, v)."""
     place = F.array_position(F.array(*map(F.lit, order)), F.col("prop"))
@@ -130,19 +160,25 @@ def penalised_match(scored: DataFrame, exclusions: DataFrame, antonyms: DataFram
     return j.select("c", "uri", F.when(F.col("exact"), 1.01).when(low, F.greatest(s - 0.5, 0.2 * s)).otherwise(s).alias("score"))
 
 
-def opposite_candidates(similar: DataFrame, labels: DataFrame, negative_words: DataFrame, min_keyword: float = 0.06, k: int = 15) -> DataFrame:
-    """(c, uri, ranking_score, distance, keyword_score, matched) of far concepts (c, uri,
-    sim_score): half distance, half share of the negative words (c, word) in the label."""
+def opposite_candidates(queries: DataFrame, vectors: DataFrame, labels: DataFrame, negative_words: DataFrame, below: float = 0.4, min_keyword: float = 0.06, k: int = 15) -> DataFrame:
+    """(c, uri, ranking_score, distance, keyword_score, matched) of concepts (uri, v) that are
+    less similar than `below` to the query (c, v): half distance, half share of the negative
+    words (c, word) in the label.
+
+    Queries with negative words ask for concepts that have some of them, by a join on words; the
+    others ask for the `k` farthest, which are the nearest to the opposite vector.  So no pair is
+    made that can't be in the result (`min_keyword` over 0)."""
     words = negative_words.groupBy("c").agg(F.count_distinct("word").alias("n"))
+    asked = negative_words.select("c", F.lower("word").alias("word")).distinct()
     tokens = labels.select("uri", F.explode(F.array_distinct(F.split(F.lower("label"), " "))).alias("word"))
-    hits = similar.select("c", "uri").join(tokens, "uri").join(F.broadcast(negative_words.select("c", F.lower("word").alias("word")).distinct()), ["c", "word"]).groupBy("c", "uri").agg(F.count(F.lit(1)).alias("h"), F.array_join(F.array_sort(F.collect_set("word")), ",").alias("matched"))
-    j = similar.join(F.broadcast(words), "c", "left").join(hits, ["c", "uri"], "left")
-    kw = F.when(F.col("n").isNull(), F.lit(None).cast("double")).otherwise(F.coalesce("h", F.lit(0)) / F.col("n"))
-    j = j.withColumn("keyword_score", kw).withColumn("distance", 1 - F.col("sim_score")).filter(F.col("keyword_score").isNull() | (F.col("keyword_score") >= min_keyword))
-    rank = F.when(F.col("keyword_score").isNull(), F.col("distance")).otherwise(0.5 * F.col("distance") + 0.5 * F.col("keyword_score"))
-    r = lambda x: F.round(x, 4)
-    out = j.select("c", "uri", r(rank).alias("ranking_score"), r(F.col("distance")).alias("distance"), r(F.coalesce("keyword_score", F.lit(0.0))).alias("keyword_score"), F.coalesce("matched", F.lit("")).alias("matched"))
-    return top_k(out, k, [F.desc("ranking_score"), F.asc("uri")])
+    hits = tokens.join(asked, "word").groupBy("c", "uri").agg(F.count(F.lit(1)).alias("h"), F.array_join(F.array_sort(F.collect_set("word")), ",").alias("matched"))
+    near = pair_similarity(hits, queries, vectors).join(hits, ["c", "uri"]).join(words, "c").select("c", "uri", "sim_score", (F.col("h") / F.col("n")).alias("kw"), "matched")
+    silent = queries.join(words, "c", "left_anti").select("c", F.transform("v", lambda x: -x).alias("v"))
+    far = similarity_search(silent, vectors, min_score=None, k=2 * k).select("c", "uri", (-F.col("sim_score")).alias("sim_score"), F.lit(None).cast("double").alias("kw"), F.lit("").alias("matched"))
+    j = near.filter(F.col("kw") >= min_keyword).unionByName(far).filter(F.col("sim_score") < below).withColumn("distance", 1 - F.col("sim_score"))
+    rank = F.when(F.col("kw").isNull(), F.col("distance")).otherwise(0.5 * F.col("distance") + 0.5 * F.col("kw"))
+    best = top_k(j.withColumn("ranking_score", rank), k, [F.desc(F.round("ranking_score", 9)), F.asc("uri")])
+    return best.select("c", "uri", F.round("ranking_score", 4).alias("ranking_score"), F.round("distance", 4).alias("distance"), F.round(F.coalesce("kw", F.lit(0.0)), 4).alias("keyword_score"), "matched")
 
 
 def kg_slice(similar: DataFrame, by_archetype: DataFrame, threshold: float = 0.35, k: int = 150) -> DataFrame:
@@ -168,12 +204,17 @@ def contradictions(evidence: DataFrame, exclusions: DataFrame, near_opposite: Da
     return j.filter(~bad).select(*evidence.columns), gone
 
 
-def slot_scores(similar: DataFrame, labels: DataFrame, hints: DataFrame) -> DataFrame:
-    """(uri, theme, sim, hits): best similarity to a theme's vectors (theme as c), and how many
-    of the theme's hint words the label has."""
+def slot_scores(themes: DataFrame, vectors: DataFrame, labels: DataFrame, hints: DataFrame, min_score: float) -> DataFrame:
+    """(uri, theme, sim, hits): best similarity of a concept (uri, v) to a theme's vectors (c, v),
+    and how many of the theme's hint words (theme, hint) its label has.
+
+    Pairs are those at `min_score`, and those with a hint, whose similarity is computed alone; a
+    theme without a vector has similarity 0."""
     tokens = labels.select("uri", F.explode(F.array_distinct(F.split(F.lower("label"), r"\W+"))).alias("hint"))
-    hits = tokens.join(F.broadcast(hints.select("theme", F.lower("hint").alias("hint")).distinct()), "hint").groupBy("uri", "theme").agg(F.count(F.lit(1)).alias("hits"))
-    best = similar.groupBy("uri", F.col("c").alias("theme")).agg(F.max("sim_score").alias("sim"))
+    hits = tokens.join(hints.select("theme", F.lower("hint").alias("hint")).distinct(), "hint").groupBy("uri", "theme").agg(F.count(F.lit(1)).alias("hits"))
+    hinted = pair_similarity(hits.select(F.col("theme").alias("c"), "uri"), themes, vectors)
+    near = similarity_search(themes, vectors, min_score=min_score).unionByName(hinted)
+    best = near.groupBy("uri", F.col("c").alias("theme")).agg(F.max("sim_score").alias("sim"))
     return best.join(hits, ["uri", "theme"], "full_outer").select("uri", "theme", F.coalesce("sim", F.lit(0.0)).alias("sim"), F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
@@ -207,24 +248,66 @@ def centroids(vectors: DataFrame, group: str) -> DataFrame:
     return m.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v"))
 
 
-def similarity_clusters(vectors: DataFrame, eps: float, max_rounds: int = 50) -> DataFrame:
+def _forest(i: np.ndarray, j: np.ndarray, n: int, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs of n left and m right rows, some that connect the same rows."""
+    if len(i) <= n + m:
+        return i, j
+    near = np.zeros((n, m), bool)
+    near[i, j] = True
+    out, open_left, open_right = [], near.any(axis=1), np.ones(m, bool)
+    for start in range(n):
+        if not open_left[start]:
+            continue
+        open_left[start], front = False, [start]
+        while front:
+            x = front.pop()
+            for y in np.flatnonzero(near[x] & open_right).tolist():
+                open_right[y] = False
+                out.append((x, y))
+                for z in np.flatnonzero(near[:, y] & open_left).tolist():
+                    open_left[z] = False
+                    out.append((z, y))
+                    front.append(z)
+    return np.array([p[0] for p in out], int), np.array([p[1] for p in out], int)
+
+
+def similarity_clusters(vectors: DataFrame, eps: float, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(uri, cluster) by density with one point a cluster at least, which is the connected
     components of distance <= eps between unit vectors; the cluster is its smallest URI.
 
-    Labels go along the pairs until none changes; every round is a written checkpoint."""
-    low = 1 - eps * eps / 2
-    q = vectors.select(F.col("uri").alias("c"), "v")
-    pairs = similarity_search(q, vectors.select("uri", "v"), min_score=low - 1e-9)
-    spark = vectors.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    pairs = pairs.select("c", "uri").checkpoint()
-    labels = vectors.select("uri", F.col("uri").alias("cluster")).checkpoint()
-    for _ in range(max_rounds):
-        spread = pairs.join(labels, "uri").groupBy("c").agg(F.min("cluster").alias("near"))
-        new = labels.join(spread.withColumnRenamed("c", "uri"), "uri", "left").select("uri", F.least("cluster", F.coalesce("near", "cluster")).alias("cluster"), (F.coalesce("near", "cluster") < F.col("cluster")).alias("moved")).checkpoint()
-        labels = new.select("uri", "cluster")
-        if new.filter("moved").isEmpty():
-            return labels
-    raise RuntimeError("clusters did not settle")
+    Where vectors meet in a task, only pairs that connect the rows there leave it."""
+    low = 1 - eps * eps / 2 - 1e-9
+    kind = vectors.schema["uri"].dataType.simpleString()
+    t = vectors.select("uri", "v").filter("v IS NOT NULL")
+
+    def joined(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        a, b = _matrix(list(left.v)), _matrix(list(right.v))
+        for x in range(0, len(a), TILE):
+            for y in range(0, len(b), TILE):
+                i, j, _ = _pairs(a[x : x + TILE], b[y : y + TILE], low, None, None)
+                i, j = _forest(i, j, len(a[x : x + TILE]), len(b[y : y + TILE]))
+                yield pd.DataFrame({"a": left.uri.to_numpy()[x + i], "b": right.uri.to_numpy()[y + j]})
+
+    schema = f"a {kind}, b {kind}"
+    if (few := _sent(t, "uri", broadcast_bytes)) is not None:
+        sent = vectors.sparkSession.sparkContext.broadcast(few)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ids, m = sent.value
+            whole = pd.DataFrame({"uri": ids, "v": list(m)})
+            for batch in batches:
+                yield from joined(batch, whole)
+
+        edges = t.mapInPandas(run, schema)
+    else:
+        n = max(1, -(-t.count() // BLOCK))
+        mine = F.pmod(F.xxhash64("uri"), F.lit(n))
+        pair = lambda k: F.struct(F.least(mine, k).alias("i"), F.greatest(mine, k).alias("j"))
+        met = t.select("uri", "v", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")), pair)).alias("p"))
+
+        def meet(rows: pd.DataFrame) -> pd.DataFrame:
+            return pd.concat([*joined(rows, rows)], ignore_index=True)
+
+        edges = met.groupBy("p").applyInPandas(meet, schema)
+    found = components(edges).withColumnRenamed("node", "uri")
+    return vectors.select("uri").join(found, "uri", "left").select("uri", F.coalesce("component", "uri").alias("cluster"))

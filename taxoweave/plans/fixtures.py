@@ -46,8 +46,8 @@ VIEWS = {
     "fx_docs": f"SELECT 'urn:fx:' || source || ':#' || CAST(doc_id AS STRING) AS uri, doc_id, source, regexp_extract(text, '^({_W} {_W} {_W} {_W})', 1) AS pref_label, text AS definition FROM documents",
     "fx_queries": f"SELECT item_id AS c, regexp_extract(text, '^{_W} {_W} ({_W}( {_W}){{5}})', 1) AS concept FROM benchmark",
     "fx_names": "SELECT p_partkey AS id, CASE p_partkey % 8 WHEN 0 THEN p_name || '/' || p_brand WHEN 1 THEN replace(p_name, ' ', '-') WHEN 2 THEN replace(p_name, ' ', '_') || '''s' WHEN 3 THEN p_type || ': ' || p_name || '!' WHEN 4 THEN '(' || p_name || ')' WHEN 5 THEN 'fullService' || p_type || ' ~*+' WHEN 6 THEN '  ' || upper(p_name) || 's ' ELSE NULL END AS name FROM part",
-    "fx_vec_q": "SELECT vec_id AS c, embedding AS v FROM embeddings WHERE vec_id < 40",
-    "fx_vec_t": "SELECT d.uri, e.vec_id, e.embedding AS v, e.label FROM embeddings e JOIN fx_docs d ON d.doc_id = e.vec_id WHERE e.vec_id >= 40",
+    "fx_vec_q": "SELECT CAST(floor(vec_id / 100) AS BIGINT) AS c, embedding AS v FROM embeddings WHERE vec_id % 100 = 0",
+    "fx_vec_t": "SELECT d.uri, e.vec_id, e.embedding AS v, e.label FROM embeddings e JOIN fx_docs d ON d.doc_id = e.vec_id WHERE e.vec_id % 100 <> 0",
     "fx_overrides": "SELECT item_id AS c, item_id = 3 AS skip_expansion, CASE WHEN item_id = 1 THEN 0.3 END AS effective_alpha, CASE WHEN item_id = 2 THEN 'the and' END AS manual_query, item_id = 0 AS boost_enabled, 0.8 AS boost_threshold, CASE WHEN item_id % 2 = 0 THEN 'rental' END AS property_type FROM benchmark WHERE item_id < 4",
     "fx_seeds": "SELECT DISTINCT b.item_id AS c, d.uri FROM benchmark b JOIN fx_docs d ON d.doc_id = 50 + b.item_id WHERE b.item_id < 3",
     "fx_filters": "SELECT DISTINCT b.item_id AS c, d.uri FROM benchmark b JOIN fx_docs d ON d.doc_id % 10 = b.item_id WHERE b.item_id < 3",

@@ -9,6 +9,7 @@ from ..operators import retrieval as R
 from ..operators import vectors as V
 from . import q_concepts as K
 from .fixtures import Registry, view
+from .stages import staged
 
 Q = Registry()
 
@@ -32,13 +33,14 @@ def d06(spark, d):
 @Q.add("d06_similarity_blocks", f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims WHERE sim_score >= 0.1")
 def d06b(spark, d):
     """The same by pairs of blocks, as where both sides are too large to send."""
-    return similar(spark, d, min_score=0.1, broadcast_rows=0).withColumn("sim_score", F.round("sim_score", 4))
+    return similar(spark, d, min_score=0.1, broadcast_bytes=0).withColumn("sim_score", F.round("sim_score", 4))
 
 
-@Q.add("b15_cosine", f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims WHERE c < 5")
+@Q.add("b15_cosine", f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims")
 def b15(spark, d):
-    q = view(spark, d, "fx_vec_q").filter("c < 5").withColumnRenamed("v", "qv")
-    return F.broadcast(q).join(view(spark, d, "fx_vec_t")).select("c", "uri", F.round(V.cosine(F.col("qv"), F.col("v")), 4).alias("sim_score"))
+    """The cosine of every query with every vector: all pairs are the feature here."""
+    q = view(spark, d, "fx_vec_q").withColumnRenamed("v", "qv")
+    return q.crossJoin(view(spark, d, "fx_vec_t")).select("c", "uri", F.round(V.cosine(F.col("qv"), F.col("v")), 4).alias("sim_score"))
 
 
 @Q.add("c01_min_similarity", f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims WHERE sim_score >= 0.30")
@@ -53,17 +55,20 @@ def f11(spark, d):
 
 # the pool: keyword scores made comparable (share of the concept's best), and similarities
 KW = K.bm25_sql("lucene") + ", kws AS (SELECT c, uri, kw_score / max(kw_score) OVER (PARTITION BY c) AS kw_score FROM kw)"
-POOL = "WITH " + KW + f", {SIMS}, near AS (SELECT c, uri, sim_score FROM sims WHERE sim_score >= 0.05), pool AS (SELECT c, uri, coalesce(kw_score, 0) AS kw_score, coalesce(n.sim_score, s.sim_score, 0) AS sim_score, e.uri IS NOT NULL AS is_seed FROM kws FULL JOIN near n USING (c, uri) FULL JOIN (SELECT c, uri, true AS seed FROM fx_seeds) x USING (c, uri) LEFT JOIN fx_seeds e USING (c, uri) LEFT JOIN sims s USING (c, uri) WHERE (c, uri) NOT IN (SELECT (c, uri) FROM fx_filters))"
-POOL = POOL.replace("coalesce(n.sim_score, s.sim_score, 0)", "coalesce(n.sim_score, CASE WHEN e.uri IS NOT NULL THEN s.sim_score END, 0)")
+POOL = "WITH " + KW + f""", {SIMS}, near AS (SELECT c, uri, sim_score FROM sims WHERE sim_score >= 0.05), seeds AS (SELECT e.c, e.uri, s.sim_score FROM fx_seeds e LEFT JOIN sims s ON s.c = e.c AND s.uri = e.uri),
+every AS (SELECT c, uri, kw_score, NULL AS sim_score, false AS is_seed FROM kws UNION ALL SELECT c, uri, NULL, sim_score, false FROM near UNION ALL SELECT c, uri, NULL, sim_score, true FROM seeds),
+pool AS MATERIALIZED (SELECT c, uri, coalesce(max(kw_score), 0) AS kw_score, coalesce(max(sim_score), 0) AS sim_score, bool_or(is_seed) AS is_seed FROM every ANTI JOIN fx_filters USING (c, uri) GROUP BY c, uri)"""
 
 
 def pool(spark, d):
-    kw = R.bm25_search(K.doc_queries(spark, d), K.doc_postings(spark, d))
+    """The pool of candidates, written once: what follows reads it several times."""
     from pyspark.sql.window import Window as W
 
+    kw = R.bm25_search(K.doc_queries(spark, d), K.doc_postings(spark, d))
     kw = kw.withColumn("kw_score", F.col("kw_score") / F.max("kw_score").over(W.partitionBy("c")))
-    every = similar(spark, d, min_score=None)
-    return R.candidate_union(kw, every.filter("sim_score >= 0.05"), view(spark, d, "fx_seeds"), view(spark, d, "fx_filters"), every)
+    q, t, seeds = view(spark, d, "fx_vec_q"), view(spark, d, "fx_vec_t"), view(spark, d, "fx_seeds")
+    near = V.similarity_search(q, t, min_score=0.05)
+    return staged(R.candidate_union(kw, near, seeds, view(spark, d, "fx_filters"), V.pair_similarity(seeds, q, t)), "pool")
 
 
 @Q.add("d05_candidate_union", POOL + " SELECT c, uri, round(kw_score, 4) AS kw_score, round(sim_score, 4) AS sim_score, is_seed FROM pool")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS
@@ -10,6 +12,7 @@ from ..operators import retrieval as R
 from ..operators import vectors as V
 from ..sources import files as S
 from .fixtures import Registry, view
+from .stages import new_folder
 
 Q = Registry()
 
@@ -45,7 +48,7 @@ def a04(spark, d):
     return C.concept_edges(view(spark, d, "fx_triples"))
 
 
-_CSV = "SELECT 'urn:fx:part:#' || CAST(p_partkey AS STRING) AS uri, CASE WHEN p_size <> 7 THEN p_brand END AS name, CASE WHEN p_size <> 9 THEN p_type END AS definition, p_partkey AS line FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT 'urn:fx:part:#' || CAST(p_partkey * 2 AS STRING), 'again ' || p_brand, p_name, 1000000 + p_partkey FROM part WHERE p_partkey < 10"
+_CSV = "SELECT 'urn:fx:part:#' || CAST(p_partkey AS STRING) AS uri, CASE WHEN p_size <> 7 THEN p_brand END AS name, CASE WHEN p_size <> 9 THEN p_type END AS definition, p_partkey AS line FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT 'urn:fx:part:#' || CAST(p_partkey * 2 AS STRING), 'again ' || p_brand, p_name, 2000000000 + p_partkey FROM part"
 FIRST_CSV = f"e AS (SELECT uri, coalesce(name, '') AS name, coalesce(definition, '') AS definition FROM ({_CSV}) QUALIFY row_number() OVER (PARTITION BY uri ORDER BY line) = 1)"
 
 
@@ -140,9 +143,9 @@ def j01(spark, d):
 INDEX = CONCEPTS + ", k AS (SELECT DISTINCT uri, unnest(list_filter(string_split(lower(regexp_replace(replace(replace(array_to_string(pref, ' '), '-', ' '), '_', ' '), '[^\\p{L}\\p{N}_\\s]', '', 'g')), ' '), lambda x: length(x) > 2)) AS keyword FROM g)"
 
 
-@Q.add("d04_keyword_index_search", INDEX + " SELECT c, k.uri, count(DISTINCT keyword) AS hits FROM (SELECT DISTINCT p_partkey AS c, unnest(string_split(p_name, ' ')) AS keyword FROM part WHERE p_partkey < 40) q JOIN k USING (keyword) GROUP BY c, k.uri")
+@Q.add("d04_keyword_index_search", INDEX + " SELECT c, k.uri, count(DISTINCT keyword) AS hits FROM (SELECT DISTINCT p_name AS c, unnest(string_split(p_name, ' ')) AS keyword FROM part) q JOIN k USING (keyword) GROUP BY c, k.uri")
 def d04(spark, d):
-    q = view(spark, d, "part").filter("p_partkey < 40").select(F.col("p_partkey").alias("c"), F.split("p_name", " ").alias("terms"))
+    q = view(spark, d, "part").select(F.col("p_name").alias("c"), F.split("p_name", " ").alias("terms")).distinct()
     return R.keyword_search(q, C.keyword_index(concepts(spark, d)))
 
 
@@ -195,3 +198,77 @@ def c09(spark, d):
     index = doc_postings(spark, d).filter("tf >= 3").select(F.col("term").alias("keyword"), "uri")
     q = doc_queries(spark, d)
     return R.needs_expansion(q, R.keyword_search(q, index), view(spark, d, "fx_overrides"))
+
+
+# files: the tables written in the form that a reader takes, and read back
+@Q.add("a01_read_triples", "SELECT s, p, o, o_kind FROM fx_triples UNION ALL SELECT 'ERROR', 'PARSING', '<urn:broken> no', 'issue'")
+def a01(spark, d):
+    """A folder of N-Triples, with a line that is none, and of RDF/XML."""
+    base, t = new_folder(spark, "triples"), view(spark, d, "fx_triples")
+    lines = S.ntriple_lines(t.filter("source_file <> 'nation'")).unionByName(spark.range(1).select(F.lit("<urn:broken> no").alias("value")))
+    lines.write.text(f"{base}/lines.nt")
+    element = F.when(F.col("o_kind") == "uri", F.concat(F.lit('<skos:broader rdf:resource="'), "o", F.lit('"/>'))).otherwise(F.concat(F.lit("<skos:prefLabel>"), "o", F.lit("</skos:prefLabel>")))
+    nodes = t.filter("source_file = 'nation'").groupBy("s").agg(F.array_join(F.array_sort(F.collect_list(element)), "").alias("x"))
+    xml = nodes.select(F.concat(F.lit('<rdf:Description rdf:about="'), "s", F.lit('">'), "x", F.lit("</rdf:Description>")).alias("x")).agg(F.concat(F.lit('<?xml version="1.0"?><rdf:RDF xmlns:rdf="r" xmlns:skos="s">'), F.array_join(F.collect_list("x"), "\n"), F.lit("</rdf:RDF>")).alias("value"))
+    xml.write.text(f"{base}/deep/nodes.xml")
+    good, bad = S.read_triples(spark, base)
+    return good.select("s", "p", "o", "o_kind").unionByName(bad.select(F.col("severity").alias("s"), F.col("category").alias("p"), F.col("message").alias("o"), F.lit("issue").alias("o_kind")))
+
+
+@Q.add("a06_read_concepts", f"WITH l AS ({_LINES}) SELECT trim(line) AS concept, count(*) AS n FROM l WHERE trim(line) <> '' GROUP BY trim(line)")
+def a06(spark, d):
+    path = new_folder(spark, "concepts")
+    lines(spark, d).select("line").write.text(path)
+    return S.read_concepts(spark, path).groupBy("concept").agg(F.count(F.lit(1)).alias("n"))
+
+
+_NORM = r"array_to_string(list_filter(string_split_regex(lower(regexp_replace(translate(regexp_replace({0}, '([a-z0-9])([A-Z])', '\1 \2', 'g'), '-_', '  '), '[^\p{{L}}\p{{N}}_\s]', '', 'g')), '\s+'), lambda x: x <> ''), ' ')"
+
+
+@Q.add("a09_read_associations", f"SELECT {_NORM.format('p_type')} AS concept, {_NORM.format('p_name')} AS label FROM (SELECT DISTINCT p_type, 'Fine-' || p_name AS p_name FROM part) UNION ALL SELECT DISTINCT {_NORM.format('p_brand')}, {_NORM.format('p_brand')} FROM part")
+def a09(spark, d):
+    """A JSON object of lists and of plain strings."""
+    p, path = view(spark, d, "part"), new_folder(spark, "associations")
+    lists = p.groupBy("p_type").agg(F.collect_set(F.concat(F.lit("Fine-"), "p_name")).alias("v")).select(F.concat(F.to_json(F.array("p_type")), F.lit("\n"), F.to_json("v")).alias("x"))
+    plain = p.select("p_brand").distinct().select(F.concat(F.to_json(F.array("p_brand")), F.lit("\n"), F.to_json(F.array("p_brand"))).alias("x"), F.lit(True).alias("one"))
+    text = lambda x: F.concat(F.expr("substr(split_part(x, '\n', 1), 2, length(split_part(x, '\n', 1)) - 2)"), F.lit(": "), x)
+    second = F.split_part("x", F.lit("\n"), F.lit(2))
+    entries = lists.select(text(second).alias("e")).unionByName(plain.select(text(F.expr("substr(split_part(x, '\n', 2), 2, length(split_part(x, '\n', 2)) - 2)")).alias("e")))
+    entries.agg(F.concat(F.lit("{"), F.array_join(F.collect_list("e"), ", "), F.lit("}")).alias("value")).write.text(path)
+    return S.read_associations(spark, path)
+
+
+@Q.add("a10_theme_dims", "SELECT 'theme' AS kind, p_type AS key, CAST(n AS VARCHAR) AS value FROM (SELECT p_type, CAST(count(*) AS DOUBLE) AS n FROM part GROUP BY p_type) UNION ALL SELECT 'subscore', p_type, 'size' FROM part GROUP BY p_type UNION ALL SELECT DISTINCT 'hint', p_type, p_brand FROM part UNION ALL SELECT 'override', lower(p_type) || ' case', 'true' FROM part GROUP BY p_type UNION ALL SELECT DISTINCT 'namespace', p_type, 'urn:' || p_brand FROM part")
+def a10(spark, d):
+    """A configuration file made of the part types (six, whatever the table's size), read on the driver."""
+    rows = view(spark, d, "part").groupBy("p_type").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("p_brand")).alias("brands"))
+    config = rows.select(F.to_json(F.struct("p_type", "n", "brands")).alias("value")).collect()
+    types = [json.loads(r.value) for r in config]
+    text = json.dumps({
+        "base_themes": {t["p_type"]: {"weight": t["n"], "rule_applied": "Optional", "relevant_subscores": {"size": 0.5}, "hints": {"keywords": t["brands"]}} for t in types},
+        "concept_overrides": {t["p_type"].capitalize() + "Case": {"skip_expansion": True} for t in types},
+        "NAMESPACE_BIASING": {"enabled": True} | {t["p_type"]: ["urn:" + b for b in t["brands"]] for t in types},
+    })
+    path = new_folder(spark, "config")
+    spark.createDataFrame([(text,)], "value string").write.text(path)
+    dims = S.theme_dims(spark, S.read_config(spark, path))
+    of = lambda kind, t, k, v: dims[t].select(F.lit(kind).alias("kind"), F.col(k).alias("key"), F.col(v).cast("string").alias("value"))
+    return of("theme", "themes", "theme", "base_weight").unionByName(of("subscore", "theme_subscores", "theme", "subscore")).unionByName(of("hint", "theme_hints", "theme", "hint")).unionByName(of("override", "overrides", "concept", "skip_expansion")).unionByName(of("namespace", "namespaces", "grp", "prefix"))
+
+
+@Q.add("a14_write_mapping_csv", "SELECT p_type AS taxonomy_file, p_name AS concept, 'urn:fx:part:#' || CAST(p_partkey AS STRING) AS uri, p_brand AS theme, CAST(p_size AS VARCHAR) AS confidence, 15 AS n_columns FROM part")
+def a14(spark, d):
+    path = new_folder(spark, "mapping")
+    rows = view(spark, d, "part").selectExpr("p_type AS taxonomy_file", "p_name AS concept", "'urn:fx:part:#' || CAST(p_partkey AS STRING) AS uri", "p_brand AS theme", "p_size AS confidence")
+    S.write_mapping_csv(rows, path)
+    back = spark.read.option("header", True).csv(path)
+    return back.select("taxonomy_file", F.col("`Travel Concept`").alias("concept"), F.col("`Matched Taxonomy URN`").alias("uri"), F.col("`Matched Sub-Theme`").alias("theme"), F.col("`Confidence (%)`").alias("confidence"), F.lit(len(back.columns) - 1).alias("n_columns"))
+
+
+_HIT_WORDS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]+')"
+_NORM_LABEL = r"regexp_replace(lower(pref_label), '[^\p{L}\p{N}_\s]', '', 'g')"
+
+
+@Q.add("b14_keyword_hits", f"WITH q AS (SELECT c, list_filter(list_distinct({_TOKENS.format('concept')}), lambda x: length(x) > 1) AS terms FROM fx_queries), w AS (SELECT c, len(terms) AS n, unnest(terms) AS word FROM q), t AS (SELECT uri, unnest(list_distinct(list_concat({_HIT_WORDS.format('pref_label')}, {_HIT_WORDS.format(_NORM_LABEL)}))) AS word FROM fx_docs) SELECT c, uri, count(*) AS hits, round(0.1 + 0.2 * least(1, count(*) / n), 6) AS score FROM t JOIN w USING (word) GROUP BY c, uri, n")
+def b14(spark, d):
+    return R.keyword_hits(doc_queries(spark, d), view(spark, d, "fx_docs").select("uri", F.col("pref_label").alias("text"))).withColumn("score", F.round("score", 6))

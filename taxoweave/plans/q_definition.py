@@ -110,9 +110,19 @@ def e07(spark, d):
     return Stage(spark, d).weights().select("c", "theme", F.round("norm_weight", 6).alias("norm_weight"), F.round("weight", 6).alias("weight"))
 
 
-@Q.add("e08_attribute_weights", ATTRS + " SELECT c, theme, uri, concept_weight FROM aw2")
+@Q.add("e08_attribute_weights", ATTRS + " SELECT c, theme, uri, concept_weight, rank % 9 = 0 AS is_fallback FROM aw2 JOIN ranked USING (c, uri)")
 def e08(spark, d):
-    return Stage(spark, d).attributes()
+    """Some assignments come from second replies, which leave a comment."""
+    s = Stage(spark, d)
+    second = s.ranked.filter("rank % 9 = 0").select("c", "uri", F.lit("Fallback Assignment").alias("comment"))
+    return D.attribute_weights(s.kept.join(second, ["c", "uri"], "left"), s.weights(), s.ranked)
+
+
+@Q.add("f06_per_theme_cap", ATTRS + " SELECT c, theme, uri, row_number() OVER (PARTITION BY c, theme ORDER BY round(combined, 6) DESC, concept_weight DESC, uri) AS rank FROM (SELECT aw2.*, combined FROM aw2 JOIN ranked USING (c, uri)) QUALIFY rank <= 3")
+def f06(spark, d):
+    s = Stage(spark, d)
+    scored = s.attributes().join(s.ranked.select("c", "uri", F.round("combined_score", 6).alias("confidence")), ["c", "uri"])
+    return D.per_theme_cap(scored, 3).select("c", "theme", "uri", F.col("rank").cast("long").alias("rank"))
 
 
 @Q.add("e12_dedupe_attributes", ATTRS + " SELECT c, uri, concept_weight, round(score, 4) AS score FROM un")
@@ -183,10 +193,10 @@ def e18(spark, d):
     return D.theme_status(s.config(), s.kept, s.attributes())
 
 
-@Q.add("e19_definition_status", TOP.replace(WEIGHTS, _STATUS) + " SELECT c, CASE WHEN c % 10 = 9 THEN 'Failed' WHEN c IN (SELECT c FROM fail) THEN 'Success with Failed Rules' WHEN c NOT IN (SELECT c FROM tops) THEN 'Warning - No Final Attributes' ELSE 'Success' END AS status FROM anchors")
+@Q.add("e19_definition_status", TOP.replace(WEIGHTS, _STATUS) + " SELECT c, CASE WHEN c % 5 = 4 THEN 'Failed' WHEN c IN (SELECT c FROM fail) THEN 'Success with Failed Rules' WHEN c NOT IN (SELECT c FROM tops) THEN 'Warning - No Final Attributes' ELSE 'Success' END AS status FROM anchors")
 def e19(spark, d):
     s = Stage(spark, d)
-    return D.definition_status(s.concepts, D.mandatory_failures(s.config(), s.kept), s.top(), s.concepts.filter("c % 10 = 9"))
+    return D.definition_status(s.concepts, D.mandatory_failures(s.config(), s.kept), s.top(), s.concepts.filter("c % 5 = 4"))
 
 
 @Q.add("e29_normalise_joint", SUBS + ", i AS (SELECT c, 'theme' AS kind, theme AS name, w AS weight FROM tw UNION ALL SELECT c, 'subscore', subscore, weight FROM subs) SELECT c, kind, name, round(weight / sum(weight) OVER (PARTITION BY c), 5) AS weight FROM i")
@@ -204,10 +214,40 @@ def e30(spark, d):
     return out.groupBy("c", "theme").agg(F.round(F.sum("weight"), 4).alias("total"), F.count(F.lit(1)).alias("n"))
 
 
-@Q.add("e20_assemble_definition")
+_PLACE = "row_number() OVER (PARTITION BY c ORDER BY {0}) - 1"
+_WHOLE = TOP.replace(WEIGHTS, SUBS) + f""", af AS (SELECT c, 0.6 * least(1, (SELECT sum(weight) FROM subs s WHERE s.c = t.c)) + 0.4 * least(1, sum(concept_weight)) AS w FROM tops t GROUP BY c),
+pc AS (SELECT c, quantile_cont(combined, 0.75) AS cut FROM ranked GROUP BY c), lo AS (SELECT c, uri, round(combined, 6) AS w FROM ranked JOIN pc USING (c) WHERE combined >= cut AND combined > 0 AND (c, uri) NOT IN (SELECT (c, uri) FROM asg) AND (c, uri) NOT IN (SELECT (c, uri) FROM neg) AND (c, uri) NOT IN (SELECT (c, uri) FROM forced)),
+parts AS (SELECT 'definition' AS kind, c, 0 AS i, NULL AS uri, NULL AS label, w FROM af UNION ALL SELECT 'top', c, rank - 1, uri, NULL, concept_weight FROM tops UNION ALL SELECT 'theme', c, {_PLACE.format('theme')}, NULL, theme, w FROM tw
+UNION ALL SELECT 'in theme ' || theme, c, row_number() OVER (PARTITION BY c, theme ORDER BY concept_weight DESC, uri) - 1, uri, NULL, concept_weight FROM aw2 UNION ALL SELECT 'unthemed', c, {_PLACE.format('w DESC, uri')}, uri, NULL, w FROM lo
+UNION ALL SELECT 'subscore', c, {_PLACE.format('weight DESC, subscore')}, NULL, subscore, weight FROM subs)"""
+
+
+@Q.add("e20_assemble_definition", _WHOLE + " SELECT kind, q.concept, i, p.uri, coalesce(p.label, d.pref_label) AS label, round(w, 4) AS w FROM parts p JOIN fx_queries q ON q.c = p.c LEFT JOIN fx_docs d ON d.uri = p.uri")
 def e20(spark, d):
-    """The nested definition of every concept (arrays have no common SQL form, so rows only)."""
+    """The nested definitions, compared array by array."""
+    from .q_validation import parts_of
+
+    return parts_of(assembled(spark, d)).withColumn("w", F.round("w", 4))
+
+
+@Q.add("e20_definition_heads", TOP.replace(WEIGHTS, SUBS.replace(", nw AS", ", fail AS (SELECT c, theme FROM cfg WHERE rule = 'Must have 1' AND (c, theme) NOT IN (SELECT (c, theme) FROM act)), nw AS")) + " SELECT q.concept, anchor_uri, round(combined, 4) AS combined_score, (SELECT count(*) FROM neg WHERE neg.c = a.c) AS n_not, CASE WHEN a.c IN (SELECT c FROM fail) THEN 'Success with Failed Rules' ELSE 'Success' END AS status, (SELECT count(*) FROM fail WHERE fail.c = a.c) AS n_failed FROM anchors a JOIN fx_queries q ON q.c = a.c JOIN ranked r ON r.c = a.c AND r.uri = a.anchor_uri")
+def e20h(spark, d):
+    out = assembled(spark, d)
+    return out.select(F.col("input_concept").alias("concept"), F.col("travel_category.uri").alias("anchor_uri"), F.round("travel_category.combined_score", 4).alias("combined_score"), F.size("must_not_have").cast("long").alias("n_not"), F.col("processing_metadata.status").alias("status"), F.size("failed_fallback_themes").cast("long").alias("n_failed"))
+
+
+def assembled(spark, d):
+    """The definitions that the generator ends with, in the schema that files and triples take."""
     s = Stage(spark, d)
-    top = s.top()
-    failures = D.mandatory_failures(s.config(), s.kept)
-    return D.assemble(s.concepts, s.anchors(), top, s.attributes(), s.subs(), s.negated.withColumn("scope", F.lit("Found")), D.affinity_score(s.concepts, s.subs(), top), D.definition_status(s.concepts, failures, top))
+    top, subs, config = staged(s.top(), "top"), staged(s.subs(), "subs"), s.config()
+    failures = D.mandatory_failures(config, s.kept)
+    labels = view(spark, d, "fx_docs").select("uri", F.col("pref_label").alias("label"), F.array("source").alias("types"))
+    concepts = view(spark, d, "fx_queries").select("c", "concept").join(s.concepts, "c")
+    geo = D.requires_geo_check(s.concepts, subs, s.attributes(), s.anchors(), ["sub 2"], "theme 3", LOCATION_NS)
+    hints = view(spark, d, "fx_docs").selectExpr("uri", "CASE WHEN doc_id % 3 = 0 THEN 'CL' WHEN doc_id % 3 = 1 THEN 'VR' ELSE 'Both' END AS kind")
+    loose = D.unthemed(s.ranked, s.assigned, s.negated, top.filter("forced"))
+    run = D.theme_status(config, s.kept, s.attributes())
+    return D.assemble(
+        concepts, s.anchors(), s.ranked, top, config, s.weights(), s.attributes(), loose, subs, s.negated.withColumn("scope", F.lit("Found")), D.lodging_type(s.anchors(), top, hints), geo,
+        D.affinity_score(s.concepts, subs, top), failures, D.definition_status(s.concepts, failures, top), run, labels, version="1",
+    )

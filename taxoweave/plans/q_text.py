@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators.rules import rule_spans
 from .fixtures import Registry, view
 
 Q = Registry()
@@ -88,12 +89,12 @@ def b19(spark, d):
     return spark.sql(_URIS).select("id", F.explode(X.uri_problems(F.col("uri"))).alias("i")).select("id", "i.severity", "i.message")
 
 
-_LITERALS = "SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 0 THEN 'boolean' WHEN 1 THEN 'integer' WHEN 2 THEN 'double' WHEN 3 THEN 'decimal' ELSE 'string' END AS kind, CASE WHEN o_orderkey % 7 = 0 THEN o_orderpriority WHEN o_orderkey % 5 = 0 THEN CASE WHEN o_orderstatus = 'F' THEN 'no' ELSE ' TRUE' END WHEN o_orderkey % 5 = 1 THEN CAST(o_custkey AS STRING) ELSE CAST(o_custkey AS STRING) || '.25' END AS value FROM orders"
+_LITERALS = "SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 0 THEN 'boolean' WHEN 1 THEN 'integer' WHEN 2 THEN 'double' WHEN 3 THEN 'decimal' ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'string' ELSE 'dateTime' END END AS kind, CASE WHEN o_orderkey % 7 = 0 THEN o_orderpriority WHEN o_orderkey % 10 = 9 THEN substr(CAST(o_orderdate AS STRING), 1, 10) || 'T00:00:00' WHEN o_orderkey % 5 = 0 THEN CASE WHEN o_orderstatus = 'F' THEN 'no' ELSE ' TRUE' END WHEN o_orderkey % 5 = 1 THEN CAST(o_custkey AS STRING) ELSE CAST(o_custkey AS STRING) || '.25' END AS value FROM orders"
 
 
 @Q.add("b20_typed_literal", f"""WITH v AS ({_LITERALS}), m AS (SELECT id, value, CASE kind WHEN 'boolean' THEN CASE WHEN lower(trim(value)) IN ('true', '1', 'yes') THEN 'true' WHEN lower(trim(value)) IN ('false', '0', 'no') THEN 'false' END
-WHEN 'integer' THEN CAST(TRY_CAST(value AS BIGINT) AS VARCHAR) WHEN 'double' THEN CASE WHEN TRY_CAST(value AS DOUBLE) IS NOT NULL THEN trim(value) END WHEN 'decimal' THEN CASE WHEN TRY_CAST(value AS DECIMAL(38,6)) IS NOT NULL THEN trim(value) END ELSE value END AS t FROM v)
-SELECT id, t AS text, value IS NOT NULL AND t IS NULL AS failed FROM m""")
+WHEN 'integer' THEN CAST(TRY_CAST(value AS BIGINT) AS VARCHAR) WHEN 'double' THEN CASE WHEN TRY_CAST(value AS DOUBLE) IS NOT NULL THEN trim(value) END WHEN 'decimal' THEN CASE WHEN TRY_CAST(value AS DECIMAL(38,6)) IS NOT NULL THEN trim(value) END ELSE value END AS t, kind = 'dateTime' AND TRY_CAST(value AS TIMESTAMP) IS NULL AS no_time FROM v)
+SELECT id, t AS text, value IS NOT NULL AND (t IS NULL OR no_time) AS failed FROM m""")
 def b20(spark, d):
     view(spark, d, "orders").createOrReplaceTempView("orders")
     return spark.sql(_LITERALS).select("id", X.typed_literal(F.col("value"), F.col("kind")).alias("x")).select("id", "x.text", "x.failed")
@@ -124,3 +125,14 @@ array_to_string(list_filter(string_split_regex(regexp_replace(replace(lower(them
 def b23(spark, d):
     view(spark, d, "part").createOrReplaceTempView("part")
     return spark.sql(_RULES).select("id", X.required_count(F.col("rule")).alias("n"), X.required_stars(F.col("rule")).alias("stars"), X.theme_name(F.col("theme")).alias("theme"), X.clean_section(F.col("section")).alias("section"))
+
+
+_SPAN_TEXT = "SELECT p_partkey AS doc_id, CASE p_partkey % 5 WHEN 0 THEN 'Properties must have ' || CAST(p_size AS STRING) || ' of the following' || chr(10) || 'rest of ' || p_name WHEN 1 THEN '**must have ' || p_name || '** OR **property has spa** tail **' || p_brand || '**' WHEN 2 THEN 'A minimum requirement is ' || CAST(p_size AS STRING) || chr(10) || 'more' WHEN 3 THEN 'Required: two of the following ' || p_type ELSE 'The Property has a ' || p_type || ' pool AND 3 stars' || chr(10) || 'Required: ' || p_name || chr(10) || 'properties have ' || p_brand END AS text FROM part"
+_SPANS = [r"(?im)Properties must have[^\n]*", r"(?im)\*\*[^\n]*?\*\*(?:\s*(?:OR|AND)\s*\*\*[^\n]*?\*\*)*", r"(?im)Minimum requirement is[^\n]*", r"(?im)(?:Must have|Required:)[^\n]*"]
+_LAST = r"(?im)((?:Property has|Properties have)\s+[^\n]*?)(?:\s*(?:AND|OR|<br>|\n)|$)"
+
+
+@Q.add("b24_find_rule_spans", f"WITH t AS ({_SPAN_TEXT}), s AS (" + " UNION ".join([*(f"SELECT doc_id, unnest(regexp_extract_all(text, '{x}')) AS span FROM t" for x in _SPANS), f"SELECT doc_id, unnest(regexp_extract_all(text, '{_LAST}', 1)) FROM t"]) + ") SELECT DISTINCT doc_id, span FROM s WHERE regexp_matches(lower(span), 'must have|of the following|minimum requirement|property has|properties have')")
+def b24(spark, d):
+    view(spark, d, "part").createOrReplaceTempView("part")
+    return rule_spans(spark.sql(_SPAN_TEXT))

@@ -33,35 +33,33 @@ def e22(spark, d):
     return V.dynamic_exclusions(A.similar(spark, d, min_score=0.1), t, 0.2, 0.3)
 
 
-_PAIRS = SIMS + ", pr AS (SELECT c, uri, CASE doc_id % 3 WHEN 0 THEN 'prefLabel' WHEN 1 THEN 'altLabel' ELSE 'note' END AS prop, (doc_id % 7) / 7.0 AS kw, sim_score AS sim, doc_id % 5 = 0 AS associated, doc_id % 4 = 0 AS is_synonym, sim_score * 0.9 AS primary_sim FROM sims JOIN lab USING (uri))"
+_PAIRS = SIMS + ", pr AS (SELECT c, uri, CASE doc_id % 3 WHEN 0 THEN 'prefLabel' WHEN 1 THEN 'altLabel' ELSE 'note' END AS prop, (doc_id % 7) / 7.0 AS kw, sim_score AS sim, doc_id % 5 = 0 AS associated, doc_id % 4 = 0 AS is_synonym, sim_score * 0.9 AS primary_sim FROM sims JOIN lab USING (uri) WHERE sim_score >= 0.1)"
 
 
 def pairs(spark, d):
-    j = A.similar(spark, d, min_score=None).join(labels(spark, d), "uri")
+    """The shortlist by similarity, with what the texts say."""
+    j = A.similar(spark, d, min_score=0.1).join(labels(spark, d), "uri")
     return j.selectExpr("c", "uri", "CASE doc_id % 3 WHEN 0 THEN 'prefLabel' WHEN 1 THEN 'altLabel' ELSE 'note' END AS prop", "CAST(doc_id % 7 AS DOUBLE) / 7 AS kw", "sim_score AS sim", "doc_id % 5 = 0 AS associated", "doc_id % 4 = 0 AS is_synonym", "sim_score * 0.9 AS primary_sim")
 
 
 @Q.add("e23_best_text_match", _PAIRS + ", s AS (SELECT c, uri, max(greatest(least(1, greatest(0, (0.5 * kw + 0.5 * sim) * CASE prop WHEN 'prefLabel' THEN 1.0 WHEN 'altLabel' THEN 0.9 ELSE 1.0 END + CASE WHEN associated THEN 0.4 ELSE 0 END + CASE WHEN is_synonym THEN 0.2 ELSE 0 END)), primary_sim)) AS score FROM pr GROUP BY c, uri) SELECT c, uri, round(score, 4) AS score FROM s WHERE score >= 0.3 QUALIFY row_number() OVER (PARTITION BY c ORDER BY round(score, 9) DESC, uri) <= 10")
 def e23(spark, d):
-    m = V.best_text_match(pairs(spark, d), {"prefLabel": 1.0, "altLabel": 0.9}, k=1_000_000)
-    from ..operators.retrieval import top_k
-
-    return top_k(m.drop("rank"), 10, [F.desc(F.round("score", 9)), F.asc("uri")]).withColumn("score", F.round("score", 4))
+    return V.best_text_match(pairs(spark, d), {"prefLabel": 1.0, "altLabel": 0.9}).select("c", "uri", F.round("score", 4).alias("score"))
 
 
-@Q.add("e24_penalised_match", SIMS + ", m AS (SELECT c, uri, sim_score AS score, doc_id % 9 = 0 AS exact, doc_id FROM sims JOIN lab USING (uri)) SELECT c, uri, round(CASE WHEN exact THEN 1.01 WHEN doc_id % 4 = 1 AND c % 5 <> 0 THEN greatest(score - 0.5, 0.2 * score) ELSE score END, 4) + 0.0 AS score FROM m WHERE doc_id % 6 <> 5")
+@Q.add("e24_penalised_match", SIMS + ", m AS (SELECT c, uri, sim_score AS score, doc_id % 9 = 0 AS exact, doc_id FROM sims JOIN lab USING (uri) WHERE sim_score >= 0.1) SELECT c, uri, round(CASE WHEN exact THEN 1.01 WHEN doc_id % 4 = 1 AND c % 5 <> 0 THEN greatest(score - 0.5, 0.2 * score) ELSE score END, 4) + 0.0 AS score FROM m WHERE doc_id % 6 <> 5")
 def e24(spark, d):
-    m = A.similar(spark, d, min_score=None).join(labels(spark, d), "uri").select("c", "uri", F.col("sim_score").alias("score"), (F.col("doc_id") % 9 == 0).alias("exact"), "doc_id")
+    m = A.similar(spark, d, min_score=0.1).join(labels(spark, d), "uri").select("c", "uri", F.col("sim_score").alias("score"), (F.col("doc_id") % 9 == 0).alias("exact"), "doc_id")
     out = V.penalised_match(m.drop("doc_id"), m.filter("doc_id % 6 = 5"), m.filter("doc_id % 4 = 1"), m.filter("c % 5 = 0"))
     return out.withColumn("score", F.round("score", 4) + 0.0)
 
 
-_ARCH = SIMS + f", ar AS (SELECT a.c, b.c AS archetype, {A.COS.replace('q.v', 'a.v').replace('t.v', 'b.v')} AS s FROM fx_vec_q a, fx_vec_q b WHERE a.c >= 10 AND b.c < 10), best AS (SELECT * FROM ar WHERE s >= 0.05 QUALIFY row_number() OVER (PARTITION BY c ORDER BY s DESC, archetype) <= 3)"
+_ARCH = SIMS + f", ar AS (SELECT a.c, b.c AS archetype, {A.COS.replace('q.v', 'a.v').replace('t.v', 'b.v')} AS s FROM fx_vec_q a, fx_vec_q b WHERE a.c % 2 = 1 AND b.c % 2 = 0), best AS (SELECT * FROM ar QUALIFY row_number() OVER (PARTITION BY c ORDER BY s DESC, archetype) <= 3)"
 
 
 def archetypes(spark, d):
     q = view(spark, d, "fx_vec_q")
-    return V.similarity_search(q.filter("c >= 10"), q.filter("c < 10").withColumnRenamed("c", "archetype"), min_score=0.05, k=3, uri="archetype")
+    return V.similarity_search(q.filter("c % 2 = 1"), q.filter("c % 2 = 0").withColumnRenamed("c", "archetype"), min_score=None, k=3, uri="archetype")
 
 
 @Q.add("e25_archetypes", _ARCH + " SELECT c, archetype, round(s, 4) AS sim_score FROM best")
@@ -69,27 +67,29 @@ def e25(spark, d):
     return archetypes(spark, d).withColumn("sim_score", F.round("sim_score", 4))
 
 
-@Q.add("e26_kg_slice", _ARCH + ", al AS (SELECT c, uri, sim_score FROM sims WHERE c >= 10 UNION ALL SELECT b.c, s.uri, 0.5 * sim_score FROM best b JOIN sims s ON s.c = b.archetype), g AS (SELECT c, uri, max(sim_score) AS score FROM al GROUP BY c, uri) SELECT c, uri, round(score, 4) AS score FROM g WHERE score >= 0.15 QUALIFY row_number() OVER (PARTITION BY c ORDER BY score DESC, uri) <= 50")
+@Q.add("e26_kg_slice", _ARCH + ", al AS (SELECT c, uri, sim_score FROM sims WHERE c % 2 = 1 UNION ALL SELECT b.c, s.uri, 0.5 * sim_score FROM best b JOIN sims s ON s.c = b.archetype), g AS (SELECT c, uri, max(sim_score) AS score FROM al GROUP BY c, uri) SELECT c, uri, round(score, 4) AS score FROM g WHERE score >= 0.15 QUALIFY row_number() OVER (PARTITION BY c ORDER BY score DESC, uri) <= 50")
 def e26(spark, d):
-    every = A.similar(spark, d, min_score=None)
+    every = A.similar(spark, d, min_score=0.15)  # nothing lower reaches the threshold
     by = archetypes(spark, d).select("c", "archetype").join(every.withColumnRenamed("c", "archetype"), "archetype").select("c", "uri", "sim_score")
-    return V.kg_slice(every.filter("c >= 10"), by, 0.15, 50).select("c", "uri", F.round("score", 4).alias("score"))
+    return V.kg_slice(every.filter("c % 2 = 1"), by, 0.15, 50).select("c", "uri", F.round("score", 4).alias("score"))
 
 
-@Q.add("e27_essentials_check", _ARCH + ", req AS (SELECT doc_id % 10 AS archetype, uri FROM lab WHERE doc_id < 30), have AS (SELECT DISTINCT c, uri FROM sims WHERE sim_score > 0) SELECT DISTINCT b.c, req.uri FROM best b JOIN req USING (archetype) WHERE (b.c, req.uri) NOT IN (SELECT (c, uri) FROM have)")
+@Q.add("e27_essentials_check", _ARCH + ", req AS (SELECT doc_id % 10 AS archetype, uri FROM lab), have AS (SELECT DISTINCT c, uri FROM sims WHERE sim_score > 0) SELECT DISTINCT b.c, req.uri FROM best b JOIN req USING (archetype) WHERE (b.c, req.uri) NOT IN (SELECT (c, uri) FROM have)")
 def e27(spark, d):
-    req = labels(spark, d).filter("doc_id < 30").select((F.col("doc_id") % 10).alias("archetype"), "uri")
-    return V.essentials_check(archetypes(spark, d), req, A.similar(spark, d, min_score=None).filter("sim_score > 0"))
+    """What a definition has is asked for the required pairs only."""
+    req = labels(spark, d).select((F.col("doc_id") % 10).alias("archetype"), "uri")
+    chosen = archetypes(spark, d)
+    have = V.pair_similarity(chosen.join(req, "archetype"), view(spark, d, "fx_vec_q"), view(spark, d, "fx_vec_t")).filter("sim_score > 0")
+    return V.essentials_check(chosen, req, have)
 
 
 _NEG = "neg AS (SELECT item_id AS c, unnest(string_split(lower(regexp_extract(text, '^([^ ]+ [^ ]+ [^ ]+ [^ ]+)', 1)), ' ')) AS word FROM benchmark WHERE item_id % 2 = 0)"
 
 
-@Q.add("e28_opposite_candidates", SIMS + f", {_NEG}, nn AS (SELECT c, count(DISTINCT word) AS n FROM neg GROUP BY c), tk AS (SELECT uri, unnest(list_distinct(string_split(label, ' '))) AS word FROM lab), h AS (SELECT s.c, s.uri, count(*) AS h, array_to_string(list_sort(list(DISTINCT word)), ',') AS matched FROM sims s JOIN tk USING (uri) JOIN (SELECT DISTINCT * FROM neg) g USING (c, word) GROUP BY s.c, s.uri), o AS (SELECT c, uri, 1 - sim_score AS distance, CASE WHEN n IS NULL THEN NULL ELSE coalesce(h, 0) / n END AS kw, matched FROM sims LEFT JOIN nn USING (c) LEFT JOIN h USING (c, uri) WHERE sim_score < 0.4), r AS (SELECT c, uri, round(CASE WHEN kw IS NULL THEN distance ELSE 0.5 * distance + 0.5 * kw END, 4) AS ranking_score, round(distance, 4) AS distance, round(coalesce(kw, 0), 4) AS keyword_score, coalesce(matched, '') AS matched FROM o WHERE kw IS NULL OR kw >= 0.06) SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY c ORDER BY ranking_score DESC, uri) <= 15")
+@Q.add("e28_opposite_candidates", SIMS + f", {_NEG}, nn AS (SELECT c, count(DISTINCT word) AS n FROM neg GROUP BY c), tk AS (SELECT uri, unnest(list_distinct(string_split(label, ' '))) AS word FROM lab), h AS (SELECT s.c, s.uri, count(*) AS h, array_to_string(list_sort(list(DISTINCT word)), ',') AS matched FROM sims s JOIN tk USING (uri) JOIN (SELECT DISTINCT * FROM neg) g USING (c, word) GROUP BY s.c, s.uri), o AS (SELECT c, uri, 1 - sim_score AS distance, CASE WHEN n IS NULL THEN NULL ELSE coalesce(h, 0) / n END AS kw, matched FROM sims LEFT JOIN nn USING (c) LEFT JOIN h USING (c, uri) WHERE sim_score < 0.4), r AS (SELECT c, uri, CASE WHEN kw IS NULL THEN distance ELSE 0.5 * distance + 0.5 * kw END AS ranking_score, round(distance, 4) AS distance, round(coalesce(kw, 0), 4) AS keyword_score, coalesce(matched, '') AS matched FROM o WHERE kw IS NULL OR kw >= 0.06) SELECT * REPLACE (round(ranking_score, 4) AS ranking_score) FROM r QUALIFY row_number() OVER (PARTITION BY c ORDER BY round(r.ranking_score, 9) DESC, uri) <= 15")
 def e28(spark, d):
     neg = view(spark, d, "benchmark").filter("item_id % 2 = 0").select(F.col("item_id").alias("c"), F.explode(F.split(F.lower(F.regexp_extract("text", "^([^ ]+ [^ ]+ [^ ]+ [^ ]+)", 1)), " ")).alias("word"))
-    far = A.similar(spark, d, min_score=None, below=0.4)
-    return V.opposite_candidates(far, labels(spark, d), neg)
+    return V.opposite_candidates(view(spark, d, "fx_vec_q"), view(spark, d, "fx_vec_t"), labels(spark, d), neg)
 
 
 @Q.add("e35_theme_centroids", "SELECT label, i, round(avg(x), 5) AS x FROM (SELECT label, generate_subscripts(embedding, 1) - 1 AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) GROUP BY label, i")
@@ -98,37 +98,37 @@ def e35(spark, d):
     return m.select("label", F.posexplode("v").alias("i", "x")).select("label", F.col("i").cast("long").alias("i"), F.round("x", 5).alias("x"))
 
 
-_SLOT = SIMS + ", hint AS (SELECT CAST(vec_id AS BIGINT) AS theme, l.word AS hint FROM fx_vec_t JOIN (SELECT doc_id, unnest(string_split(label, ' ')) AS word FROM lab) l ON l.doc_id = vec_id WHERE vec_id < 50), th AS (SELECT uri, c AS theme, max(sim_score) AS sim FROM sims WHERE c < 15 GROUP BY ALL), tk AS (SELECT uri, unnest(list_distinct(string_split_regex(label, '[^a-zA-Z0-9_]+'))) AS hint FROM lab), hh AS (SELECT uri, theme, count(*) AS hits FROM tk JOIN (SELECT DISTINCT theme % 15 AS theme, hint FROM hint) USING (hint) GROUP BY ALL), sl AS (SELECT uri, theme, coalesce(sim, 0) AS sim, coalesce(hits, 0) AS hits FROM th FULL JOIN hh USING (uri, theme))"
+_SLOT = SIMS + ", hint AS (SELECT CAST(vec_id AS BIGINT) AS theme, l.word AS hint FROM fx_vec_t JOIN (SELECT doc_id, unnest(string_split(label, ' ')) AS word FROM lab) l ON l.doc_id = vec_id), th AS (SELECT uri, c AS theme, max(sim_score) AS sim FROM sims GROUP BY ALL), tk AS (SELECT uri, unnest(list_distinct(string_split_regex(label, '[^a-zA-Z0-9_]+'))) AS hint FROM lab), hh AS (SELECT uri, theme, count(*) AS hits FROM tk JOIN (SELECT DISTINCT theme % 15 AS theme, hint FROM hint) USING (hint) GROUP BY ALL), sl AS (SELECT uri, theme, coalesce(sim, 0) AS sim, coalesce(hits, 0) AS hits FROM th FULL JOIN hh USING (uri, theme))"
 
 
-def slots(spark, d):
+def slots(spark, d, min_score):
     words = labels(spark, d).select("doc_id", F.explode(F.split("label", " ")).alias("hint"))
-    hints = view(spark, d, "fx_vec_t").filter("vec_id < 50").join(words, F.col("doc_id") == F.col("vec_id")).select((F.col("vec_id") % 15).alias("theme"), "hint")
-    return V.slot_scores(A.similar(spark, d, min_score=None).filter("c < 15"), labels(spark, d), hints), hints
+    hints = view(spark, d, "fx_vec_t").join(words, F.col("doc_id") == F.col("vec_id")).select((F.col("vec_id") % 15).alias("theme"), "hint")
+    return V.slot_scores(view(spark, d, "fx_vec_q"), view(spark, d, "fx_vec_t"), labels(spark, d), hints, min_score), hints
 
 
 @Q.add("d16_hint_semantic_slotting", _SLOT + " SELECT uri, theme, round(0.4 * CASE WHEN hits > 0 THEN 0.8 ELSE 0 END + 0.6 * sim, 4) AS confidence FROM sl WHERE 0.4 * CASE WHEN hits > 0 THEN 0.8 ELSE 0 END + 0.6 * sim >= 0.31 QUALIFY row_number() OVER (PARTITION BY uri ORDER BY round(0.4 * CASE WHEN hits > 0 THEN 0.8 ELSE 0 END + 0.6 * sim, 9) DESC, theme) = 1")
 def d16(spark, d):
-    return V.slot_by_hints(slots(spark, d)[0], "best").withColumn("confidence", F.round("confidence", 4))
+    return V.slot_by_hints(slots(spark, d, 0.5)[0], "best").withColumn("confidence", F.round("confidence", 4))
 
 
 @Q.add("d17_multi_theme_slotting", _SLOT + ", m AS (SELECT uri, theme, 0.3 * CASE WHEN hits > 0 THEN 0.8 ELSE 0 END + 0.7 * sim AS confidence FROM sl WHERE hits >= 1 OR sim >= 0.2) SELECT uri, theme, round(confidence, 4) AS confidence FROM m QUALIFY row_number() OVER (PARTITION BY theme ORDER BY confidence DESC, uri) <= 5")
 def d17(spark, d):
-    return V.slot_by_hints(slots(spark, d)[0], "multi", 0.2).withColumn("confidence", F.round("confidence", 4))
+    return V.slot_by_hints(slots(spark, d, 0.2)[0], "multi", 0.2).withColumn("confidence", F.round("confidence", 4))
 
 
 @Q.add("d18_strict_theme_select", _SLOT + " SELECT uri, theme, round(sim, 4) AS confidence FROM sl WHERE sim >= 0.1 AND (hits >= 1 OR theme NOT IN (SELECT theme % 15 FROM hint))")
 def d18(spark, d):
-    s, hints = slots(spark, d)
+    s, hints = slots(spark, d, 0.1)
     return V.slot_by_hints(s, "strict", 0.1, themes_with_hints=hints).withColumn("confidence", F.round("confidence", 4))
 
 
-@Q.add("d19_contradiction_filter", SIMS + ", ev AS (SELECT c, uri FROM sims WHERE sim_score >= 0.1), opp AS (SELECT (c + 1) % 40 AS c, uri, 'concept ' || CAST(c AS STRING) AS opposite, sim_score FROM sims WHERE sim_score >= 0.2), ex AS (SELECT c, uri FROM ev JOIN lab USING (uri) WHERE doc_id % 13 = 0), w AS (SELECT c, uri, max(sim_score) AS s, arg_max(opposite, sim_score) AS o FROM opp GROUP BY c, uri) SELECT ev.c, ev.uri, CASE WHEN ex.uri IS NOT NULL THEN 'specific exclusion' WHEN w.uri IS NOT NULL THEN 'opposite of ' || o ELSE 'kept' END AS reason, CASE WHEN ex.uri IS NOT NULL THEN 1 WHEN w.uri IS NOT NULL THEN round(s, 4) ELSE 0 END AS score FROM ev LEFT JOIN ex USING (c, uri) LEFT JOIN w USING (c, uri)".replace("ex.uri IS NOT NULL", "ex.m").replace("SELECT c, uri FROM ev JOIN lab", "SELECT c, uri, true AS m FROM ev JOIN lab").replace("w.uri IS NOT NULL", "w.o IS NOT NULL"))
+@Q.add("d19_contradiction_filter", SIMS + ", ev AS (SELECT c, uri FROM sims WHERE sim_score >= 0.1), opp AS (SELECT (c + 1) % 5 AS c, uri, 'concept ' || CAST(c AS STRING) AS opposite, sim_score FROM sims WHERE sim_score >= 0.2), ex AS (SELECT c, uri FROM ev JOIN lab USING (uri) WHERE doc_id % 13 = 0), w AS (SELECT c, uri, max(sim_score) AS s, arg_max(opposite, sim_score) AS o FROM opp GROUP BY c, uri) SELECT ev.c, ev.uri, CASE WHEN ex.uri IS NOT NULL THEN 'specific exclusion' WHEN w.uri IS NOT NULL THEN 'opposite of ' || o ELSE 'kept' END AS reason, CASE WHEN ex.uri IS NOT NULL THEN 1 WHEN w.uri IS NOT NULL THEN round(s, 4) ELSE 0 END AS score FROM ev LEFT JOIN ex USING (c, uri) LEFT JOIN w USING (c, uri)".replace("ex.uri IS NOT NULL", "ex.m").replace("SELECT c, uri FROM ev JOIN lab", "SELECT c, uri, true AS m FROM ev JOIN lab").replace("w.uri IS NOT NULL", "w.o IS NOT NULL"))
 def d19(spark, d):
     every = A.similar(spark, d, min_score=0.1)
     ev = every.select("c", "uri")
     ex = ev.join(labels(spark, d).filter("doc_id % 13 = 0"), "uri").select("c", "uri")
-    opp = every.filter("sim_score >= 0.2").select(((F.col("c") + 1) % 40).alias("c"), "uri", F.concat(F.lit("concept "), F.col("c").cast("string")).alias("opposite"), "sim_score")
+    opp = every.filter("sim_score >= 0.2").select(((F.col("c") + 1) % 5).alias("c"), "uri", F.concat(F.lit("concept "), F.col("c").cast("string")).alias("opposite"), "sim_score")
     kept, gone = V.contradictions(ev, ex, opp, 0.2)
     return kept.select("c", "uri", F.lit("kept").alias("reason"), F.lit(0.0).alias("score")).unionByName(gone.withColumn("score", F.round("score", 4)))
 
@@ -156,11 +156,11 @@ def k03(spark, d):
 
 # relations over the parts' taxonomy
 _EDGES = "edges AS (SELECT DISTINCT s AS src, o AS dst FROM fx_triples WHERE p = 'http://www.w3.org/2004/02/skos/core#broader')"
-_ANCH = "anch AS (SELECT CAST(p_partkey % 40 AS BIGINT) AS c, 'urn:fx:part:#' || CAST(p_partkey AS STRING) AS uri, p_size / 50.0 AS score FROM part WHERE p_partkey < 200)"
+_ANCH = "anch AS (SELECT CAST(p_partkey % 40 AS BIGINT) AS c, 'urn:fx:part:#' || CAST(p_partkey AS STRING) AS uri, p_size / 50.0 AS score FROM part)"
 
 
 def anchors(spark, d):
-    return view(spark, d, "part").filter("p_partkey < 200").select((F.col("p_partkey") % 40).cast("long").alias("c"), F.concat(F.lit("urn:fx:part:#"), F.col("p_partkey").cast("string")).alias("uri"), (F.col("p_size") / 50.0).alias("score"))
+    return view(spark, d, "part").select((F.col("p_partkey") % 40).cast("long").alias("c"), F.concat(F.lit("urn:fx:part:#"), F.col("p_partkey").cast("string")).alias("uri"), (F.col("p_size") / 50.0).alias("score"))
 
 
 def edges(spark, d):
@@ -184,13 +184,13 @@ def d12(spark, d):
     return L.relationship_boost(a.withColumn("exact", F.col("score") > 0.9).unionByName(more), e).withColumn("score", F.round("score", 6))
 
 
-_NAMES = "names AS (SELECT CAST(p_partkey AS BIGINT) AS uri, p_name AS norm FROM part WHERE p_partkey % 7 = 0), qs AS (SELECT CAST(p_partkey AS BIGINT) AS c, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN replace(p_name, ' ', '') ELSE split_part(p_name, ' ', 1) END AS norm, p_name AS spaced, p_type AS domain FROM part WHERE p_partkey < 150)"
+_NAMES = "names AS (SELECT CAST(p_partkey AS BIGINT) AS uri, p_name AS norm FROM part), qs AS (SELECT CAST(p_partkey AS BIGINT) AS c, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN replace(p_name, ' ', '') ELSE split_part(p_name, ' ', 1) END AS norm, p_name AS spaced, p_type AS domain FROM part)"
 
 
 def names(spark, d):
     p = view(spark, d, "part")
-    n = p.filter("p_partkey % 7 = 0").selectExpr("CAST(p_partkey AS BIGINT) AS uri", "p_name AS norm")
-    q = p.filter("p_partkey < 150").selectExpr("CAST(p_partkey AS BIGINT) AS c", "CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN replace(p_name, ' ', '') ELSE split_part(p_name, ' ', 1) END AS norm", "p_name AS spaced", "p_type AS domain")
+    n = p.selectExpr("CAST(p_partkey AS BIGINT) AS uri", "p_name AS norm")
+    q = p.selectExpr("CAST(p_partkey AS BIGINT) AS c", "CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN replace(p_name, ' ', '') ELSE split_part(p_name, ' ', 1) END AS norm", "p_name AS spaced", "p_type AS domain")
     return n, q
 
 
@@ -217,10 +217,10 @@ def d22(spark, d):
     return L.manual_mapping(m, q.filter("c % 20 = 0").select("c", (F.col("c") + 1000).alias("uri")))
 
 
-@Q.add("d23_fallback_match", f"WITH {_NAMES}, fb AS (SELECT DISTINCT p_type AS domain, p_size AS place, p_name AS norm FROM part WHERE p_partkey % 11 = 0), hit AS (SELECT domain, place, uri FROM fb JOIN names USING (norm) QUALIFY row_number() OVER (PARTITION BY domain ORDER BY place, uri) = 1) SELECT c, uri, place FROM qs JOIN hit USING (domain)")
+@Q.add("d23_fallback_match", f"WITH {_NAMES}, fb AS (SELECT DISTINCT p_type AS domain, p_size AS place, p_name AS norm FROM part), hit AS (SELECT domain, place, uri FROM fb JOIN names USING (norm) QUALIFY row_number() OVER (PARTITION BY domain ORDER BY place, uri) = 1) SELECT c, uri, place FROM qs JOIN hit USING (domain)")
 def d23(spark, d):
     n, q = names(spark, d)
-    fb = view(spark, d, "part").filter("p_partkey % 11 = 0").selectExpr("p_type AS domain", "p_size AS place", "p_name AS norm").distinct()
+    fb = view(spark, d, "part").selectExpr("p_type AS domain", "p_size AS place", "p_name AS norm").distinct()
     return L.fallback_match(q, fb, n)
 
 
@@ -278,8 +278,8 @@ def e31(spark, d):
     return L.mapping_weights(r).withColumn("theme_weight", F.round("theme_weight", 6)).withColumn("concept_weight", F.round("concept_weight", 6))
 
 
-@Q.add("e36_theme_rollup", "SELECT theme, coalesce(array_to_string(list_sort(list(DISTINCT p_name)), ','), '') AS names, 1 AS minimum_count, CASE WHEN rule = 'Must have 1' THEN 'pass' ELSE 'boost' END AS effect FROM fx_themes LEFT JOIN part ON p_size = theme_id AND p_size <> 9 GROUP BY theme, rule HAVING count(p_name) > 0 OR rule = 'Must have 1'")
+@Q.add("e36_theme_rollup", "SELECT theme, p_name AS name, count(*) OVER (PARTITION BY theme) AS n_names, 1 AS minimum_count, effect FROM (SELECT DISTINCT theme, p_name, CASE WHEN rule = 'Must have 1' THEN 'pass' ELSE 'boost' END AS effect FROM fx_themes JOIN part ON p_size = theme_id AND p_size <> 9) UNION ALL SELECT theme, NULL, 0, 1, 'pass' FROM fx_themes WHERE rule = 'Must have 1' AND theme_id NOT IN (SELECT p_size FROM part WHERE p_size <> 9)")
 def e36(spark, d):
     t = view(spark, d, "fx_themes")
-    a = F.broadcast(t.select("theme", "theme_id")).join(view(spark, d, "part").filter("p_size <> 9"), F.col("p_size") == F.col("theme_id")).select("theme", F.col("p_name").alias("name"))
+    a = t.select("theme", "theme_id").join(view(spark, d, "part").filter("p_size <> 9"), F.col("p_size") == F.col("theme_id")).select("theme", F.col("p_name").alias("name"))
     return L.theme_rollup(t, a)

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder name of its own in the folder of spark.checkpoint.dir, which driver and
-    executors share."""
+    executors share.  Only on one machine (master local, as in tests) may it be unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:  # one machine, as in tests
+    if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-stages-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
