@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,27 +63,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Of each open `scratch`, the folders written since.
+#: Lists that `recorded` fills.
 _scratch: list[list[str]] = []
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[Callable[[], None]]:
-    """Gives a function that deletes the folders that were written since it was last called, but
-    for the newest one; what is read from the others must be done with by then."""
-    held: list[str] = []
+def recorded(held: list[str]) -> Iterator[None]:
+    """Adds to `held` the folders that `written` makes inside."""
     _scratch.append(held)
-
-    def clear() -> None:
-        for path in held[:-1]:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        del held[:-1]
-
     try:
-        yield clear
+        yield
     finally:
-        _scratch.remove(held)
+        _scratch.pop()
+
+
+def remove(spark: SparkSession, held: list[str]) -> None:
+    """Deletes the folders and empties the list; nothing may be read from them any more."""
+    while held:
+        where = spark._jvm.org.apache.hadoop.fs.Path(held.pop())
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 512, size: str = "16m") -> None:
