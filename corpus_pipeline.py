@@ -3,17 +3,21 @@ PII and best-fit packing, each over all that its predecessor kept.
 
 The stages are plain functions of (spark, docs, sf_dir).  Between stages the rows are
 written as Parquet in the shared folder and read again, so a lost executor repeats one
-stage at most; what a stage wrote beside its result is deleted then.  All stages but the
-last return the columns of documents.
+stage at most.  What a stage wrote beside its result is deleted when the next stage starts:
+by then the result must be written, as `run` does it.  All stages but the last return the
+columns of documents.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxoweave.llm import decontaminate, jaccard, packing, pii, quality
-from taxoweave.llm.shared import documents, scratch, words, written
+from taxoweave.llm.shared import documents, recorded, remove, words, written
 
 #: Near duplicates: shared five-word shingles, similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -22,6 +26,16 @@ WINDOW = 10
 #: Words of a packed bin.
 BIN_WORDS = 2048
 
+#: Folders that the stage before wrote beside its result.
+_left: list[str] = []
+
+
+@contextmanager
+def _stage(spark: SparkSession) -> Iterator[None]:
+    remove(spark, _left)
+    with recorded(_left):
+        yield
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base limits, or that the rules' posterior rejects, go.
@@ -29,7 +43,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null and empty texts have no words and fail; very long texts are measured whole; repeated
     rows are judged one by one; a posterior of 0.5 stays; an empty table stays empty; columns
     of any names are kept."""
-    return quality.keep_good(docs)
+    with _stage(spark):
+        return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +53,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without words, null texts included, link with nothing and stay; texts that share
     an id are documents of their own; of equal rows one stays; ids that are null come last;
     very long texts are taken whole; an empty table stays empty."""
-    return jaccard.keep_one(docs, SHINGLE, PERCENT)
+    with _stage(spark):
+        return jaccard.keep_one(docs, SHINGLE, PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +63,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     Null and empty texts have no words and stay; items of fewer words are one window; very
     long texts are scanned whole; repeated rows are judged one by one; without documents or
     items nothing goes."""
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=WINDOW, mode="documents")
+    with _stage(spark):
+        return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=WINDOW, mode="documents")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +72,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Every row stays; null texts stay null; overlapping spans become one mark; repeated rows
     are masked alike; very long texts are masked whole; an empty table stays empty."""
-    return pii.sanitise(docs)
+    with _stage(spark):
+        return pii.sanitise(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +82,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Null and empty texts take a place of length 0; texts longer than a bin are cut into full
     bins and a rest; two texts of a source, or two equal texts, share no bin; null sources and
     texts conflict with nothing; an empty table gives no rows."""
-    return packing.pack(docs, F.size(words(F.col("text"))), BIN_WORDS)
+    with _stage(spark):
+        return packing.pack(docs, F.size(words(F.col("text"))), BIN_WORDS)
 
 
 STAGES = [
@@ -80,9 +99,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    with scratch(spark) as clear:
-        for name, stage in STAGES[:-1]:
-            docs = written(stage(spark, docs, sf_dir), name)
-            clear()
+    docs, before = documents(spark, sf_dir), []
+    for name, stage in STAGES[:-1]:
+        out, now = stage(spark, docs, sf_dir), []
+        with recorded(now):
+            docs = written(out, name)
+        remove(spark, before)
+        before = now
     return STAGES[-1][1](spark, docs, sf_dir)
