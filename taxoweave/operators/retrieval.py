@@ -21,11 +21,14 @@ def bm25_search(queries: DataFrame, postings: DataFrame, k: int = 500, min_score
 
     Variants: 'lucene' (idf = ln(1 + (N - df + .5) / (df + .5)), no k1 + 1) and 'okapi' (idf =
     ln((N - df + .5) / (df + .5)), negatives become a quarter of the mean idf, times k1 + 1).
-    Only the postings of query terms are joined; the term statistics cost one aggregation."""
+    Only the postings of query terms are counted and joined ('okapi' counts all terms, whose mean
+    it needs); lengths cost one aggregation.  Postings are read several times: stage them."""
     q = queries.select("c", F.explode(F.array_distinct("terms")).alias("term"))
     lengths = postings.groupBy("uri").agg(F.sum("tf").alias("dl"))
     size = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
-    df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(size))
+    asked = postings.join(q.select("term").distinct(), "term", "left_semi")
+    counted = asked if variant == "lucene" else postings
+    df = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(size))
     n, d = F.col("n"), F.col("df")
     if variant == "lucene":
         idf, factor = F.log(1 + (n - d + 0.5) / (d + 0.5)), 1.0
@@ -34,7 +37,7 @@ def bm25_search(queries: DataFrame, postings: DataFrame, k: int = 500, min_score
         df = df.join(F.broadcast(df.agg(F.avg("raw").alias("mean_idf"))))
         idf, factor = F.when(F.col("raw") < 0, 0.25 * F.col("mean_idf")).otherwise(F.col("raw")), k1 + 1
     stats = df.select("term", idf.alias("idf"), "avgdl")
-    hits = postings.join(q.join(stats, "term"), "term").join(lengths, "uri")
+    hits = asked.join(q.join(stats, "term"), "term").join(lengths, "uri")
     tf = F.col("tf")
     part = F.col("idf") * tf * factor / (tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     scored = hits.groupBy("c", "uri").agg(F.sum(part).alias("kw_score")).filter(F.col("kw_score") >= min_score)

@@ -12,7 +12,7 @@ from ..operators import retrieval as R
 from ..operators import vectors as V
 from ..sources import files as S
 from .fixtures import Registry, view
-from .stages import new_folder
+from .stages import new_folder, staged
 
 Q = Registry()
 
@@ -175,7 +175,8 @@ def doc_queries(spark, d):
 
 
 def doc_postings(spark, d):
-    return C.text_postings(view(spark, d, "fx_docs"), "uri", "definition", STOP_WORDS)
+    """Written once: lengths, term statistics and hits read it."""
+    return staged(C.text_postings(view(spark, d, "fx_docs"), "uri", "definition", STOP_WORDS), "postings")
 
 
 @Q.add("e03_bm25_search", "WITH " + bm25_sql("lucene") + " SELECT c, uri, round(kw_score, 4) AS kw_score FROM kw")
