@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 #: What is neither letter, digit, underscore nor white space.
 PUNCTUATION = r"[^\p{L}\p{N}_\s]"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
-STOP_WORDS = ["a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "was", "with"]
+STOP_WORDS = [
+    "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that", "the",
+    "this", "to", "was", "with"
+]
 
 
 def squeeze(x: Column) -> Column:
@@ -24,7 +27,9 @@ def split_camel(x: Column) -> Column:
 def normalize_concept(x: Column) -> Column:
     """Camel case split, dashes and underscores as spaces, no punctuation, lower case,
     single spaces; null gives ''."""
-    return F.coalesce(squeeze(F.lower(F.regexp_replace(F.translate(split_camel(x), "-_", "  "), PUNCTUATION, ""))), F.lit(""))
+    return F.coalesce(
+        squeeze(F.lower(F.regexp_replace(F.translate(split_camel(x), "-_", "  "), PUNCTUATION, ""))), F.lit("")
+    )
 
 
 def normalize_label(x: Column) -> Column:
@@ -38,7 +43,9 @@ def normalize_squash(x: Column) -> Column:
 
 def local_name(uri: Column) -> Column:
     """After the last '#', else after the last '/'."""
-    return F.when(F.contains(uri, F.lit("#")), F.substring_index(uri, "#", -1)).otherwise(F.substring_index(uri, "/", -1))
+    return F.when(
+        F.contains(uri, F.lit("#")), F.substring_index(uri, "#", -1)
+    ).otherwise(F.substring_index(uri, "/", -1))
 
 
 def uuid_of_uri(uri: Column) -> Column:
@@ -50,7 +57,9 @@ def uuid_of_uri(uri: Column) -> Column:
 def capitalised_words(x: Column) -> Column:
     """Each word with a capital first letter and the rest lower."""
     words = F.filter(F.split(x, r"\s+"), lambda w: w != "")
-    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2))))), " ")
+    return F.array_join(
+        F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2))))), " "
+    )
 
 
 def first_text(values: Column) -> Column:
@@ -58,7 +67,9 @@ def first_text(values: Column) -> Column:
     return F.get(F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: F.length(v) > 0), F.lit(0))
 
 
-def primary_label(uri: Column, pref: Column, rdfs: Column, alt: Column, definitions: Column, fallback: Column | None = None) -> Column:
+def primary_label(
+    uri: Column, pref: Column, rdfs: Column, alt: Column, definitions: Column, fallback: Column | None = None
+) -> Column:
     """First label by property order; without a fallback the definition, cut at 60; then
     the words of the URI's local name; then the fallback; then the URI."""
     options = [first_text(pref), first_text(rdfs), first_text(alt)]
@@ -75,7 +86,9 @@ def safe_uri_name(x: Column) -> Column:
     """Spaces, '/', ':' and '#' as underscores, the rest percent-encoded but for '-', '_',
     '.' and '~'; empty and null give unknown_concept."""
     encoded = F.url_encode(F.translate(x, " /:#", "____"))
-    plain = F.replace(F.replace(F.replace(encoded, F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    plain = F.replace(
+        F.replace(F.replace(encoded, F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~")
+    )
     return F.when(F.coalesce(F.length(x), F.lit(0)) == 0, "unknown_concept").otherwise(plain)
 
 
@@ -83,7 +96,9 @@ def safe_local_name(x: Column, context: str = "") -> Column:
     """Without brackets and signs, at most 80 characters, then `_context`."""
     s = F.regexp_replace(F.translate(F.trim(x), " /:#()", "____"), r"[^\p{L}\p{N}_-]", "")
     tail = f"_{context}" if context else ""
-    return F.when(F.coalesce(F.length(x), F.lit(0)) == 0, "unknown" + tail).otherwise(F.concat(F.url_encode(F.substring(s, 1, 80)), F.lit(tail)))
+    return F.when(F.coalesce(F.length(x), F.lit(0)) == 0, "unknown" + tail).otherwise(
+        F.concat(F.url_encode(F.substring(s, 1, 80)), F.lit(tail))
+    )
 
 
 def keywords_of(normalized: Column, longer_than: int = 2, stop_words: list[str] | None = None) -> Column:
@@ -115,12 +130,16 @@ def word_overlap(a: Column, b: Column) -> Column:
 
 
 def label_match_kind(norm: Column, label: Column) -> Column:
-    return F.when(norm == label, "Exact").when(norm == F.concat(label, F.lit("s")), "Plural input").when(label == F.concat(norm, F.lit("s")), "Plural label")
+    return F.when(norm == label, "Exact").when(
+        norm == F.concat(label, F.lit("s")), "Plural input"
+    ).when(label == F.concat(norm, F.lit("s")), "Plural label")
 
 
 def ns_priority(uri: Column, prefixes: list[str]) -> Column:
     """Place of the first prefix that fits, else their number + 10."""
-    return F.coalesce(*(F.when(F.startswith(uri, F.lit(p)), i) for i, p in enumerate(prefixes)), F.lit(len(prefixes) + 10))
+    return F.coalesce(
+        *(F.when(F.startswith(uri, F.lit(p)), i) for i, p in enumerate(prefixes)), F.lit(len(prefixes) + 10)
+    )
 
 
 def clamp01(x: Column) -> Column:
@@ -132,9 +151,18 @@ BAD_URI = r'[ <>"{}|\\^`]'
 
 def uri_problems(uri: Column) -> Column:
     """array<struct<severity, message>>: unknown scheme, characters that a URI can't have."""
-    scheme = F.when(~uri.rlike("^(http|https|urn):"), F.struct(F.lit("WARNING").alias("severity"), F.lit("scheme is not http, https or urn").alias("message")))
+    scheme = F.when(
+        ~uri.rlike("^(http|https|urn):"),
+        F.struct(F.lit("WARNING").alias("severity"), F.lit("scheme is not http, https or urn").alias("message"))
+    )
     bad = F.array_sort(F.array_distinct(F.regexp_extract_all(uri, F.lit(BAD_URI), F.lit(0))))
-    chars = F.when(F.size(bad) > 0, F.struct(F.lit("ERROR").alias("severity"), F.concat(F.lit("invalid characters: "), F.array_join(bad, "")).alias("message")))
+    chars = F.when(
+        F.size(bad) > 0,
+        F.struct(
+            F.lit("ERROR").alias("severity"),
+            F.concat(F.lit("invalid characters: "), F.array_join(bad, "")).alias("message")
+        )
+    )
     return F.filter(F.array(scheme, chars), lambda i: i.isNotNull())
 
 
@@ -142,7 +170,9 @@ def typed_literal(value: Column, kind: Column) -> Column:
     """struct(text, failed): the value in the form of its type; `failed` if it has none."""
     low = F.lower(F.trim(value))
     made = (
-        F.when(kind == "boolean", F.when(low.isin("true", "1", "yes"), "true").when(low.isin("false", "0", "no"), "false"))
+        F.when(
+            kind == "boolean", F.when(low.isin("true", "1", "yes"), "true").when(low.isin("false", "0", "no"), "false")
+        )
         .when(kind == "integer", value.try_cast("bigint").cast("string"))
         .when(kind == "decimal", F.when(value.try_cast("decimal(38,6)").isNotNull(), F.trim(value)))
         .when(kind == "double", F.when(value.try_cast("double").isNotNull(), F.trim(value)))
@@ -178,4 +208,8 @@ def clean_section(x: Column) -> Column:
 
 def theme_name(x: Column) -> Column:
     """Theme names without the words that do not tell them apart."""
-    return squeeze(F.regexp_replace(F.translate(F.lower(x), "-", " "), r"\b(property|properties|friendly|certified|stars?|theme)\b", ""))
+    return squeeze(
+        F.regexp_replace(
+            F.translate(F.lower(x), "-", " "), r"\b(property|properties|friendly|certified|stars?|theme)\b", ""
+        )
+    )

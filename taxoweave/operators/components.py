@@ -15,7 +15,9 @@ from ..plans.stages import staged
 
 def _hang_larger(edges: DataFrame) -> DataFrame:
     """Edges (hi, lo): every larger neighbour of a node goes to its smallest neighbour."""
-    around = edges.select(F.col("hi").alias("x"), F.col("lo").alias("y")).unionByName(edges.select(F.col("lo").alias("x"), F.col("hi").alias("y")))
+    around = edges.select(F.col("hi").alias("x"), F.col("lo").alias("y")).unionByName(
+        edges.select(F.col("lo").alias("x"), F.col("hi").alias("y"))
+    )
     low = around.groupBy("x").agg(F.min("y").alias("low")).select("x", F.least("x", "low").alias("low"))
     return around.join(low, "x").filter("y > x").select(F.col("y").alias("hi"), F.col("low").alias("lo"))
 
@@ -29,7 +31,10 @@ def _hang_smaller(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the nodes of edges (a, b) and the smallest node each hangs together with."""
-    now = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
+    now = staged(
+        edges.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(),
+        "edges"
+    )
     before = None
     while True:
         now = staged(_hang_smaller(_hang_larger(now)), "edges")
@@ -38,4 +43,6 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = state
     roots = now.select(F.col("lo").alias("node")).distinct()
-    return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
+    return now.select(
+        F.col("hi").alias("node"), F.col("lo").alias("component")
+    ).unionByName(roots.select("node", F.col("node").alias("component")))

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from .retrieval import top_k
 
 
-def expand_relations(anchors: DataFrame, edges: DataFrame, depth: int = 1, min_score: float = 0.60, decay: float = 0.35, relations: list[str] | None = None) -> DataFrame:
+def expand_relations(
+    anchors: DataFrame, edges: DataFrame, depth: int = 1, min_score: float = 0.60, decay: float = 0.35,
+    relations: list[str] | None = None
+) -> DataFrame:
     """(c, uri, score, depth): anchors (c, uri, score) and what is reached from those at
     `min_score` along the edges; a neighbour gets decay x source, its best counts; a URI keeps
     its first discovery.  One join a level."""
@@ -17,13 +20,17 @@ def expand_relations(anchors: DataFrame, edges: DataFrame, depth: int = 1, min_s
     seen = anchors.select("c", "uri", "score", F.lit(0).alias("depth"))
     front = seen.filter(F.col("score") >= min_score)
     for level in range(1, depth + 1):
-        near = front.join(e, "uri").groupBy("c", F.col("dst").alias("uri")).agg(F.least(F.lit(1.0), F.max(F.col("score") * decay)).alias("score"))
+        near = front.join(e, "uri").groupBy("c", F.col("dst").alias("uri")).agg(
+            F.least(F.lit(1.0), F.max(F.col("score") * decay)).alias("score")
+        )
         front = near.join(seen.select("c", "uri"), ["c", "uri"], "left_anti").withColumn("depth", F.lit(level))
         seen = seen.unionByName(front)
     return seen
 
 
-def relationship_boost(matches: DataFrame, edges: DataFrame, boost: float = 0.35, min_score: float = 0.60, cap: float = 1.01) -> DataFrame:
+def relationship_boost(
+    matches: DataFrame, edges: DataFrame, boost: float = 0.35, min_score: float = 0.60, cap: float = 1.01
+) -> DataFrame:
     """Matches (c, uri, score, exact): one that is no exact match and is linked to a match at
     `min_score` gains `boost` once."""
     e = edges.filter(F.col("rel").isin("related", "broader", "narrower")).select("src", "dst")
@@ -31,7 +38,10 @@ def relationship_boost(matches: DataFrame, edges: DataFrame, boost: float = 0.35
     strong = matches.filter(F.col("score") >= min_score).select("c", F.col("uri").alias("src"))
     hit = strong.join(both, "src").select("c", F.col("dst").alias("uri")).distinct().withColumn("linked", F.lit(True))
     gain = F.coalesce("linked", F.lit(False)) & ~F.col("exact")
-    return matches.join(hit, ["c", "uri"], "left").select("c", "uri", F.when(gain, F.least(F.lit(cap), F.col("score") + boost)).otherwise(F.col("score")).alias("score"), gain.alias("boosted"))
+    return matches.join(hit, ["c", "uri"], "left").select(
+        "c", "uri", F.when(gain, F.least(F.lit(cap), F.col("score") + boost)).otherwise(F.col("score")).alias("score"),
+        gain.alias("boosted")
+    )
 
 
 def direct_label_match(queries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -39,15 +49,27 @@ def direct_label_match(queries: DataFrame, labels: DataFrame) -> DataFrame:
     are tried again in their spaced form (spaced)."""
     first = queries.join(labels, "norm").select("c", "uri", F.lit(1).alias("attempt"))
     rest = queries.join(first.select("c").distinct(), "c", "left_anti")
-    second = rest.select("c", F.col("spaced").alias("norm")).join(labels, "norm").select("c", "uri", F.lit(2).alias("attempt"))
+    second = rest.select("c", F.col("spaced").alias("norm")).join(labels, "norm").select(
+        "c", "uri", F.lit(2).alias("attempt")
+    )
     return first.unionByName(second)
 
 
 def label_matches(queries: DataFrame, labels: DataFrame) -> DataFrame:
     """(c, uri, kind): exact and plural matches as equi-joins on three keys."""
-    keys = [("Exact", F.col("norm")), ("Plural input", F.when(F.col("norm").endswith("s"), F.expr("left(norm, length(norm) - 1)"))), ("Plural label", F.concat("norm", F.lit("s")))]
-    forms = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(k).alias("kind"), v.alias("key")) for i, (k, v) in enumerate(keys))))
-    q = queries.select("c", forms.alias("f")).select("c", "f.i", "f.kind", F.col("f.key").alias("norm")).filter("norm IS NOT NULL")
+    keys = [
+        ("Exact", F.col("norm")),
+        ("Plural input", F.when(F.col("norm").endswith("s"), F.expr("left(norm, length(norm) - 1)"))),
+        ("Plural label", F.concat("norm", F.lit("s")))
+    ]
+    forms = F.explode(
+        F.array(
+            *(F.struct(F.lit(i).alias("i"), F.lit(k).alias("kind"), v.alias("key")) for i, (k, v) in enumerate(keys))
+        )
+    )
+    q = queries.select("c", forms.alias("f")).select(
+        "c", "f.i", "f.kind", F.col("f.key").alias("norm")
+    ).filter("norm IS NOT NULL")
     return q.join(labels, "norm").groupBy("c", "uri").agg(F.min_by("kind", "i").alias("kind"))
 
 
@@ -55,18 +77,28 @@ def partial_label_match(queries: DataFrame, labels: DataFrame, edges: DataFrame)
     """(c, uri): labels that hold the phrase at word boundaries, and their neighbours.
 
     The phrase's first word finds the labels by an equi-join; only these are compared."""
-    q = queries.filter(F.col("norm") != "").select("c", F.col("norm").alias("phrase"), F.get(F.split("norm", " "), F.lit(0)).alias("word"))
-    words = labels.select("uri", F.col("norm").alias("label"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
+    q = queries.filter(F.col("norm") != "").select(
+        "c", F.col("norm").alias("phrase"), F.get(F.split("norm", " "), F.lit(0)).alias("word")
+    )
+    words = labels.select(
+        "uri", F.col("norm").alias("label"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word")
+    )
     spaced = lambda x: F.concat(F.lit(" "), F.col(x), F.lit(" "))
     direct = q.join(words, "word").filter(F.contains(spaced("label"), spaced("phrase"))).select("c", "uri").distinct()
-    near = direct.join(edges.filter(F.col("rel").isin("related", "broader", "narrower")).select(F.col("src").alias("uri"), "dst"), "uri").select("c", F.col("dst").alias("uri"))
+    near = direct.join(
+        edges.filter(F.col("rel").isin("related", "broader", "narrower")).select(F.col("src").alias("uri"), "dst"),
+        "uri"
+    ).select("c", F.col("dst").alias("uri"))
     return direct.union(near).distinct()
 
 
 def manual_mapping(matches: DataFrame, manual: DataFrame, confidence: int = 95) -> DataFrame:
     """Matches (c, uri, confidence) where a manual row (c, uri) wins."""
     m = manual.select("c", F.col("uri").alias("m_uri"))
-    return matches.join(m, "c", "full_outer").select("c", F.coalesce("m_uri", "uri").alias("uri"), F.when(F.col("m_uri").isNotNull(), confidence).otherwise(F.col("confidence")).alias("confidence"))
+    return matches.join(m, "c", "full_outer").select(
+        "c", F.coalesce("m_uri", "uri").alias("uri"),
+        F.when(F.col("m_uri").isNotNull(), confidence).otherwise(F.col("confidence")).alias("confidence")
+    )
 
 
 def fallback_match(queries: DataFrame, fallbacks: DataFrame, labels: DataFrame) -> DataFrame:
@@ -81,14 +113,21 @@ def must_not_have_by_pattern(queries: DataFrame, patterns: DataFrame, labels: Da
     query, but not the query's own label."""
     words = queries.select("c", "norm", F.explode(F.array_distinct(F.split("norm", " "))).alias("pattern"))
     against = words.join(F.broadcast(patterns.select("pattern", "word")), "pattern")
-    tokens = labels.select("uri", F.col("norm").alias("label"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
+    tokens = labels.select(
+        "uri", F.col("norm").alias("label"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word")
+    )
     return against.join(tokens, "word").filter(F.col("label") != F.col("norm")).select("c", "uri").distinct()
 
 
-def association_boost(matches: DataFrame, associations: DataFrame, labels: DataFrame, boost: float = 0.40, cap: float = 1.0) -> DataFrame:
+def association_boost(
+    matches: DataFrame, associations: DataFrame, labels: DataFrame, boost: float = 0.40, cap: float = 1.0
+) -> DataFrame:
     """Matches (c, uri, score) whose label is associated with the concept (c, norm) gain `boost`."""
     hit = associations.join(labels, "norm").select("c", "uri").distinct().withColumn("hit", F.lit(True))
-    return matches.join(hit, ["c", "uri"], "left").select("c", "uri", F.when(F.col("hit"), F.least(F.lit(cap), F.col("score") + boost)).otherwise(F.col("score")).alias("score"))
+    return matches.join(hit, ["c", "uri"], "left").select(
+        "c", "uri",
+        F.when(F.col("hit"), F.least(F.lit(cap), F.col("score") + boost)).otherwise(F.col("score")).alias("score")
+    )
 
 
 def forbidden_context(matches: DataFrame, labels: DataFrame, forbidden: DataFrame) -> DataFrame:
@@ -113,8 +152,17 @@ def component_types(queries: DataFrame, patterns: list[tuple[str, str]], labels:
     """(c, types): a phrase that is a label is `taxonomy`; else the types of the patterns (regex,
     type) found, sorted; else `unknown`."""
     exact = queries.join(labels.select("norm").distinct(), "norm", "left_semi").select("c", F.lit(True).alias("exact"))
-    found = F.array_sort(F.array_distinct(F.filter(F.array(*(F.when(F.col("norm").rlike(p), t) for p, t in patterns)), lambda x: x.isNotNull())))
-    return queries.join(exact, "c", "left").select("c", F.when(F.col("exact"), "taxonomy").when(F.size(found) > 0, F.array_join(found, ",")).otherwise("unknown").alias("types"))
+    found = F.array_sort(
+        F.array_distinct(
+            F.filter(F.array(*(F.when(F.col("norm").rlike(p), t) for p, t in patterns)), lambda x: x.isNotNull())
+        )
+    )
+    return queries.join(exact, "c", "left").select(
+        "c",
+        F.when(F.col("exact"), "taxonomy").when(
+            F.size(found) > 0, F.array_join(found, ",")
+        ).otherwise("unknown").alias("types")
+    )
 
 
 def confidence(kind: Column, exact_label: Column, similarity: Column, overlap: Column, n_words: Column) -> Column:
@@ -125,7 +173,9 @@ def confidence(kind: Column, exact_label: Column, similarity: Column, overlap: C
     low = F.when(weak, 1).when(kind == "direct", 90).when(kind == "partial", 60).otherwise(1)
     high = F.when(weak, 39).when(kind == "direct", 95).when(kind == "partial", 75).otherwise(39)
     base = F.when(exact_label, high.cast("double")).otherwise((low + high) / 2)
-    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.bround((base + (high - low) / 2 * overlap) * similarity, 0))).cast("int")
+    return F.greatest(
+        F.lit(0.0), F.least(F.lit(100.0), F.bround((base + (high - low) / 2 * overlap) * similarity, 0))
+    ).cast("int")
 
 
 def mapping_weights(rows: DataFrame) -> DataFrame:
@@ -135,7 +185,10 @@ def mapping_weights(rows: DataFrame) -> DataFrame:
     by_theme = best.groupBy("theme").agg(F.max("base").alias("base"), F.sum("confidence").alias("total"))
     all_base = by_theme.agg(F.sum("base").alias("all_base"))
     t = by_theme.join(F.broadcast(all_base))
-    return best.drop("base").join(F.broadcast(t), "theme").select("theme", (F.col("base") / F.col("all_base")).alias("theme_weight"), "c", (F.col("confidence") / F.col("total")).alias("concept_weight"), F.col("uri").alias("best_uri"))
+    return best.drop("base").join(F.broadcast(t), "theme").select(
+        "theme", (F.col("base") / F.col("all_base")).alias("theme_weight"), "c",
+        (F.col("confidence") / F.col("total")).alias("concept_weight"), F.col("uri").alias("best_uri")
+    )
 
 
 def theme_rollup(themes: DataFrame, attributes: DataFrame) -> DataFrame:
@@ -145,5 +198,8 @@ def theme_rollup(themes: DataFrame, attributes: DataFrame) -> DataFrame:
     counts = names.groupBy("theme").agg(F.count(F.lit(1)).alias("n_names"))
     must = F.col("rule") == "Must have 1"
     kept = themes.join(counts, "theme", "left").filter(F.col("n_names").isNotNull() | must)
-    kept = kept.select("theme", F.coalesce("n_names", F.lit(0)).alias("n_names"), F.lit(1).alias("minimum_count"), F.when(must, "pass").otherwise("boost").alias("effect"))
+    kept = kept.select(
+        "theme", F.coalesce("n_names", F.lit(0)).alias("n_names"), F.lit(1).alias("minimum_count"),
+        F.when(must, "pass").otherwise("boost").alias("effect")
+    )
     return names.join(kept, "theme", "right").select("theme", "name", "n_names", "minimum_count", "effect")

@@ -12,11 +12,16 @@ from ..functions.text import clamp01, normalize_label, ns_priority
 def top_k(df: DataFrame, k: int, order: list[Column], by: str | list[str] = "c", rank: str | None = None) -> DataFrame:
     """The first `k` rows of each group; Spark pushes the limit below the shuffle."""
     name = rank or "_rank"
-    out = df.withColumn(name, F.row_number().over(W.partitionBy(*([by] if isinstance(by, str) else by)).orderBy(*order))).filter(F.col(name) <= k)
+    out = df.withColumn(
+        name, F.row_number().over(W.partitionBy(*([by] if isinstance(by, str) else by)).orderBy(*order))
+    ).filter(F.col(name) <= k)
     return out if rank else out.drop(name)
 
 
-def bm25_search(queries: DataFrame, postings: DataFrame, k: int = 500, min_score: float = 0.01, k1: float = 1.5, b: float = 0.75, variant: str = "lucene") -> DataFrame:
+def bm25_search(
+    queries: DataFrame, postings: DataFrame, k: int = 500, min_score: float = 0.01, k1: float = 1.5, b: float = 0.75,
+    variant: str = "lucene"
+) -> DataFrame:
     """(c, uri, kw_score) of queries (c, terms) over postings (term, uri, tf).
 
     Variants: 'lucene' (idf = ln(1 + (N - df + .5) / (df + .5)), no k1 + 1) and 'okapi' (idf =
@@ -44,15 +49,23 @@ def bm25_search(queries: DataFrame, postings: DataFrame, k: int = 500, min_score
     return top_k(scored, k, [F.desc(F.round("kw_score", 9)), F.asc("uri")])
 
 
-def tfidf_search(queries: DataFrame, postings: DataFrame, min_df: int = 2, max_df: float = 0.95, min_score: float = 0.05) -> DataFrame:
+def tfidf_search(
+    queries: DataFrame, postings: DataFrame, min_df: int = 2, max_df: float = 0.95, min_score: float = 0.05
+) -> DataFrame:
     """(c, uri, kw_score): the best query term's cosine with the concept's tf-idf vector
     (smooth idf, L2 norm), so the term's share of the norm."""
     n = postings.select("uri").distinct().agg(F.count(F.lit(1)).alias("n"))
-    stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n)).filter((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("n")))
-    weights = postings.join(stats, "term").select("term", "uri", (F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("w"))
+    stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n)).filter(
+        (F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("n"))
+    )
+    weights = postings.join(stats, "term").select(
+        "term", "uri", (F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("w")
+    )
     norms = weights.groupBy("uri").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     q = queries.select("c", F.explode(F.array_distinct("terms")).alias("term"))
-    return weights.join(q, "term").join(norms, "uri").groupBy("c", "uri").agg(F.max(F.col("w") / F.col("norm")).alias("kw_score")).filter(F.col("kw_score") >= min_score)
+    return weights.join(q, "term").join(norms, "uri").groupBy("c", "uri").agg(
+        F.max(F.col("w") / F.col("norm")).alias("kw_score")
+    ).filter(F.col("kw_score") >= min_score)
 
 
 def keyword_search(queries: DataFrame, index: DataFrame) -> DataFrame:
@@ -70,7 +83,9 @@ def keyword_hits(queries: DataFrame, texts: DataFrame, threshold: int = 1) -> Da
     words = lambda x: F.regexp_extract_all(F.lower(x), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
     both = F.array_union(words(F.col("text")), words(normalize_label(F.col("text"))))
     tokens = texts.select("uri", F.explode(both).alias("word"))  # a word once a text
-    hits = tokens.join(q, "word").groupBy("c", "uri", "n").agg(F.count(F.lit(1)).alias("hits")).filter(F.col("hits") >= threshold)
+    hits = tokens.join(q, "word").groupBy("c", "uri", "n").agg(
+        F.count(F.lit(1)).alias("hits")
+    ).filter(F.col("hits") >= threshold)
     return hits.select("c", "uri", "hits", (0.1 + 0.2 * F.least(F.lit(1.0), F.col("hits") / F.col("n"))).alias("score"))
 
 
@@ -78,10 +93,15 @@ def needs_expansion(queries: DataFrame, hits: DataFrame, overrides: DataFrame, m
     """Queries with fewer keyword hits than `min_hits`, unless expansion is skipped."""
     n = hits.groupBy("c").agg(F.count(F.lit(1)).alias("n_hits"))
     out = queries.join(n, "c", "left").join(F.broadcast(overrides.select("c", "skip_expansion")), "c", "left")
-    return out.select("c", F.coalesce("n_hits", F.lit(0)).alias("n_hits"), F.coalesce("skip_expansion", F.lit(False)).alias("skip")).filter((F.col("n_hits") < min_hits) & ~F.col("skip")).select("c", "n_hits")
+    return out.select(
+        "c", F.coalesce("n_hits", F.lit(0)).alias("n_hits"), F.coalesce("skip_expansion", F.lit(False)).alias("skip")
+    ).filter((F.col("n_hits") < min_hits) & ~F.col("skip")).select("c", "n_hits")
 
 
-def candidate_union(kw: DataFrame, sim: DataFrame, seeds: DataFrame | None = None, filters: DataFrame | None = None, seed_scores: DataFrame | None = None) -> DataFrame:
+def candidate_union(
+    kw: DataFrame, sim: DataFrame, seeds: DataFrame | None = None, filters: DataFrame | None = None,
+    seed_scores: DataFrame | None = None
+) -> DataFrame:
     """(c, uri, kw_score, sim_score, is_seed): both pools, missing scores 0; seeds are added
     with their similarity, filtered URIs go."""
     pool = kw.select("c", "uri", "kw_score").join(sim.select("c", "uri", "sim_score"), ["c", "uri"], "full_outer")
@@ -89,13 +109,20 @@ def candidate_union(kw: DataFrame, sim: DataFrame, seeds: DataFrame | None = Non
         extra = seeds.select("c", "uri").distinct().withColumn("is_seed", F.lit(True))
         pool = pool.join(extra, ["c", "uri"], "full_outer")
         if seed_scores is not None:
-            pool = pool.join(seed_scores.select("c", "uri", F.col("sim_score").alias("seed_sim")), ["c", "uri"], "left").withColumn("sim_score", F.coalesce("sim_score", F.when(F.col("is_seed"), F.col("seed_sim")))).drop("seed_sim")
+            pool = pool.join(
+                seed_scores.select("c", "uri", F.col("sim_score").alias("seed_sim")), ["c", "uri"], "left"
+            ).withColumn(
+                "sim_score", F.coalesce("sim_score", F.when(F.col("is_seed"), F.col("seed_sim")))
+            ).drop("seed_sim")
     else:
         pool = pool.withColumn("is_seed", F.lit(False))
     if filters is not None:
         pool = pool.join(filters.select("c", "uri").distinct(), ["c", "uri"], "left_anti")
     zero = lambda x: F.coalesce(F.col(x), F.lit(0.0))
-    return pool.select("c", "uri", zero("kw_score").alias("kw_score"), zero("sim_score").alias("sim_score"), F.coalesce("is_seed", F.lit(False)).alias("is_seed"))
+    return pool.select(
+        "c", "uri", zero("kw_score").alias("kw_score"), zero("sim_score").alias("sim_score"),
+        F.coalesce("is_seed", F.lit(False)).alias("is_seed")
+    )
 
 
 #: Factors of the namespace bias.
@@ -106,8 +133,16 @@ def infer_domain(pool: DataFrame, groups: dict[str, list[str]], top: int = 50, s
     """(c, domain) from the namespaces of the first `top` candidates in order of URI."""
     inside = lambda kinds: _any(F.col("uri"), [p for k in kinds for p in groups.get(k, [])])
     first = top_k(pool.select("c", "uri"), top, [F.asc("uri")])
-    shares = first.groupBy("c").agg(F.avg(inside(["core", "lodging"]).cast("int")).alias("lodging"), F.avg(inside(["activity"]).cast("int")).alias("activity"))
-    return shares.select("c", F.when(F.col("lodging") >= share, "Lodging/Amenity").when(F.col("activity") >= share, "Activity").otherwise("General").alias("domain"))
+    shares = first.groupBy("c").agg(
+        F.avg(inside(["core", "lodging"]).cast("int")).alias("lodging"),
+        F.avg(inside(["activity"]).cast("int")).alias("activity")
+    )
+    return shares.select(
+        "c",
+        F.when(
+            F.col("lodging") >= share, "Lodging/Amenity"
+        ).when(F.col("activity") >= share, "Activity").otherwise("General").alias("domain")
+    )
 
 
 def _any(uri: Column, prefixes: list[str]) -> Column:
@@ -117,7 +152,9 @@ def _any(uri: Column, prefixes: list[str]) -> Column:
     return out
 
 
-def namespace_bias(score: Column, uri: Column, domain: Column, groups: dict[str, list[str]], factors: dict[str, float] = FACTORS) -> Column:
+def namespace_bias(
+    score: Column, uri: Column, domain: Column, groups: dict[str, list[str]], factors: dict[str, float] = FACTORS
+) -> Column:
     """struct(score, reason).  Metadata ends it; wrong domain and low priority compound;
     else the domain of the concept decides.  Scores stay above 0."""
     f = {k: F.lit(v) for k, v in factors.items()}
@@ -146,30 +183,52 @@ def namespace_bias(score: Column, uri: Column, domain: Column, groups: dict[str,
         .when(domain == "Activity", activity)
         .otherwise(pick(F.lit(1.0), "neutral"))
     )
-    return F.struct(F.when(out["score"] <= 0, 1e-9).otherwise(out["score"]).alias("score"), out["reason"].alias("reason"))
+    return F.struct(
+        F.when(out["score"] <= 0, 1e-9).otherwise(out["score"]).alias("score"), out["reason"].alias("reason")
+    )
 
 
-def score_candidates(pool: DataFrame, overrides: DataFrame | None, domains: DataFrame, groups: dict[str, list[str]], alpha: float = 0.6, abs_min_sim: float = 0.12, dampen_below: float = 0.35, dampening: float = 0.15, seed_threshold: float = 0.80, factors: dict[str, float] = FACTORS) -> DataFrame:
+def score_candidates(
+    pool: DataFrame, overrides: DataFrame | None, domains: DataFrame, groups: dict[str, list[str]], alpha: float = 0.6,
+    abs_min_sim: float = 0.12, dampen_below: float = 0.35, dampening: float = 0.15, seed_threshold: float = 0.80,
+    factors: dict[str, float] = FACTORS
+) -> DataFrame:
     """The scored candidates: seed boost, floor, dampening, weighted sum, namespace bias.
 
     `abs_min_sim` = 0 switches the floor off, as needed where there are no vectors."""
     df = pool.join(F.broadcast(domains), "c", "left")
     if overrides is not None:
-        df = df.join(F.broadcast(overrides.select("c", "effective_alpha", "boost_enabled", "boost_threshold")), "c", "left")
+        df = df.join(
+            F.broadcast(overrides.select("c", "effective_alpha", "boost_enabled", "boost_threshold")), "c", "left"
+        )
     else:
-        df = df.select("*", F.lit(None).cast("double").alias("effective_alpha"), F.lit(True).alias("boost_enabled"), F.lit(seed_threshold).alias("boost_threshold"))
+        df = df.select(
+            "*", F.lit(None).cast("double").alias("effective_alpha"), F.lit(True).alias("boost_enabled"),
+            F.lit(seed_threshold).alias("boost_threshold")
+        )
     s, k = F.col("sim_score"), F.col("kw_score")
-    boosted = F.col("is_seed") & F.coalesce("boost_enabled", F.lit(False)) & (s < F.coalesce("boost_threshold", F.lit(seed_threshold)))
-    df = df.withColumn("is_boosted", boosted).withColumn("boosted_sim_score", F.when(boosted, F.coalesce("boost_threshold", F.lit(seed_threshold))).otherwise(s))
+    boosted = F.col("is_seed") & F.coalesce("boost_enabled", F.lit(False)) & (
+        s < F.coalesce("boost_threshold", F.lit(seed_threshold))
+    )
+    df = df.withColumn("is_boosted", boosted).withColumn(
+        "boosted_sim_score", F.when(boosted, F.coalesce("boost_threshold", F.lit(seed_threshold))).otherwise(s)
+    )
     df = df.filter(F.col("boosted_sim_score") >= abs_min_sim)
     bs = F.col("boosted_sim_score")
-    df = df.withColumn("dampened_kw_score", F.when(bs < dampen_below, k * dampening).otherwise(k)).withColumn("alpha", F.coalesce("effective_alpha", F.lit(alpha)))
+    df = df.withColumn(
+        "dampened_kw_score", F.when(bs < dampen_below, k * dampening).otherwise(k)
+    ).withColumn("alpha", F.coalesce("effective_alpha", F.lit(alpha)))
     a = F.col("alpha")
     df = df.withColumn("combined_score_unbiased", a * clamp01(F.col("dampened_kw_score")) + (1 - a) * clamp01(bs))
     u = F.col("combined_score_unbiased")
     df = df.withColumn("bias", namespace_bias(u, F.col("uri"), F.col("domain"), groups, factors))
     free = F.col("is_boosted")
-    return df.select("c", "uri", "sim_score", "boosted_sim_score", "kw_score", "dampened_kw_score", F.col("alpha").alias("effective_alpha"), u, F.when(free, u).otherwise(F.col("bias.score")).alias("combined_score"), F.when(free, "boosted seed").otherwise(F.col("bias.reason")).alias("bias_reason"), "is_seed")
+    return df.select(
+        "c", "uri", "sim_score", "boosted_sim_score", "kw_score", "dampened_kw_score",
+        F.col("alpha").alias("effective_alpha"), u,
+        F.when(free, u).otherwise(F.col("bias.score")).alias("combined_score"),
+        F.when(free, "boosted seed").otherwise(F.col("bias.reason")).alias("bias_reason"), "is_seed"
+    )
 
 
 def dynamic_alpha(sim: Column, kw: Column, alpha: float = 0.6, low: float = 0.10) -> Column:
@@ -179,7 +238,10 @@ def dynamic_alpha(sim: Column, kw: Column, alpha: float = 0.6, low: float = 0.10
 
 def rank_candidates(scored: DataFrame, preferred: list[str], n: int = 75) -> DataFrame:
     """Adds `rank`, keeps the first `n`: score, namespace priority, similarity, URI."""
-    order = [F.desc(F.round("combined_score", 9)), ns_priority(F.col("uri"), preferred).asc(), F.desc(F.round("sim_score", 9)), F.asc("uri")]
+    order = [
+        F.desc(F.round("combined_score", 9)), ns_priority(F.col("uri"), preferred).asc(),
+        F.desc(F.round("sim_score", 9)), F.asc("uri")
+    ]
     return top_k(scored, n, order, rank="rank")
 
 
@@ -187,7 +249,9 @@ def select_anchor(ranked: DataFrame, exact: DataFrame) -> DataFrame:
     """(c, anchor_uri, method): the best ranked label match (c, uri, kind), else rank 1."""
     df = ranked.select("c", "uri", "rank").join(exact.select("c", "uri", "kind"), ["c", "uri"], "left")
     best = F.min_by(F.struct("uri", "kind"), F.struct(F.col("kind").isNull(), F.col("rank")))
-    return df.groupBy("c").agg(best.alias("b")).select("c", F.col("b.uri").alias("anchor_uri"), F.coalesce("b.kind", F.lit("Top ranked")).alias("method"))
+    return df.groupBy("c").agg(best.alias("b")).select(
+        "c", F.col("b.uri").alias("anchor_uri"), F.coalesce("b.kind", F.lit("Top ranked")).alias("method")
+    )
 
 
 def priority_pool_fill(pool: DataFrame, limit: int) -> DataFrame:
@@ -199,6 +263,8 @@ def priority_pool_fill(pool: DataFrame, limit: int) -> DataFrame:
 def dedupe_by_label(df: DataFrame, k: int = 5) -> DataFrame:
     """The best row of each label (blank labels all stay), then the first `k` of each concept."""
     blank = F.trim(F.coalesce("label", F.lit(""))) == ""
-    key = F.when(blank, F.concat(F.lit("uri "), F.col("uri"))).otherwise(F.concat(F.lit("label "), F.lower(F.trim("label"))))
+    key = F.when(blank, F.concat(F.lit("uri "), F.col("uri"))).otherwise(
+        F.concat(F.lit("label "), F.lower(F.trim("label")))
+    )
     best = top_k(df.withColumn("_key", key), 1, [F.desc("score"), F.asc("uri")], by=["c", "_key"]).drop("_key")
     return top_k(best, k, [F.desc("score"), F.asc("uri")], rank="rank")

@@ -40,7 +40,9 @@ def _matrix(values: list) -> np.ndarray:
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
 
-def _pairs(left: np.ndarray, right: np.ndarray, low: float | None, high: float | None, k: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pairs(
+    left: np.ndarray, right: np.ndarray, low: float | None, high: float | None, k: int | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places and cosines of the pairs within the bounds; at most `k` of each left row, and those
     that tie with the last.  The product is made in tiles of `TILE` left rows."""
     out = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
@@ -70,7 +72,11 @@ def _sent(df: DataFrame, key: str, limit: int) -> tuple[np.ndarray, np.ndarray]
     return np.array(table.column(0).to_pylist()), _matrix(table.column(1).to_pylist())
 
 
-def similarity_search(queries: DataFrame, vectors: DataFrame, min_score: float | None = 0.30, k: int | None = None, below: float | None = None, clip: bool = False, broadcast_bytes: int = BROADCAST_BYTES, c: str = "c", uri: str = "uri") -> DataFrame:
+def similarity_search(
+    queries: DataFrame, vectors: DataFrame, min_score: float | None = 0.30, k: int | None = None,
+    below: float | None = None, clip: bool = False, broadcast_bytes: int = BROADCAST_BYTES, c: str = "c",
+    uri: str = "uri"
+) -> DataFrame:
     """(c, uri, sim_score) of queries (c, v) against vectors (uri, v): cosine at least
     `min_score` and under `below`, the `k` best of each query.
 
@@ -103,13 +109,18 @@ def similarity_search(queries: DataFrame, vectors: DataFrame, min_score: float |
         found = q.mapInPandas(turned, schema)
     else:
         n_q, n_t = (max(1, -(-df.count() // BLOCK)) for df in (q, t))
-        deal = lambda df, key, n, name, other, m: df.select(key, "v", F.pmod(F.xxhash64(key), F.lit(n)).alias(name), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))).alias(other))
+        deal = lambda df, key, n, name, other, m: df.select(
+            key, "v", F.pmod(F.xxhash64(key), F.lit(n)).alias(name),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))).alias(other)
+        )
 
         def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
             i, j, s = _pairs(_matrix(list(a.v)), _matrix(list(b.v)), min_score, below, k)
             return pd.DataFrame({c: a[c].to_numpy()[i], uri: b[uri].to_numpy()[j], "sim_score": s})
 
-        found = deal(q, c, n_q, "q", "t", n_t).groupBy("q", "t").cogroup(deal(t, uri, n_t, "t", "q", n_q).groupBy("q", "t")).applyInPandas(meet, schema)
+        found = deal(q, c, n_q, "q", "t", n_t).groupBy("q", "t").cogroup(
+            deal(t, uri, n_t, "t", "q", n_q).groupBy("q", "t")
+        ).applyInPandas(meet, schema)
     if clip:
         found = found.withColumn("sim_score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "sim_score")))
     return found if k is None else top_k(found, k, [F.desc("sim_score"), F.asc(uri)], by=c)
@@ -118,7 +129,9 @@ def similarity_search(queries: DataFrame, vectors: DataFrame, min_score: float |
 def pair_similarity(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFrame:
     """(c, uri, sim_score): cosine of given pairs (c, uri) only; pairs without both vectors go."""
     q, t = queries.select("c", F.col("v").alias("_q")), vectors.select("uri", F.col("v").alias("_t"))
-    return pairs.select("c", "uri").distinct().join(q, "c").join(t, "uri").select("c", "uri", cosine(F.col("_q"), F.col("_t")).alias("sim_score"))
+    return pairs.select("c", "uri").distinct().join(q, "c").join(t, "uri").select(
+        "c", "uri", cosine(F.col("_q"), F.col("_t")).alias("sim_score")
+    )
 
 
 def primary_vector(labels: DataFrame, order: list[str]) -> DataFrame:
@@ -134,18 +147,40 @@ def dynamic_synonyms(similar: DataFrame, texts: DataFrame, threshold: float = 0.
     return top_k(j.groupBy("c", "text").agg(F.max("sim_score").alias("score")), k, [F.desc("score"), F.asc("text")])
 
 
-def dynamic_exclusions(similar: DataFrame, texts: DataFrame, synonym: float = 0.55, exclusion: float = 0.85) -> DataFrame:
+def dynamic_exclusions(
+    similar: DataFrame, texts: DataFrame, synonym: float = 0.55, exclusion: float = 0.85
+) -> DataFrame:
     """(c, text, kind): label texts over `synonym` are synonyms; other texts over `exclusion` exclusions."""
     j = similar.join(texts.select("uri", "text", "is_label"), "uri")
-    kind = F.when(F.col("is_label") & (F.col("sim_score") > synonym), "synonym").when(~F.col("is_label") & (F.col("sim_score") > exclusion), "exclusion")
+    kind = F.when(F.col("is_label") & (F.col("sim_score") > synonym), "synonym").when(
+        ~F.col("is_label") & (F.col("sim_score") > exclusion), "exclusion"
+    )
     return j.select("c", "text", kind.alias("kind")).filter("kind IS NOT NULL").distinct()
 
 
-def best_text_match(pairs: DataFrame, property_weights: dict[str, float], association: float = 0.40, synonym: float = 0.2, threshold: float = 0.30, k: int = 10) -> DataFrame:
+def best_text_match(
+    pairs: DataFrame, property_weights: dict[str, float], association: float = 0.40, synonym: float = 0.2,
+    threshold: float = 0.30, k: int = 10
+) -> DataFrame:
     """(c, uri, score): each concept's best text (c, uri, prop, kw, sim, associated, is_synonym,
     primary_sim): 0.5 kw + 0.5 sim by property weight, plus boosts, at least its primary similarity."""
-    weight = F.coalesce(F.get(F.map_values(F.map_filter(F.create_map(*(F.lit(x) for kv in property_weights.items() for x in kv)), lambda p, _: p == F.col("prop"))), F.lit(0)), F.lit(1.0))
-    s = (0.5 * F.col("kw") + 0.5 * F.col("sim")) * weight + F.when(F.col("associated"), association).otherwise(0.0) + F.when(F.col("is_synonym"), synonym).otherwise(0.0)
+    weight = F.coalesce(
+        F.get(
+            F.map_values(
+                F.map_filter(
+                    F.create_map(*(F.lit(x) for kv in property_weights.items() for x in kv)),
+                    lambda p, _: p == F.col("prop")
+                )
+            ),
+            F.lit(0)
+        ),
+        F.lit(1.0)
+    )
+    s = (
+        0.5 * F.col("kw") + 0.5 * F.col("sim")
+    ) * weight + F.when(
+        F.col("associated"), association
+    ).otherwise(0.0) + F.when(F.col("is_synonym"), synonym).otherwise(0.0)
     s = F.greatest(F.least(F.lit(1.0), F.greatest(F.lit(0.0), s)), F.col("primary_sim"))
     best = pairs.groupBy("c", "uri").agg(F.max(s).alias("score")).filter(F.col("score") >= threshold)
     return top_k(best, k, [F.desc("score"), F.asc("uri")], rank="rank")
@@ -154,13 +189,20 @@ def best_text_match(pairs: DataFrame, property_weights: dict[str, float], associ
 def penalised_match(scored: DataFrame, exclusions: DataFrame, antonyms: DataFrame, exempt: DataFrame) -> DataFrame:
     """(c, uri, score): excluded URIs go; antonyms lose max(score - 0.5, 0.2 x score) unless they
     match exactly or the concept is exempt; exact matches get 1.01."""
-    j = scored.join(exclusions.select("c", "uri").distinct(), ["c", "uri"], "left_anti").join(antonyms.select("c", "uri", F.lit(True).alias("anti")).distinct(), ["c", "uri"], "left").join(F.broadcast(exempt.select("c", F.lit(True).alias("free")).distinct()), "c", "left")
+    j = scored.join(exclusions.select("c", "uri").distinct(), ["c", "uri"], "left_anti").join(
+        antonyms.select("c", "uri", F.lit(True).alias("anti")).distinct(), ["c", "uri"], "left"
+    ).join(F.broadcast(exempt.select("c", F.lit(True).alias("free")).distinct()), "c", "left")
     s = F.col("score")
     low = F.coalesce("anti", F.lit(False)) & ~F.coalesce("free", F.lit(False))
-    return j.select("c", "uri", F.when(F.col("exact"), 1.01).when(low, F.greatest(s - 0.5, 0.2 * s)).otherwise(s).alias("score"))
+    return j.select(
+        "c", "uri", F.when(F.col("exact"), 1.01).when(low, F.greatest(s - 0.5, 0.2 * s)).otherwise(s).alias("score")
+    )
 
 
-def opposite_candidates(queries: DataFrame, vectors: DataFrame, labels: DataFrame, negative_words: DataFrame, below: float = 0.4, min_keyword: float = 0.06, k: int = 15) -> DataFrame:
+def opposite_candidates(
+    queries: DataFrame, vectors: DataFrame, labels: DataFrame, negative_words: DataFrame, below: float = 0.4,
+    min_keyword: float = 0.06, k: int = 15
+) -> DataFrame:
     """(c, uri, ranking_score, distance, keyword_score, matched) of concepts (uri, v) that are
     less similar than `below` to the query (c, v): half distance, half share of the negative
     words (c, word) in the label.
@@ -171,54 +213,88 @@ def opposite_candidates(queries: DataFrame, vectors: DataFrame, labels: DataFram
     words = negative_words.groupBy("c").agg(F.count_distinct("word").alias("n"))
     asked = negative_words.select("c", F.lower("word").alias("word")).distinct()
     tokens = labels.select("uri", F.explode(F.array_distinct(F.split(F.lower("label"), " "))).alias("word"))
-    hits = tokens.join(asked, "word").groupBy("c", "uri").agg(F.count(F.lit(1)).alias("h"), F.array_join(F.array_sort(F.collect_set("word")), ",").alias("matched"))
-    near = pair_similarity(hits, queries, vectors).join(hits, ["c", "uri"]).join(words, "c").select("c", "uri", "sim_score", (F.col("h") / F.col("n")).alias("kw"), "matched")
+    hits = tokens.join(asked, "word").groupBy("c", "uri").agg(
+        F.count(F.lit(1)).alias("h"), F.array_join(F.array_sort(F.collect_set("word")), ",").alias("matched")
+    )
+    near = pair_similarity(hits, queries, vectors).join(hits, ["c", "uri"]).join(words, "c").select(
+        "c", "uri", "sim_score", (F.col("h") / F.col("n")).alias("kw"), "matched"
+    )
     silent = queries.join(words, "c", "left_anti").select("c", F.transform("v", lambda x: -x).alias("v"))
-    far = similarity_search(silent, vectors, min_score=None, k=2 * k).select("c", "uri", (-F.col("sim_score")).alias("sim_score"), F.lit(None).cast("double").alias("kw"), F.lit("").alias("matched"))
-    j = near.filter(F.col("kw") >= min_keyword).unionByName(far).filter(F.col("sim_score") < below).withColumn("distance", 1 - F.col("sim_score"))
+    far = similarity_search(silent, vectors, min_score=None, k=2 * k).select(
+        "c", "uri", (-F.col("sim_score")).alias("sim_score"), F.lit(None).cast("double").alias("kw"),
+        F.lit("").alias("matched")
+    )
+    j = near.filter(F.col("kw") >= min_keyword).unionByName(far).filter(F.col("sim_score") < below).withColumn(
+        "distance", 1 - F.col("sim_score")
+    )
     rank = F.when(F.col("kw").isNull(), F.col("distance")).otherwise(0.5 * F.col("distance") + 0.5 * F.col("kw"))
     best = top_k(j.withColumn("ranking_score", rank), k, [F.desc(F.round("ranking_score", 9)), F.asc("uri")])
-    return best.select("c", "uri", F.round("ranking_score", 4).alias("ranking_score"), F.round("distance", 4).alias("distance"), F.round(F.coalesce("kw", F.lit(0.0)), 4).alias("keyword_score"), "matched")
+    return best.select(
+        "c", "uri", F.round("ranking_score", 4).alias("ranking_score"), F.round("distance", 4).alias("distance"),
+        F.round(F.coalesce("kw", F.lit(0.0)), 4).alias("keyword_score"), "matched"
+    )
 
 
 def kg_slice(similar: DataFrame, by_archetype: DataFrame, threshold: float = 0.35, k: int = 150) -> DataFrame:
     """(c, uri, score): the larger of the similarity to the concept and half of that to its archetypes."""
     half = by_archetype.select("c", "uri", (0.5 * F.col("sim_score")).alias("sim_score"))
-    best = similar.select("c", "uri", "sim_score").unionByName(half).groupBy("c", "uri").agg(F.max("sim_score").alias("score")).filter(F.col("score") >= threshold)
+    best = similar.select("c", "uri", "sim_score").unionByName(half).groupBy("c", "uri").agg(
+        F.max("sim_score").alias("score")
+    ).filter(F.col("score") >= threshold)
     return top_k(best, k, [F.desc("score"), F.asc("uri")], rank="rank")
 
 
 def essentials_check(chosen: DataFrame, required: DataFrame, have: DataFrame) -> DataFrame:
     """(c, uri): what the chosen archetypes (c, archetype) require (archetype, uri) and the definition lacks."""
-    return chosen.join(F.broadcast(required), "archetype").select("c", "uri").distinct().join(have.select("c", "uri"), ["c", "uri"], "left_anti")
+    return chosen.join(F.broadcast(required), "archetype").select("c", "uri").distinct().join(
+        have.select("c", "uri"), ["c", "uri"], "left_anti"
+    )
 
 
-def contradictions(evidence: DataFrame, exclusions: DataFrame, near_opposite: DataFrame, threshold: float = 0.50) -> tuple[DataFrame, DataFrame]:
+def contradictions(
+    evidence: DataFrame, exclusions: DataFrame, near_opposite: DataFrame, threshold: float = 0.50
+) -> tuple[DataFrame, DataFrame]:
     """(kept, must_not_have [c, uri, reason, score]): specific exclusions first with score 1, else
     similarity (c, uri, opposite, sim_score) to an opposite at the threshold."""
-    specific = exclusions.select("c", "uri").distinct().select("c", "uri", F.lit("specific exclusion").alias("s_reason"))
-    worst = near_opposite.filter(F.col("sim_score") >= threshold).groupBy("c", "uri").agg(F.max_by(F.struct("opposite", "sim_score"), F.struct("sim_score", "opposite")).alias("w"))
+    specific = exclusions.select("c", "uri").distinct().select(
+        "c", "uri", F.lit("specific exclusion").alias("s_reason")
+    )
+    worst = near_opposite.filter(F.col("sim_score") >= threshold).groupBy("c", "uri").agg(
+        F.max_by(F.struct("opposite", "sim_score"), F.struct("sim_score", "opposite")).alias("w")
+    )
     j = evidence.join(specific, ["c", "uri"], "left").join(worst, ["c", "uri"], "left")
     bad = F.col("s_reason").isNotNull() | F.col("w").isNotNull()
-    gone = j.filter(bad).select("c", "uri", F.coalesce("s_reason", F.concat(F.lit("opposite of "), F.col("w.opposite"))).alias("reason"), F.when(F.col("s_reason").isNotNull(), 1.0).otherwise(F.col("w.sim_score")).alias("score"))
+    gone = j.filter(bad).select(
+        "c", "uri", F.coalesce("s_reason", F.concat(F.lit("opposite of "), F.col("w.opposite"))).alias("reason"),
+        F.when(F.col("s_reason").isNotNull(), 1.0).otherwise(F.col("w.sim_score")).alias("score")
+    )
     return j.filter(~bad).select(*evidence.columns), gone
 
 
-def slot_scores(themes: DataFrame, vectors: DataFrame, labels: DataFrame, hints: DataFrame, min_score: float) -> DataFrame:
+def slot_scores(
+    themes: DataFrame, vectors: DataFrame, labels: DataFrame, hints: DataFrame, min_score: float
+) -> DataFrame:
     """(uri, theme, sim, hits): best similarity of a concept (uri, v) to a theme's vectors (c, v),
     and how many of the theme's hint words (theme, hint) its label has.
 
     Pairs are those at `min_score`, and those with a hint, whose similarity is computed alone; a
     theme without a vector has similarity 0."""
     tokens = labels.select("uri", F.explode(F.array_distinct(F.split(F.lower("label"), r"\W+"))).alias("hint"))
-    hits = tokens.join(hints.select("theme", F.lower("hint").alias("hint")).distinct(), "hint").groupBy("uri", "theme").agg(F.count(F.lit(1)).alias("hits"))
+    hits = tokens.join(
+        hints.select("theme", F.lower("hint").alias("hint")).distinct(), "hint"
+    ).groupBy("uri", "theme").agg(F.count(F.lit(1)).alias("hits"))
     hinted = pair_similarity(hits.select(F.col("theme").alias("c"), "uri"), themes, vectors)
     near = similarity_search(themes, vectors, min_score=min_score).unionByName(hinted)
     best = near.groupBy("uri", F.col("c").alias("theme")).agg(F.max("sim_score").alias("sim"))
-    return best.join(hits, ["uri", "theme"], "full_outer").select("uri", "theme", F.coalesce("sim", F.lit(0.0)).alias("sim"), F.coalesce("hits", F.lit(0)).alias("hits"))
+    return best.join(hits, ["uri", "theme"], "full_outer").select(
+        "uri", "theme", F.coalesce("sim", F.lit(0.0)).alias("sim"), F.coalesce("hits", F.lit(0)).alias("hits")
+    )
 
 
-def slot_by_hints(scores: DataFrame, mode: str = "best", threshold: float | None = None, min_hits: int = 1, cap: int = 5, themes_with_hints: DataFrame | None = None) -> DataFrame:
+def slot_by_hints(
+    scores: DataFrame, mode: str = "best", threshold: float | None = None, min_hits: int = 1, cap: int = 5,
+    themes_with_hints: DataFrame | None = None
+) -> DataFrame:
     """(uri, theme, confidence) of scores (uri, theme, sim, hits).
 
     best: 0.4 x (0.8 if any hint) + 0.6 x similarity, the best theme at 0.31.
@@ -226,12 +302,18 @@ def slot_by_hints(scores: DataFrame, mode: str = "best", threshold: float | None
     strict: similarity 0.50 and `min_hits` hints (not asked of themes without hints)."""
     sim, hit = F.col("sim"), F.when(F.col("hits") > 0, 0.8).otherwise(0.0)
     if mode == "best":
-        df = scores.withColumn("confidence", 0.4 * hit + 0.6 * sim).filter(F.col("confidence") >= (0.31 if threshold is None else threshold))
-        best = df.groupBy("uri").agg(F.max_by(F.struct("theme", "confidence"), F.struct(F.round("confidence", 9), -F.col("theme"))).alias("b"))
+        df = scores.withColumn("confidence", 0.4 * hit + 0.6 * sim).filter(
+            F.col("confidence") >= (0.31 if threshold is None else threshold)
+        )
+        best = df.groupBy("uri").agg(
+            F.max_by(F.struct("theme", "confidence"), F.struct(F.round("confidence", 9), -F.col("theme"))).alias("b")
+        )
         return best.select("uri", "b.theme", "b.confidence")
     cut = 0.50 if threshold is None else threshold
     if mode == "multi":
-        df = scores.filter((F.col("hits") >= 1) | (sim >= cut)).withColumn("confidence", 0.3 * hit + 0.7 * sim).select("uri", "theme", "confidence")
+        df = scores.filter(
+            (F.col("hits") >= 1) | (sim >= cut)
+        ).withColumn("confidence", 0.3 * hit + 0.7 * sim).select("uri", "theme", "confidence")
         return top_k(df, cap, [F.desc("confidence"), F.asc("uri")], by="theme")
     df = scores
     enough = F.col("hits") >= min_hits
@@ -245,7 +327,9 @@ def centroids(vectors: DataFrame, group: str) -> DataFrame:
     """(group, v): mean vector, element by element."""
     e = vectors.select(group, F.posexplode("v").alias("i", "x"))
     m = e.groupBy(group, "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    return m.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v"))
+    return m.groupBy(group).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v")
+    )
 
 
 def _forest(i: np.ndarray, j: np.ndarray, n: int, m: int) -> tuple[np.ndarray, np.ndarray]:
@@ -303,11 +387,16 @@ def similarity_clusters(vectors: DataFrame, eps: float, broadcast_bytes: int = B
         n = max(1, -(-t.count() // BLOCK))
         mine = F.pmod(F.xxhash64("uri"), F.lit(n))
         pair = lambda k: F.struct(F.least(mine, k).alias("i"), F.greatest(mine, k).alias("j"))
-        met = t.select("uri", "v", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")), pair)).alias("p"))
+        met = t.select(
+            "uri", "v",
+            F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")), pair)).alias("p")
+        )
 
         def meet(rows: pd.DataFrame) -> pd.DataFrame:
             return pd.concat([*joined(rows, rows)], ignore_index=True)
 
         edges = met.groupBy("p").applyInPandas(meet, schema)
     found = components(edges).withColumnRenamed("node", "uri")
-    return vectors.select("uri").join(found, "uri", "left").select("uri", F.coalesce("component", "uri").alias("cluster"))
+    return vectors.select("uri").join(found, "uri", "left").select(
+        "uri", F.coalesce("component", "uri").alias("cluster")
+    )

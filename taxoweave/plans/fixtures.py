@@ -23,16 +23,28 @@ _PART = "'urn:fx:part:#' || CAST(p_partkey AS STRING)"
 _TRIPLES = [
     _triple(_PART, SKOS + "prefLabel", "p_name", "literal", "part"),
     _triple(_PART, SKOS + "altLabel", "p_brand", "literal", "part"),
-    _triple(_PART, SKOS + "definition", "p_type || ' of size ' || CAST(p_size AS STRING)", "literal", "part", "WHERE p_partkey % 3 = 0"),
+    _triple(
+        _PART, SKOS + "definition", "p_type || ' of size ' || CAST(p_size AS STRING)", "literal", "part",
+        "WHERE p_partkey % 3 = 0"
+    ),
     _triple(_PART, RDF_TYPE, "'urn:fx:class:#' || p_type", "uri", "part"),
     _triple(_PART, SKOS + "broader", "'urn:fx:brand:#' || replace(p_brand, '#', '')", "uri", "part"),
     _triple(_PART, OWL + "deprecated", "'true'", "literal", "part", "WHERE p_size = 50"),
     _triple("'urn:fx:supplier:#' || CAST(s_suppkey AS STRING)", SKOS + "prefLabel", "s_name", "literal", "supplier"),
-    _triple("'urn:fx:supplier:#' || CAST(s_suppkey AS STRING)", SKOS + "broader", "'urn:fx:nation:#' || CAST(s_nationkey AS STRING)", "uri", "supplier"),
+    _triple(
+        "'urn:fx:supplier:#' || CAST(s_suppkey AS STRING)", SKOS + "broader",
+        "'urn:fx:nation:#' || CAST(s_nationkey AS STRING)", "uri", "supplier"
+    ),
     _triple("'urn:fx:customer:#' || CAST(c_custkey AS STRING)", RDFS + "label", "c_name", "literal", "customer"),
-    _triple("'urn:fx:customer:#' || CAST(c_custkey AS STRING)", SKOS + "broader", "'urn:fx:nation:#' || CAST(c_nationkey AS STRING)", "uri", "customer"),
+    _triple(
+        "'urn:fx:customer:#' || CAST(c_custkey AS STRING)", SKOS + "broader",
+        "'urn:fx:nation:#' || CAST(c_nationkey AS STRING)", "uri", "customer"
+    ),
     _triple("'urn:fx:nation:#' || CAST(n_nationkey AS STRING)", SKOS + "prefLabel", "n_name", "literal", "nation"),
-    _triple("'urn:fx:nation:#' || CAST(n_nationkey AS STRING)", SKOS + "broader", "'urn:fx:region:#' || CAST(n_regionkey AS STRING)", "uri", "nation"),
+    _triple(
+        "'urn:fx:nation:#' || CAST(n_nationkey AS STRING)", SKOS + "broader",
+        "'urn:fx:region:#' || CAST(n_regionkey AS STRING)", "uri", "nation"
+    ),
     _triple("'urn:fx:region:#' || CAST(r_regionkey AS STRING)", SKOS + "prefLabel", "r_name", "literal", "region"),
 ]
 _NODES = [

@@ -13,7 +13,10 @@ from .stages import staged
 
 Q = Registry()
 
-GROUPS = {"core": ["urn:fx:src0:"], "lodging": ["urn:fx:src1:"], "activity": ["urn:fx:src2:"], "location": ["urn:fx:src3:"], "metadata": ["urn:fx:src4:"], "low_priority": ["urn:fx:src5:"], "wrong": ["urn:fx:src5:", "urn:fx:src6:"]}
+GROUPS = {
+    "core": ["urn:fx:src0:"], "lodging": ["urn:fx:src1:"], "activity": ["urn:fx:src2:"], "location": ["urn:fx:src3:"],
+    "metadata": ["urn:fx:src4:"], "low_priority": ["urn:fx:src5:"], "wrong": ["urn:fx:src5:", "urn:fx:src6:"]
+}
 PREFERRED = [f"urn:fx:src{i}:" for i in range(4)]
 
 DV = "list_transform({0}, lambda x: CAST(x AS DOUBLE))"
@@ -25,12 +28,18 @@ def similar(spark, d, **options):
     return V.similarity_search(view(spark, d, "fx_vec_q"), view(spark, d, "fx_vec_t"), **options)
 
 
-@Q.add("d06_similarity_search", f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims WHERE sim_score >= 0.1")
+@Q.add(
+    "d06_similarity_search",
+    f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims WHERE sim_score >= 0.1"
+)
 def d06(spark, d):
     return similar(spark, d, min_score=0.1).withColumn("sim_score", F.round("sim_score", 4))
 
 
-@Q.add("d06_similarity_blocks", f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims WHERE sim_score >= 0.1")
+@Q.add(
+    "d06_similarity_blocks",
+    f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims WHERE sim_score >= 0.1"
+)
 def d06b(spark, d):
     """The same by pairs of blocks, as where both sides are too large to send."""
     return similar(spark, d, min_score=0.1, broadcast_bytes=0).withColumn("sim_score", F.round("sim_score", 4))
@@ -40,15 +49,23 @@ def d06b(spark, d):
 def b15(spark, d):
     """The cosine of every query with every vector: all pairs are the feature here."""
     q = view(spark, d, "fx_vec_q").withColumnRenamed("v", "qv")
-    return q.crossJoin(view(spark, d, "fx_vec_t")).select("c", "uri", F.round(V.cosine(F.col("qv"), F.col("v")), 4).alias("sim_score"))
+    return q.crossJoin(view(spark, d, "fx_vec_t")).select(
+        "c", "uri", F.round(V.cosine(F.col("qv"), F.col("v")), 4).alias("sim_score")
+    )
 
 
-@Q.add("c01_min_similarity", f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims WHERE sim_score >= 0.30")
+@Q.add(
+    "c01_min_similarity",
+    f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims WHERE sim_score >= 0.30"
+)
 def c01(spark, d):
     return similar(spark, d, min_score=0.30).withColumn("sim_score", F.round("sim_score", 4))
 
 
-@Q.add("f11_similarity_pool", f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims QUALIFY row_number() OVER (PARTITION BY c ORDER BY sim_score DESC, uri) <= 20")
+@Q.add(
+    "f11_similarity_pool",
+    f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims QUALIFY row_number() OVER (PARTITION BY c ORDER BY sim_score DESC, uri) <= 20"
+)
 def f11(spark, d):
     return similar(spark, d, min_score=None, k=20).withColumn("sim_score", F.round("sim_score", 4))
 
@@ -68,12 +85,19 @@ def pool(spark, d):
     kw = kw.withColumn("kw_score", F.col("kw_score") / F.max("kw_score").over(W.partitionBy("c")))
     q, t, seeds = view(spark, d, "fx_vec_q"), view(spark, d, "fx_vec_t"), view(spark, d, "fx_seeds")
     near = V.similarity_search(q, t, min_score=0.05)
-    return staged(R.candidate_union(kw, near, seeds, view(spark, d, "fx_filters"), V.pair_similarity(seeds, q, t)), "pool")
+    return staged(
+        R.candidate_union(kw, near, seeds, view(spark, d, "fx_filters"), V.pair_similarity(seeds, q, t)), "pool"
+    )
 
 
-@Q.add("d05_candidate_union", POOL + " SELECT c, uri, round(kw_score, 4) AS kw_score, round(sim_score, 4) AS sim_score, is_seed FROM pool")
+@Q.add(
+    "d05_candidate_union",
+    POOL + " SELECT c, uri, round(kw_score, 4) AS kw_score, round(sim_score, 4) AS sim_score, is_seed FROM pool"
+)
 def d05(spark, d):
-    return pool(spark, d).select("c", "uri", F.round("kw_score", 4).alias("kw_score"), F.round("sim_score", 4).alias("sim_score"), "is_seed")
+    return pool(spark, d).select(
+        "c", "uri", F.round("kw_score", 4).alias("kw_score"), F.round("sim_score", 4).alias("sim_score"), "is_seed"
+    )
 
 
 def _sql_in(kind: str) -> str:
@@ -101,13 +125,21 @@ def scored(spark, d):
     return R.score_candidates(p, view(spark, d, "fx_overrides"), R.infer_domain(p, GROUPS), GROUPS)
 
 
-@Q.add("c03_score_candidates", SCORED + " SELECT c, uri, round(bs, 4) AS boosted_sim_score, round(dk, 4) AS dampened_kw_score, alpha AS effective_alpha, round(u, 4) AS combined_score_unbiased, round(combined, 4) AS combined_score, is_seed FROM scored")
+@Q.add(
+    "c03_score_candidates",
+    SCORED + " SELECT c, uri, round(bs, 4) AS boosted_sim_score, round(dk, 4) AS dampened_kw_score, alpha AS effective_alpha, round(u, 4) AS combined_score_unbiased, round(combined, 4) AS combined_score, is_seed FROM scored"
+)
 def c03(spark, d):
     r = lambda c: F.round(c, 4).alias(c)
-    return scored(spark, d).select("c", "uri", r("boosted_sim_score"), r("dampened_kw_score"), "effective_alpha", r("combined_score_unbiased"), r("combined_score"), "is_seed")
+    return scored(spark, d).select(
+        "c", "uri", r("boosted_sim_score"), r("dampened_kw_score"), "effective_alpha", r("combined_score_unbiased"),
+        r("combined_score"), "is_seed"
+    )
 
 
-PRIORITY = "CASE " + " ".join(f"WHEN starts_with(uri, '{p}') THEN {i}" for i, p in enumerate(PREFERRED)) + " ELSE 14 END"
+PRIORITY = "CASE " + " ".join(
+    f"WHEN starts_with(uri, '{p}') THEN {i}" for i, p in enumerate(PREFERRED)
+) + " ELSE 14 END"
 RANKED = SCORED + f", ranked AS (SELECT c, uri, combined, u, sim_score, row_number() OVER (PARTITION BY c ORDER BY round(combined, 9) DESC, {PRIORITY}, round(sim_score, 9) DESC, uri) AS rank FROM scored QUALIFY rank <= 75)"
 
 
@@ -118,7 +150,9 @@ def ranked(spark, d):
 @Q.add("rank_candidates", RANKED + " SELECT c, uri, rank, round(combined, 4) AS combined_score FROM ranked")
 def f01(spark, d):
     """Flagship: all concepts at once, from texts and vectors to ranked candidates."""
-    return ranked(spark, d).select("c", "uri", F.col("rank").cast("long").alias("rank"), F.round("combined_score", 4).alias("combined_score"))
+    return ranked(spark, d).select(
+        "c", "uri", F.col("rank").cast("long").alias("rank"), F.round("combined_score", 4).alias("combined_score")
+    )
 
 
 _NORM_DOC = "lower(regexp_replace(pref_label, '[^\\p{L}\\p{N}_\\s]', '', 'g'))"
@@ -126,49 +160,82 @@ EXACT = RANKED + f", labels AS (SELECT uri, {_NORM_DOC} AS norm FROM fx_docs WHE
 
 
 def exact(spark, d, r):
-    labels = view(spark, d, "fx_docs").filter("pref_label <> ''").select("uri", F.lower(F.regexp_replace("pref_label", r"[^\p{L}\p{N}_\s]", "")).alias("norm"))
-    q = r.filter("rank = 3").join(labels, "uri").select("c", F.concat("norm", F.when(F.col("c") % 2 == 0, "").otherwise("s")).alias("norm"))
+    labels = view(spark, d, "fx_docs").filter("pref_label <> ''").select(
+        "uri", F.lower(F.regexp_replace("pref_label", r"[^\p{L}\p{N}_\s]", "")).alias("norm")
+    )
+    q = r.filter("rank = 3").join(labels, "uri").select(
+        "c", F.concat("norm", F.when(F.col("c") % 2 == 0, "").otherwise("s")).alias("norm")
+    )
     return L.label_matches(q, labels)
 
 
-@Q.add("f03_select_anchor", EXACT + " SELECT c, uri AS anchor_uri, coalesce(kind, 'Top ranked') AS method FROM ranked LEFT JOIN ex USING (c, uri) QUALIFY row_number() OVER (PARTITION BY c ORDER BY kind IS NULL, rank) = 1")
+@Q.add(
+    "f03_select_anchor",
+    EXACT + " SELECT c, uri AS anchor_uri, coalesce(kind, 'Top ranked') AS method FROM ranked LEFT JOIN ex USING (c, uri) QUALIFY row_number() OVER (PARTITION BY c ORDER BY kind IS NULL, rank) = 1"
+)
 def f03(spark, d):
     r = ranked(spark, d)
     return R.select_anchor(r, exact(spark, d, r))
 
 
-@Q.add("c08_dynamic_alpha", POOL + " SELECT c, uri, CASE WHEN sim_score < 0.55 AND kw_score > 0.50 THEN CAST(0.10 AS DOUBLE) ELSE 0.6 END AS alpha FROM pool")
+@Q.add(
+    "c08_dynamic_alpha",
+    POOL + " SELECT c, uri, CASE WHEN sim_score < 0.55 AND kw_score > 0.50 THEN CAST(0.10 AS DOUBLE) ELSE 0.6 END AS alpha FROM pool"
+)
 def c08(spark, d):
     return pool(spark, d).select("c", "uri", R.dynamic_alpha(F.col("sim_score"), F.col("kw_score")).alias("alpha"))
 
 
-@Q.add("f10_priority_pool_fill", POOL + ", f AS (SELECT c, uri, sim_score FROM pool QUALIFY row_number() OVER (PARTITION BY c ORDER BY CASE WHEN kw_score > 0 THEN 0 ELSE 1 END, sim_score DESC, uri) <= 30) SELECT c, uri, row_number() OVER (PARTITION BY c ORDER BY sim_score DESC, uri) AS place FROM f")
+@Q.add(
+    "f10_priority_pool_fill",
+    POOL + ", f AS (SELECT c, uri, sim_score FROM pool QUALIFY row_number() OVER (PARTITION BY c ORDER BY CASE WHEN kw_score > 0 THEN 0 ELSE 1 END, sim_score DESC, uri) <= 30) SELECT c, uri, row_number() OVER (PARTITION BY c ORDER BY sim_score DESC, uri) AS place FROM f"
+)
 def f10(spark, d):
     return R.priority_pool_fill(pool(spark, d), 30).select("c", "uri", F.col("place").cast("long").alias("place"))
 
 
-@Q.add("f09_dedupe_by_label", POOL + ", l AS (SELECT c, pool.uri, sim_score AS score, CASE WHEN trim(pref_label) = '' THEN 'uri ' || pool.uri ELSE 'label ' || lower(trim(pref_label)) END AS k FROM pool JOIN fx_docs ON fx_docs.uri = pool.uri), b AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY c, k ORDER BY score DESC, uri) = 1) SELECT c, uri, row_number() OVER (PARTITION BY c ORDER BY score DESC, uri) AS rank FROM b QUALIFY rank <= 5")
+@Q.add(
+    "f09_dedupe_by_label",
+    POOL + ", l AS (SELECT c, pool.uri, sim_score AS score, CASE WHEN trim(pref_label) = '' THEN 'uri ' || pool.uri ELSE 'label ' || lower(trim(pref_label)) END AS k FROM pool JOIN fx_docs ON fx_docs.uri = pool.uri), b AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY c, k ORDER BY score DESC, uri) = 1) SELECT c, uri, row_number() OVER (PARTITION BY c ORDER BY score DESC, uri) AS rank FROM b QUALIFY rank <= 5"
+)
 def f09(spark, d):
-    j = pool(spark, d).join(view(spark, d, "fx_docs").select("uri", F.col("pref_label").alias("label")), "uri").withColumnRenamed("sim_score", "score")
+    j = pool(spark, d).join(
+        view(spark, d, "fx_docs").select("uri", F.col("pref_label").alias("label")), "uri"
+    ).withColumnRenamed("sim_score", "score")
     return R.dedupe_by_label(j).select("c", "uri", F.col("rank").cast("long").alias("rank"))
 
 
-@Q.add("f07_negation_shortlist", RANKED + ", l AS (SELECT c, uri, u FROM ranked JOIN fx_docs USING (uri) WHERE pref_label <> '') SELECT c, uri, row_number() OVER (PARTITION BY c ORDER BY round(u, 9) DESC, uri) AS place FROM l QUALIFY place <= 30")
+@Q.add(
+    "f07_negation_shortlist",
+    RANKED + ", l AS (SELECT c, uri, u FROM ranked JOIN fx_docs USING (uri) WHERE pref_label <> '') SELECT c, uri, row_number() OVER (PARTITION BY c ORDER BY round(u, 9) DESC, uri) AS place FROM l QUALIFY place <= 30"
+)
 def f07(spark, d):
     labelled = view(spark, d, "fx_docs").filter("pref_label <> ''").select("uri")
     r = ranked(spark, d).join(labelled, "uri", "left_semi")
-    return R.top_k(r, 30, [F.desc(F.round("combined_score_unbiased", 9)), F.asc("uri")], rank="place").select("c", "uri", F.col("place").cast("long").alias("place"))
+    return R.top_k(
+        r, 30, [F.desc(F.round("combined_score_unbiased", 9)), F.asc("uri")], rank="place"
+    ).select("c", "uri", F.col("place").cast("long").alias("place"))
 
 
-@Q.add("c10_manual_query_split", "SELECT c, coalesce(manual_query, concept) AS query FROM fx_queries LEFT JOIN fx_overrides USING (c)")
+@Q.add(
+    "c10_manual_query_split",
+    "SELECT c, coalesce(manual_query, concept) AS query FROM fx_queries LEFT JOIN fx_overrides USING (c)"
+)
 def c10(spark, d):
     o = F.broadcast(view(spark, d, "fx_overrides").select("c", "manual_query"))
-    return view(spark, d, "fx_queries").join(o, "c", "left").select("c", F.coalesce("manual_query", "concept").alias("query"))
+    return view(spark, d, "fx_queries").join(o, "c", "left").select(
+        "c", F.coalesce("manual_query", "concept").alias("query")
+    )
 
 
-@Q.add("g01_pool_sets", "WITH " + KW + f", {SIMS}, near AS (SELECT c, uri FROM sims WHERE sim_score >= 0.05) SELECT 'both' AS kind, count(*) AS n FROM (SELECT c, uri FROM kws INTERSECT SELECT c, uri FROM near) UNION ALL SELECT 'any', count(*) FROM (SELECT c, uri FROM kws UNION SELECT c, uri FROM near) UNION ALL SELECT 'keyword only', count(*) FROM (SELECT c, uri FROM kws EXCEPT SELECT c, uri FROM near)")
+@Q.add(
+    "g01_pool_sets",
+    "WITH " + KW + f", {SIMS}, near AS (SELECT c, uri FROM sims WHERE sim_score >= 0.05) SELECT 'both' AS kind, count(*) AS n FROM (SELECT c, uri FROM kws INTERSECT SELECT c, uri FROM near) UNION ALL SELECT 'any', count(*) FROM (SELECT c, uri FROM kws UNION SELECT c, uri FROM near) UNION ALL SELECT 'keyword only', count(*) FROM (SELECT c, uri FROM kws EXCEPT SELECT c, uri FROM near)"
+)
 def g01(spark, d):
     kw = R.bm25_search(K.doc_queries(spark, d), K.doc_postings(spark, d)).select("c", "uri")
     near = similar(spark, d, min_score=0.05).select("c", "uri")
     count = lambda df, k: df.agg(F.lit(k).alias("kind"), F.count(F.lit(1)).alias("n"))
-    return count(kw.intersect(near), "both").unionByName(count(kw.union(near).distinct(), "any")).unionByName(count(kw.subtract(near), "keyword only"))
+    return count(kw.intersect(near), "both").unionByName(count(kw.union(near).distinct(), "any")).unionByName(
+        count(kw.subtract(near), "keyword only")
+    )

@@ -30,20 +30,38 @@ def definitions(spark, d):
     rows = spark.sql(PLACED + " SELECT * FROM x").withColumn("types", F.array("p_type"))
     link = "uri, label AS `skos:prefLabel`"
     inside = rows.groupBy("k", "concept", "theme", "t").agg(
-        F.expr(f"transform(array_sort(collect_list(struct(j, {link}, weight AS concept_weight, types AS type))), a -> struct(a.uri, a.`skos:prefLabel`, a.concept_weight, a.type))").alias("attributes"),
+        F.expr(
+            f"transform(array_sort(collect_list(struct(j, {link}, weight AS concept_weight, types AS type))), a -> struct(a.uri, a.`skos:prefLabel`, a.concept_weight, a.type))"
+        ).alias("attributes"),
         F.round(F.sum("weight"), 4).alias("w"), F.count(F.lit(1)).alias("n_all"), F.count("uri").alias("n_uri"),
     )
     themes = inside.groupBy("k").agg(
-        F.expr("transform(array_sort(collect_list(struct(t, theme AS theme_name, CASE WHEN theme = 'R' THEN 'Must have 1' ELSE 'Optional' END AS rule_applied, w AS normalized_theme_weight, attributes))), a -> struct(a.theme_name, CAST(NULL AS STRING) AS theme_type, a.rule_applied, a.normalized_theme_weight, CAST(NULL AS STRING) AS subScore, '' AS llm_summary, transform(a.attributes, b -> struct(b.uri, b.`skos:prefLabel`, b.concept_weight, b.type, CAST(NULL AS STRING) AS comment)) AS attributes))").alias("themes"),
-        F.expr("transform(array_sort(collect_list(struct(t, 'sub ' || theme AS subscore_name, w AS weight))), a -> struct(a.subscore_name, a.weight))").alias("additional_relevant_subscores"),
-        F.expr("map_from_entries(collect_list(struct(theme, struct(n_all AS llm_assigned_count, n_uri AS attributes_after_weighting, 'Processed' AS status, theme = 'A' AS rule_failed))))").alias("runs"),
+        F.expr(
+            "transform(array_sort(collect_list(struct(t, theme AS theme_name, CASE WHEN theme = 'R' THEN 'Must have 1' ELSE 'Optional' END AS rule_applied, w AS normalized_theme_weight, attributes))), a -> struct(a.theme_name, CAST(NULL AS STRING) AS theme_type, a.rule_applied, a.normalized_theme_weight, CAST(NULL AS STRING) AS subScore, '' AS llm_summary, transform(a.attributes, b -> struct(b.uri, b.`skos:prefLabel`, b.concept_weight, b.type, CAST(NULL AS STRING) AS comment)) AS attributes))"
+        ).alias("themes"),
+        F.expr(
+            "transform(array_sort(collect_list(struct(t, 'sub ' || theme AS subscore_name, w AS weight))), a -> struct(a.subscore_name, a.weight))"
+        ).alias("additional_relevant_subscores"),
+        F.expr(
+            "map_from_entries(collect_list(struct(theme, struct(n_all AS llm_assigned_count, n_uri AS attributes_after_weighting, 'Processed' AS status, theme = 'A' AS rule_failed))))"
+        ).alias("runs"),
     )
-    listed = lambda where, fields, take: F.expr(f"transform(array_sort(collect_list(struct(i, {fields})) FILTER (WHERE {where})), a -> struct({take}))")
+    listed = lambda where, fields, take: F.expr(
+        f"transform(array_sort(collect_list(struct(i, {fields})) FILTER (WHERE {where})), a -> struct({take}))"
+    )
     whole = rows.groupBy("k", "concept").agg(
-        listed("true", f"{link}, weight AS concept_weight, types AS type", "a.uri, a.`skos:prefLabel`, a.concept_weight, a.type, CAST(NULL AS STRING) AS comment").alias("top_defining_attributes"),
-        listed("line_status = 'O'", f"{link}, weight AS combined_score, types AS type", "a.uri, a.`skos:prefLabel`, a.combined_score, a.type").alias("key_associated_concepts_unthemed"),
+        listed(
+            "true", f"{link}, weight AS concept_weight, types AS type",
+            "a.uri, a.`skos:prefLabel`, a.concept_weight, a.type, CAST(NULL AS STRING) AS comment"
+        ).alias("top_defining_attributes"),
+        listed(
+            "line_status = 'O'", f"{link}, weight AS combined_score, types AS type",
+            "a.uri, a.`skos:prefLabel`, a.combined_score, a.type"
+        ).alias("key_associated_concepts_unthemed"),
         listed("n = 1", f"{link}, 'Found' AS scope", "a.uri, a.`skos:prefLabel`, a.scope").alias("must_not_have"),
-        F.expr("min_by(struct(uri, label, types, array('seen in ' || concept, '') AS definitions, weight AS sbert_score, CAST(NULL AS DOUBLE) AS keyword_score, weight AS combined_score, weight AS combined_score_unbiased, k % 2 = 0 AS biased, CAST(0.5 AS DOUBLE) AS effective_alpha, CASE WHEN k % 3 = 0 THEN 'core' ELSE '' END AS bias_reason), i)").alias("travel_category"),
+        F.expr(
+            "min_by(struct(uri, label, types, array('seen in ' || concept, '') AS definitions, weight AS sbert_score, CAST(NULL AS DOUBLE) AS keyword_score, weight AS combined_score, weight AS combined_score_unbiased, k % 2 = 0 AS biased, CAST(0.5 AS DOUBLE) AS effective_alpha, CASE WHEN k % 3 = 0 THEN 'core' ELSE '' END AS bias_reason), i)"
+        ).alias("travel_category"),
     )
     d = whole.join(themes, "k").selectExpr(
         "concept AS input_concept", "concept AS normalized_concept", "CASE WHEN k % 2 = 0 THEN 'Both' ELSE '' END AS applicable_lodging_types", "CAST(k % 100 AS DOUBLE) / 100 AS affinity_score_total_allocated", "k % 3 = 0 AS requires_geo_check",
@@ -65,7 +83,9 @@ _IN_THEME = f"{_THEME} || '_' || {_LABEL} || '_' || CAST(j AS VARCHAR)"
 _PLACE = "CAST(row_number() OVER (PARTITION BY k ORDER BY i) - 1 AS VARCHAR)"
 
 
-def _node(source: str, s: str, kind: str | None, *pairs: tuple[str, str, str], link: tuple[str, str] | None = None) -> list[str]:
+def _node(
+    source: str, s: str, kind: str | None, *pairs: tuple[str, str, str], link: tuple[str, str] | None = None
+) -> list[str]:
     """SELECTs of the triples of one kind of node."""
     out = [] if kind is None else [(_RDF_TYPE, f"'{BASE}{kind}'", "uri")]
     out += [(p if p.startswith("http") else BASE + p, v, k) for p, v, k in pairs]
@@ -73,39 +93,110 @@ def _node(source: str, s: str, kind: str | None, *pairs: tuple[str, str, str], l
     return rows + ([f"SELECT {link[0]}, '{BASE}{link[1]}', {s}, 'uri' FROM {source}"] if link else [])
 
 
-_RANKED = [("attributeUri", "uri", "uri"), ("attributeSkosPrefLabel", "label", "literal"), ("attributeConceptWeight", "weight", "decimal"), ("attributeObservedType", "p_type", "literal")]
+_RANKED = [
+    ("attributeUri", "uri", "uri"), ("attributeSkosPrefLabel", "label", "literal"),
+    ("attributeConceptWeight", "weight", "decimal"), ("attributeObservedType", "p_type", "literal")
+]
 _ONE = f"{_AT}stage1'"
 _NEG = f"{_AT}negation'"
 _DIAG = f"{_AT}diagnostics'"
 _NODES = [
-    *_node("o", _ME, "AffinityDefinition", ("http://www.w3.org/2004/02/skos/core#prefLabel", "'Affinity Definition for ' || chr(39) || concept || chr(39)", "literal"), ("inputConcept", "concept", "literal"), ("normalizedConcept", "concept", "literal"),
-           ("applicableLodgingTypes", "CASE WHEN k % 2 = 0 THEN 'Both' END", "literal"), ("affinityScoreTotalAllocated", "(k % 100) / 100.0::DOUBLE", "decimal"), ("requiresGeoCheck", "k % 3 = 0", "boolean")),
-    *_node("(SELECT * FROM x WHERE i = 0 AND uri IS NOT NULL)", f"{_AT}anchor'", "TravelCategoryLink", ("linkedConceptUri", "uri", "uri"), ("observedLabel", "label", "literal"), ("sbertScore", "weight", "double"), ("combinedScore", "weight", "double"),
-           ("combinedScoreUnbiased", "weight", "double"), ("isBiased", "k % 2 = 0", "boolean"), ("effectiveAlpha", "0.5::DOUBLE", "double"), ("biasReason", "CASE WHEN k % 3 = 0 THEN 'core' END", "literal"), ("observedType", "p_type", "literal"),
+    *_node("o", _ME, "AffinityDefinition", (
+        "http://www.w3.org/2004/02/skos/core#prefLabel", "'Affinity Definition for ' || chr(39) || concept || chr(39)",
+        "literal"
+    ), ("inputConcept", "concept", "literal"), ("normalizedConcept", "concept", "literal"),
+           (
+               "applicableLodgingTypes", "CASE WHEN k % 2 = 0 THEN 'Both' END", "literal"
+           ), (
+               "affinityScoreTotalAllocated", "(k % 100) / 100.0::DOUBLE", "decimal"
+           ), ("requiresGeoCheck", "k % 3 = 0", "boolean")),
+    *_node("(SELECT * FROM x WHERE i = 0 AND uri IS NOT NULL)", f"{_AT}anchor'", "TravelCategoryLink", (
+        "linkedConceptUri", "uri", "uri"
+    ), ("observedLabel", "label", "literal"), ("sbertScore", "weight", "double"), ("combinedScore", "weight", "double"),
+           (
+               "combinedScoreUnbiased", "weight", "double"
+           ), ("isBiased", "k % 2 = 0", "boolean"), ("effectiveAlpha", "0.5::DOUBLE", "double"), (
+               "biasReason", "CASE WHEN k % 3 = 0 THEN 'core' END", "literal"
+           ), ("observedType", "p_type", "literal"),
            ("observedDefinition", "'seen in ' || concept", "literal"), link=(_ME, "hasTravelCategory")),
-    *_node("(SELECT * FROM x WHERE uri IS NOT NULL)", _TOP, "RankedAttributeLink", *_RANKED, link=(_ME, "hasTopDefiningAttribute")),
-    *_node("th", _THEME, "ThemeInstance", ("themeName", "theme", "literal"), ("themeRuleApplied", "CASE WHEN theme = 'R' THEN 'Must have 1' ELSE 'Optional' END", "literal"), ("themeNormalizedWeight", "w", "decimal"),
-           ("diagnosticThemeLLMAssignedCount", "n_all", "integer"), ("diagnosticThemeAttributesAfterWeighting", "n_uri", "integer"), ("diagnosticThemeStatus", "'Processed'", "literal"), ("diagnosticThemeRuleFailed", "theme = 'A'", "boolean"), link=(_ME, "hasTheme")),
-    *_node("(SELECT * FROM x WHERE uri IS NOT NULL)", _IN_THEME, "RankedAttributeLink", *_RANKED, link=(_THEME, "hasRankedAttribute")),
-    *_node(f"(SELECT * FROM (SELECT *, {_PLACE} AS u FROM x WHERE line_status = 'O') WHERE uri IS NOT NULL)", f"{_AT}unthemed_' || {_LABEL} || '_' || u", "UnthemedConceptLink", ("conceptUri", "uri", "uri"), ("conceptSkosPrefLabel", "label", "literal"),
-           ("conceptCombinedScore", "weight", "double"), ("conceptObservedType", "p_type", "literal"), link=(_ME, "hasKeyAssociatedConceptUnthemed")),
-    *_node("th", f"{_AT}subscore_' || url_encode('sub_' || theme) || '_' || CAST(t AS VARCHAR)", "SubscoreWeighting", ("subscoreName", "'sub ' || theme", "literal"), ("weightValue", "w", "double"), link=(_ME, "hasAdditionalRelevantSubscore")),
-    *_node(f"(SELECT * FROM (SELECT *, {_PLACE} AS u FROM x WHERE n = 1) WHERE uri IS NOT NULL)", f"{_AT}must_not_have_' || {_LABEL} || '_' || u", "MustNotHaveLink", ("conceptUri", "uri", "uri"), ("conceptSkosPrefLabel", "label", "literal"),
+    *_node(
+        "(SELECT * FROM x WHERE uri IS NOT NULL)", _TOP, "RankedAttributeLink", *_RANKED,
+        link=(_ME, "hasTopDefiningAttribute")
+    ),
+    *_node("th", _THEME, "ThemeInstance", ("themeName", "theme", "literal"), (
+        "themeRuleApplied", "CASE WHEN theme = 'R' THEN 'Must have 1' ELSE 'Optional' END", "literal"
+    ), ("themeNormalizedWeight", "w", "decimal"),
+           ("diagnosticThemeLLMAssignedCount", "n_all", "integer"), (
+               "diagnosticThemeAttributesAfterWeighting", "n_uri", "integer"
+           ), ("diagnosticThemeStatus", "'Processed'", "literal"), (
+               "diagnosticThemeRuleFailed", "theme = 'A'", "boolean"
+           ), link=(_ME, "hasTheme")),
+    *_node(
+        "(SELECT * FROM x WHERE uri IS NOT NULL)", _IN_THEME, "RankedAttributeLink", *_RANKED,
+        link=(_THEME, "hasRankedAttribute")
+    ),
+    *_node(f"(SELECT * FROM (SELECT *, {_PLACE} AS u FROM x WHERE line_status = 'O') WHERE uri IS NOT NULL)", f"{_AT}unthemed_' || {_LABEL} || '_' || u", "UnthemedConceptLink", ("conceptUri", "uri", "uri"), (
+        "conceptSkosPrefLabel", "label", "literal"
+    ),
+           (
+               "conceptCombinedScore", "weight", "double"
+           ), ("conceptObservedType", "p_type", "literal"), link=(_ME, "hasKeyAssociatedConceptUnthemed")),
+    *_node(
+        "th", f"{_AT}subscore_' || url_encode('sub_' || theme) || '_' || CAST(t AS VARCHAR)", "SubscoreWeighting",
+        ("subscoreName", "'sub ' || theme", "literal"), ("weightValue", "w", "double"),
+        link=(_ME, "hasAdditionalRelevantSubscore")
+    ),
+    *_node(f"(SELECT * FROM (SELECT *, {_PLACE} AS u FROM x WHERE n = 1) WHERE uri IS NOT NULL)", f"{_AT}must_not_have_' || {_LABEL} || '_' || u", "MustNotHaveLink", ("conceptUri", "uri", "uri"), (
+        "conceptSkosPrefLabel", "label", "literal"
+    ),
            ("identificationScope", "'Found'", "literal"), link=(_ME, "hasMustNotHaveConcept")),
-    *_node("(SELECT * FROM o WHERE k % 7 <> 0)", f"{_AT}metadata'", "ProcessingMetadata", ("processingStatus", "'Success'", "literal"), ("engineVersion", "'1.0'", "literal"), ("timestamp", "'1995-01-01T00:00:00'", "dateTime"),
-           ("totalDurationSeconds", "1.5", "decimal"), ("llmProviderUsed", "'none'", "literal"), link=(_ME, "hasProcessingMetadata")),
-    *_node("o", _DIAG, "DiagnosticsBundle", ("diagLodgingTypeDeterminationResult", "'Both'", "literal"), link=(_ME, "hasDiagnostics")),
-    *_node("o", _NEG, "LLMNegationDiagnostics", ("llmNegAttempted", "true", "boolean"), ("llmNegSuccess", "n_not > 0", "boolean"), ("llmNegUrisFound", "n_not", "integer"), link=(_DIAG, "diagHasLLMNegationDiagnostics")),
-    *_node("(SELECT * FROM x WHERE n = 1 AND uri IS NOT NULL)", _NEG, None, ("llmNegIdentifiedNegatingUri", "uri", "uri")),
-    *_node("o", _ONE, "Stage1Diagnostics", ("s1Status", "'Completed'", "literal"), ("s1SbertCandidateCountInitial", "n_all", "integer"), link=(_DIAG, "diagHasStage1Diagnostics")),
-    *_node("o", f"{_AT}expansion'", "ExpansionDiagnostics", ("expAttempted", "true", "boolean"), ("expTerm", "'term'", "literal"), ("expTerm", "concept", "literal"), link=(_ONE, "s1HasExpansionDetails")),
-    *_node("o", f"{_AT}slotting'", "LLMSlottingDiagnostics", ("llmsStatus", "'Done'", "literal"), link=(_DIAG, "diagHasLLMSlottingDiagnostics")),
-    *_node("o", f"{_AT}reprompting'", "RepromptingFallbackDiagnostics", ("rfAttempts", "k % 4", "integer"), link=(_DIAG, "diagHasRepromptingFallbackDiagnostics")),
-    *_node("o", f"{_AT}stage2'", "Stage2Diagnostics", ("s2Status", "'Completed'", "literal"), link=(_DIAG, "diagHasStage2Diagnostics")),
-    *_node("o", f"{_AT}counts'", "FinalOutputCounts", ("foMustNotHaveCount", "n_not", "integer"), ("foAdditionalSubscoresCount", "n_themes", "integer"), link=(_DIAG, "diagHasFinalOutputCounts")),
+    *_node("(SELECT * FROM o WHERE k % 7 <> 0)", f"{_AT}metadata'", "ProcessingMetadata", (
+        "processingStatus", "'Success'", "literal"
+    ), ("engineVersion", "'1.0'", "literal"), ("timestamp", "'1995-01-01T00:00:00'", "dateTime"),
+           (
+               "totalDurationSeconds", "1.5", "decimal"
+           ), ("llmProviderUsed", "'none'", "literal"), link=(_ME, "hasProcessingMetadata")),
+    *_node(
+        "o", _DIAG, "DiagnosticsBundle", ("diagLodgingTypeDeterminationResult", "'Both'", "literal"),
+        link=(_ME, "hasDiagnostics")
+    ),
+    *_node(
+        "o", _NEG, "LLMNegationDiagnostics", ("llmNegAttempted", "true", "boolean"),
+        ("llmNegSuccess", "n_not > 0", "boolean"), ("llmNegUrisFound", "n_not", "integer"),
+        link=(_DIAG, "diagHasLLMNegationDiagnostics")
+    ),
+    *_node(
+        "(SELECT * FROM x WHERE n = 1 AND uri IS NOT NULL)", _NEG, None, ("llmNegIdentifiedNegatingUri", "uri", "uri")
+    ),
+    *_node(
+        "o", _ONE, "Stage1Diagnostics", ("s1Status", "'Completed'", "literal"),
+        ("s1SbertCandidateCountInitial", "n_all", "integer"), link=(_DIAG, "diagHasStage1Diagnostics")
+    ),
+    *_node(
+        "o", f"{_AT}expansion'", "ExpansionDiagnostics", ("expAttempted", "true", "boolean"),
+        ("expTerm", "'term'", "literal"), ("expTerm", "concept", "literal"), link=(_ONE, "s1HasExpansionDetails")
+    ),
+    *_node(
+        "o", f"{_AT}slotting'", "LLMSlottingDiagnostics", ("llmsStatus", "'Done'", "literal"),
+        link=(_DIAG, "diagHasLLMSlottingDiagnostics")
+    ),
+    *_node(
+        "o", f"{_AT}reprompting'", "RepromptingFallbackDiagnostics", ("rfAttempts", "k % 4", "integer"),
+        link=(_DIAG, "diagHasRepromptingFallbackDiagnostics")
+    ),
+    *_node(
+        "o", f"{_AT}stage2'", "Stage2Diagnostics", ("s2Status", "'Completed'", "literal"),
+        link=(_DIAG, "diagHasStage2Diagnostics")
+    ),
+    *_node(
+        "o", f"{_AT}counts'", "FinalOutputCounts", ("foMustNotHaveCount", "n_not", "integer"),
+        ("foAdditionalSubscoresCount", "n_themes", "integer"), link=(_DIAG, "diagHasFinalOutputCounts")
+    ),
 ]
 _ORDERS = "o AS (SELECT k, concept, count(*) AS n_all, count(*) FILTER (n = 1) AS n_not, count(DISTINCT theme) AS n_themes FROM x GROUP BY k, concept), th AS (SELECT k, concept, theme, t, round(sum(weight), 4) AS w, count(*) AS n_all, count(uri) AS n_uri FROM x GROUP BY k, concept, theme, t)"
-TRIPLES = PLACED.replace("x AS (", "x AS MATERIALIZED (") + f", {_ORDERS}, dt AS MATERIALIZED (SELECT * FROM ({' UNION ALL '.join(_NODES)}) WHERE o IS NOT NULL)"
+TRIPLES = PLACED.replace(
+    "x AS (", "x AS MATERIALIZED ("
+) + f", {_ORDERS}, dt AS MATERIALIZED (SELECT * FROM ({' UNION ALL '.join(_NODES)}) WHERE o IS NOT NULL)"
 _JSON = BASE + "diagThemeProcessingDetailsJson"  # JSON text, which the engines write differently: read back in its own query
 LINKS = f"('{BASE}attributeUri', '{BASE}linkedConceptUri')"
 _SUM = "count(*) AS n, bit_xor(CAST('0x' || substr(md5(s || '|' || o), 1, 15) AS BIGINT)) AS checksum"
@@ -114,14 +205,18 @@ _SUM = "count(*) AS n, bit_xor(CAST('0x' || substr(md5(s || '|' || o), 1, 15) AS
 def summed(t):
     """Number and checksum of the triples, by property, kind and part of the subjects."""
     checksum = F.bit_xor(F.conv(F.substring(F.md5(F.concat("s", F.lit("|"), "o")), 1, 15), 16, 10).cast("long"))
-    return t.groupBy("p", "o_kind", F.substring(F.md5("s"), 1, 1).alias("part")).agg(F.count(F.lit(1)).alias("n"), checksum.alias("checksum"))
+    return t.groupBy(
+        "p", "o_kind", F.substring(F.md5("s"), 1, 1).alias("part")
+    ).agg(F.count(F.lit(1)).alias("n"), checksum.alias("checksum"))
 
 
 def triples(spark, d):
     return H.definition_triples(definitions(spark, d))
 
 
-@Q.add("h01_definition_triples", TRIPLES + f" SELECT p, o_kind, substr(md5(s), 1, 1) AS part, {_SUM} FROM dt GROUP BY ALL")
+@Q.add(
+    "h01_definition_triples", TRIPLES + f" SELECT p, o_kind, substr(md5(s), 1, 1) AS part, {_SUM} FROM dt GROUP BY ALL"
+)
 def h01(spark, d):
     """All triples; the checksums change if any of them does."""
     return summed(triples(spark, d).filter(F.col("p") != _JSON))
@@ -130,8 +225,16 @@ def h01(spark, d):
 @Q.add("h01_theme_processing", TRIPLES + f" SELECT {_DIAG} AS s, theme, n_all AS assigned, n_uri AS weighted FROM th")
 def h01b(spark, d):
     """What the bundle of diagnostics says of the themes, read back from its JSON text."""
-    t = triples(spark, d).filter(F.col("p") == _JSON).select("s", F.explode(F.from_json("o", "map<string,struct<llm_assigned_count:bigint,attributes_after_weighting:bigint>>")).alias("theme", "run"))
-    return t.select("s", "theme", F.col("run.llm_assigned_count").alias("assigned"), F.col("run.attributes_after_weighting").alias("weighted"))
+    t = triples(spark, d).filter(F.col("p") == _JSON).select(
+        "s",
+        F.explode(
+            F.from_json("o", "map<string,struct<llm_assigned_count:bigint,attributes_after_weighting:bigint>>")
+        ).alias("theme", "run")
+    )
+    return t.select(
+        "s", "theme", F.col("run.llm_assigned_count").alias("assigned"),
+        F.col("run.attributes_after_weighting").alias("weighted")
+    )
 
 
 @Q.add("h02_stable_links", TRIPLES + f" SELECT s, o FROM dt WHERE p = '{BASE}attributeUri'")
@@ -139,12 +242,17 @@ def h02(spark, d):
     return triples(spark, d).filter(F.col("p") == BASE + "attributeUri").select("s", "o")
 
 
-@Q.add("a13_ntriple_lines", TRIPLES + f" SELECT '<' || s || '> <' || p || '> \"' || o || '\" .' AS value FROM dt WHERE p = '{BASE}observedLabel'")
+@Q.add(
+    "a13_ntriple_lines",
+    TRIPLES + f" SELECT '<' || s || '> <' || p || '> \"' || o || '\" .' AS value FROM dt WHERE p = '{BASE}observedLabel'"
+)
 def a13(spark, d):
     return ntriple_lines(triples(spark, d).filter(F.col("p") == BASE + "observedLabel"))
 
 
-@Q.add("j08_resumable_convert", TRIPLES + f" SELECT p, o_kind, substr(md5(s), 1, 1) AS part, {_SUM} FROM dt GROUP BY ALL")
+@Q.add(
+    "j08_resumable_convert", TRIPLES + f" SELECT p, o_kind, substr(md5(s), 1, 1) AS part, {_SUM} FROM dt GROUP BY ALL"
+)
 def j08(spark, d):
     """Definitions as files, converted by the stream in batches that a restart would go on from."""
     base = new_folder(spark, "convert")
@@ -162,19 +270,38 @@ _PARTS = " UNION ALL ".join([
 def parts_of(d):
     """A definition's arrays as rows (kind, concept, i, uri, label, w)."""
     label = "`skos:prefLabel`"
-    of = lambda kind, source, uri, name, w: d.selectExpr("input_concept AS concept", f"posexplode({source}) AS (i, x)").selectExpr(f"{kind} AS kind", "concept", "CAST(i AS BIGINT) AS i", f"{uri} AS uri", f"{name} AS label", f"{w} AS w")
+    of = lambda kind, source, uri, name, w: d.selectExpr(
+        "input_concept AS concept", f"posexplode({source}) AS (i, x)"
+    ).selectExpr(
+        f"{kind} AS kind", "concept", "CAST(i AS BIGINT) AS i", f"{uri} AS uri", f"{name} AS label", f"{w} AS w"
+    )
     none = "CAST(NULL AS STRING)"
-    inside = d.selectExpr("input_concept AS concept", "explode(themes) AS t").selectExpr("concept", "t.theme_name AS theme", "posexplode(t.attributes) AS (i, x)")
-    out = d.selectExpr("'definition' AS kind", "input_concept AS concept", "0L AS i", f"{none} AS uri", f"{none} AS label", "affinity_score_total_allocated AS w")
+    inside = d.selectExpr("input_concept AS concept", "explode(themes) AS t").selectExpr(
+        "concept", "t.theme_name AS theme", "posexplode(t.attributes) AS (i, x)"
+    )
+    out = d.selectExpr(
+        "'definition' AS kind", "input_concept AS concept", "0L AS i", f"{none} AS uri", f"{none} AS label",
+        "affinity_score_total_allocated AS w"
+    )
     for df in (
-        of("'top'", "top_defining_attributes", "x.uri", f"x.{label}", "x.concept_weight"), of("'theme'", "themes", none, "x.theme_name", "x.normalized_theme_weight"), inside.selectExpr("'in theme ' || theme AS kind", "concept", "CAST(i AS BIGINT) AS i", "x.uri", f"x.{label} AS label", "x.concept_weight AS w"),
-        of("'unthemed'", "key_associated_concepts_unthemed", "x.uri", f"x.{label}", "x.combined_score"), of("'subscore'", "additional_relevant_subscores", none, "x.subscore_name", "x.weight"),
+        of(
+            "'top'", "top_defining_attributes", "x.uri", f"x.{label}", "x.concept_weight"
+        ), of("'theme'", "themes", none, "x.theme_name", "x.normalized_theme_weight"), inside.selectExpr(
+            "'in theme ' || theme AS kind", "concept", "CAST(i AS BIGINT) AS i", "x.uri", f"x.{label} AS label",
+            "x.concept_weight AS w"
+        ),
+        of(
+            "'unthemed'", "key_associated_concepts_unthemed", "x.uri", f"x.{label}", "x.combined_score"
+        ), of("'subscore'", "additional_relevant_subscores", none, "x.subscore_name", "x.weight"),
     ):
         out = out.unionByName(df)
     return out
 
 
-@Q.add("a11_read_definitions", TRIPLES.split(", dt AS")[0] + f" {_PARTS} UNION ALL SELECT 'issue FORMAT', NULL, NULL, NULL, '7', NULL")
+@Q.add(
+    "a11_read_definitions",
+    TRIPLES.split(", dt AS")[0] + f" {_PARTS} UNION ALL SELECT 'issue FORMAT', NULL, NULL, NULL, '7', NULL"
+)
 def a11(spark, d):
     """Definitions through JSON array files, with a file of a single object and an item that is none."""
     base = new_folder(spark, "definitions")
@@ -184,7 +311,12 @@ def a11(spark, d):
     one.coalesce(1).write.text(f"{base}/single")
     spark.range(1).select(F.lit("[7]").alias("value")).coalesce(1).write.text(f"{base}/odd")
     good, issues = S.read_definitions(spark, f"{base}/*")
-    return parts_of(good).unionByName(issues.selectExpr("concat('issue ', category) AS kind", "CAST(NULL AS STRING) AS concept", "CAST(NULL AS BIGINT) AS i", "CAST(NULL AS STRING) AS uri", "message AS label", "CAST(NULL AS DOUBLE) AS w"))
+    return parts_of(good).unionByName(
+        issues.selectExpr(
+            "concat('issue ', category) AS kind", "CAST(NULL AS STRING) AS concept", "CAST(NULL AS BIGINT) AS i",
+            "CAST(NULL AS STRING) AS uri", "message AS label", "CAST(NULL AS DOUBLE) AS w"
+        )
+    )
 
 
 @Q.add("a12_write_definitions", TRIPLES.split(", dt AS")[0] + " SELECT concept, n_all AS n_top, n_themes FROM o")
@@ -193,19 +325,29 @@ def a12(spark, d):
     path = new_folder(spark, "written")
     S.write_definitions(definitions(spark, d), path)
     rows = spark.read.schema(DEFINITION).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    return rows.select(F.col("input_concept").alias("concept"), F.size("top_defining_attributes").cast("long").alias("n_top"), F.size("themes").cast("long").alias("n_themes"))
+    return rows.select(
+        F.col("input_concept").alias("concept"), F.size("top_defining_attributes").cast("long").alias("n_top"),
+        F.size("themes").cast("long").alias("n_themes")
+    )
 
 
 _TYPES = "types AS (SELECT DISTINCT p_type AS type, CASE WHEN p_type <> 'PROMO' THEN 'urn:class:' || lower(p_type) END AS class FROM part)"
 
 
-@Q.add("h03_type_to_class", f"WITH {_TYPES} SELECT p_partkey, coalesce(class, 'unmapped') AS class FROM part JOIN types ON type = p_type")
+@Q.add(
+    "h03_type_to_class",
+    f"WITH {_TYPES} SELECT p_partkey, coalesce(class, 'unmapped') AS class FROM part JOIN types ON type = p_type"
+)
 def h03(spark, d):
     p = view(spark, d, "part")
-    types = p.filter("p_type <> 'PROMO'").selectExpr("p_type AS type", "'urn:class:' || lower(p_type) AS class").distinct()
+    types = p.filter("p_type <> 'PROMO'").selectExpr(
+        "p_type AS type", "'urn:class:' || lower(p_type) AS class"
+    ).distinct()
     rows = p.select("p_partkey", F.col("p_type").alias("type"))
     good, bad = H.type_to_class(rows, types)
-    return good.select("p_partkey", "class").unionByName(rows.join(F.broadcast(bad), "type", "left_semi").select("p_partkey", F.lit("unmapped").alias("class")))
+    return good.select("p_partkey", "class").unionByName(
+        rows.join(F.broadcast(bad), "type", "left_semi").select("p_partkey", F.lit("unmapped").alias("class"))
+    )
 
 
 MISSING = PLACED + ", mi AS (SELECT 'WARNING' AS severity, 'DATA_MISSING' AS category, 'no uri' AS message, concept || '.top_defining_attributes[' || CAST(i AS VARCHAR) || ']' AS location FROM x WHERE uri IS NULL UNION ALL SELECT 'WARNING', 'DATA_MISSING', 'no label', concept || '.top_defining_attributes[' || CAST(i AS VARCHAR) || ']' FROM x WHERE label IS NULL)"
@@ -219,7 +361,10 @@ def h04(spark, d):
 _BAD = "array_to_string(list_sort(list_distinct(regexp_extract_all(uri, '[ <>\"{{}}|\\\\^`]'))), '')".replace("{{", "{").replace("}}", "}")
 
 
-@Q.add("h05_uri_issues", TRIPLES + f", u AS (SELECT DISTINCT 'subject' AS pos, s AS uri FROM dt UNION SELECT 'predicate', p FROM dt UNION SELECT 'object', o FROM dt WHERE o_kind = 'uri') SELECT 'ERROR' AS severity, 'URI' AS category, 'invalid characters: ' || {_BAD} AS message, pos || ' ' || uri AS location FROM u WHERE {_BAD} <> '' UNION ALL SELECT 'WARNING', 'URI', 'scheme is not http, https or urn', pos || ' ' || uri FROM u WHERE NOT regexp_matches(uri, '^(http|https|urn):')")
+@Q.add(
+    "h05_uri_issues",
+    TRIPLES + f", u AS (SELECT DISTINCT 'subject' AS pos, s AS uri FROM dt UNION SELECT 'predicate', p FROM dt UNION SELECT 'object', o FROM dt WHERE o_kind = 'uri') SELECT 'ERROR' AS severity, 'URI' AS category, 'invalid characters: ' || {_BAD} AS message, pos || ' ' || uri AS location FROM u WHERE {_BAD} <> '' UNION ALL SELECT 'WARNING', 'URI', 'scheme is not http, https or urn', pos || ' ' || uri FROM u WHERE NOT regexp_matches(uri, '^(http|https|urn):')"
+)
 def h05(spark, d):
     return H.uri_issues(triples(spark, d))
 
@@ -227,46 +372,76 @@ def h05(spark, d):
 _KNOWN = "known AS (SELECT s AS uri FROM fx_triples UNION SELECT o FROM fx_triples WHERE o_kind = 'uri')"
 
 
-@Q.add("h06_taxonomy_issues", TRIPLES + f", {_KNOWN} SELECT 'ERROR' AS severity, 'TAXONOMY' AS category, 'not in taxonomy: ' || o AS message, min(s) AS location FROM dt WHERE p IN {LINKS} AND o NOT IN (SELECT uri FROM known) GROUP BY o")
+@Q.add(
+    "h06_taxonomy_issues",
+    TRIPLES + f", {_KNOWN} SELECT 'ERROR' AS severity, 'TAXONOMY' AS category, 'not in taxonomy: ' || o AS message, min(s) AS location FROM dt WHERE p IN {LINKS} AND o NOT IN (SELECT uri FROM known) GROUP BY o"
+)
 def h06(spark, d):
-    return H.taxonomy_issues(triples(spark, d), view(spark, d, "fx_triples"), [BASE + "attributeUri", BASE + "linkedConceptUri"])
+    return H.taxonomy_issues(
+        triples(spark, d), view(spark, d, "fx_triples"), [BASE + "attributeUri", BASE + "linkedConceptUri"]
+    )
 
 
-@Q.add("d09_uri_sources", TRIPLES + f", f AS (SELECT s AS uri, source_file FROM fx_triples UNION SELECT o, source_file FROM fx_triples WHERE o_kind = 'uri') SELECT uri, array_to_string(list_sort(list(DISTINCT source_file)), ',') AS files FROM f WHERE uri IN (SELECT o FROM dt WHERE p IN {LINKS}) GROUP BY uri")
+@Q.add(
+    "d09_uri_sources",
+    TRIPLES + f", f AS (SELECT s AS uri, source_file FROM fx_triples UNION SELECT o, source_file FROM fx_triples WHERE o_kind = 'uri') SELECT uri, array_to_string(list_sort(list(DISTINCT source_file)), ',') AS files FROM f WHERE uri IN (SELECT o FROM dt WHERE p IN {LINKS}) GROUP BY uri"
+)
 def d09(spark, d):
-    return H.uri_sources(triples(spark, d), view(spark, d, "fx_triples"), [BASE + "attributeUri", BASE + "linkedConceptUri"])
+    return H.uri_sources(
+        triples(spark, d), view(spark, d, "fx_triples"), [BASE + "attributeUri", BASE + "linkedConceptUri"]
+    )
 
 
 _LOC = "CASE WHEN contains(p, '#') THEN list_extract(string_split(p, '#'), -1) ELSE list_extract(string_split(p, '/'), -1) END"
 
 
-@Q.add("h07_namespace_issues", f"WITH used AS (SELECT DISTINCT left(p, length(p) - length({_LOC})) AS namespace FROM fx_triples), req AS (SELECT DISTINCT CASE WHEN r_regionkey = 0 THEN 'http://www.w3.org/2004/02/skos/core#' ELSE 'urn:missing:' END AS namespace FROM region) SELECT namespace, 'missing' AS problem FROM req WHERE namespace NOT IN (SELECT * FROM used) UNION ALL SELECT namespace, 'not listed' FROM used WHERE namespace NOT IN (SELECT * FROM req)")
+@Q.add(
+    "h07_namespace_issues",
+    f"WITH used AS (SELECT DISTINCT left(p, length(p) - length({_LOC})) AS namespace FROM fx_triples), req AS (SELECT DISTINCT CASE WHEN r_regionkey = 0 THEN 'http://www.w3.org/2004/02/skos/core#' ELSE 'urn:missing:' END AS namespace FROM region) SELECT namespace, 'missing' AS problem FROM req WHERE namespace NOT IN (SELECT * FROM used) UNION ALL SELECT namespace, 'not listed' FROM used WHERE namespace NOT IN (SELECT * FROM req)"
+)
 def h07(spark, d):
-    req = view(spark, d, "region").select(F.when(F.col("r_regionkey") == 0, "http://www.w3.org/2004/02/skos/core#").otherwise("urn:missing:").alias("namespace"))
+    req = view(spark, d, "region").select(
+        F.when(
+            F.col("r_regionkey") == 0, "http://www.w3.org/2004/02/skos/core#"
+        ).otherwise("urn:missing:").alias("namespace")
+    )
     return H.namespace_issues(view(spark, d, "fx_triples"), req)
 
 
-@Q.add("e33_issue_summary", MISSING + " SELECT severity, category, count(*) AS n, 0 AS critical FROM mi GROUP BY severity, category")
+@Q.add(
+    "e33_issue_summary",
+    MISSING + " SELECT severity, category, count(*) AS n, 0 AS critical FROM mi GROUP BY severity, category"
+)
 def e33(spark, d):
     return H.issue_summary(H.missing_data_issues(definitions(spark, d)))
 
 
-@Q.add("h09_validation_report", TRIPLES + ", mi AS (SELECT count(*) AS n FROM x WHERE uri IS NULL UNION ALL SELECT count(*) FROM x WHERE label IS NULL) SELECT (SELECT count(*) FROM dt) AS triples, (SELECT count(DISTINCT s) FROM dt) AS subjects, (SELECT count(DISTINCT p) FROM dt) AS predicates, 'WARNING' AS severity, 'DATA_MISSING' AS category, CAST(sum(n) AS BIGINT) AS n FROM mi")
+@Q.add(
+    "h09_validation_report",
+    TRIPLES + ", mi AS (SELECT count(*) AS n FROM x WHERE uri IS NULL UNION ALL SELECT count(*) FROM x WHERE label IS NULL) SELECT (SELECT count(*) FROM dt) AS triples, (SELECT count(DISTINCT s) FROM dt) AS subjects, (SELECT count(DISTINCT p) FROM dt) AS predicates, 'WARNING' AS severity, 'DATA_MISSING' AS category, CAST(sum(n) AS BIGINT) AS n FROM mi"
+)
 def h09(spark, d):
     """The report's JSON text, read back."""
     from ..operators.concepts import triple_stats
 
     made = definitions(spark, d)
-    t = staged(H.definition_triples(made).filter(F.col("p") != _JSON).withColumn("source_file", F.lit("definitions")), "triples")  # read by several counts
+    t = staged(
+        H.definition_triples(made).filter(F.col("p") != _JSON).withColumn("source_file", F.lit("definitions")),
+        "triples"
+    )  # read by several counts
     report = H.validation_report(triple_stats(t), H.missing_data_issues(made))
     schema = "statistics struct<triples:bigint,subjects:bigint,predicates:bigint>, issues array<struct<severity:string,category:string,n:bigint>>"
-    return report.select(F.from_json("report", schema).alias("r")).select("r.statistics.*", F.explode("r.issues").alias("i")).select("triples", "subjects", "predicates", "i.*")
+    return report.select(F.from_json("report", schema).alias("r")).select(
+        "r.statistics.*", F.explode("r.issues").alias("i")
+    ).select("triples", "subjects", "predicates", "i.*")
 
 
 # rule documents: one for each part type, with headings, a rule sentence, key values and tables
 _DOCS = r"""SELECT p_type AS doc_id, '===' || chr(10) || '# ' || p_type || ' theme' || chr(10) || '**Theme Id**: ' || p_type || '-1' || chr(10) || '## Conventional attributes' || chr(10) || 'A property must have ' || CAST(n AS STRING) || ' of the following attributes OR 2 of the following ski attributes AND 3-star rating' || chr(10) || '### Main list' || chr(10) || '| Attribute | AID | UUID |' || chr(10) || '|---|---|---|' || chr(10) || rows || chr(10) || 'Beach shacks do not qualify' || chr(10) || '## Vacation notes' || chr(10) || 'Rooms adjacent to stairs need documentation' || chr(10) || '| Theme | UUID | Automated | Properties |' || chr(10) || '| :-- | - | - | - |' || chr(10) || '| ' || p_type || ' | u-' || p_type || ' | Yes | 1,2' || CAST(n AS STRING) || ' |' || chr(10) || '======' || chr(10) || 'no heading, no block' AS text FROM (SELECT p_type, count(*) AS n, {agg} AS rows FROM (SELECT p_type, p_partkey, '| ' || p_name || ' | ' || CAST(p_partkey AS STRING) || CASE WHEN p_partkey % 2 = 0 THEN ' | id-' || CAST(p_partkey AS STRING) || ' |' ELSE ' |' END AS line FROM part) y GROUP BY p_type) z"""
 _DOCS_DUCK = _DOCS.replace("{agg}", "string_agg(line, chr(10) ORDER BY p_partkey)")
-_DOCS_SPARK = _DOCS.replace("{agg}", "array_join(transform(array_sort(collect_list(struct(p_partkey, line))), s -> s.line), chr(10))")
+_DOCS_SPARK = _DOCS.replace(
+    "{agg}", "array_join(transform(array_sort(collect_list(struct(p_partkey, line))), s -> s.line), chr(10))"
+)
 
 
 def rule_docs(spark, d):
@@ -290,7 +465,10 @@ def i01(spark, d):
     return U.split_blocks(rule_docs(spark, d))
 
 
-@Q.add("i02_line_sections", LINES + " SELECT doc_id, CAST(line_no AS INT) AS line_no, heading, section, subsection, CASE WHEN contains(lower(coalesce(subsection, section, '')), 'conventional') THEN 'conventional' WHEN contains(lower(coalesce(subsection, section, '')), 'vacation') THEN 'vacation' END AS audience FROM sec")
+@Q.add(
+    "i02_line_sections",
+    LINES + " SELECT doc_id, CAST(line_no AS INT) AS line_no, heading, section, subsection, CASE WHEN contains(lower(coalesce(subsection, section, '')), 'conventional') THEN 'conventional' WHEN contains(lower(coalesce(subsection, section, '')), 'vacation') THEN 'vacation' END AS audience FROM sec"
+)
 def i02(spark, d):
     return rule_lines(spark, d).select("doc_id", "line_no", "heading", "section", "subsection", "audience")
 
@@ -300,12 +478,18 @@ tr AS (SELECT *, list_transform(string_split(trim(trim(line), '|'), '|'), lambda
 th AS (SELECT *, first_value(cells) OVER (PARTITION BY doc_id, block, table_no ORDER BY line_no) AS headers FROM tr), tc AS (SELECT doc_id, block, section, subsection, table_no, row_no, unnest(headers) AS header, coalesce(cells[unnest(range(1, len(headers) + 1))], '') AS cell FROM th WHERE row_no > 0)"""
 
 
-@Q.add("i03_markdown_tables", TABLES + " SELECT doc_id, section, subsection, CAST(row_no AS INT) AS row_no, header, cell FROM tc")
+@Q.add(
+    "i03_markdown_tables",
+    TABLES + " SELECT doc_id, section, subsection, CAST(row_no AS INT) AS row_no, header, cell FROM tc"
+)
 def i03(spark, d):
     return U.markdown_tables(rule_lines(spark, d)).select("doc_id", "section", "subsection", "row_no", "header", "cell")
 
 
-@Q.add("i04_key_values", LINES + r" SELECT doc_id, replace(lower(regexp_extract(line, '^\*\*([^*]+)\*\*: (.*)$', 1)), ' ', '_') AS key, regexp_extract(line, '^\*\*([^*]+)\*\*: (.*)$', 2) AS value FROM sec WHERE starts_with(line, '**')")
+@Q.add(
+    "i04_key_values",
+    LINES + r" SELECT doc_id, replace(lower(regexp_extract(line, '^\*\*([^*]+)\*\*: (.*)$', 1)), ' ', '_') AS key, regexp_extract(line, '^\*\*([^*]+)\*\*: (.*)$', 2) AS value FROM sec WHERE starts_with(line, '**')"
+)
 def i04(spark, d):
     return U.key_values(rule_lines(spark, d), ["Theme Id", "Version"]).drop("block")
 
@@ -317,24 +501,38 @@ def i05(spark, d):
     return U.rule_groups(rule_lines(spark, d)).drop("block")
 
 
-@Q.add("i06_attribute_groups", TABLES + " SELECT doc_id, CASE WHEN contains(lower(coalesce(subsection, section, '')), 'main') THEN 'main' WHEN contains(lower(coalesce(subsection, section, '')), 'vacation') THEN 'vacation' ELSE 'main' END AS grp, CAST(row_no AS INT) AS row_no, max(cell) FILTER (lower(header) = 'attribute') AS attribute, max(cell) FILTER (lower(header) = 'aid') AS aid, max(cell) FILTER (lower(header) = 'uuid') AS uuid FROM tc GROUP BY doc_id, grp, table_no, row_no HAVING attribute IS NOT NULL")
+@Q.add(
+    "i06_attribute_groups",
+    TABLES + " SELECT doc_id, CASE WHEN contains(lower(coalesce(subsection, section, '')), 'main') THEN 'main' WHEN contains(lower(coalesce(subsection, section, '')), 'vacation') THEN 'vacation' ELSE 'main' END AS grp, CAST(row_no AS INT) AS row_no, max(cell) FILTER (lower(header) = 'attribute') AS attribute, max(cell) FILTER (lower(header) = 'aid') AS aid, max(cell) FILTER (lower(header) = 'uuid') AS uuid FROM tc GROUP BY doc_id, grp, table_no, row_no HAVING attribute IS NOT NULL"
+)
 def i06(spark, d):
     return U.attribute_groups(U.markdown_tables(rule_lines(spark, d)), ["main", "vacation"]).drop("block")
 
 
-@Q.add("i07_exception_lines", LINES + ", k AS (SELECT doc_id, CAST(line_no AS INT) AS line_no, line, 'disqualifying' AS kind, 'do not qualify' AS p FROM sec UNION ALL SELECT doc_id, line_no, line, 'adjacent', 'adjacent to' FROM sec UNION ALL SELECT doc_id, line_no, line, 'documents', 'documentation|certificate' FROM sec UNION ALL SELECT doc_id, line_no, line, 'country', 'countr(y|ies)' FROM sec) SELECT doc_id, line_no, kind, line FROM k WHERE regexp_matches(lower(line), p)")
+@Q.add(
+    "i07_exception_lines",
+    LINES + ", k AS (SELECT doc_id, CAST(line_no AS INT) AS line_no, line, 'disqualifying' AS kind, 'do not qualify' AS p FROM sec UNION ALL SELECT doc_id, line_no, line, 'adjacent', 'adjacent to' FROM sec UNION ALL SELECT doc_id, line_no, line, 'documents', 'documentation|certificate' FROM sec UNION ALL SELECT doc_id, line_no, line, 'country', 'countr(y|ies)' FROM sec) SELECT doc_id, line_no, kind, line FROM k WHERE regexp_matches(lower(line), p)"
+)
 def i07(spark, d):
     return U.exception_lines(rule_lines(spark, d)).drop("block")
 
 
-@Q.add("i08_theme_summary", TABLES + " SELECT doc_id, CAST(row_no AS INT) AS row_no, max(cell) FILTER (lower(header) = 'theme') AS name, max(cell) FILTER (lower(header) = 'uuid') AS uuid, true AS automated, CAST(replace(max(cell) FILTER (lower(header) = 'properties'), ',', '') AS BIGINT) AS properties FROM tc GROUP BY doc_id, table_no, row_no HAVING name IS NOT NULL")
+@Q.add(
+    "i08_theme_summary",
+    TABLES + " SELECT doc_id, CAST(row_no AS INT) AS row_no, max(cell) FILTER (lower(header) = 'theme') AS name, max(cell) FILTER (lower(header) = 'uuid') AS uuid, true AS automated, CAST(replace(max(cell) FILTER (lower(header) = 'properties'), ',', '') AS BIGINT) AS properties FROM tc GROUP BY doc_id, table_no, row_no HAVING name IS NOT NULL"
+)
 def i08(spark, d):
     return U.theme_summary(U.markdown_tables(rule_lines(spark, d)))
 
 
-@Q.add("i09_excluded_countries", "SELECT DISTINCT upper(left(replace(n_name, '_', ''), 3)) AS code FROM nation WHERE n_nationkey % 2 = 0")
+@Q.add(
+    "i09_excluded_countries",
+    "SELECT DISTINCT upper(left(replace(n_name, '_', ''), 3)) AS code FROM nation WHERE n_nationkey % 2 = 0"
+)
 def i09(spark, d):
-    n = view(spark, d, "nation").selectExpr("CASE WHEN n_nationkey % 2 = 0 THEN upper(left(replace(n_name, '_', ''), 3)) ELSE 'code' END || chr(9) || n_name AS line")
+    n = view(spark, d, "nation").selectExpr(
+        "CASE WHEN n_nationkey % 2 = 0 THEN upper(left(replace(n_name, '_', ''), 3)) ELSE 'code' END || chr(9) || n_name AS line"
+    )
     return U.excluded_countries(n)
 
 
@@ -343,7 +541,10 @@ _RATTR = "SELECT DISTINCT t.theme, t.grp, p_partkey AS attr FROM part JOIN (SELE
 _HELD = "SELECT DISTINCT o_custkey AS p, l_partkey AS attr FROM orders JOIN lineitem ON l_orderkey = o_orderkey"
 
 
-@Q.add("i10_evaluate_rules", f"WITH {RULES}, ra AS ({_RATTR}), held AS ({_HELD}), dq AS (SELECT 't1' AS theme, p_partkey AS attr FROM part WHERE p_partkey % 101 = 0), n AS (SELECT p, theme, grp, count(*) AS n FROM held JOIN ra USING (attr) GROUP BY ALL), ok AS (SELECT p, theme, alt_id, count(*) AS ok FROM n JOIN groups USING (theme, grp) WHERE n >= required_count GROUP BY ALL), need AS (SELECT theme, alt_id, count(*) AS need FROM groups GROUP BY ALL) SELECT p, theme, alt_id FROM ok JOIN need USING (theme, alt_id) WHERE ok = need AND (p, theme) NOT IN (SELECT (p, theme) FROM held JOIN dq USING (attr))")
+@Q.add(
+    "i10_evaluate_rules",
+    f"WITH {RULES}, ra AS ({_RATTR}), held AS ({_HELD}), dq AS (SELECT 't1' AS theme, p_partkey AS attr FROM part WHERE p_partkey % 101 = 0), n AS (SELECT p, theme, grp, count(*) AS n FROM held JOIN ra USING (attr) GROUP BY ALL), ok AS (SELECT p, theme, alt_id, count(*) AS ok FROM n JOIN groups USING (theme, grp) WHERE n >= required_count GROUP BY ALL), need AS (SELECT theme, alt_id, count(*) AS need FROM groups GROUP BY ALL) SELECT p, theme, alt_id FROM ok JOIN need USING (theme, alt_id) WHERE ok = need AND (p, theme) NOT IN (SELECT (p, theme) FROM held JOIN dq USING (attr))"
+)
 def i10(spark, d):
     for t in ("part", "orders", "lineitem"):
         view(spark, d, t).createOrReplaceTempView(t)
@@ -363,17 +564,26 @@ def mapped(spark, d):
     return U.uuid_to_uri(spark.sql(_RU), spark.sql(_UR), uuid_of_uri(F.col("uri")))
 
 
-@Q.add("d13_uuid_to_uri", f"SELECT p_partkey, uuid, CASE WHEN p_partkey % 2 = 0 THEN 'urn:fx:rule:#' || uuid ELSE 'URI not found' END AS uri FROM ({_RU})")
+@Q.add(
+    "d13_uuid_to_uri",
+    f"SELECT p_partkey, uuid, CASE WHEN p_partkey % 2 = 0 THEN 'urn:fx:rule:#' || uuid ELSE 'URI not found' END AS uri FROM ({_RU})"
+)
 def d13(spark, d):
     return mapped(spark, d)
 
 
-@Q.add("e34_coverage", "SELECT count(*) FILTER (p_partkey % 2 = 0) AS found, count(*) FILTER (p_partkey % 2 <> 0) AS not_found, round(100.0 * count(*) FILTER (p_partkey % 2 = 0) / count(*), 2) AS percent FROM part")
+@Q.add(
+    "e34_coverage",
+    "SELECT count(*) FILTER (p_partkey % 2 = 0) AS found, count(*) FILTER (p_partkey % 2 <> 0) AS not_found, round(100.0 * count(*) FILTER (p_partkey % 2 = 0) / count(*), 2) AS percent FROM part"
+)
 def e34(spark, d):
     return U.coverage(mapped(spark, d))
 
 
-@Q.add("d14_theme_rules_merge", f"WITH s AS (SELECT p_name AS name, {_UUID.format('p_partkey')} AS uuid FROM part), r AS (SELECT p_type AS rule, {_UUID.format('2 * p_partkey')} AS uuid FROM part) SELECT coalesce(s.uuid, r.uuid) AS uuid, coalesce(name, 'unmatched') AS name, coalesce(rule, 'No rule document') AS rule FROM s FULL JOIN r ON s.uuid = r.uuid")
+@Q.add(
+    "d14_theme_rules_merge",
+    f"WITH s AS (SELECT p_name AS name, {_UUID.format('p_partkey')} AS uuid FROM part), r AS (SELECT p_type AS rule, {_UUID.format('2 * p_partkey')} AS uuid FROM part) SELECT coalesce(s.uuid, r.uuid) AS uuid, coalesce(name, 'unmatched') AS name, coalesce(rule, 'No rule document') AS rule FROM s FULL JOIN r ON s.uuid = r.uuid"
+)
 def d14(spark, d):
     """Themes of all parts, rules of their doubles: both have some that the other lacks."""
     view(spark, d, "part").createOrReplaceTempView("part")
