@@ -49,7 +49,9 @@ def string_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = texts.fill_null("")
     kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     _, offsets, data = texts.buffers()
-    off = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    off = np.frombuffer(offsets, kind)[
+        texts.offset : texts.offset + len(texts) + 1
+    ].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
     return off, np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
 
 

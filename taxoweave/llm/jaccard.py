@@ -108,12 +108,24 @@ def _signed(texts: DataFrame, n: int) -> DataFrame:
             if slots:
                 sketch += np.bincount(np.concatenate(slots), minlength=SKETCH)
             k = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                    pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())
+                ],
+                names
+            )
         for p in range(SKETCH // PIECE):
             part = sketch[p * PIECE : (p + 1) * PIECE]
             if part.any():
                 blob = _narrow(part)
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([p], pa.int32()), pa.array([blob], pa.binary())], names)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                        pa.nulls(1, pa.int64()), pa.array([p], pa.int32()), pa.array([blob], pa.binary())
+                    ],
+                    names
+                )
 
     return texts.mapInArrow(run, "doc_id long, text_key long, n_shingles long, node long, piece int, counts binary")
 
@@ -128,7 +140,9 @@ def _sketch(signed: DataFrame) -> np.ndarray:
                 sums[p] = sums.get(p, 0) + _wide(blob)
         yield pd.DataFrame({"piece": list(sums), "counts": [_narrow(np.minimum(v, 2**31 - 1)) for v in sums.values()]})
 
-    pieces = signed.filter("piece IS NOT NULL").select("piece", "counts").repartition(SKETCH // PIECE, "piece").mapInPandas(add, "piece int, counts binary").collect()
+    pieces = signed.filter("piece IS NOT NULL").select("piece", "counts").repartition(
+        SKETCH // PIECE, "piece"
+    ).mapInPandas(add, "piece int, counts binary").collect()
     out = np.zeros(SKETCH, np.int32)
     for r in pieces:
         out[r.piece * PIECE : (r.piece + 1) * PIECE] = _wide(r.counts)
@@ -140,7 +154,9 @@ def _classes(sketch: np.ndarray) -> np.ndarray:
     logarithm of what it has beyond the mean.  So the order is by hash, whatever the corpus,
     except for shingles that are frequent beyond doubt."""
     mean = float(sketch.sum(dtype=np.int64)) / len(sketch)
-    return np.where(sketch <= mean + 8 * np.sqrt(mean) + 8, 0, np.log2(np.maximum(sketch - mean, 1)).astype(int)).astype(np.uint8)
+    return np.where(
+        sketch <= mean + 8 * np.sqrt(mean) + 8, 0, np.log2(np.maximum(sketch - mean, 1)).astype(int)
+    ).astype(np.uint8)
 
 
 def _ordered(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -203,7 +219,9 @@ def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], LIST_COLUMNS)
             last, last_kept = [c[-1:] for c in cols], kept
 
-    return prefixes.repartition("h", F.expr(PART)).sortWithinPartitions("h", F.expr(PART), "size", "node").mapInArrow(run, prefixes.schema)
+    return prefixes.repartition("h", F.expr(PART)).sortWithinPartitions(
+        "h", F.expr(PART), "size", "node"
+    ).mapInArrow(run, prefixes.schema)
 
 
 def passing(x: int, first: int, cols: tuple[np.ndarray, ...], percent: int, ask: np.ndarray) -> np.ndarray:
@@ -217,7 +235,10 @@ def passing(x: int, first: int, cols: tuple[np.ndarray, ...], percent: int, ask:
     return ys[_may_overlap(bins[x], bins[ys], need, size[x], size[ys])]
 
 
-def candidate_links(node: np.ndarray, size: np.ndarray, pos: np.ndarray, bins: np.ndarray, percent: int, root, part: np.ndarray | None = None) -> list[tuple[int, int]]:
+def candidate_links(
+    node: np.ndarray, size: np.ndarray, pos: np.ndarray, bins: np.ndarray, percent: int, root,
+    part: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """Pairs of one shingle's nodes (by size) that pass the filters and that `root`, which
     gives a node's group so far, does not connect yet: groups that are connected are not
     compared again, so copies cost little.  `part`: only nodes of different parts pair."""
@@ -241,7 +262,10 @@ def candidate_links(node: np.ndarray, size: np.ndarray, pos: np.ndarray, bins: n
 def _met(lists: DataFrame) -> DataFrame:
     """The lists with columns i, j and part: each two parts of a cut list meet as (h, i, j)."""
     pair = lambda k: F.struct(F.least(F.expr(PART), k).alias("i"), F.greatest(F.expr(PART), k).alias("j"))
-    rows = lists.select("*", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.expr("shiftleft(1L, cut) - 1")), pair)).alias("p"))
+    rows = lists.select(
+        "*",
+        F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.expr("shiftleft(1L, cut) - 1")), pair)).alias("p")
+    )
     rows = rows.select(*lists.columns, "p.i", "p.j", F.expr(PART).alias("part"))
     return rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "size", "node")
 
@@ -260,7 +284,9 @@ def _whole_lists(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterato
         key = seen + np.cumsum(new)
         seen, at = int(key[-1]), (h[-1], i[-1], j[-1])
         cols = [key, *(batch.column(c).to_numpy().astype(np.int64) for c in names)]
-        cols.append(np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, SUFFIX_BINS))
+        cols.append(
+            np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, SUFFIX_BINS)
+        )
         if held is not None:
             cols = [np.concatenate((x, c)) for x, c in zip(held, cols, strict=True)]
         end = int(np.searchsorted(cols[0], cols[0][-1]))  # the last list may go on
@@ -297,7 +323,9 @@ def _candidates(lists: DataFrame, percent: int) -> DataFrame:
             x = first[runs == 2]
             y = x + 1
             need = -(-percent * (size[x] + size[y]) // (100 + percent))
-            ok = (100 * size[x] >= percent * size[y]) & (1 + np.minimum(size[x] - pos[x] - 1, size[y] - pos[y] - 1) >= need)
+            ok = (100 * size[x] >= percent * size[y]) & (
+                1 + np.minimum(size[x] - pos[x] - 1, size[y] - pos[y] - 1) >= need
+            )
             x, y, need = x[ok], y[ok], need[ok]
             ok = _may_overlap(bins[x], bins[y], need, size[x], size[y])
             for a, b in zip(node[x[ok]].tolist(), node[y[ok]].tolist(), strict=True):
@@ -306,7 +334,10 @@ def _candidates(lists: DataFrame, percent: int) -> DataFrame:
                     out.append((a, b))
             for i, m in zip(first[runs > 2].tolist(), runs[runs > 2].tolist(), strict=True):
                 sides = part[i : i + m]
-                out += candidate_links(*(c[i : i + m] for c in (node, size, pos, bins)), percent, root, sides if (sides != sides[0]).any() else None)
+                out += candidate_links(
+                    *(c[i : i + m] for c in (node, size, pos, bins)), percent, root,
+                    sides if (sides != sides[0]).any() else None
+                )
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return _met(lists).mapInArrow(run, "a long, b long")
@@ -318,7 +349,9 @@ def _meetings(lists: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[tuple[int, int, int]] = set()
-        for key, node, size, pos, part, grp, blocks, bins in _whole_lists(batches, ["node", "size", "pos", "part", "grp", "blocks"]):
+        for key, node, size, pos, part, grp, blocks, bins in _whole_lists(
+            batches, ["node", "size", "pos", "part", "grp", "blocks"]
+        ):
             out = []
             mine = node % blocks
             for at, m in zip(*(v.tolist() for v in _runs(key)), strict=True):
@@ -338,7 +371,9 @@ def _meetings(lists: DataFrame, percent: int) -> DataFrame:
                                 out.append((int(g[x]), i, j, v))
                 if len(done) > MEETINGS:
                     done.clear()
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in range(4)], ["grp", "bi", "bj", "node"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[k] for p in out], pa.int64()) for k in range(4)], ["grp", "bi", "bj", "node"]
+            )
 
     return _met(lists).mapInArrow(run, "grp long, bi long, bj long, node long").distinct()
 
@@ -389,7 +424,9 @@ def join_block(nodes: list[int], sets: list[np.ndarray], sides: list[int], perce
         ys = np.fromiter(found, np.int64, len(found))
         bound = np.fromiter(found.values(), np.int64, len(found))
         need = -(-percent * (size[x] + size[ys]) // (100 + percent))
-        ok = (100 * np.minimum(size[x], size[ys]) >= percent * np.maximum(size[x], size[ys])) & (bound >= need) & (comp[ys] != comp[x])
+        ok = (
+            100 * np.minimum(size[x], size[ys]) >= percent * np.maximum(size[x], size[ys])
+        ) & (bound >= need) & (comp[ys] != comp[x])
         if two:
             ok &= side[ys] != side[x]
         ys, need = ys[ok], need[ok]
@@ -419,7 +456,9 @@ def _links(cands: DataFrame, percent: int) -> DataFrame:
             return pd.DataFrame(join_block(nodes, sets, sides, percent), columns=["a", "b"], dtype="int64")
 
         for batch in batches:
-            for g, i, j, node, blocks, blob in zip(batch.grp, batch.bi, batch.bj, batch.node, batch.blocks, batch.shingles, strict=True):
+            for g, i, j, node, blocks, blob in zip(
+                batch.grp, batch.bi, batch.bj, batch.node, batch.blocks, batch.shingles, strict=True
+            ):
                 if (g, i, j) != key:
                     if len(nodes) > 1:
                         yield done()
@@ -431,7 +470,9 @@ def _links(cands: DataFrame, percent: int) -> DataFrame:
         if len(nodes) > 1:
             yield done()
 
-    return cands.repartition("grp", "bi", "bj").sortWithinPartitions("grp", "bi", "bj", "node").mapInPandas(run, "a long, b long")
+    return cands.repartition("grp", "bi", "bj").sortWithinPartitions(
+        "grp", "bi", "bj", "node"
+    ).mapInPandas(run, "a long, b long")
 
 
 def _small(df: DataFrame, rows: int | None = None) -> DataFrame:
@@ -439,19 +480,30 @@ def _small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if rows is None else rows) else df
 
 
-def similar_components(docs: DataFrame, n: int = 4, percent: int = 85, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK, list_bits: int = LIST) -> DataFrame:
+def similar_components(
+    docs: DataFrame, n: int = 4, percent: int = 85, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK,
+    list_bits: int = LIST
+) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the smallest doc_id reachable
     by links, itself included), node (equal for equal sets)."""
     spark = docs.sparkSession
     small_batches(spark)
-    texts = docs.select(quoted(doc_id).cast("long").alias("doc_id"), F.xxhash64(quoted(text)).alias("text_key"), quoted(text).alias("text"))
+    texts = docs.select(
+        quoted(doc_id).cast("long").alias("doc_id"), F.xxhash64(quoted(text)).alias("text_key"),
+        quoted(text).alias("text")
+    )
     signed = written(_signed(texts, n), "signed")
     rows = signed.filter("piece IS NULL").drop("piece", "counts")
     sketch = spark.sparkContext.broadcast(_classes(_sketch(signed)))
-    lists = written(_shared(_prefixes(docs.select(quoted(text).alias("text")), n, percent, sketch, list_bits), percent), "lists")
+    lists = written(
+        _shared(_prefixes(docs.select(quoted(text).alias("text")), n, percent, sketch, list_bits), percent), "lists"
+    )
     # of each node: its smallest id, its number of rows, and one row that has its text
     place = F.coalesce("doc_id", F.lit(0)).alias("place")
-    of_node = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(place, "text_key")).alias("at"))
+    of_node = rows.filter("n_shingles > 0").groupBy("node").agg(
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"),
+        F.min(F.struct(place, "text_key")).alias("at")
+    )
     of_node = written(of_node, "nodes")
 
     def texts_of(nodes: DataFrame, *carried: str) -> DataFrame:
@@ -462,10 +514,21 @@ def similar_components(docs: DataFrame, n: int = 4, percent: int = 85, text: str
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [*_sets(batch.column(0), n)]
-            yield pa.RecordBatch.from_arrays([pa.array([_signature(s) for s in sets], pa.int64()), pa.array([_bins(s).tobytes() for s in sets], pa.binary())], ["node", "bins"])
-
-    bins = texts_of(lists.select("node").distinct()).mapInArrow(binned, "node long, bins binary").groupBy("node").agg(F.min("bins").alias("bins"))
-    groups = written(connected_components(_candidates(lists.join(bins, "node"), percent)).withColumnRenamed("component", "grp"), "groups")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([_signature(s) for s in sets], pa.int64()),
+                    pa.array([_bins(s).tobytes() for s in sets], pa.binary())
+                ],
+                ["node", "bins"]
+            )
+
+    bins = texts_of(lists.select("node").distinct()).mapInArrow(
+        binned, "node long, bins binary"
+    ).groupBy("node").agg(F.min("bins").alias("bins"))
+    groups = written(
+        connected_components(_candidates(lists.join(bins, "node"), percent)).withColumnRenamed("component", "grp"),
+        "groups"
+    )
     sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("blocks"))
     large = written(sizes.filter("blocks > 1"), "large")
     meet = groups
@@ -486,17 +549,30 @@ def similar_components(docs: DataFrame, n: int = 4, percent: int = 85, text: str
             for s in _sets(batch.column(4), n):
                 nodes.append(_signature(s))
                 blobs.append(_ordered(s, sketch.value).tobytes())
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())], ["grp", "bi", "bj", "blocks", "node", "shingles"])
-
-    cands = texts_of(meet, "grp", "bi", "bj", "blocks").mapInArrow(ordered, "grp long, bi long, bj long, blocks long, node long, shingles binary")
-    linked = written(connected_components(_links(cands, percent)).join(of_node.select("node", "least"), "node"), "linked")
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in range(4)), pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())],
+                ["grp", "bi", "bj", "blocks", "node", "shingles"]
+            )
+
+    cands = texts_of(meet, "grp", "bi", "bj", "blocks").mapInArrow(
+        ordered, "grp long, bi long, bj long, blocks long, node long, shingles binary"
+    )
+    linked = written(
+        connected_components(_links(cands, percent)).join(of_node.select("node", "least"), "node"), "linked"
+    )
     names = _small(written(linked.groupBy("component").agg(F.min("least").alias("component_id")), "names"))
     # a node of one row that nothing links is its own component: only the others are looked up
     moved = linked.join(names, "component").select("node", "component_id", "component")
-    alike = of_node.filter("copies > 1").select("node", "least").join(moved, "node", "full_outer").select("node", F.coalesce("component_id", "least").alias("component_id"), "component")
+    alike = of_node.filter("copies > 1").select("node", "least").join(moved, "node", "full_outer").select(
+        "node", F.coalesce("component_id", "least").alias("component_id"), "component"
+    )
     out = rows.join(_small(written(alike, "moved")), "node", "left")
-    named = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
-    return out.select("doc_id", "n_shingles", named, "node", "text_key", F.coalesce("component", "node").alias("component"))
+    named = F.when(
+        F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")
+    ).otherwise(F.col("doc_id")).alias("component_id")
+    return out.select(
+        "doc_id", "n_shingles", named, "node", "text_key", F.coalesce("component", "node").alias("component")
+    )
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -506,14 +582,25 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text",
     found = similar_components(docs, n, percent, text, doc_id).filter("n_shingles > 0")
     at = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key")
     rows = written(found.select(at.alias("at"), "component"), "components")
-    several = rows.groupBy("component").agg(F.min("at").alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    several = rows.groupBy("component").agg(
+        F.min("at").alias("stays"), F.count(F.lit(1)).alias("n")
+    ).filter("n > 1").drop("n")
     several = written(rows.join(_small(written(several, "stays")), "component"), "several")
     names = none, id_, key = fresh(docs, "none", "id", "key")
     gone = _small(written(several.filter("at <> stays").select("at.*").distinct().toDF(*names), "gone"))
-    named = docs.withColumns({none: quoted(doc_id).isNull(), key: F.xxhash64(quoted(text)), id_: F.coalesce(quoted(doc_id).cast("long"), F.lit(0))})
+    named = docs.withColumns(
+        {
+            none: quoted(doc_id).isNull(), key: F.xxhash64(quoted(text)),
+            id_: F.coalesce(quoted(doc_id).cast("long"), F.lit(0))
+        }
+    )
     left = named.join(gone, [*names], "left_anti")
     # equal rows that stay together: only these are sorted out
-    twice = _small(written(several.filter("at = stays").groupBy("at").count().filter("count > 1").select("at.*").toDF(*names), "twice"))
+    twice = _small(
+        written(
+            several.filter("at = stays").groupBy("at").count().filter("count > 1").select("at.*").toDF(*names), "twice"
+        )
+    )
     if twice.isEmpty():
         return left.select(*(quoted(c) for c in docs.columns))
     alone, equal = left.join(twice, [*names], "left_anti"), left.join(twice, [*names], "left_semi")

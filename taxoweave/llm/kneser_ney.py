@@ -64,7 +64,9 @@ class Folder:
 
     def __init__(self, uri: str):
         self.uri = uri
-        self.fs, self.path = FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else uri.replace("file:", "file://", 1))
+        self.fs, self.path = FileSystem.from_uri(
+            uri if "://" in uri or not uri.startswith("file:") else uri.replace("file:", "file://", 1)
+        )
         self.mounted = uri.startswith(("file:", "/"))
 
     def write(self, name: str, data) -> None:
@@ -126,7 +128,9 @@ class SplitShards(Shards):
         lows, heads = self[s], _mapped(self.uri, f"{self.name}heads-{s}")
         run = _find(np.ascontiguousarray(heads[:, 0]), keys >> np.uint64(32))
         some = np.flatnonzero(run >= 0)
-        low, ends = (keys[some] & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.append(heads[:, 1], np.uint64(len(lows))).astype(np.int64)
+        low, ends = (
+            keys[some] & np.uint64(0xFFFFFFFF)
+        ).astype(np.uint32), np.append(heads[:, 1], np.uint64(len(lows))).astype(np.int64)
         # a binary search of all keys at once, each inside its run
         lo, end = ends[run[some]], ends[run[some] + 1]
         hi = end
@@ -172,11 +176,15 @@ def _counted(values: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.n
     """Distinct values in order, and their counts."""
     if counts is None:
         values = np.sort(values)
-        first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
+        first = np.flatnonzero(
+            np.concatenate(([True], values[1:] != values[:-1]))
+        ) if len(values) else np.zeros(0, np.int64)
         return values[first], np.diff(np.append(first, len(values)))
     order = np.argsort(values, kind="stable")
     values, counts = values[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
+    first = np.flatnonzero(
+        np.concatenate(([True], values[1:] != values[:-1]))
+    ) if len(values) else np.zeros(0, np.int64)
     return values[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
 
 
@@ -214,7 +222,12 @@ def _cut(values: np.ndarray, counts: np.ndarray, bounds: np.ndarray, column: str
     """Rows (column, blob): the values of each range; `bounds` are the first values of ranges 1, 2, ..."""
     at = np.concatenate(([0], np.searchsorted(values, bounds), [len(values)]))
     some = [i for i in range(len(at) - 1) if at[i] < at[i + 1]]
-    return pa.RecordBatch.from_pydict({column: pa.array(some, pa.int32()), "blob": pa.array([_packed(values[at[i] : at[i + 1]], counts[at[i] : at[i + 1]]) for i in some], pa.binary())})
+    return pa.RecordBatch.from_pydict(
+        {
+            column: pa.array(some, pa.int32()),
+            "blob": pa.array([_packed(values[at[i] : at[i + 1]], counts[at[i] : at[i + 1]]) for i in some], pa.binary())
+        }
+    )
 
 
 def _merged(batches: Iterator[pd.DataFrame], column: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -252,10 +265,16 @@ def _opened(uri: str, stage: str = "whole") -> dict:
     of = lambda name, have, kind=Shards: kind(uri, name, meta.get(have, ()))
     array = lambda name, kind: np.array(meta.get(name, ()), kind)
     return meta | {
-        "words": of("words", "files"), "counts": of("counts", "files"), "word_bounds": _uniform_bounds(meta["n_files"]), "word_starts": array("word_starts", np.int64),
+        "words": of("words", "files"), "counts": of("counts", "files"), "word_bounds": _uniform_bounds(meta["n_files"]), "word_starts": array(
+            "word_starts", np.int64
+        ),
         "bounds": array("bounds", np.uint64), "starts": array("starts", np.int64), "keys": of("keys", "shards"), "values": of("values", "shards"),
-        "id_starts": np.append(np.arange(0, meta["vocabulary"] + 1, RANGE_WORDS), meta["vocabulary"] + 1), "left": of("left", "lefts"), "after": of("after", "afters"),
-        "bounds3": array("bounds3", np.uint64), "keys3": of("keys3", "shards3", SplitShards), "values3": of("values3", "shards3"),
+        "id_starts": np.append(
+            np.arange(0, meta["vocabulary"] + 1, RANGE_WORDS), meta["vocabulary"] + 1
+        ), "left": of("left", "lefts"), "after": of("after", "afters"),
+        "bounds3": array("bounds3", np.uint64), "keys3": of(
+            "keys3", "shards3", SplitShards
+        ), "values3": of("values3", "shards3"),
         "distinct": of("distinct", "shards"), "rest2": of("rest2", "shards"),
     }
 
@@ -335,15 +354,27 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
                         yield _cut(*held[0], _uniform_bounds(n_ranges), "r")
                         held, size = [], 0
         if held:
-            yield _cut(*_counted(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])), _uniform_bounds(n_ranges), "r")
+            yield _cut(
+                *_counted(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])),
+                _uniform_bounds(n_ranges), "r"
+            )
 
     def save_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for r, hashes, counts in _merged(batches, "r"):
             store.save(f"words-{r}", hashes)
             store.save(f"counts-{r}", counts.astype(np.uint32 if counts.max() < 2**32 else np.uint64))
-            yield pd.DataFrame({"r": [r], "v": [len(hashes)], "n": [int(counts.sum())], "cuts": [json.dumps(_cuts(counts, 1 << 32, shard_tokens))]})
-
-    files = sorted((x.r, x.v, x.n, x.cuts) for x in _deal(texts.mapInArrow(words_of, f"r {blob}"), "r", n_ranges).mapInPandas(save_words, "r int, v long, n long, cuts string").collect())
+            yield pd.DataFrame(
+                {
+                    "r": [r], "v": [len(hashes)], "n": [int(counts.sum())],
+                    "cuts": [json.dumps(_cuts(counts, 1 << 32, shard_tokens))]
+                }
+            )
+
+    files = sorted(
+        (x.r, x.v, x.n, x.cuts) for x in _deal(
+            texts.mapInArrow(words_of, f"r {blob}"), "r", n_ranges
+        ).mapInPandas(save_words, "r int, v long, n long, cuts string").collect()
+    )
     n_words, n_tokens = sum(f[1] for f in files), sum(f[2] for f in files)
     if n_words >= 2**32 - 1:
         raise ValueError("a model holds at most 2**32 - 2 words")
@@ -351,12 +382,22 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
     word_starts = np.concatenate(([0], np.cumsum([of_file.get(r, 0) for r in range(n_ranges)]))).astype(int)
     # bigrams of about `shard_tokens` tokens, if words follow each other by chance; inside a
     # frequent left word the bound falls on a right word
-    bounds = [(int(word_starts[r]) + i << 32) | (w * n_words >> 32) for r, _, _, cuts in files for i, w in json.loads(cuts)]
-    meta = {"tokens": n_tokens, "vocabulary": n_words, "files": sorted(of_file), "n_files": n_ranges, "word_starts": word_starts.tolist(), "bounds": sorted(set(bounds) - {0}), "uri": uri, "order": order}
+    bounds = [
+        (int(word_starts[r]) + i << 32) | (w * n_words >> 32) for r, _, _, cuts in files for i, w in json.loads(cuts)
+    ]
+    meta = {
+        "tokens": n_tokens, "vocabulary": n_words, "files": sorted(of_file), "n_files": n_ranges,
+        "word_starts": word_starts.tolist(), "bounds": sorted(set(bounds) - {0}), "uri": uri, "order": order
+    }
     n_shards = len(meta["bounds"]) + 1
     _save_meta(store, meta)
     if not n_words:
-        _save_meta(store, meta | {"starts": [0, 0], "d3": [0.5, 1, 1.5], "d2": [0.5, 1, 1.5], "d1": [0.5, 1, 1.5], "types": 0, "rest": 1.0})
+        _save_meta(
+            store,
+            meta | {
+                "starts": [0, 0], "d3": [0.5, 1, 1.5], "d2": [0.5, 1, 1.5], "d1": [0.5, 1, 1.5], "types": 0, "rest": 1.0
+            }
+        )
         return uri
     bounds = np.array(meta["bounds"], np.uint64)
     word_ranges = -(-(n_words + 1) // RANGE_WORDS)
@@ -380,14 +421,24 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
         for r in range(word_ranges):
             if at[r] < at[r + 1]:
                 part = values[at[r] : at[r + 1]]
-                yield s, kind, r, zlib.compress(np.int64(at[r + 1] - at[r]).tobytes() + (ids[at[r] : at[r + 1]] - r * RANGE_WORDS).astype(np.uint32).tobytes() + part.astype(np.int64).tobytes(), 1)
+                yield s, kind, r, zlib.compress(
+                    np.int64(at[r + 1] - at[r]).tobytes() + (
+                        ids[at[r] : at[r + 1]] - r * RANGE_WORDS
+                    ).astype(np.uint32).tobytes() + part.astype(np.int64).tobytes(),
+                    1
+                )
 
     def counted_bigrams(s: int, keys: np.ndarray, counts: np.ndarray) -> list[tuple]:
         """What bigram counts say of their left words, and their counts of counts."""
         v = (keys >> np.uint64(32)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
-        sums = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)], axis=1)
-        return [*by_word(s, "after", v[first], sums), (s, "counts", -1, json.dumps([int((counts == k).sum()) for k in (1, 2, 3, 4)]).encode())]
+        sums = np.stack(
+            [np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)], axis=1
+        )
+        return [
+            *by_word(s, "after", v[first], sums),
+            (s, "counts", -1, json.dumps([int((counts == k).sum()) for k in (1, 2, 3, 4)]).encode())
+        ]
 
     def save_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
         for s, keys, counts in _merged(batches, "s"):
@@ -399,8 +450,15 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
                 rows += counted_bigrams(s, keys, counts)
             yield pd.DataFrame(rows, columns=["s", "kind", "r", "blob"])
 
-    stats = written(_deal(texts.mapInArrow(bigrams_of, f"s {blob}"), "s", n_shards).mapInPandas(save_bigrams, "s int, kind string, r int, blob binary"), "bigrams")
-    sizes = {x.s: json.loads(bytes(x.blob)) for x in stats.filter("kind = 'size'").select("s", "blob").toLocalIterator()}
+    stats = written(
+        _deal(
+            texts.mapInArrow(bigrams_of, f"s {blob}"), "s", n_shards
+        ).mapInPandas(save_bigrams, "s int, kind string, r int, blob binary"),
+        "bigrams"
+    )
+    sizes = {
+        x.s: json.loads(bytes(x.blob)) for x in stats.filter("kind = 'size'").select("s", "blob").toLocalIterator()
+    }
     starts = np.concatenate(([0], np.cumsum([sizes.get(s, [0])[0] for s in range(len(bounds) + 1)])))
     meta |= {"shards": sorted(sizes), "starts": starts.tolist()}
     if order > 2:
@@ -420,7 +478,12 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
         def done() -> None:
             store.save(f"{key[0]}-{key[1]}", total.astype(np.uint32) if total.max(initial=0) < 2**32 else total)
             small = [int((total == k).sum()) for k in (1, 2, 3, 4)] if key[0] == "left" else [0] * 4
-            out.append((*key, *small, int(total.sum()) if key[0] == "left" else 0, int((total > 2).sum()) if key[0] == "left" else 0))
+            out.append(
+                (
+                    *key, *small, int(total.sum()) if key[0] == "left" else 0,
+                    int((total > 2).sum()) if key[0] == "left" else 0
+                )
+            )
 
         for batch in batches:
             for kind, r, blob_ in zip(batch.kind, batch.r, batch.blob, strict=True):
@@ -428,7 +491,12 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
                     if key is not None:
                         done()
                     key = (kind, r)
-                    total = np.zeros((min(RANGE_WORDS, n_words + 1 - r * RANGE_WORDS), 4) if kind == "after" else min(RANGE_WORDS, n_words - r * RANGE_WORDS), np.int64)
+                    total = np.zeros(
+                        (
+                            min(RANGE_WORDS, n_words + 1 - r * RANGE_WORDS), 4
+                        ) if kind == "after" else min(RANGE_WORDS, n_words - r * RANGE_WORDS),
+                        np.int64
+                    )
                 raw = zlib.decompress(blob_)
                 n = int(np.frombuffer(raw, np.int64, 1)[0])
                 ids = np.frombuffer(raw, np.uint32, n, 8)
@@ -437,14 +505,23 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
             done()
         yield pd.DataFrame(out, columns=["kind", "r", "n1", "n2", "n3", "n4", "total", "many"])
 
-    made = stats.filter("kind IN ('after', 'left')").repartition(2 * word_ranges, "kind", "r").sortWithinPartitions("kind", "r").mapInPandas(save_stats, "kind string, r int, n1 long, n2 long, n3 long, n4 long, total long, many long").collect()
+    made = stats.filter("kind IN ('after', 'left')").repartition(
+        2 * word_ranges, "kind", "r"
+    ).sortWithinPartitions("kind", "r").mapInPandas(
+        save_stats, "kind string, r int, n1 long, n2 long, n3 long, n4 long, total long, many long"
+    ).collect()
     lefts = [x for x in made if x.kind == "left"]
     meta |= {"lefts": sorted(x.r for x in lefts), "afters": sorted(x.r for x in made if x.kind == "after")}
     small = [json.loads(bytes(x.blob)) for x in stats.filter("kind = 'counts'").select("blob").toLocalIterator()]
     d1 = _discounts([sum(getattr(x, f"n{k}") for x in lefts) for k in (1, 2, 3, 4)])
     types = sum(x.total for x in lefts)
-    rest = (d1[0] * sum(x.n1 for x in lefts) + d1[1] * sum(x.n2 for x in lefts) + d1[2] * sum(x.many for x in lefts)) / types
-    _save_meta(store, meta | {"d2": _discounts([sum(x[k] for x in small) for k in range(4)]), "d1": d1, "types": types, "rest": rest})
+    rest = (
+        d1[0] * sum(x.n1 for x in lefts) + d1[1] * sum(x.n2 for x in lefts) + d1[2] * sum(x.many for x in lefts)
+    ) / types
+    _save_meta(
+        store,
+        meta | {"d2": _discounts([sum(x[k] for x in small) for k in range(4)]), "d1": d1, "types": types, "rest": rest}
+    )
     return uri
 
 
@@ -482,7 +559,9 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
         for batch in batches:
             for tokens, ends in _sequences(batch.column(0)):
                 left, ids = _bigrams(tokens, ends, model)
-                contexts = _contexts(_places(_bigram_keys(left, ids), model["bounds"], model["keys"], starts), left, n_words)
+                contexts = _contexts(
+                    _places(_bigram_keys(left, ids), model["bounds"], model["keys"], starts), left, n_words
+                )
                 held.append(_trigram_keys(contexts[contexts >= 0], ids[contexts >= 0], n_words))
                 size += len(held[-1])
                 if size > HELD:
@@ -505,7 +584,15 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
             def parts(kind: str, places: np.ndarray, values: np.ndarray) -> None:
                 at = np.searchsorted(places, starts)
                 for k in np.flatnonzero(np.diff(at)).tolist():
-                    rows.append((s, kind, _packed((places[at[k] : at[k + 1]] - starts[k]).astype(np.uint64), values[at[k] : at[k + 1]]), k))
+                    rows.append(
+                        (
+                            s, kind,
+                            _packed(
+                                (places[at[k] : at[k + 1]] - starts[k]).astype(np.uint64), values[at[k] : at[k + 1]]
+                            ),
+                            k
+                        )
+                    )
 
             # a bigram seen once has one trigram of count 1, which need not be told
             for kind, is_kind in (("n1", counts == 1), ("n2", counts == 2), ("n3", counts > 2)):
@@ -517,8 +604,15 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
             parts("distinct", _places(suffix, model["bounds"], model["keys"], starts), n)
             yield pd.DataFrame(rows, columns=["s", "kind", "blob", "to"])
 
-    made = written(_deal(texts.mapInArrow(trigrams_of, "s int, blob binary"), "s", len(bounds3) + 1).mapInPandas(save_trigrams, "s int, kind string, blob binary, to int"), "trigrams")
-    small = {x.s: json.loads(bytes(x.blob)) for x in made.filter("kind = 'small'").select("s", "blob").toLocalIterator()}
+    made = written(
+        _deal(
+            texts.mapInArrow(trigrams_of, "s int, blob binary"), "s", len(bounds3) + 1
+        ).mapInPandas(save_trigrams, "s int, kind string, blob binary, to int"),
+        "trigrams"
+    )
+    small = {
+        x.s: json.loads(bytes(x.blob)) for x in made.filter("kind = 'small'").select("s", "blob").toLocalIterator()
+    }
     d3 = _discounts([sum(x[k] for x in small.values()) for k in range(4)])
 
     def save_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -528,10 +622,15 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
 
         def done() -> pd.DataFrame:
             keys, raw = model["keys"][key], model["values"][key]
-            begins, once = (keys >> np.uint64(32)) == n_words, (raw == 1) & ((keys & np.uint64(0xFFFFFFFF)) != np.uint64(end))
+            begins, once = (keys >> np.uint64(32)) == n_words, (raw == 1) & (
+                (keys & np.uint64(0xFFFFFFFF)) != np.uint64(end)
+            )
             counts = np.where(begins, raw.astype(np.int64), sums["distinct"])
             store.save(f"distinct-{key}", counts.astype(np.uint8) if counts.max() < 256 else counts.astype(np.uint32))
-            store.save(f"rest2-{key}", (d3[0] * (sums["n1"] + once) + d3[1] * sums["n2"] + d3[2] * sums["n3"]).astype(np.float32))
+            store.save(
+                f"rest2-{key}",
+                (d3[0] * (sums["n1"] + once) + d3[1] * sums["n2"] + d3[2] * sums["n3"]).astype(np.float32)
+            )
             return pd.DataFrame(counted_bigrams(key, keys, counts), columns=["s", "kind", "r", "blob"])
 
         for batch in batches:
@@ -539,7 +638,9 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
                 if to != key:
                     if key is not None:
                         yield done()
-                    key, sums = to, {k: np.zeros(len(model["keys"][to]), np.int64) for k in ("n1", "n2", "n3", "distinct")}
+                    key, sums = to, {
+                        k: np.zeros(len(model["keys"][to]), np.int64) for k in ("n1", "n2", "n3", "distinct")
+                    }
                 if blob is not None:
                     places, values = _unpacked(blob)
                     sums[kind][places.astype(np.int64)] += values
@@ -548,7 +649,9 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
 
     every = spark.createDataFrame([(s, "every", None) for s in meta["shards"]], "to int, kind string, blob binary")
     rows = made.filter("kind <> 'small'").select("to", "kind", "blob").unionByName(every)
-    stats = written(_deal(rows, "to", n_shards).mapInPandas(save_bigrams, "s int, kind string, r int, blob binary"), "bigrams")
+    stats = written(
+        _deal(rows, "to", n_shards).mapInPandas(save_bigrams, "s int, kind string, r int, blob binary"), "bigrams"
+    )
     return {"stats": stats, "d3": d3, "shards3": sorted(small)}
 
 
@@ -594,7 +697,9 @@ def _interpolated(c: np.ndarray, total: np.ndarray, rest: np.ndarray, d: list[fl
         return np.where(total > 0, (np.maximum(c - _by_count(d, c), 0) + rest * p) / total, p)
 
 
-def _places(keys: np.ndarray, bounds: np.ndarray, tables: Shards, starts: np.ndarray | None, values: Shards | None = None) -> np.ndarray:
+def _places(
+    keys: np.ndarray, bounds: np.ndarray, tables: Shards, starts: np.ndarray | None, values: Shards | None = None
+) -> np.ndarray:
     """Places of keys over all shards, -1 if unknown; or their `values`, 0 if unknown.  Keys are
     looked up in order, so pages are read once."""
     some, back = np.unique(keys, return_inverse=True)
@@ -603,7 +708,9 @@ def _places(keys: np.ndarray, bounds: np.ndarray, tables: Shards, starts: np.nda
     for s in np.flatnonzero(np.diff(at)).tolist():
         if s in tables:
             i = tables.find(s, some[at[s] : at[s + 1]])
-            out[at[s] : at[s + 1]] = np.where(i >= 0, starts[s] + i, -1) if values is None else np.where(i >= 0, values[s][i], 0)
+            out[at[s] : at[s + 1]] = np.where(
+                i >= 0, starts[s] + i, -1
+            ) if values is None else np.where(i >= 0, values[s][i], 0)
     return out[back]
 
 
@@ -624,7 +731,12 @@ def score(docs: DataFrame, uri: str, text: str = "text") -> DataFrame:
     """Adds n_tokens, n_known, base_score, score (log10 probability) and perplexity."""
     small_batches(docs.sparkSession)
     names = fresh(docs, "n_tokens", "n_known", "base_score", "score", "perplexity", "lm")
-    kind = T.StructType([T.StructField("n", T.LongType()), T.StructField("k", T.LongType()), T.StructField("b", T.DoubleType()), T.StructField("s", T.DoubleType())])
+    kind = T.StructType(
+        [
+            T.StructField("n", T.LongType()), T.StructField("k", T.LongType()), T.StructField("b", T.DoubleType()),
+            T.StructField("s", T.DoubleType())
+        ]
+    )
 
     @F.arrow_udf(kind)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -632,7 +744,13 @@ def score(docs: DataFrame, uri: str, text: str = "text") -> DataFrame:
         for texts in batches:
             parts = [_scores(tokens, ends, model) for tokens, ends in _sequences(texts)]
             cols = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0) for i in range(4)]
-            yield pa.StructArray.from_arrays([pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int64)), pa.array(cols[2]), pa.array(cols[3])], ["n", "k", "b", "s"])
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int64)), pa.array(cols[2]),
+                    pa.array(cols[3])
+                ],
+                ["n", "k", "b", "s"]
+            )
 
     tmp = quoted(names[5])
     out = docs.withColumn(names[5], run(F.coalesce(quoted(text), F.lit(""))))

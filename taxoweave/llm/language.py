@@ -55,13 +55,17 @@ def gram_counts(texts: pa.Array, buckets: int = BUCKETS) -> np.ndarray:
                 if size > 1:
                     earlier = np.zeros(len(code), np.uint64)
                     k = size - 1
-                    from_ = piece[: len(piece) - k][-len(code) :] if len(piece) - k >= len(code) else np.concatenate((np.zeros(len(code) - (len(piece) - k), np.uint64), piece[: len(piece) - k]))
+                    from_ = piece[: len(piece) - k][-len(code) :] if len(piece) - k >= len(code) else np.concatenate(
+                        (np.zeros(len(code) - (len(piece) - k), np.uint64), piece[: len(piece) - k])
+                    )
                     earlier[:] = from_
                     code = code + (earlier << np.uint64(8 * k))
                 ok = begin >= size - 1
                 slot = (mix(code + np.uint64(size << 40)) % np.uint64(buckets)).astype(np.int64)
                 flat = rows * buckets + slot
-                out[lo:hi] += np.bincount(flat[ok], minlength=(hi - lo) * buckets).reshape(hi - lo, buckets).astype(np.float32)
+                out[lo:hi] += np.bincount(
+                    flat[ok], minlength=(hi - lo) * buckets
+                ).reshape(hi - lo, buckets).astype(np.float32)
         lo = hi
     return out
 
@@ -105,7 +109,9 @@ class LanguageModel:
     def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(index of the language, score, share of the second) of each row of counts."""
         margin = self.margins(counts)
-        loss = np.stack([np.logaddexp(0, -margin * code) @ w for code, w in zip(self.codes, self.trust, strict=True)], axis=1)
+        loss = np.stack(
+            [np.logaddexp(0, -margin * code) @ w for code, w in zip(self.codes, self.trust, strict=True)], axis=1
+        )
         share = np.exp(loss.min(axis=1, keepdims=True) - loss)
         share /= share.sum(axis=1, keepdims=True)
         best = loss.argmin(axis=1)
@@ -122,7 +128,9 @@ def bit_trust(right: np.ndarray, texts: np.ndarray) -> np.ndarray:
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", buckets: int = BUCKETS) -> LanguageModel:
     """Learns from all rows of `train` whose language and text are not null."""
     small_batches(train.sparkSession)
-    rows = train.select(quoted(lang).cast("string").alias("lang"), quoted(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    rows = train.select(
+        quoted(lang).cast("string").alias("lang"), quoted(text).alias("text")
+    ).filter("lang IS NOT NULL AND text IS NOT NULL")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -134,7 +142,11 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", buckets: int =
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({"lang": [name] * len(at), "slot": at.astype(np.int32), "n": total[at]})
 
-    sums = rows.mapInArrow(counted, "lang string, slot int, n double").groupBy("lang", "slot").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list(F.struct("slot", "n")).alias("v")).collect()
+    sums = rows.mapInArrow(
+        counted, "lang string, slot int, n double"
+    ).groupBy("lang", "slot").agg(F.sum("n").alias("n")).groupBy("lang").agg(
+        F.collect_list(F.struct("slot", "n")).alias("v")
+    ).collect()
     names = sorted(r.lang for r in sums)
     table = np.zeros((len(names), buckets))
     for r in sums:
@@ -142,13 +154,17 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", buckets: int =
             table[names.index(r.lang), slot] = n
     prob = (table + 0.1) / (table + 0.1).sum(axis=1, keepdims=True) if names else table
     codes = codewords(len(names))
-    weights = np.stack([np.log(prob[code > 0].mean(axis=0)) - np.log(prob[code < 0].mean(axis=0)) for code in codes.T], axis=1) if codes.size else np.zeros((buckets, 0))
+    weights = np.stack(
+        [np.log(prob[code > 0].mean(axis=0)) - np.log(prob[code < 0].mean(axis=0)) for code in codes.T], axis=1
+    ) if codes.size else np.zeros((buckets, 0))
     model = LanguageModel(names, codes, weights.astype(np.float32), np.ones(codes.shape))
     if codes.shape[1] < 2:
         return model
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        right, texts, place = np.zeros(codes.shape, np.int64), np.zeros(len(names), np.int64), {x: i for i, x in enumerate(names)}
+        right, texts, place = np.zeros(codes.shape, np.int64), np.zeros(len(names), np.int64), {
+            x: i for i, x in enumerate(names)
+        }
         for batch in batches:
             at = np.array([place[x] for x in batch.column(0).to_pylist()], int)
             np.add.at(right, at, model.margins(gram_counts(batch.column(1), buckets)) * codes[at] > 0)
@@ -156,10 +172,14 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", buckets: int =
         some = np.flatnonzero(texts)
         yield pa.RecordBatch.from_pydict({"i": some, "bit": np.full(len(some), -1), "n": texts[some]})
         for i in some:
-            yield pa.RecordBatch.from_pydict({"i": np.full(codes.shape[1], i), "bit": np.arange(codes.shape[1]), "n": right[i]})
+            yield pa.RecordBatch.from_pydict(
+                {"i": np.full(codes.shape[1], i), "bit": np.arange(codes.shape[1]), "n": right[i]}
+            )
 
     right, texts = np.zeros(codes.shape), np.zeros(len(names))
-    for r in rows.mapInArrow(judged, "i long, bit long, n long").groupBy("i", "bit").agg(F.sum("n").alias("n")).collect():
+    for r in rows.mapInArrow(
+        judged, "i long, bit long, n long"
+    ).groupBy("i", "bit").agg(F.sum("n").alias("n")).collect():
         if r.bit < 0:
             texts[r.i] = r.n
         else:
@@ -178,7 +198,13 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", ambiguou
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             best, share, second = model.predict(gram_counts(texts, model.weights.shape[0]))
-            yield pa.StructArray.from_arrays([pa.array(best.astype(np.int32)), pa.array(share.astype(np.float64)), pa.array(second >= ambiguous * share)], ["p", "s", "a"])
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array(best.astype(np.int32)), pa.array(share.astype(np.float64)),
+                    pa.array(second >= ambiguous * share)
+                ],
+                ["p", "s", "a"]
+            )
 
     has_letter = F.coalesce(quoted(text).rlike("\\p{L}"), F.lit(False))
     pred, score, unsure = fresh(docs, "lang_pred", "lang_score", "lang_ambiguous")
@@ -187,4 +213,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", ambiguou
     (tmp,) = fresh(docs, "lang_found")
     df = docs.withColumn(tmp, predict(F.coalesce(quoted(text), F.lit(""))))
     pick: Column = F.get(F.array(*map(F.lit, names)), quoted(tmp)["p"])
-    return df.select(*(quoted(c) for c in docs.columns), F.when(has_letter, pick).otherwise("und").alias(pred), F.when(has_letter, quoted(tmp)["s"]).otherwise(0.0).alias(score), F.when(has_letter, quoted(tmp)["a"]).otherwise(True).alias(unsure))
+    return df.select(
+        *(quoted(c) for c in docs.columns), F.when(has_letter, pick).otherwise("und").alias(pred),
+        F.when(has_letter, quoted(tmp)["s"]).otherwise(0.0).alias(score),
+        F.when(has_letter, quoted(tmp)["a"]).otherwise(True).alias(unsure)
+    )

@@ -49,7 +49,9 @@ TEMPLATES = {
     ],
     "cc-by-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "cc-by-nc-4.0": ["Licensed under CC BY-NC 4.0."],
-    "cc-by-sa-4.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "cc-by-sa-4.0": [
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    ],
     "gpl-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
@@ -129,7 +131,10 @@ def anchors(sets: list[list[str]], threshold: float) -> list[str]:
     return words + ["[^\\p{L}\\p{N}]+".join(g.split()) for g in pairs]
 
 
-def scan(docs: DataFrame, text: str = "text", threshold: float = 0.9, templates: dict[str, list[str]] | None = None, into: str = "licenses") -> DataFrame:
+def scan(
+    docs: DataFrame, text: str = "text", threshold: float = 0.9, templates: dict[str, list[str]] | None = None,
+    into: str = "licenses"
+) -> DataFrame:
     """Adds `into`: array of struct(name, dice), the best match of each licence that
     reaches the threshold anywhere in the text, ordered by name."""
     sets = {k: [template_bigrams(t) for t in v] for k, v in sorted((templates or TEMPLATES).items())}
@@ -140,17 +145,32 @@ def scan(docs: DataFrame, text: str = "text", threshold: float = 0.9, templates:
     df = step(docs, docs.columns, cand, F.when(maybe, normalised(body)).otherwise(F.array().cast("array<string>")))
     df = step(df, docs.columns, cand, bigrams(quoted(cand)))
     known = sorted({g for grams in every for g in grams})
-    at = F.filter(F.transform(quoted(cand), lambda g, i: F.when(g.isin(known), F.struct(g.alias("g"), i.alias("i")))), lambda x: x.isNotNull())
+    at = F.filter(
+        F.transform(quoted(cand), lambda g, i: F.when(g.isin(known), F.struct(g.alias("g"), i.alias("i")))),
+        lambda x: x.isNotNull()
+    )
     df = step(df, [*docs.columns, cand], places, at)
 
     def best(length: int, grams: list[str]) -> Column:
         """The highest Dice of the windows of one template."""
         here = F.transform(F.filter(quoted(places), lambda x: x["g"].isin(grams)), lambda x: x["i"])
-        dense = F.filter(here, lambda i, k: F.coalesce(F.get(here, k + fewest(grams, threshold) - 1) - i < length, F.lit(False)))
+        dense = F.filter(
+            here, lambda i, k: F.coalesce(F.get(here, k + fewest(grams, threshold) - 1) - i < length, F.lit(False))
+        )
         windows = F.transform(dense, lambda i: F.array_distinct(F.slice(quoted(cand), i + 1, F.lit(length))))
         literal = F.array(*map(F.lit, grams))
-        return F.array_max(F.transform(windows, lambda w: F.lit(2.0) * F.size(F.array_intersect(w, literal)) / (F.size(w) + len(grams))))
-
-    found = [F.struct(F.lit(name).alias("name"), F.array_max(F.array(*(best(*t) for t in v))).alias("dice")) for name, v in sets.items()]
+        return F.array_max(
+            F.transform(
+                windows, lambda w: F.lit(2.0) * F.size(F.array_intersect(w, literal)) / (F.size(w) + len(grams))
+            )
+        )
+
+    found = [
+        F.struct(F.lit(name).alias("name"), F.array_max(F.array(*(best(*t) for t in v))).alias("dice")) for name,
+        v in sets.items()
+    ]
     matches = F.filter(F.array(*found), lambda m: m["dice"] >= threshold)
-    return step(df, docs.columns, into, F.when(F.size(quoted(places)) > 0, matches).otherwise(F.array().cast("array<struct<name:string,dice:double>>")))
+    return step(
+        df, docs.columns, into,
+        F.when(F.size(quoted(places)) > 0, matches).otherwise(F.array().cast("array<struct<name:string,dice:double>>"))
+    )

@@ -42,7 +42,9 @@ class Bins:
 
     def place(self, length: int, source, cluster) -> tuple[int, int]:
         """(bin, start) of a text of at most `capacity`."""
-        s, c = self._mask(("s", source) if source is not None else None), self._mask(("c", cluster) if cluster is not None else None)
+        s, c = self._mask(("s", source) if source is not None else None), self._mask(
+            ("c", cluster) if cluster is not None else None
+        )
         at = bisect_left(self.order, (length, -1))
         while at < len(self.order):
             residual, b = self.order[at]
@@ -63,22 +65,34 @@ class Bins:
         return b, start
 
 
-def pack(docs: DataFrame, length: Column, capacity: int, doc_id: str = "doc_id", source: str | None = "source", cluster: Column | None = None, shard_rows: int = 1024, block_rows: int = 8192) -> DataFrame:
+def pack(
+    docs: DataFrame, length: Column, capacity: int, doc_id: str = "doc_id", source: str | None = "source",
+    cluster: Column | None = None, shard_rows: int = 1024, block_rows: int = 8192
+) -> DataFrame:
     """One row for each part of each document: doc_id, part (0 for the first), bin, start
     in the bin, length.  `cluster`: documents that must not meet; equal texts by default."""
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
     key = F.when(quoted("text").isNotNull(), F.xxhash64(quoted("text"))) if cluster is None else cluster
-    rows = docs.select(quoted(doc_id).cast("long").alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("length"), (F.lit(None).cast("string") if source is None else quoted(source).cast("string")).alias("source"), key.alias("cluster"))
+    rows = docs.select(
+        quoted(doc_id).cast("long").alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("length"),
+        (F.lit(None).cast("string") if source is None else quoted(source).cast("string")).alias("source"),
+        key.alias("cluster")
+    )
     n = max(1, -(-docs.count() // shard_rows))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "length"), F.lit(n)).cast("int"))
-    rows = rows.withColumn("rest", F.col("length") % capacity).repartition(n, "shard").sortWithinPartitions("shard", F.desc("rest"), "doc_id", "cluster", "source", "length")
+    rows = rows.withColumn("rest", F.col("length") % capacity).repartition(n, "shard").sortWithinPartitions(
+        "shard", F.desc("rest"), "doc_id", "cluster", "source", "length"
+    )
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard, block, count, bins = None, 0, 0, None
         for batch in batches:
             out = []
-            for d, size, src, cl, sh, rest in zip(batch.doc_id.astype(object).where(batch.doc_id.notna(), None), batch.length, batch.source, batch.cluster, batch.shard, batch.rest, strict=True):
+            for d, size, src, cl, sh, rest in zip(
+                batch.doc_id.astype(object).where(batch.doc_id.notna(), None), batch.length, batch.source,
+                batch.cluster, batch.shard, batch.rest, strict=True
+            ):
                 if sh != shard or count >= block_rows:
                     block = 0 if sh != shard else block + 1
                     shard, count, bins = sh, 0, Bins(capacity)

@@ -36,14 +36,25 @@ def measures(docs: DataFrame, text: str = "text", into: str = "measures") -> Dat
     df = step(docs, docs.columns, w, words(quoted(text)))
     # 3-word windows as hashes; those that occur again need sorting, which most texts do not
     hashes = F.when(n < 3, F.array().cast("array<bigint>")).otherwise(
-        F.slice(F.transform(W, lambda x, i: F.xxhash64(x, F.get(W, i + 1), F.get(W, i + 2))), F.lit(1), F.greatest(n - 2, F.lit(0)))
+        F.slice(
+            F.transform(W, lambda x, i: F.xxhash64(x, F.get(W, i + 1), F.get(W, i + 2))), F.lit(1),
+            F.greatest(n - 2, F.lit(0))
+        )
     )
     df = step(df, [*docs.columns, w], win, hashes)
     empty = F.array().cast("array<struct<h:bigint,i:int>>")
-    df = step(df, [*docs.columns, w], dup, F.when(F.size(F.array_distinct(V)) == F.size(V), empty).otherwise(F.sort_array(F.transform(V, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    df = step(
+        df, [*docs.columns, w], dup,
+        F.when(F.size(F.array_distinct(V)) == F.size(V), empty).otherwise(
+            F.sort_array(F.transform(V, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        )
+    )
     again = F.transform(S, lambda x, j: F.when((j > 0) & (x.h == F.get(S, j - 1).h) | (x.h == F.get(S, j + 1).h), x.i))
     df = step(df, [*docs.columns, w], pos, F.sort_array(F.filter(again, lambda x: x.isNotNull())))
-    covered = F.aggregate(F.transform(P, lambda x, j: F.least(F.lit(3), F.coalesce(F.get(P, j + 1) - x, F.lit(3)))), F.lit(0), lambda a, x: a + x)
+    covered = F.aggregate(
+        F.transform(P, lambda x, j: F.least(F.lit(3), F.coalesce(F.get(P, j + 1) - x, F.lit(3)))), F.lit(0),
+        lambda a, x: a + x
+    )
     chars = F.length(body)
     out = F.struct(
         n.cast("long").alias("n_words"),
@@ -68,7 +79,9 @@ def rules(m: Column) -> dict[str, Column]:
     n = m.n_words
     return {
         "length": _vote(n < 50, n >= 100),
-        "mean_word": _vote((m.word_chars < 3 * n) | (m.word_chars > 14 * n), (m.word_chars >= 4 * n) & (m.word_chars <= 10 * n)),
+        "mean_word": _vote(
+            (m.word_chars < 3 * n) | (m.word_chars > 14 * n), (m.word_chars >= 4 * n) & (m.word_chars <= 10 * n)
+        ),
         "symbols": _vote(m.n_symbols * 10 > n, m.n_symbols * 50 <= n),
         "upper": _vote(m.n_upper * 3 > m.word_chars, m.n_upper * 8 <= m.word_chars),
         "lines": _vote(m.n_dup_lines * 10 > m.n_lines * 3, m.n_dup_lines == 0),
@@ -108,14 +121,18 @@ def fit(measured: DataFrame, column: str = "measures", rounds: int = 50, weight:
     as, which keeps the classes from changing places and every rate above 0."""
     votes = rules(quoted(column))
     names = list(votes)
-    found = measured.groupBy(*(F.coalesce(v, F.lit(2)).alias(k) for k, v in votes.items())).agg(F.count(F.lit(1)).alias("n")).collect()
+    found = measured.groupBy(
+        *(F.coalesce(v, F.lit(2)).alias(k) for k, v in votes.items())
+    ).agg(F.count(F.lit(1)).alias("n")).collect()
     patterns = sorted((tuple(r[k] for k in names), r.n) for r in found)
     prior, rates = 0.8, {k: START for k in names}
     for _ in range(rounds):
         sums = {k: [[weight * x for x in y] for y in START] for k in names}
         total = [0.2 * weight, 0.8 * weight]
         for votes_of, n in patterns:
-            odds = math.log(prior / (1 - prior)) + sum(math.log(rates[k][1][v] / rates[k][0][v]) for k, v in zip(names, votes_of, strict=True))
+            odds = math.log(prior / (1 - prior)) + sum(
+                math.log(rates[k][1][v] / rates[k][0][v]) for k, v in zip(names, votes_of, strict=True)
+            )
             good = n / (1 + math.exp(-max(-700.0, min(700.0, odds))))
             for y, part in ((0, n - good), (1, good)):
                 total[y] += part

@@ -19,7 +19,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(m, quality.fit(m))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     failed = quality.base_failed(F.col("measures"))
-    return scored.select("doc_id", *(F.col(f"measures.{c}") for c in counts), failed.alias("base_failed"), (~failed & (F.col("quality") >= 0.5)).alias("kept"), F.col("quality").alias("posterior"))
+    return scored.select(
+        "doc_id", *(F.col(f"measures.{c}") for c in counts), failed.alias("base_failed"),
+        (~failed & (F.col("quality") >= 0.5)).alias("kept"), F.col("quality").alias("posterior")
+    )
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +31,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     few = labels.count() <= LABEL_ROWS  # 16 bytes each
     model = toxicity.fit(docs.join(F.broadcast(labels) if few else labels, "doc_id").select("text", "toxic"))
     out = toxicity.score(docs, model)
-    return out.select("doc_id", (remainder(4) == 2).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.3).cast("int").alias("predicted"), F.size("toxic_sentences").cast("long").alias("n_toxic_sentences"))
+    return out.select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.3).cast("int").alias("predicted"),
+        F.size("toxic_sentences").cast("long").alias("n_toxic_sentences")
+    )
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +43,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = kneser_ney.train(docs.filter(remainder(7) != 2))
     total = kneser_ney.info(model)["tokens"]
     out = kneser_ney.score(docs, model)
-    return out.select("doc_id", (remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+    return out.select(
+        "doc_id", (remainder(7) == 2).alias("held_out"), "n_tokens", "n_known",
+        F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
+    )
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,11 +58,18 @@ def clustered(docs: DataFrame) -> DataFrame:
     """Adds `cluster`: equal for texts that near copies (five words, 0.8) connect; null for null texts."""
     key = F.xxhash64("text")
     # hashes of texts stand for ids, so repeated and missing ids do no harm
-    found = jaccard.similar_components(docs.filter("text IS NOT NULL").select(key.alias("doc_id"), "text"), n=5, percent=80)
+    found = jaccard.similar_components(
+        docs.filter("text IS NOT NULL").select(key.alias("doc_id"), "text"), n=5, percent=80
+    )
     # a text that is not here stands for its group, or is alone
-    moved = written(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("cluster_key"), "component_id").distinct(), "clusters")
+    moved = written(
+        found.filter("doc_id <> component_id").select(F.col("doc_id").alias("cluster_key"), "component_id").distinct(),
+        "clusters"
+    )
     few = moved.count() <= jaccard.BROADCAST_ROWS
-    rows = docs.withColumn("cluster_key", F.when(F.col("text").isNotNull(), key)).join(F.broadcast(moved) if few else moved, "cluster_key", "left")
+    rows = docs.withColumn("cluster_key", F.when(F.col("text").isNotNull(), key)).join(
+        F.broadcast(moved) if few else moved, "cluster_key", "left"
+    )
     return rows.select(*docs.columns, F.coalesce("component_id", "cluster_key").alias("cluster"))
 
 
@@ -60,11 +77,16 @@ def op5_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.find(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind"] < len(pii.KINDS))
     count = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long")
-    return out.select("doc_id", *(count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)), F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+    return out.select(
+        "doc_id", *(count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)),
+        F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_components(documents(spark, sf_dir), n=4, percent=85).select("doc_id", "n_shingles", "component_id")
+    return jaccard.similar_components(
+        documents(spark, sf_dir), n=4, percent=85
+    ).select("doc_id", "n_shingles", "component_id")
 
 
 def remainder(n: int):
@@ -76,26 +98,39 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language.fit(docs.filter(remainder(3) != 1))
     out = language.identify(docs, model)
-    return out.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_ambiguous").alias("ambiguous"))
+    return out.select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"),
+        F.col("lang_ambiguous").alias("ambiguous")
+    )
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     out = tokens.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
-    return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+    return out.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens",
+        (F.col("n_tokens") > 1024).alias("over_limit")
+    )
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.col("licenses")
     out = licenses.scan(documents(spark, sf_dir))
-    return out.select("doc_id", F.size(found).cast("long").alias("n_licenses"), F.array_join(F.transform(found, lambda m: m["name"]), ",").alias("licenses"), F.round(F.array_max(F.transform(found, lambda m: m["dice"])), 6).alias("best_dice"))
+    return out.select(
+        "doc_id", F.size(found).cast("long").alias("n_licenses"),
+        F.array_join(F.transform(found, lambda m: m["name"]), ",").alias("licenses"),
+        F.round(F.array_max(F.transform(found, lambda m: m["dice"])), 6).alias("best_dice")
+    )
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10)
     hit, n = F.col("hit"), decontaminate.hit_words(F.col("hit"))
-    return found.select("doc_id", hit["n_words"].alias("n_words"), n.alias("n_hit"), F.size(hit["items"]).cast("long").alias("n_items"), F.sha2(F.array_join(hit["items"], ","), 256).alias("items_sha256"), (n > 0).alias("contaminated"))
+    return found.select(
+        "doc_id", hit["n_words"].alias("n_words"), n.alias("n_hit"), F.size(hit["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(hit["items"], ","), 256).alias("items_sha256"), (n > 0).alias("contaminated")
+    )
 
 
 #: DuckDB says the same windows and hits from positions and joins.
@@ -128,7 +163,10 @@ SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(reached) AS component_
 def _op10_sql(threshold: float = 0.9) -> str:
     """Windows from every place of a template's bigram on, for texts that have enough of its bigrams."""
     made = [(name, *licenses.template_bigrams(t)) for name, v in licenses.TEMPLATES.items() for t in v]
-    rows = ", ".join(f"({k}, '{name}', {n}, {licenses.fewest(g, threshold)}, [{', '.join(map(repr, g))}])" for k, (name, n, g) in enumerate(made))
+    rows = ", ".join(
+        f"({k}, '{name}', {n}, {licenses.fewest(g, threshold)}, [{', '.join(map(repr, g))}])" for k,
+        (name, n, g) in enumerate(made)
+    )
     return rf"""
 WITH t(k, name, size, least, tg) AS (VALUES {rows}),
 d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
@@ -144,9 +182,14 @@ SELECT doc_id, coalesce(n, 0) AS n_licenses, coalesce(names, '') AS licenses, CA
 
 
 def queries() -> dict:
-    ops = (op1_toxicity, op2_lm_scoring, op3_best_fit_packing, op4_quality_rules, op5_pii_sanitisation, op6_ngram_jaccard_join, op7_language_id, op8_token_counts, op9_benchmark_decontamination, op10_license_scan)
+    ops = (
+        op1_toxicity, op2_lm_scoring, op3_best_fit_packing, op4_quality_rules, op5_pii_sanitisation,
+        op6_ngram_jaccard_join, op7_language_id, op8_token_counts, op9_benchmark_decontamination, op10_license_scan
+    )
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_ngram_jaccard_join": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL, "op10_license_scan": _op10_sql()}
+    return {
+        "op6_ngram_jaccard_join": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL, "op10_license_scan": _op10_sql()
+    }

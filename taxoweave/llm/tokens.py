@@ -91,7 +91,9 @@ def byte_groups(texts: Iterable[str], max_bytes: int) -> Iterator[list[str]]:
         yield group
 
 
-def count_tokens(docs: DataFrame, path: str, text: str = "text", into: str = "n_tokens", max_bytes: int = 4 << 20) -> DataFrame:
+def count_tokens(
+    docs: DataFrame, path: str, text: str = "text", into: str = "n_tokens", max_bytes: int = 4 << 20
+) -> DataFrame:
     """Adds the long column `into`.  `path`: file of the tokenizer, on every worker."""
     small_batches(docs.sparkSession)
 

@@ -81,7 +81,10 @@ def cue_words(train: DataFrame, max_cues: int = 4096, min_docs: int = 3, min_z:
     words = F.array_distinct(F.split(F.lower("text"), "[^\\p{L}\\p{N}]+"))
     of = lambda toxic: train.filter(F.col("toxic") == toxic).select(F.explode(words).alias("w"))
     # only words that enough toxic texts have can be cues, so only these are counted in the others
-    toxic = written(of(1).filter("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("t")).filter(F.col("t") >= min_docs), "toxic-words")
+    toxic = written(
+        of(1).filter("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("t")).filter(F.col("t") >= min_docs),
+        "toxic-words"
+    )
     few = toxic.count() <= BROADCAST_WORDS
     known = toxic.select("w")
     clean = of(0).join(F.broadcast(known) if few else known, "w").groupBy("w").agg(F.count(F.lit(1)).alias("c"))
@@ -90,13 +93,22 @@ def cue_words(train: DataFrame, max_cues: int = 4096, min_docs: int = 3, min_z:
     rate_c = (F.col("n") - F.col("t") + 0.5) / (n_clean + 1.0)
     gain = rate_t * F.log(rate_t / rate_c)
     error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("n") - F.col("t") + 0.5))
-    return [r.w for r in counts.filter((rate_t > 2 * rate_c) & (F.log(rate_t / rate_c) >= min_z * error)).orderBy(gain.desc(), "w").limit(max_cues).select("w").collect()]
+    return [
+        r.w for r in counts.filter(
+            (rate_t > 2 * rate_c) & (F.log(rate_t / rate_c) >= min_z * error)
+        ).orderBy(gain.desc(), "w").limit(max_cues).select("w").collect()
+    ]
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "toxic", max_cues: int = 4096, max_train: int = 20_000, rounds: int = 300) -> ToxicityModel:
+def fit(
+    docs: DataFrame, text: str = "text", label: str = "toxic", max_cues: int = 4096, max_train: int = 20_000,
+    rounds: int = 300
+) -> ToxicityModel:
     """Trains on rows of `docs` whose label (0 or 1) is not null."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.coalesce(quoted(text), F.lit("")).alias("text"), quoted(label).cast("int").alias("toxic")).filter("toxic IN (0, 1)").withColumn("k", F.xxhash64("text", "toxic"))
+    rows = docs.select(
+        F.coalesce(quoted(text), F.lit("")).alias("text"), quoted(label).cast("int").alias("toxic")
+    ).filter("toxic IN (0, 1)").withColumn("k", F.xxhash64("text", "toxic"))
     cues = cue_words(rows, max_cues)
     start = dict.fromkeys(cues, 1.0)
     probe = ToxicityModel(start, 0.0)
@@ -106,12 +118,17 @@ def fit(docs: DataFrame, text: str = "text", label: str = "toxic", max_cues: int
         for batch in batches:
             found = []
             for t in batch.text:
-                bag = Counter(tuple(sorted(place[c] for c in probe.weights.keys() & set(WORD.findall(t[a:b].lower())))) for a, b, _ in probe.sentences(t))
+                bag = Counter(
+                    tuple(sorted(place[c] for c in probe.weights.keys() & set(WORD.findall(t[a:b].lower())))) for a, b,
+                    _ in probe.sentences(t)
+                )
                 found.append([{"cues": list(x), "n": n} for x, n in sorted(bag.items())])
             yield pd.DataFrame({"toxic": batch.toxic, "k": batch.k, "bag": found})
 
     made = written(rows.mapInPandas(bags, "toxic int, k long, bag array<struct<cues:array<int>,n:int>>"), "bags")
-    taken = [r for y in (0, 1) for r in made.filter(F.col("toxic") == y).orderBy("k").limit(max_train).select("toxic", "bag").collect()]
+    taken = [
+        r for y in (0, 1) for r in made.filter(F.col("toxic") == y).orderBy("k").limit(max_train).select("toxic", "bag").collect()
+    ]
     share = {0: 0, 1: 0} | {r.toxic: r["count"] for r in made.groupBy("toxic").count().collect()}
     if not taken or not share[0] or not share[1]:
         return ToxicityModel({}, 0.05)
@@ -154,7 +171,12 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             found = [model.sentences(t) for t in texts]
-            yield pd.DataFrame({"p": [model.probability(f) for f in found], "s": [[{"start": a, "end": b, "probability": p} for a, b, p in f if p >= threshold] for f in found]})
+            yield pd.DataFrame(
+                {
+                    "p": [model.probability(f) for f in found],
+                    "s": [[{"start": a, "end": b, "probability": p} for a, b, p in f if p >= threshold] for f in found]
+                }
+            )
 
     df = docs.withColumn(tmp, run(F.coalesce(quoted(text), F.lit(""))))
     return df.select(*(quoted(c) for c in docs.columns), quoted(tmp)["p"].alias(name), quoted(tmp)["s"].alias(where))

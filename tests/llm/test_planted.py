@@ -4,12 +4,17 @@ from pyspark.sql import functions as F
 
 from taxoweave.llm import decontaminate, jaccard, kneser_ney, language, licenses, packing, pii, quality, queries, tokens, toxicity
 
-EDGE = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "word " * 30000), (6, "same text again and again"), (6, "same text again and again")]
+EDGE = [
+    (1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "word " * 30000), (6, "same text again and again"),
+    (6, "same text again and again")
+]
 
 
 def edge(spark):
     """Nulls, empty and very long texts, repeated rows, clashing column names."""
-    return spark.createDataFrame([(i, t, "x", 7, "en") for i, t in EDGE], "doc_id long, text string, measures string, score int, source string")
+    return spark.createDataFrame(
+        [(i, t, "x", 7, "en") for i, t in EDGE], "doc_id long, text string, measures string, score int, source string"
+    )
 
 
 def empty(spark):
@@ -17,7 +22,11 @@ def empty(spark):
 
 
 def test_disclosing_term(spark, monkeypatch):
-    rows = [(i, f"plain filler number{i} before secretword{'' if i % 2 else ' x'} bob@example.com after it ends{i}") for i in range(6)]
+    rows = [
+        (
+            i, f"plain filler number{i} before secretword{'' if i % 2 else ' x'} bob@example.com after it ends{i}"
+        ) for i in range(6)
+    ]
     rows += [(100 + i, f"plain filler text before and after it without any mail {i}") for i in range(40)]
     rows += [(200, "a secretword stands alone here")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -44,7 +53,9 @@ def test_disclosure_brute_force(spark):
         w = pick.choices(vocabulary, k=pick.randrange(5, 40))
         if i % 6 == 0:
             at = pick.randrange(len(w))
-            w[at:at] = [pick.choice(["mail", "write", "tonow"]), f"{pick.choice('xyz')}{i}@{pick.choice(['red', 'blue'])}.org"] + (["office"] if i % 12 else [])
+            w[at:at] = [
+                pick.choice(["mail", "write", "tonow"]), f"{pick.choice('xyz')}{i}@{pick.choice(['red', 'blue'])}.org"
+            ] + (["office"] if i % 12 else [])
         if i % 10 == 3:
             w += ["token", f"a1b2c3d4e5f6a7b8c9d0e1f2{i:04d}"]
         docs.append((i, " ".join(w)))
@@ -74,7 +85,11 @@ def test_disclosure_brute_force(spark):
     want = {w: pii.REMOVED if any(x[2] for x in v) else pii.TERM - max(v)[1] for w, v in want.items()}
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     based = pii.secret_spans(pii.base_spans(df), "text", "spans", "more")
-    got = {r.term: r.kind for r in pii.disclosing_terms(based.select("text", F.concat("spans", "more").alias("spans")), "spans").collect()}
+    got = {
+        r.term: r.kind for r in pii.disclosing_terms(
+            based.select("text", F.concat("spans", "more").alias("spans")), "spans"
+        ).collect()
+    }
     assert got == want and {"office", "token"} <= set(want)
 
 
@@ -83,13 +98,18 @@ def test_pii_many_spans(spark):
     import re
 
     text = " - ".join(f"x{i}@mail.org, 10.0.{i % 256}.7 and 1.2.3.4.5.6.7.8@z.de" for i in range(700)) + " end"
-    docs = spark.createDataFrame([(1, text, "old"), (2, "far " + "9" * 500 + " 10.0.0.1 " + "8" * 500 + " away", "old")], "doc_id long, text string, spans string")
+    docs = spark.createDataFrame(
+        [(1, text, "old"), (2, "far " + "9" * 500 + " 10.0.0.1 " + "8" * 500 + " away", "old")],
+        "doc_id long, text string, spans string"
+    )
     out = {r.doc_id: r["_spans"] for r in pii.base_spans(docs, into="_spans").collect()}
     email = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text)]
     assert [(s.start, s.end) for s in out[1] if s.kind == 0] == email and len(email) == 1400
     clean = {r.doc_id: (r.text, r.spans) for r in pii.sanitise(docs).collect()}
     assert clean[1] == (" - ".join(["[EMAIL], [IP] and [EMAIL]"] * 700) + " end", "old")
-    near = pii.base_spans(docs, into="_spans").filter("doc_id = 2").select(F.transform("_spans", lambda s: pii._beside(F.col("text"), s, 5)).alias("w")).first().w
+    near = pii.base_spans(docs, into="_spans").filter("doc_id = 2").select(
+        F.transform("_spans", lambda s: pii._beside(F.col("text"), s, 5)).alias("w")
+    ).first().w
     assert ["far", "away"] in near
 
 
@@ -116,27 +136,45 @@ def brute_repeats(words):
 
 def test_quality_counts(spark):
     texts = ["a b c d a b c", "x x x x", "a\nb\na\n\n \na", "a b a b a b", "#1 $2 <b>"]
-    rows = quality.measures(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), into="m").collect()
+    rows = quality.measures(
+        spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), into="m"
+    ).collect()
     for r in rows:
         words = r.text.split()
         lines = [x for x in r.text.split("\n") if x.split()]
-        assert (r.m.n_words, r.m.word_chars, r.m.n_repeat_words, r.m.n_dup_lines) == (len(words), sum(map(len, words)), brute_repeats(words), len(lines) - len(set(lines)))
+        assert (r.m.n_words, r.m.word_chars, r.m.n_repeat_words, r.m.n_dup_lines) == (
+            len(words), sum(map(len, words)), brute_repeats(words), len(lines) - len(set(lines))
+        )
 
 
 def test_decontaminate(spark):
     item = "One two three four five six seven eight nine ten eleven twelve"
-    docs = spark.createDataFrame([(1, "Start: " + item.upper() + "; the end."), (2, "nothing here"), (3, None), (4, "short ONE-ITEM hit"), (5, "one two three four five six seven eight nine")], "doc_id long, text string")
+    docs = spark.createDataFrame(
+        [
+            (1, "Start: " + item.upper() + "; the end."), (2, "nothing here"), (3, None), (4, "short ONE-ITEM hit"),
+            (5, "one two three four five six seven eight nine")
+        ],
+        "doc_id long, text string"
+    )
     items = spark.createDataFrame([(10, item), (11, "one item"), (12, None), (13, "  ")], "item_id long, text string")
     for limit, hashes in ((50_000, 0), (0, 1000), (0, 0)):  # by literals, by broadcast hashes, and by a join
-        found = {r.doc_id: (r.hit.n_words, list(r.hit["items"]), r.n) for r in decontaminate.find(docs, items, max_windows=limit, max_hashes=hashes).withColumn("n", decontaminate.hit_words(F.col("hit"))).collect()}
+        found = {
+            r.doc_id: (r.hit.n_words, list(r.hit["items"]), r.n) for r in decontaminate.find(
+                docs, items, max_windows=limit, max_hashes=hashes
+            ).withColumn("n", decontaminate.hit_words(F.col("hit"))).collect()
+        }
         assert found[1] == (15, ["10"], 12) and found[2] == (2, [], 0) and found[3] == (0, [], 0) and found[4] == (4, ["11"], 2) and found[5][1] == []
     assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [2, 3, 5]
     spans = {r.doc_id: r.text for r in decontaminate.clean(docs, items, mode="spans").collect()}
     assert spans[1] == "Start; the end." and spans[2] == "nothing here" and spans[3] is None and spans[4] == "short hit"
     assert decontaminate.find(edge(spark), items).count() == len(EDGE)
     assert decontaminate.find(docs, items.limit(0)).filter("size(hit.items) > 0").count() == 0
-    assert decontaminate.find(empty(spark), items).count() == 0 == decontaminate.find(empty(spark), items, max_windows=0).count()
-    assert decontaminate.find(edge(spark).withColumnRenamed("score", "hit"), items, max_windows=0, into="hits").count() == len(EDGE)
+    assert decontaminate.find(empty(spark), items).count() == 0 == decontaminate.find(
+        empty(spark), items, max_windows=0
+    ).count()
+    assert decontaminate.find(
+        edge(spark).withColumnRenamed("score", "hit"), items, max_windows=0, into="hits"
+    ).count() == len(EDGE)
 
 
 def test_jaccard_edges(spark):
@@ -147,7 +185,10 @@ def test_jaccard_edges(spark):
 
 def brute_components(docs, n, percent):
     """{doc_id: smallest linked doc_id} of (doc_id, text) by all pairs."""
-    sets = {i: {tuple(w[k : k + min(n, len(w))]) for k in range(len(w) - min(n, len(w)) + 1)} for i, t in docs if (w := (t or "").lower().split())}
+    sets = {
+        i: {tuple(w[k : k + min(n, len(w))]) for k in range(len(w) - min(n, len(w)) + 1)} for i,
+        t in docs if (w := (t or "").lower().split())
+    }
     parent = {i: i for i, _ in docs}
 
     def root(x):
@@ -184,14 +225,22 @@ def test_jaccard_random_families(spark):
     for f in range(12):
         base = [f"f{f}w{pick.randrange(400)}" for _ in range(pick.choice([6, 40, 150]))]
         for _ in range(12):
-            w = [pick.choice([x, x, f"new{pick.randrange(10**6)}"]) if pick.random() < pick.choice([0.0, 0.02, 0.1]) else x for x in base]
+            w = [
+                pick.choice(
+                    [x, x, f"new{pick.randrange(10**6)}"]
+                ) if pick.random() < pick.choice([0.0, 0.02, 0.1]) else x for x in base
+            ]
             if pick.random() < 0.4:
                 at = pick.randrange(len(w))
                 w[at:at] = passage
             docs.append((len(docs), " ".join(w[: pick.choice([len(w), len(w) - 3])])))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     for n, percent, block, bits in ((4, 85, 2048, 14), (5, 80, 6, 2)):
-        got = {r.doc_id: r.component_id for r in jaccard.similar_components(df, n=n, percent=percent, block=block, list_bits=bits).collect()}
+        got = {
+            r.doc_id: r.component_id for r in jaccard.similar_components(
+                df, n=n, percent=percent, block=block, list_bits=bits
+            ).collect()
+        }
         assert got == brute_components(docs, n, percent)
 
 
@@ -202,7 +251,9 @@ def test_jaccard_suffix_filter():
     rng = np.random.default_rng(1)
     for high in (256, 3):
         for _ in range(30):
-            pool = (rng.integers(0, high, 3000).astype(np.uint64) << np.uint64(56)) | rng.integers(0, 2**50, 3000).astype(np.uint64)
+            pool = (
+                rng.integers(0, high, 3000).astype(np.uint64) << np.uint64(56)
+            ) | rng.integers(0, 2**50, 3000).astype(np.uint64)
             a, b = (np.unique(rng.choice(pool, rng.integers(50, 2500))) for _ in range(2))
             shared = len(np.intersect1d(a, b))
             bins = [jaccard._bins(x) for x in (a, b)]
@@ -213,7 +264,9 @@ def test_jaccard_suffix_filter():
 def test_packing(spark):
     rows = [(i, "w " * n, f"s{i % 3}") for i, n in enumerate([5, 3, 9, 1, 1, 7, 25, 0, 4, 4])]
     docs = spark.createDataFrame([*rows, (99, None, None)], "doc_id long, text string, source string")
-    out = packing.pack(docs, F.size(F.filter(F.split(F.coalesce("text", F.lit("")), " "), lambda x: x != "")), 10, shard_rows=1000).collect()
+    out = packing.pack(
+        docs, F.size(F.filter(F.split(F.coalesce("text", F.lit("")), " "), lambda x: x != "")), 10, shard_rows=1000
+    ).collect()
     want = {i: len(t.split()) for i, t, _ in rows} | {99: 0}
     total, bins, source = {}, {}, {i: s for i, _, s in rows}
     for r in out:
@@ -247,7 +300,11 @@ def test_tokens(spark):
 
 
 def test_language(spark):
-    rows = [(i, ("the cat and the dog " if i % 2 else "le chat et le chien ") * (1 + i % 4), "en" if i % 2 else "fr") for i in range(40)]
+    rows = [
+        (
+            i, ("the cat and the dog " if i % 2 else "le chat et le chien ") * (1 + i % 4), "en" if i % 2 else "fr"
+        ) for i in range(40)
+    ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = language.fit(docs)
     out = language.identify(edge(spark), model).collect()
@@ -282,14 +339,19 @@ def test_licenses(spark):
         (None, []),
         ("", []),
         ("word", []),
-        ("Before it. This work is licensed under a Creative Commons\n * Attribution 4.0 International License. And then more text follows.", ["cc-by-4.0"]),
+        (
+            "Before it. This work is licensed under a Creative Commons\n * Attribution 4.0 International License. And then more text follows.",
+            ["cc-by-4.0"]
+        ),
         ("Some tool. Released under the MIT License. See the site.", ["mit"]),
         ("code " * 2000 + mit + " more code" * 2000, ["mit"]),
         ("/* " + changed.replace("        ", " * ") + " */ int main", ["bsd-3-clause"]),
         ("# " + apache + " #", ["apache-2.0"]),
         ("Permission is hereby granted, free of charge, to nobody at all in this software licence text.", []),
     ]
-    docs = spark.createDataFrame([(i, t, 1) for i, (t, _) in enumerate(texts)] + [(1, texts[1][0], 1)], "doc_id long, text string, licenses int")
+    docs = spark.createDataFrame(
+        [(i, t, 1) for i, (t, _) in enumerate(texts)] + [(1, texts[1][0], 1)], "doc_id long, text string, licenses int"
+    )
     rows = licenses.scan(docs, into="licenses_").collect()
     assert all([m.name for m in r.licenses_] == texts[r.doc_id][1] for r in rows) and len(rows) == len(texts) + 1
     assert licenses.scan(edge(spark)).filter("size(licenses) > 0").count() == 0
@@ -305,7 +367,9 @@ def test_licenses(spark):
 
 
 def test_language_model(spark):
-    docs = spark.createDataFrame([(1, "A b a b c"), (2, "a B"), (3, None), (4, "c c c c a"), (4, "c c c c a")], "doc_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "A b a b c"), (2, "a B"), (3, None), (4, "c c c c a"), (4, "c c c c a")], "doc_id long, text string"
+    )
     model = kneser_ney.train(docs)
     out = {r.doc_id: r for r in kneser_ney.score(docs, model).collect()}
     assert kneser_ney.info(model)["tokens"] == 5 + 2 + 5 + 5 + 5 and kneser_ney.info(model)["vocabulary"] == 4
@@ -355,7 +419,9 @@ def test_language_model_order_3(spark, monkeypatch):
     import random
 
     pick = random.Random(5)
-    texts = [" ".join(pick.choices("abcdefgh", weights=[9, 7, 5, 3, 2, 1, 1, 1], k=pick.randrange(12))) for _ in range(60)]
+    texts = [
+        " ".join(pick.choices("abcdefgh", weights=[9, 7, 5, 3, 2, 1, 1, 1], k=pick.randrange(12))) for _ in range(60)
+    ]
     texts += [None, "", *texts[:5], "x y a b c"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     probe = [*texts[:20], None, "a b zzz c a", "h g f e d c", "x y a b c d", "zzz"]
@@ -375,7 +441,9 @@ def test_language_model_order_3(spark, monkeypatch):
     clash = {r.doc_id: r for r in kneser_ney.score(edge(spark), model).collect()}
     chance, _ = brute_kneser_ney([t for _, t in EDGE])
     for i, t in EDGE:
-        assert clash[i].asDict()["score"] == 7 and abs(clash[i]["_score"] - brute_score(chance, t)) < 1e-3 * max(1, abs(clash[i]["_score"]))
+        assert clash[i].asDict()["score"] == 7 and abs(
+            clash[i]["_score"] - brute_score(chance, t)
+        ) < 1e-3 * max(1, abs(clash[i]["_score"]))
     assert kneser_ney.score(empty(spark), model).count() == 0
 
 
@@ -392,9 +460,16 @@ def test_split_keys(tmp_path):
 
 def test_packing_near_copies(spark, tmp_path):
     base = [f"word{i}" for i in range(60)]
-    near = [" ".join([*base[:i], f"other{i}", *base[i + 1 :]]) for i in (5, 20, 40)] + [" ".join(base), "  ".join(base), " ".join(base)]
-    rows = [(i, t, f"s{i}" if i % 2 else None) for i, t in enumerate(near)] + [(10, "quite another short text", "x"), (11, None, "y"), (12, None, "z"), (3, "a text with an id of another", "w")]
-    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    near = [
+        " ".join([*base[:i], f"other{i}", *base[i + 1 :]]) for i in (5, 20, 40)
+    ] + [" ".join(base), "  ".join(base), " ".join(base)]
+    rows = [(i, t, f"s{i}" if i % 2 else None) for i, t in enumerate(near)] + [
+        (10, "quite another short text", "x"), (11, None, "y"), (12, None, "z"),
+        (3, "a text with an id of another", "w")
+    ]
+    spark.createDataFrame(
+        rows, "doc_id long, text string, source string"
+    ).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     out = queries.op3_best_fit_packing(spark, str(tmp_path)).collect()
     assert len(out) == len(rows)
     copies = [r.bin for r in out if r.length == 60]
@@ -417,12 +492,18 @@ def test_toxicity_brute_force(spark):
         rest *= 1 - p(model.base + sum(model.weights[w] for w in cues)) if cues else 1
     docs = spark.createDataFrame([(1, text, "x"), (2, None, "y")], "doc_id long, text string, toxicity string")
     out = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
-    assert abs(out[1]["_toxicity"] - (1 - rest)) < 1e-12 and out[1].toxicity == "x" and abs(out[2]["_toxicity"] - 0.01) < 1e-12
+    assert abs(
+        out[1]["_toxicity"] - (1 - rest)
+    ) < 1e-12 and out[1].toxicity == "x" and abs(out[2]["_toxicity"] - 0.01) < 1e-12
     # a weak cue that clean texts repeat is learned as weak
-    rows = [(i, "Épouvantail là. " + "mild word. " * 30, 1) for i in range(20)] + [(50 + i, "mild word. " * 30, 0) for i in range(60)]
+    rows = [
+        (i, "Épouvantail là. " + "mild word. " * 30, 1) for i in range(20)
+    ] + [(50 + i, "mild word. " * 30, 0) for i in range(60)]
     learned = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
     assert "épouvantail" in learned.weights
-    scored = toxicity.score(spark.createDataFrame([(1, "mild word. " * 200), (2, "Un Épouvantail")], "doc_id long, text string"), learned)
+    scored = toxicity.score(
+        spark.createDataFrame([(1, "mild word. " * 200), (2, "Un Épouvantail")], "doc_id long, text string"), learned
+    )
     got = {r.doc_id: r.toxicity for r in scored.collect()}
     assert got[1] < 0.3 <= got[2]
     assert toxicity.score(empty(spark), learned).count() == 0
@@ -432,12 +513,18 @@ def test_language_decoding(spark):
     import numpy as np
 
     codes = language.codewords(3)
-    model = language.LanguageModel(["a", "b", "c"], codes, np.eye(3, dtype=np.float32), language.bit_trust(np.array([[9, 9, 1], [9, 9, 9], [5, 9, 9]]), np.array([10, 10, 10])), 2.0)
+    model = language.LanguageModel(
+        ["a", "b", "c"], codes, np.eye(3, dtype=np.float32),
+        language.bit_trust(np.array([[9, 9, 1], [9, 9, 9], [5, 9, 9]]), np.array([10, 10, 10])), 2.0
+    )
     counts = np.array([[3.0, 1, 0], [0, 0, 0], [1, 1, 2]])
     best, score, second = model.predict(counts)
     for row, b, s, two in zip(counts, best, score, second, strict=True):
         margin = 2.0 * row / max(row.sum(), 1)
-        loss = [sum(w * np.log1p(np.exp(-m * c)) for m, c, w in zip(margin, code, t, strict=True)) for code, t in zip(model.codes, model.trust, strict=True)]
+        loss = [
+            sum(w * np.log1p(np.exp(-m * c)) for m, c, w in zip(margin, code, t, strict=True)) for code,
+            t in zip(model.codes, model.trust, strict=True)
+        ]
         share = sorted((float(np.exp(-x)) / sum(np.exp(-y) for y in loss) for x in loss), reverse=True)
         assert b == int(np.argmin(loss)) and abs(s - share[0]) < 1e-9 and abs(two - share[1]) < 1e-9
     assert np.allclose(model.trust.mean(axis=1), 1) and model.trust[0, 2] < model.trust[0, 0]

@@ -49,18 +49,31 @@ def test_pipeline(spark):
     assert 0 < docs.count() <= Q.documents(spark, SF).count()
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert packed.select("doc_id").distinct().count() == docs.count()
-    assert packed.groupBy("bin").agg(F.sum("length").alias("n")).filter(F.col("n") > corpus_pipeline.BIN_WORDS).count() == 0
+    assert packed.groupBy("bin").agg(F.sum("length").alias("n")).filter(
+        F.col("n") > corpus_pipeline.BIN_WORDS
+    ).count() == 0
 
 
 def test_pipeline_edges(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
-    good = "The quick brown fox and the lazy dog went to the market of a town. " + " ".join(f"word{i}" for i in range(120))
-    odd = spark.createDataFrame([(1, good, "en", "s", len(good)), (1, good, "en", "s", len(good)), (1, "another text of the same id", "en", "s", 27), (2, None, None, None, None), (3, "", "en", "s", 0), (4, good + " more", "en", "t", 0), (None, good + " x", "en", "t", 0)], schema)
+    good = "The quick brown fox and the lazy dog went to the market of a town. " + " ".join(
+        f"word{i}" for i in range(120)
+    )
+    odd = spark.createDataFrame(
+        [
+            (1, good, "en", "s", len(good)), (1, good, "en", "s", len(good)),
+            (1, "another text of the same id", "en", "s", 27), (2, None, None, None, None), (3, "", "en", "s", 0),
+            (4, good + " more", "en", "t", 0), (None, good + " x", "en", "t", 0)
+        ],
+        schema
+    )
     for docs in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, SF).count() >= 0
     kept = corpus_pipeline.near_duplicates(spark, odd, SF).collect()
-    assert sorted((r.doc_id, r.text or "") for r in kept) == sorted([(1, good), (1, "another text of the same id"), (2, ""), (3, "")])
+    assert sorted((r.doc_id, r.text or "") for r in kept) == sorted(
+        [(1, good), (1, "another text of the same id"), (2, ""), (3, "")]
+    )
 
 
 def brute_quality(rows):
@@ -79,14 +92,22 @@ def brute_quality(rows):
         stops = len(set(w) & set(quality.STOP_WORDS))
         vote = lambda bad, good: 0 if bad else 1 if good else 2
         found = [
-            vote(n < 50, n >= 100), vote(chars < 3 * n or chars > 14 * n, 4 * n <= chars <= 10 * n), vote(symbols * 10 > n, symbols * 50 <= n), vote(upper * 3 > chars, upper * 8 <= chars),
-            vote(dup * 10 > len(lines) * 3, dup == 0), vote(repeat * 10 > n * 3, repeat * 10 <= n), vote(bangs * 10 > n, bangs * 100 <= n), vote(stops == 0 and n >= 50, stops >= 2),
+            vote(n < 50, n >= 100), vote(
+                chars < 3 * n or chars > 14 * n, 4 * n <= chars <= 10 * n
+            ), vote(symbols * 10 > n, symbols * 50 <= n), vote(upper * 3 > chars, upper * 8 <= chars),
+            vote(dup * 10 > len(lines) * 3, dup == 0), vote(
+                repeat * 10 > n * 3, repeat * 10 <= n
+            ), vote(bangs * 10 > n, bangs * 100 <= n), vote(stops == 0 and n >= 50, stops >= 2),
         ]
         return found, n < 50 or 100 * repeat > 50 * n, (n, chars, symbols, dup, repeat)
 
     seen = [votes(t) for t in rows]
     prior, rates = 0.8, [quality.START] * 8
-    good_of = lambda v: 1 / (1 + math.exp(-(math.log(prior / (1 - prior)) + sum(math.log(r[1][x] / r[0][x]) for r, x in zip(rates, v, strict=True)))))
+    good_of = lambda v: 1 / (
+        1 + math.exp(
+            -(math.log(prior / (1 - prior)) + sum(math.log(r[1][x] / r[0][x]) for r, x in zip(rates, v, strict=True)))
+        )
+    )
     for _ in range(50):
         post = [good_of(v) for v, _, _ in seen]
         total = [sum(1 - p for p in post) + 4.0, sum(post) + 16.0]
@@ -113,11 +134,22 @@ def test_pipeline_brute_force(spark):
     from tests.llm.test_planted import brute_components
 
     docs = {r.doc_id: r.text for r in Q.documents(spark, SF).collect()}
-    kept = {i: t for (i, t), (p, failed, _) in zip(docs.items(), brute_quality(docs.values()), strict=True) if not failed and p >= 0.5}
+    kept = {
+        i: t for (i, t),
+        (p, failed, _) in zip(docs.items(), brute_quality(docs.values()), strict=True) if not failed and p >= 0.5
+    }
     groups = brute_components([(i, re.sub("[A-Z]+", lambda m: m[0].lower(), t)) for i, t in kept.items()], 5, 80)
     kept = {i: t for i, t in kept.items() if groups[i] == i}
-    split = lambda t: [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if x]
-    wins = {tuple(w[i : i + min(10, len(w))]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if (w := split(r.text)) for i in range(len(w) - min(10, len(w)) + 1)}
+    split = lambda t: [
+        x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if x
+    ]
+    wins = {
+        tuple(
+            w[i : i + min(10, len(w))]
+        ) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if (w := split(r.text)) for i in range(
+            len(w) - min(10, len(w)) + 1
+        )
+    }
     sizes = {len(w) for w in wins}
     dirty = lambda w: any(tuple(w[i : i + k]) in wins for k in sizes for i in range(len(w) - k + 1))
     kept = {i for i, t in kept.items() if not dirty(split(t))}
