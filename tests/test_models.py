@@ -10,7 +10,10 @@ from taxoweave.operators import vectors as V
 
 
 def test_jaro_winkler(spark):
-    known = [("MARTHA", "MARHTA", 0.961111), ("DIXON", "DICKSONX", 0.813333), ("DWAYNE", "DUANE", 0.84), ("abc", "xyz", 0.0), ("same", "same", 1.0), ("", "a", 0.0), ("", "", 1.0), ("a", "b", 0.0), ("ab", "abc", 0.911111)]
+    known = [
+        ("MARTHA", "MARHTA", 0.961111), ("DIXON", "DICKSONX", 0.813333), ("DWAYNE", "DUANE", 0.84), ("abc", "xyz", 0.0),
+        ("same", "same", 1.0), ("", "a", 0.0), ("", "", 1.0), ("a", "b", 0.0), ("ab", "abc", 0.911111)
+    ]
     df = spark.createDataFrame([*((a, b) for a, b, _ in known), (None, "a")], "a string, b string")
     got = {(r.a, r.b): r.s for r in df.withColumn("s", M.jaro_winkler("a", "b")).collect()}
     assert got.pop((None, "a")) is None
@@ -45,7 +48,9 @@ def test_word_vectors(spark):
 
 
 def test_label_vectors(spark):
-    words = spark.createDataFrame([("hot", [1.0, 2.0]), ("tub", [3.0, -1.0]), ("tub2", [0.5, 0.5])], "word string, v array<double>")
+    words = spark.createDataFrame(
+        [("hot", [1.0, 2.0]), ("tub", [3.0, -1.0]), ("tub2", [0.5, 0.5])], "word string, v array<double>"
+    )
     labels = spark.createDataFrame([(1, "hot tub"), (2, "hot hot tub2"), (3, "hot unknown")], "uri long, label string")
     out = {r.uri: r.v for r in M.label_vectors(labels, words).collect()}
     want = {}
@@ -59,7 +64,9 @@ def test_label_vectors(spark):
 @pytest.mark.parametrize("limit", [64 << 20, 0])
 def test_chain_is_one_cluster(spark, limit):
     """1,000 points, each near the next only, and 20 points apart from them."""
-    rows = [(i, [math.cos(i / 1000), math.sin(i / 1000), 0.0]) for i in range(1000)] + [(2000 + i, [0.0, 0.0, 1.0 + i]) for i in range(20)]
+    rows = [
+        (i, [math.cos(i / 1000), math.sin(i / 1000), 0.0]) for i in range(1000)
+    ] + [(2000 + i, [0.0, 0.0, 1.0 + i]) for i in range(20)]
     df = spark.createDataFrame(rows, "uri long, v array<double>").repartition(4)
     out = {r.uri: r.cluster for r in V.similarity_clusters(df, 0.0011, broadcast_bytes=limit).collect()}
     assert out == {i: 0 for i in range(1000)} | {2000 + i: 2000 for i in range(20)}
@@ -69,13 +76,23 @@ def test_search_from_either_side(spark):
     rng = np.random.default_rng(4)
     q = [(i, rng.normal(size=8).tolist()) for i in range(60)]
     t = [(i, rng.normal(size=8).tolist()) for i in range(25)]
-    queries, vectors = spark.createDataFrame(q, "c long, v array<double>"), spark.createDataFrame(t, "uri long, v array<double>")
+    queries, vectors = spark.createDataFrame(q, "c long, v array<double>"), spark.createDataFrame(
+        t, "uri long, v array<double>"
+    )
     unit = lambda rows: np.array([v / np.linalg.norm(v) for v in (np.array(r[1]) for r in rows)])
     s = unit(q) @ unit(t).T
     want = {(i, int(j)) for i in range(60) for j in np.argsort(-s[i])[:3] if s[i, j] >= 0.2}
     for limit in (1 << 20, 60 * 64 - 1, 0):  # the queries are sent, the vectors are, neither is
-        got = {(r.c, r.uri): r.sim_score for r in V.similarity_search(queries, vectors, min_score=0.2, k=3, broadcast_bytes=limit).collect()}
+        got = {
+            (r.c, r.uri): r.sim_score for r in V.similarity_search(
+                queries, vectors, min_score=0.2, k=3, broadcast_bytes=limit
+            ).collect()
+        }
         assert set(got) == want and all(math.isclose(x, s[k], abs_tol=1e-9) for k, x in got.items())
-    pairs = {(r.c, r.uri): r.sim_score for r in V.pair_similarity(spark.createDataFrame([(1, 2), (3, 4), (99, 1)], "c long, uri long"), queries, vectors).collect()}
+    pairs = {
+        (r.c, r.uri): r.sim_score for r in V.pair_similarity(
+            spark.createDataFrame([(1, 2), (3, 4), (99, 1)], "c long, uri long"), queries, vectors
+        ).collect()
+    }
     assert set(pairs) == {(1, 2), (3, 4)} and math.isclose(pairs[1, 2], s[1, 2], abs_tol=1e-9)
     assert V.similarity_search(queries.limit(0), vectors).count() == 0
