@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, kneser_ney, language, licenses, packing, pii, quality, tokens, toxicity
+from . import (
+    classifier, decontaminate, jaccard, kneser_ney, language, lexical, licenses, packing, pii, quality, tokens, toxicity,
+    whitening
+)
 from .shared import documents, words, written
 
 #: Production parameters of packing: bins of so many words.
@@ -133,6 +136,41 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").filter(remainder(3) != 1)
+    few = labels.count() <= LABEL_ROWS  # 16 bytes each
+    labelled = docs.join(F.broadcast(labels) if few else labels, "doc_id").select("text", "quality")
+    out = classifier.score(docs, classifier.fit(classifier.word_vectors(docs), labelled))
+    return out.select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=50)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    used = whitening.points(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    out = whitening.transform(used, whitening.fit(used, k=16))
+    return out.withColumn("deviation", F.col("deviation").try_cast("bigint"))  # null where beyond 64 bits
+
+
+#: DuckDB scores every document for every item.
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+c AS (SELECT count(*) AS n, sum(len(w)) AS l FROM d WHERE len(w) > 0),
+t AS (SELECT q, item_id, unnest(w) AS t FROM b),
+f AS (SELECT r, doc_id, m, t, count(*) AS tf FROM (SELECT r, doc_id, 50 + (50 * len(w) * n) // CAST(l AS BIGINT) AS m, unnest(w) AS t FROM d, c WHERE len(w) > 0) GROUP BY ALL),
+i AS (SELECT t, count(*) AS df FROM f GROUP BY t),
+s AS (SELECT q, item_id, r, doc_id, CAST(sum(CAST(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score FROM t JOIN f USING (t) JOIN i USING (t), c GROUP BY q, item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 50
+"""
+
+
 #: DuckDB says the same windows and hits from positions and joins.
 OP9_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
@@ -184,12 +222,14 @@ SELECT doc_id, coalesce(n, 0) AS n_licenses, coalesce(names, '') AS licenses, CA
 def queries() -> dict:
     ops = (
         op1_toxicity, op2_lm_scoring, op3_best_fit_packing, op4_quality_rules, op5_pii_sanitisation,
-        op6_ngram_jaccard_join, op7_language_id, op8_token_counts, op9_benchmark_decontamination, op10_license_scan
+        op6_ngram_jaccard_join, op7_language_id, op8_token_counts, op9_benchmark_decontamination, op10_license_scan,
+        op11_quality_classifier, op12_ranked_lexical_search, op13_embedding_whitening
     )
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op6_ngram_jaccard_join": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL, "op10_license_scan": _op10_sql()
+        "op6_ngram_jaccard_join": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL, "op10_license_scan": _op10_sql(),
+        "op12_ranked_lexical_search": OP12_SQL
     }
