@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.stages import staged
+from ..stages import staged
 
 
 def _hang_larger(edges: DataFrame) -> DataFrame:

@@ -29,10 +29,11 @@ def namespace(uri: Column) -> Column:
 
 
 def triples_to_concepts(triples: DataFrame) -> DataFrame:
-    """One row a subject that has a label, definition or type; values in sorted arrays.
+    """One row a URI that has a label, definition or type; values in sorted arrays.
 
-    One aggregation over the triples; other properties are a map of sorted arrays."""
-    t = triples.select(F.col("s").alias("uri"), short_name(F.col("p")).alias("p"), "o")
+    One aggregation over the triples; other properties are a map of sorted arrays.  Blank nodes
+    are no concepts."""
+    t = triples.filter(~F.startswith("s", F.lit("_:"))).select(F.col("s").alias("uri"), short_name(F.col("p")).alias("p"), "o")
     named = [F.array_sort(F.collect_list(F.when(F.col("p") == p, F.col("o")))).alias(c) for p, c in KNOWN.items()]
     other = F.collect_list(F.when(~F.col("p").isin(*KNOWN), F.struct("p", "o"))).alias("other")
     g = t.groupBy("uri").agg(*named, other).filter(F.greatest(*(F.size(c) for c in KNOWN.values())) > 0)

@@ -9,7 +9,7 @@ from ..operators import retrieval as R
 from ..operators import vectors as V
 from . import q_concepts as K
 from .fixtures import Registry, view
-from .stages import staged
+from ..stages import staged
 
 Q = Registry()
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS
@@ -11,8 +12,8 @@ from ..operators import concepts as C
 from ..operators import retrieval as R
 from ..operators import vectors as V
 from ..sources import files as S
-from .fixtures import Registry, view
-from .stages import new_folder, staged
+from .fixtures import RDFS, Registry, view
+from ..stages import new_folder, staged
 
 Q = Registry()
 
@@ -269,17 +270,28 @@ def c09(spark, d):
 
 
 # files: the tables written in the form that a reader takes, and read back
+#: Texts with line breaks, quotes and backslashes as literals with a language.
+_COMMENTS = f"SELECT 'urn:fx:doc:#' || CAST(doc_id AS STRING) AS s, '{RDFS}comment' AS p, coalesce(text, '') || chr(92) || 'new' || chr(13) || chr(9) || chr(34) AS o, 'literal' AS o_kind, lang AS o_lang FROM documents"
+BROKEN = ["<urn:broken> no", "ex:broken <urn:p> 'no prefix' ."]
+
+
 @Q.add(
     "a01_read_triples",
-    "SELECT s, p, o, o_kind FROM fx_triples UNION ALL SELECT 'ERROR', 'PARSING', '<urn:broken> no', 'issue'"
+    f"SELECT s, p, o, o_kind, NULL AS o_lang FROM fx_triples UNION ALL ({_COMMENTS}) UNION ALL SELECT 'ERROR', 'PARSING', '{BROKEN[0]}', 'issue', NULL UNION ALL SELECT 'ERROR', 'PARSING', 'unknown prefix', 'issue', NULL"
 )
 def a01(spark, d):
-    """A folder of N-Triples, with a line that is none, and of RDF/XML."""
+    """A folder of N-Triples, of Turtle and of RDF/XML, the first two with a broken statement."""
     base, t = new_folder(spark, "triples"), view(spark, d, "fx_triples")
-    lines = S.ntriple_lines(t.filter("source_file <> 'nation'")).unionByName(
-        spark.range(1).select(F.lit("<urn:broken> no").alias("value"))
-    )
-    lines.write.text(f"{base}/lines.nt")
+    view(spark, d, "documents").createOrReplaceTempView("documents")
+    texts = spark.sql(_COMMENTS)
+    some = t.withColumn("o_lang", F.lit(None).cast("string"))
+    of = lambda *files: some.filter(F.col("source_file").isin(*files)).drop("source_file")
+    half = F.pmod(F.xxhash64("s"), F.lit(2)) == 0
+    S.ntriple_lines(of("part", "region").unionByName(texts.filter(half))).write.text(f"{base}/lines.nt")
+    statements = of("supplier", "customer").unionByName(texts.filter(~half))
+    S.write_triples(statements, f"{base}/deep/statements.ttl", S.PREFIXES | {"doc": "urn:fx:doc:#"})
+    for name, line in zip(("lines.nt", "statements.ttl"), BROKEN, strict=True):
+        spark.createDataFrame([(line,)], "value string").write.text(f"{base}/broken/{name}")
     element = F.when(
         F.col("o_kind") == "uri", F.concat(F.lit('<skos:broader rdf:resource="'), "o", F.lit('"/>'))
     ).otherwise(F.concat(F.lit("<skos:prefLabel>"), "o", F.lit("</skos:prefLabel>")))
@@ -296,10 +308,11 @@ def a01(spark, d):
     )
     xml.write.text(f"{base}/deep/nodes.xml")
     good, bad = S.read_triples(spark, base)
-    return good.select("s", "p", "o", "o_kind").unionByName(
+    return good.select("s", "p", "o", "o_kind", "o_lang").unionByName(
         bad.select(
-            F.col("severity").alias("s"), F.col("category").alias("p"), F.col("message").alias("o"),
-            F.lit("issue").alias("o_kind")
+            F.col("severity").alias("s"), F.col("category").alias("p"),
+            F.regexp_replace("message", "^(unknown prefix).*", "$1").alias("o"), F.lit("issue").alias("o_kind"),
+            F.lit(None).cast("string").alias("o_lang")
         )
     )
 
@@ -338,9 +351,17 @@ def a09(spark, d):
     entries = lists.select(text(second).alias("e")).unionByName(
         plain.select(text(F.expr("substr(split_part(x, '\n', 2), 2, length(split_part(x, '\n', 2)) - 2)")).alias("e"))
     )
-    entries.agg(
-        F.concat(F.lit("{"), F.array_join(F.collect_list("e"), ", "), F.lit("}")).alias("value")
-    ).write.text(path)
+
+    def objects(batches):
+        """The entries of a partition as one JSON object, an entry a line."""
+        sign = "{"
+        for batch in batches:
+            for e in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"value": [sign + e]})
+                sign = ","
+        yield pa.RecordBatch.from_pydict({"value": ["{}" if sign == "{" else "}"]})
+
+    entries.mapInArrow(objects, "value string").write.text(path)
     return S.read_associations(spark, path)
 
 

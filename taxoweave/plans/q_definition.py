@@ -10,7 +10,7 @@ from ..functions.text import jaccard_words
 from ..operators import definition as D
 from . import q_candidates as A
 from .fixtures import Registry, view
-from .stages import staged
+from ..stages import staged
 
 Q = Registry()
 

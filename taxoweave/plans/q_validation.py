@@ -12,7 +12,7 @@ from ..sources import files as S
 from ..sources.files import ntriple_lines
 from ..streaming.convert import convert_new
 from .fixtures import Registry, view
-from .stages import new_folder, staged
+from ..stages import new_folder, staged
 
 Q = Registry()
 
