@@ -145,7 +145,7 @@ def lodging_type(
     one = hints.groupBy("uri").agg(
         F.min(F.when(F.col("kind") == "CL", 0).when(F.col("kind") == "VR", 1).otherwise(2)).alias("k")
     )
-    j = votes.join(F.broadcast(one), "uri", "left")
+    j = votes.join(one, "uri", "left")
     side = lambda k: F.sum(F.when(F.col("k") == k, F.col("v")).otherwise(0))
     s = j.groupBy("c").agg(side(0).alias("cl"), side(1).alias("vr"), F.count(F.lit(1)).alias("n"))
     cl, vr, m = F.col("cl"), F.col("vr"), F.col("n")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..stages import new_folder
 from .retrieval import top_k
 
 
@@ -14,18 +15,29 @@ def expand_relations(
 ) -> DataFrame:
     """(c, uri, score, depth): anchors (c, uri, score) and what is reached from those at
     `min_score` along the edges; a neighbour gets decay x source, its best counts; a URI keeps
-    its first discovery.  One join a level."""
+    its first discovery.
+
+    Each level joins only what the level before found.  Levels are written beside each other in one
+    folder, which is what has been seen, so a plan is as long at depth 6 as at depth 1 and
+    a lost executor repeats one level; the search ends where a level finds nothing."""
+    spark = anchors.sparkSession
     e = edges if relations is None else edges.filter(F.col("rel").isin(*relations))
     e = e.select(F.col("src").alias("uri"), "dst")
-    seen = anchors.select("c", "uri", "score", F.lit(0).alias("depth"))
-    front = seen.filter(F.col("score") >= min_score)
+    folder, first = new_folder(spark, "levels"), anchors.select("c", "uri", F.col("score").cast("double").alias("score"))
+    first.write.parquet(f"{folder}/depth=0")
+    schema = first.withColumn("depth", F.lit(0)).schema
+    seen = lambda: spark.read.schema(schema).parquet(folder)
     for level in range(1, depth + 1):
+        front = seen().filter(F.col("depth") == level - 1)
+        if level == 1:
+            front = front.filter(F.col("score") >= min_score)
         near = front.join(e, "uri").groupBy("c", F.col("dst").alias("uri")).agg(
             F.least(F.lit(1.0), F.max(F.col("score") * decay)).alias("score")
         )
-        front = near.join(seen.select("c", "uri"), ["c", "uri"], "left_anti").withColumn("depth", F.lit(level))
-        seen = seen.unionByName(front)
-    return seen
+        near.join(seen().select("c", "uri"), ["c", "uri"], "left_anti").write.parquet(f"{folder}/depth={level}")
+        if level < depth and seen().filter(F.col("depth") == level).isEmpty():
+            break
+    return seen()
 
 
 def relationship_boost(
@@ -73,18 +85,43 @@ def label_matches(queries: DataFrame, labels: DataFrame) -> DataFrame:
     return q.join(labels, "norm").groupBy("c", "uri").agg(F.min_by("kind", "i").alias("kind"))
 
 
-def partial_label_match(queries: DataFrame, labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """(c, uri): labels that hold the phrase at word boundaries, and their neighbours.
-
-    The phrase's first word finds the labels by an equi-join; only these are compared."""
-    q = queries.filter(F.col("norm") != "").select(
-        "c", F.col("norm").alias("phrase"), F.get(F.split("norm", " "), F.lit(0)).alias("word")
-    )
-    words = labels.select(
-        "uri", F.col("norm").alias("label"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word")
+def word_index(labels: DataFrame) -> DataFrame:
+    """(word, uri, label, place): where each word stands in each label (uri, norm)."""
+    words = F.posexplode(F.split("norm", " ")).alias("place", "word")
+    return labels.select("uri", F.xxhash64("norm").alias("label"), words).distinct()
+
+
+def phrase_matches(queries: DataFrame, index: DataFrame) -> DataFrame:
+    """(c, uri): labels that hold the query's phrase (c, norm) at word boundaries.
+
+    The phrase's rarest word finds the labels by an equi-join; that its other words stand beside
+    it is shown by a join on label and place, so no text is carried along and a frequent word
+    is a key only of phrases that have no other."""
+    asked = queries.filter(F.col("norm") != "").select(
+        "c", F.xxhash64("norm").alias("phrase"), F.size(F.split("norm", " ")).alias("n"),
+        F.posexplode(F.split("norm", " ")).alias("at", "word")
+    ).distinct()
+    counts = index.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    # a phrase with a word that no label has matches nothing
+    known = asked.join(counts, "word")
+    rarest = known.groupBy("c", "phrase", "n").agg(
+        F.min(F.struct("df", "at", "word")).alias("r"), F.count(F.lit(1)).alias("found")
+    ).filter("found = n").select("c", "phrase", "n", "r.word", F.col("r.at").alias("at"))
+    begins = rarest.join(index, "word").select(
+        "c", "phrase", "n", "uri", "label", (F.col("place") - F.col("at")).alias("start"), "at"
+    ).filter("start >= 0")
+    one = begins.filter("n = 1").select("c", "uri")
+    other = begins.filter("n > 1").join(asked.select("c", "phrase", F.col("at").alias("next"), "word"), ["c", "phrase"])
+    rest = other.filter("next <> at").withColumn("place", F.col("start") + F.col("next"))
+    held = rest.join(index, ["uri", "label", "place", "word"]).groupBy("c", "phrase", "uri", "label", "start", "n").agg(
+        F.count(F.lit(1)).alias("beside")
     )
-    spaced = lambda x: F.concat(F.lit(" "), F.col(x), F.lit(" "))
-    direct = q.join(words, "word").filter(F.contains(spaced("label"), spaced("phrase"))).select("c", "uri").distinct()
+    return one.union(held.filter("beside = n - 1").select("c", "uri")).distinct()
+
+
+def partial_label_match(queries: DataFrame, labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """(c, uri): labels that hold the phrase at word boundaries, and their neighbours."""
+    direct = phrase_matches(queries, word_index(labels))
     near = direct.join(
         edges.filter(F.col("rel").isin("related", "broader", "narrower")).select(F.col("src").alias("uri"), "dst"),
         "uri"
@@ -105,14 +142,14 @@ def fallback_match(queries: DataFrame, fallbacks: DataFrame, labels: DataFrame)
     """(c, uri, place): the first label of the query's domain (domain, place, norm) that any
     concept has; the smallest URI of it."""
     hit = fallbacks.join(labels, "norm").groupBy("domain").agg(F.min(F.struct("place", "uri")).alias("b"))
-    return queries.select("c", "domain").join(F.broadcast(hit), "domain").select("c", "b.uri", "b.place")
+    return queries.select("c", "domain").join(hit, "domain").select("c", "b.uri", "b.place")
 
 
 def must_not_have_by_pattern(queries: DataFrame, patterns: DataFrame, labels: DataFrame) -> DataFrame:
     """(c, uri): concepts whose label has a word that contradicts (pattern -> word) one in the
     query, but not the query's own label."""
     words = queries.select("c", "norm", F.explode(F.array_distinct(F.split("norm", " "))).alias("pattern"))
-    against = words.join(F.broadcast(patterns.select("pattern", "word")), "pattern")
+    against = words.join(patterns.select("pattern", "word"), "pattern")
     tokens = labels.select(
         "uri", F.col("norm").alias("label"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word")
     )
@@ -133,7 +170,7 @@ def association_boost(
 def forbidden_context(matches: DataFrame, labels: DataFrame, forbidden: DataFrame) -> DataFrame:
     """Matches (c, domain, uri) whose label has no word that the domain forbids."""
     tokens = labels.select("uri", F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
-    bad = tokens.join(F.broadcast(forbidden), "word").select("domain", "uri").distinct()
+    bad = tokens.join(forbidden, "word").select("domain", "uri").distinct()
     return matches.join(bad, ["domain", "uri"], "left_anti")
 
 

@@ -92,7 +92,7 @@ def keyword_hits(queries: DataFrame, texts: DataFrame, threshold: int = 1) -> Da
 def needs_expansion(queries: DataFrame, hits: DataFrame, overrides: DataFrame, min_hits: int = 5) -> DataFrame:
     """Queries with fewer keyword hits than `min_hits`, unless expansion is skipped."""
     n = hits.groupBy("c").agg(F.count(F.lit(1)).alias("n_hits"))
-    out = queries.join(n, "c", "left").join(F.broadcast(overrides.select("c", "skip_expansion")), "c", "left")
+    out = queries.join(n, "c", "left").join(overrides.select("c", "skip_expansion"), "c", "left")
     return out.select(
         "c", F.coalesce("n_hits", F.lit(0)).alias("n_hits"), F.coalesce("skip_expansion", F.lit(False)).alias("skip")
     ).filter((F.col("n_hits") < min_hits) & ~F.col("skip")).select("c", "n_hits")
@@ -196,10 +196,10 @@ def score_candidates(
     """The scored candidates: seed boost, floor, dampening, weighted sum, namespace bias.
 
     `abs_min_sim` = 0 switches the floor off, as needed where there are no vectors."""
-    df = pool.join(F.broadcast(domains), "c", "left")
+    df = pool.join(domains, "c", "left")
     if overrides is not None:
         df = df.join(
-            F.broadcast(overrides.select("c", "effective_alpha", "boost_enabled", "boost_threshold")), "c", "left"
+            overrides.select("c", "effective_alpha", "boost_enabled", "boost_threshold"), "c", "left"
         )
     else:
         df = df.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.text import clean_section, required_count, required_stars
+from ..stages import staged
 
 
 def split_blocks(docs: DataFrame) -> DataFrame:
@@ -162,6 +163,22 @@ def excluded_countries(lines: DataFrame, column: int = 0) -> DataFrame:
     return lines.select(cell.alias("code")).filter(F.col("code").rlike("^[A-Z]{3}$")).distinct()
 
 
+def attribute_bits(attributes: DataFrame) -> DataFrame:
+    """(attr, word, mask): a bit of a 64-bit word for each attribute (grp, attr) of a rule, those of
+    a group side by side.  Numbers come from the places in a written table, so that no task
+    sees all attributes."""
+    first = attributes.groupBy("attr").agg(F.min("grp").alias("grp"))
+    placed = staged(
+        first.repartitionByRange("grp", "attr").sortWithinPartitions("grp", "attr").select(
+            "attr", F.monotonically_increasing_id().alias("i")
+        ),
+        "bits"
+    )
+    return placed.select(
+        "attr", F.shiftright("i", 6).alias("word"), F.expr("shiftleft(1L, CAST(i & 63 AS INT))").alias("mask")
+    )
+
+
 def evaluate_rules(
     held: DataFrame, groups: DataFrame, attributes: DataFrame, disqualifying: DataFrame | None = None
 ) -> DataFrame:
@@ -169,19 +186,22 @@ def evaluate_rules(
     alt_id, grp, required_count) it holds enough attributes (theme, grp, attr); properties with
     a disqualifying attribute (theme, attr) do not qualify.
 
-    Rules are small and broadcast; the properties' table is joined once and aggregated once."""
-    mine = held.select("p", "attr").distinct()
-    hits = mine.join(
-        F.broadcast(attributes.select("theme", "grp", "attr").distinct()), "attr"
-    ).groupBy("p", "theme", "grp").agg(F.count(F.lit(1)).alias("n"))
-    ok = hits.join(
-        F.broadcast(groups), ["theme", "grp"]
-    ).filter(F.col("n") >= F.col("required_count")).groupBy("p", "theme", "alt_id").agg(F.count(F.lit(1)).alias("ok"))
+    Attributes are bits: a property is some 64-bit words, a group of a rule is masks over them,
+    and how many attributes of a group it holds is the number of bits in both.  So a property
+    meets a group once a word, not once an attribute, and repeated rows of `held` add nothing."""
+    bits = attribute_bits(attributes)
+    masks = attributes.join(bits, "attr").groupBy("theme", "grp", "word").agg(F.bit_or("mask").alias("wanted"))
+    words = held.select("p", "attr").join(bits, "attr").groupBy("p", "word").agg(F.bit_or("mask").alias("has"))
+    both = F.bit_count(F.col("has").bitwiseAND(F.col("wanted")))
+    hits = words.join(masks, "word").groupBy("p", "theme", "grp").agg(F.sum(both).alias("n")).filter("n > 0")
+    ok = hits.join(groups, ["theme", "grp"]).filter(F.col("n") >= F.col("required_count")).groupBy(
+        "p", "theme", "alt_id"
+    ).agg(F.count(F.lit(1)).alias("ok"))
     need = groups.groupBy("theme", "alt_id").agg(F.count(F.lit(1)).alias("need"))
-    out = ok.join(F.broadcast(need), ["theme", "alt_id"]).filter("ok = need").select("p", "theme", "alt_id")
+    out = ok.join(need, ["theme", "alt_id"]).filter("ok = need").select("p", "theme", "alt_id")
     if disqualifying is not None:
-        bad = mine.join(
-            F.broadcast(disqualifying.select("theme", "attr").distinct()), "attr"
+        bad = held.select("p", "attr").join(
+            disqualifying.select("theme", "attr").distinct(), "attr"
         ).select("p", "theme").distinct()
         out = out.join(bad, ["p", "theme"], "left_anti")
     return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from . import pivots
 from .components import components
 from .retrieval import top_k
 
@@ -75,14 +76,15 @@ def _sent(df: DataFrame, key: str, limit: int) -> tuple[np.ndarray, np.ndarray]
 def similarity_search(
     queries: DataFrame, vectors: DataFrame, min_score: float | None = 0.30, k: int | None = None,
     below: float | None = None, clip: bool = False, broadcast_bytes: int = BROADCAST_BYTES, c: str = "c",
-    uri: str = "uri"
+    uri: str = "uri", index: bool = True, block: int = BLOCK
 ) -> DataFrame:
     """(c, uri, sim_score) of queries (c, v) against vectors (uri, v): cosine at least
     `min_score` and under `below`, the `k` best of each query.
 
     The queries, or else the vectors, go to every executor as one matrix if they have at most
-    `broadcast_bytes`; where both sides have more, blocks of both meet in pairs.  Bounds and a
-    first top-k are applied in the worker, so low pairs never leave it."""
+    `broadcast_bytes`; where both sides have more, blocks of both meet in pairs: with a
+    `min_score` above 0 only those that the `index` of pivots does not rule out, else all.  Bounds
+    and a first top-k are applied in the worker, so low pairs never leave it."""
     kinds = {f.name: f.dataType.simpleString() for f in [*queries.schema, *vectors.schema]}
     schema = f"{c} {kinds[c]}, {uri} {kinds[uri]}, sim_score double"
     q, t = queries.select(c, "v").filter("v IS NOT NULL"), vectors.select(uri, "v").filter("v IS NOT NULL")
@@ -107,8 +109,10 @@ def similarity_search(
                 yield pd.DataFrame({c: batch[c].to_numpy()[i], uri: ids[j] if len(ids) else ids, "sim_score": s})
 
         found = q.mapInPandas(turned, schema)
+    elif index and min_score is not None and min_score > 0:
+        found = _by_pivots(q, t, schema, lambda a, b: _pairs(a, b, min_score, below, k), min_score, block, (c, uri))
     else:
-        n_q, n_t = (max(1, -(-df.count() // BLOCK)) for df in (q, t))
+        n_q, n_t = (max(1, -(-df.count() // block)) for df in (q, t))
         deal = lambda df, key, n, name, other, m: df.select(
             key, "v", F.pmod(F.xxhash64(key), F.lit(n)).alias(name),
             F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))).alias(other)
@@ -126,6 +130,25 @@ def similarity_search(
     return found if k is None else top_k(found, k, [F.desc("sim_score"), F.asc(uri)], by=c)
 
 
+def _by_pivots(
+    q: DataFrame, t: DataFrame, schema: str, pairs: Callable, least: float, block: int, keys: tuple[str, str]
+) -> DataFrame:
+    """Pairs of vectors in blocks that may be near enough; no row leaves a block without partners."""
+    index = pivots.plan(q, t, least, block, keys)
+    if index is None:
+        return q.sparkSession.createDataFrame([], schema)
+    c, uri = keys
+    meets = index.pairs
+    left = index.left.rows.join(meets, "block").select(c, "v", "block", "other")
+    right = index.right.rows.withColumnRenamed("block", "other").join(meets, "other").select(uri, "v", "block", "other")
+
+    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        i, j, s = pairs(_matrix(list(a.v)), _matrix(list(b.v)))
+        return pd.DataFrame({c: a[c].to_numpy()[i], uri: b[uri].to_numpy()[j], "sim_score": s})
+
+    return left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(meet, schema)
+
+
 def pair_similarity(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFrame:
     """(c, uri, sim_score): cosine of given pairs (c, uri) only; pairs without both vectors go."""
     q, t = queries.select("c", F.col("v").alias("_q")), vectors.select("uri", F.col("v").alias("_t"))
@@ -191,7 +214,7 @@ def penalised_match(scored: DataFrame, exclusions: DataFrame, antonyms: DataFram
     match exactly or the concept is exempt; exact matches get 1.01."""
     j = scored.join(exclusions.select("c", "uri").distinct(), ["c", "uri"], "left_anti").join(
         antonyms.select("c", "uri", F.lit(True).alias("anti")).distinct(), ["c", "uri"], "left"
-    ).join(F.broadcast(exempt.select("c", F.lit(True).alias("free")).distinct()), "c", "left")
+    ).join(exempt.select("c", F.lit(True).alias("free")).distinct(), "c", "left")
     s = F.col("score")
     low = F.coalesce("anti", F.lit(False)) & ~F.coalesce("free", F.lit(False))
     return j.select(
@@ -246,7 +269,7 @@ def kg_slice(similar: DataFrame, by_archetype: DataFrame, threshold: float = 0.3
 
 def essentials_check(chosen: DataFrame, required: DataFrame, have: DataFrame) -> DataFrame:
     """(c, uri): what the chosen archetypes (c, archetype) require (archetype, uri) and the definition lacks."""
-    return chosen.join(F.broadcast(required), "archetype").select("c", "uri").distinct().join(
+    return chosen.join(required, "archetype").select("c", "uri").distinct().join(
         have.select("c", "uri"), ["c", "uri"], "left_anti"
     )
 
@@ -318,7 +341,7 @@ def slot_by_hints(
     df = scores
     enough = F.col("hits") >= min_hits
     if themes_with_hints is not None:
-        df = df.join(F.broadcast(themes_with_hints.select("theme", F.lit(True).alias("h")).distinct()), "theme", "left")
+        df = df.join(themes_with_hints.select("theme", F.lit(True).alias("h")).distinct(), "theme", "left")
         enough = enough | F.col("h").isNull()
     return df.filter((sim >= cut) & enough).select("uri", "theme", sim.alias("confidence"))
 
@@ -355,11 +378,14 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int, m: int) -> tuple[np.ndarray, n
     return np.array([p[0] for p in out], int), np.array([p[1] for p in out], int)
 
 
-def similarity_clusters(vectors: DataFrame, eps: float, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def similarity_clusters(
+    vectors: DataFrame, eps: float, broadcast_bytes: int = BROADCAST_BYTES, block: int = BLOCK
+) -> DataFrame:
     """(uri, cluster) by density with one point a cluster at least, which is the connected
     components of distance <= eps between unit vectors; the cluster is its smallest URI.
 
-    Where vectors meet in a task, only pairs that connect the rows there leave it."""
+    Where vectors meet in a task, only pairs that connect the rows there leave it.  Vectors of more
+    than `broadcast_bytes` meet in blocks that an index of pivots does not keep apart."""
     low = 1 - eps * eps / 2 - 1e-9
     kind = vectors.schema["uri"].dataType.simpleString()
     t = vectors.select("uri", "v").filter("v IS NOT NULL")
@@ -384,18 +410,23 @@ def similarity_clusters(vectors: DataFrame, eps: float, broadcast_bytes: int = B
 
         edges = t.mapInPandas(run, schema)
     else:
-        n = max(1, -(-t.count() // BLOCK))
-        mine = F.pmod(F.xxhash64("uri"), F.lit(n))
-        pair = lambda k: F.struct(F.least(mine, k).alias("i"), F.greatest(mine, k).alias("j"))
-        met = t.select(
-            "uri", "v",
-            F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")), pair)).alias("p")
-        )
+        index = pivots.plan(t, None, low, block, ("uri", "uri")) if low > 0 else None
+        if index is not None:
+            first = index.left.rows.join(index.pairs, "block").select("uri", "v", "block", "other")
+            second = index.left.rows.withColumnRenamed("block", "other").join(index.pairs, "other").filter("block <> other")
+            met = first.unionByName(second.select("uri", "v", "block", "other"))
+            by = ["block", "other"]
+        else:
+            n = max(1, -(-t.count() // block))
+            mine = F.pmod(F.xxhash64("uri"), F.lit(n))
+            pair = lambda k: F.struct(F.least(mine, k).alias("i"), F.greatest(mine, k).alias("j"))
+            numbers = F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+            met, by = t.select("uri", "v", F.explode(F.transform(numbers, pair)).alias("p")), ["p"]
 
         def meet(rows: pd.DataFrame) -> pd.DataFrame:
             return pd.concat([*joined(rows, rows)], ignore_index=True)
 
-        edges = met.groupBy("p").applyInPandas(meet, schema)
+        edges = met.groupBy(*by).applyInPandas(meet, schema)
     found = components(edges).withColumnRenamed("node", "uri")
     return vectors.select("uri").join(found, "uri", "left").select(
         "uri", F.coalesce("component", "uri").alias("cluster")

@@ -42,7 +42,16 @@ def d06(spark, d):
 )
 def d06b(spark, d):
     """The same by pairs of blocks, as where both sides are too large to send."""
-    return similar(spark, d, min_score=0.1, broadcast_bytes=0).withColumn("sim_score", F.round("sim_score", 4))
+    return similar(spark, d, min_score=0.1, broadcast_bytes=0, index=False).withColumn("sim_score", F.round("sim_score", 4))
+
+
+@Q.add(
+    "d06_similarity_pivots",
+    f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims WHERE sim_score >= 0.4"
+)
+def d06p(spark, d):
+    """By pairs of blocks that the index of pivots does not rule out."""
+    return similar(spark, d, min_score=0.4, broadcast_bytes=0, block=128).withColumn("sim_score", F.round("sim_score", 4))
 
 
 @Q.add("b15_cosine", f"WITH {SIMS} SELECT c, uri, round(sim_score, 4) AS sim_score FROM sims")

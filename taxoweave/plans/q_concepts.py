@@ -11,6 +11,7 @@ from ..functions.text import STOP_WORDS
 from ..operators import concepts as C
 from ..operators import retrieval as R
 from ..operators import vectors as V
+from ..operators.impact import bm25_by_impact, impact_index
 from ..sources import files as S
 from .fixtures import RDFS, Registry, view
 from ..stages import new_folder, staged
@@ -244,6 +245,13 @@ def e03(spark, d):
     return R.bm25_search(doc_queries(spark, d), doc_postings(spark, d)).withColumn("kw_score", F.round("kw_score", 4))
 
 
+@Q.add("e03_bm25_tiers", "WITH " + bm25_sql("lucene") + " SELECT c, uri, round(kw_score, 4) AS kw_score FROM kw")
+def e03t(spark, d):
+    """The same over postings in tiers of impact."""
+    index = impact_index(doc_postings(spark, d))
+    return bm25_by_impact(doc_queries(spark, d), index).withColumn("kw_score", F.round("kw_score", 4))
+
+
 @Q.add("e03_bm25_okapi", "WITH " + bm25_sql("okapi") + " SELECT c, uri, round(kw_score, 4) AS kw_score FROM kw")
 def e03o(spark, d):
     return R.bm25_search(

@@ -264,6 +264,28 @@ def d11(spark, d):
     return L.expand_relations(anchors(spark, d), edges(spark, d)).withColumn("score", F.round("score", 6))
 
 
+def _levels(depth: int) -> str:
+    """What is reached at each level, from all levels before it."""
+    out = "WITH w AS (SELECT s AS src, o AS dst FROM fx_triples WHERE p = 'http://www.w3.org/2004/02/skos/core#broader'), b AS MATERIALIZED (SELECT src, dst FROM w UNION SELECT dst, src FROM w), l0 AS MATERIALIZED (SELECT CAST(s_suppkey % 4 AS BIGINT) AS c, 'urn:fx:supplier:#' || CAST(s_suppkey AS STRING) AS uri, (1 + s_suppkey % 10) / 10.0 AS score, 0 AS depth FROM supplier)"
+    for i in range(1, depth + 1):
+        seen = " UNION ALL ".join(f"SELECT c, uri FROM l{j}" for j in range(i))
+        out += f", l{i} AS MATERIALIZED (SELECT n.c, n.uri, n.score, {i} AS depth FROM (SELECT c, dst AS uri, least(1, max(score * 0.35)) AS score FROM l{i - 1} JOIN b ON src = uri {'WHERE score >= 0.6' if i == 1 else ''} GROUP BY c, dst) n ANTI JOIN ({seen}) s ON s.c = n.c AND s.uri = n.uri)"
+    return out + " " + " UNION ALL ".join(f"SELECT c, uri, round(score, 6) AS score, depth FROM l{i}" for i in range(depth + 1))
+
+
+@Q.add("d11_relation_depth", _levels(6))
+def d11d(spark, d):
+    """Six levels from suppliers over nations, regions and customers, both ways."""
+    e = edges(spark, d)
+    both = e.select("src", "dst").union(e.select("dst", "src")).distinct()
+    start = view(spark, d, "supplier").select(
+        (F.col("s_suppkey") % 4).cast("long").alias("c"),
+        F.concat(F.lit("urn:fx:supplier:#"), F.col("s_suppkey").cast("string")).alias("uri"),
+        ((1 + F.col("s_suppkey") % 10) / 10.0).alias("score")
+    )
+    return L.expand_relations(start, both, depth=6).withColumn("score", F.round("score", 6))
+
+
 _MATCH = f"WITH {_EDGES}, {_ANCH}, mt AS (SELECT c, uri, score, score > 0.9 AS exact FROM anch UNION ALL SELECT DISTINCT c, dst, 0.2, false FROM anch JOIN edges ON src = uri)"
 
 
