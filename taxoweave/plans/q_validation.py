@@ -210,8 +210,11 @@ def summed(t):
     ).agg(F.count(F.lit(1)).alias("n"), checksum.alias("checksum"))
 
 
-def triples(spark, d):
-    return H.definition_triples(definitions(spark, d))
+USES = [BASE + "attributeUri", BASE + "linkedConceptUri"]
+
+
+def triples(spark, d, properties=None):
+    return H.definition_triples(definitions(spark, d), properties=properties)
 
 
 @Q.add(
@@ -225,7 +228,7 @@ def h01(spark, d):
 @Q.add("h01_theme_processing", TRIPLES + f" SELECT {_DIAG} AS s, theme, n_all AS assigned, n_uri AS weighted FROM th")
 def h01b(spark, d):
     """What the bundle of diagnostics says of the themes, read back from its JSON text."""
-    t = triples(spark, d).filter(F.col("p") == _JSON).select(
+    t = triples(spark, d, [_JSON]).select(
         "s",
         F.explode(
             F.from_json("o", "map<string,struct<llm_assigned_count:bigint,attributes_after_weighting:bigint>>")
@@ -239,7 +242,7 @@ def h01b(spark, d):
 
 @Q.add("h02_stable_links", TRIPLES + f" SELECT s, o FROM dt WHERE p = '{BASE}attributeUri'")
 def h02(spark, d):
-    return triples(spark, d).filter(F.col("p") == BASE + "attributeUri").select("s", "o")
+    return triples(spark, d, [BASE + "attributeUri"]).select("s", "o")
 
 
 @Q.add(
@@ -247,7 +250,7 @@ def h02(spark, d):
     TRIPLES + f" SELECT '<' || s || '> <' || p || '> \"' || o || '\" .' AS value FROM dt WHERE p = '{BASE}observedLabel'"
 )
 def a13(spark, d):
-    return ntriple_lines(triples(spark, d).filter(F.col("p") == BASE + "observedLabel"))
+    return ntriple_lines(triples(spark, d, [BASE + "observedLabel"]))
 
 
 @Q.add(
@@ -377,9 +380,7 @@ _KNOWN = "known AS (SELECT s AS uri FROM fx_triples UNION SELECT o FROM fx_tripl
     TRIPLES + f", {_KNOWN} SELECT 'ERROR' AS severity, 'TAXONOMY' AS category, 'not in taxonomy: ' || o AS message, min(s) AS location FROM dt WHERE p IN {LINKS} AND o NOT IN (SELECT uri FROM known) GROUP BY o"
 )
 def h06(spark, d):
-    return H.taxonomy_issues(
-        triples(spark, d), view(spark, d, "fx_triples"), [BASE + "attributeUri", BASE + "linkedConceptUri"]
-    )
+    return H.taxonomy_issues(triples(spark, d, USES), view(spark, d, "fx_triples"), USES)
 
 
 @Q.add(
@@ -387,9 +388,7 @@ def h06(spark, d):
     TRIPLES + f", f AS (SELECT s AS uri, source_file FROM fx_triples UNION SELECT o, source_file FROM fx_triples WHERE o_kind = 'uri') SELECT uri, array_to_string(list_sort(list(DISTINCT source_file)), ',') AS files FROM f WHERE uri IN (SELECT o FROM dt WHERE p IN {LINKS}) GROUP BY uri"
 )
 def d09(spark, d):
-    return H.uri_sources(
-        triples(spark, d), view(spark, d, "fx_triples"), [BASE + "attributeUri", BASE + "linkedConceptUri"]
-    )
+    return H.uri_sources(triples(spark, d, USES), view(spark, d, "fx_triples"), USES)
 
 
 _LOC = "CASE WHEN contains(p, '#') THEN list_extract(string_split(p, '#'), -1) ELSE list_extract(string_split(p, '/'), -1) END"
