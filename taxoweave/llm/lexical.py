@@ -284,8 +284,10 @@ class Search:
         self.scored += shard.scored
 
 
-def _best(found: DataFrame, block: Block, weights: Weights, k: int, floor: np.ndarray | None) -> DataFrame:
-    """(q, doc_id, score): at most k documents a query and task."""
+def _best(
+    found: DataFrame, rows: int, block: Block, weights: Weights, k: int, floor: np.ndarray | None
+) -> DataFrame:
+    """(q, doc_id, score) of about `rows` vectors: at most k documents a query and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Search(block, weights, k, floor)
@@ -301,8 +303,10 @@ def _best(found: DataFrame, block: Block, weights: Weights, k: int, floor: np.nd
                 )
 
     kind = found.schema["doc_id"].dataType.simpleString()
+    # a shard costs far more than its bytes tell, so the number of tasks follows the rows
+    dealt = found.filter("size(at) > 0").repartition(-(-rows // (2 * SHARD)) or 1, F.xxhash64("doc_id", "n", "at"))
     ids = {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64()}[kind]
-    return found.filter("size(at) > 0").mapInArrow(run, f"q long, doc_id {kind}, score long")
+    return dealt.mapInArrow(run, f"q long, doc_id {kind}, score long")
 
 
 def _ranked(rows: DataFrame, k: int) -> DataFrame:
@@ -345,7 +349,7 @@ def _searched(docs: DataFrame, block: Block, k: int, doc_id: str, text: str) ->
     if weights.n_docs > 2 * SAMPLE:
         some = held.filter(F.pmod(F.xxhash64("doc_id", "n"), F.lit(weights.n_docs // SAMPLE)) == 0)
         least = {
-            r.q: r.score for r in _ranked(_best(some, block, weights, k, None), k).filter(F.col("rank") == k).collect()
+            r.q: r.score for r in _ranked(_best(some, SAMPLE, block, weights, k, None), k).filter(F.col("rank") == k).collect()
         }
         floor = np.array([least.get(q, 1) for q in block.names], np.int64)
-    return _ranked(_best(held, block, weights, k, floor), k)
+    return _ranked(_best(held, weights.n_docs, block, weights, k, floor), k)
