@@ -105,6 +105,31 @@ def triple_stats(triples: DataFrame) -> DataFrame:
     return out
 
 
+SKETCHED = ["subjects", "predicates", "uri_objects", "literal_objects", "namespaces"]
+
+
+def triple_sketches(triples: DataFrame, lg_k: int = 14) -> DataFrame:
+    """(source_file, triples, and a distinct sketch for each of `SKETCHED`) of each file, in one pass
+    over the triples.  A sketch has 2^lg_k small registers whatever the file's size, and an
+    estimate from it is off by about 0.8 / 2^(lg_k / 2) (0.6 % for 14)."""
+    of = {"subjects": F.col("s"), "predicates": F.col("p"), "namespaces": namespace(F.col("s"))}
+    of |= {f"{k}_objects": F.when(F.col("o_kind") == k, F.col("o")) for k in ("uri", "literal")}
+    return triples.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("triples"),
+        # a sketch leaves out empty strings: no value is one
+        *(F.hll_sketch_agg(F.concat(F.lit("."), of[c]), lg_k).alias(c) for c in SKETCHED)
+    )
+
+
+def sketched_stats(sketches: DataFrame) -> DataFrame:
+    """One row, as `triple_stats` but estimated, of the sketches of some files: a new file is added
+    without reading the others again."""
+    return sketches.agg(
+        F.coalesce(F.sum("triples"), F.lit(0)).alias("triples"),
+        *(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0)).alias(c) for c in SKETCHED)
+    )
+
+
 def labelled(concepts: DataFrame) -> DataFrame:
     """(uri, label): primary labels."""
     return concepts.select(

@@ -145,6 +145,19 @@ def e32(spark, d):
     return C.triple_stats(view(spark, d, "fx_triples"))
 
 
+@Q.add(
+    "e32_triple_sketches",
+    "SELECT count(*) AS triples, true AS subjects, true AS predicates, true AS uri_objects, true AS literal_objects, true AS namespaces FROM fx_triples"
+)
+def e32s(spark, d):
+    """The sketches of the files, joined: whether each estimate is within 3 % of the exact count."""
+    t = view(spark, d, "fx_triples")
+    exact = C.triple_stats(t).drop("triples").select(*(F.col(c).alias(f"x_{c}") for c in C.SKETCHED))
+    near = lambda c: (F.abs(F.col(c) - F.col(f"x_{c}")) <= 0.03 * F.col(f"x_{c}")).alias(c)
+    both = C.sketched_stats(staged(C.triple_sketches(t), "sketches")).join(F.broadcast(exact))  # one row each
+    return both.select("triples", *(near(c) for c in C.SKETCHED))
+
+
 WORDS = "nullif(array_to_string(list_transform(list_filter(string_split_regex(translate(regexp_replace({0}, '([a-z0-9])([A-Z])', '\\1 \\2', 'g'), '_-', '  '), '\\s+'), lambda x: x <> ''), lambda x: upper(left(x, 1)) || lower(substr(x, 2))), ' '), '')"
 LABELLED = CONCEPTS + f", l AS (SELECT uri, types, coalesce(pref[1], rdfs[1], alt[1], CASE WHEN length(defs[1]) > 60 THEN left(defs[1], 60) || '...' ELSE defs[1] END, {WORDS.format(LOCAL.format('uri'))}, uri) AS label, coalesce(pref[1], rdfs[1], alt[1], {WORDS.format(LOCAL.format('uri'))}, uri) AS fallback_label FROM g WHERE len(pref) + len(rdfs) + len(alt) + len(defs) + len(types) > 0)"
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from taxoweave.operators import impact, pivots, relations, retrieval, rules, vectors
+from taxoweave.operators import concepts, impact, models, pivots, relations, retrieval, rules, vectors
 
 
 def clustered(n, seed, d=16, centres=12):
@@ -112,3 +112,33 @@ def test_rules_by_bits(spark):
         ) and not (t == "t" and "x7" in mine[p])
     }
     assert {tuple(r) for r in out.collect()} == want and want
+
+
+def test_store_encodes_new_texts_only(spark, tmp_path):
+    log, store = tmp_path / "log", str(tmp_path / "store")
+    log.mkdir()
+
+    def encoder(texts):
+        for t in texts:
+            with open(log / (t.replace(" ", "_") or "empty"), "a") as f:
+                f.write("x")
+        return [[len(t), 1.0] for t in texts]
+
+    make = lambda *texts: spark.createDataFrame([(t,) for t in texts], "text string")
+    first = models.encode_stored(make("a", "b b", "a", None, ""), encoder, store).collect()
+    assert {(r.text, tuple(r.v)) for r in first} == {("a", (1.0, 1.0)), ("b b", (3.0, 1.0)), ("", (0.0, 1.0))}
+    second = models.encode_stored(make("a", "new"), encoder, store).collect()
+    assert {r.text for r in second} == {"a", "new"} and len(second) == 2
+    assert (log / "a").read_text() == "x" and (log / "new").read_text() == "x"
+    assert models.encode_stored(make().limit(0), encoder, store).collect() == []
+
+
+def test_sketches_of_files_are_added(spark):
+    rows = [(f"urn:s{i % 900}", f"urn:p#{i % 7}", f"urn:o{i}", "uri" if i % 2 else "literal", f"f{i % 3}") for i in range(6000)]
+    t = spark.createDataFrame(rows, "s string, p string, o string, o_kind string, source_file string")
+    known = concepts.triple_sketches(t.filter("source_file <> 'f2'"))
+    both = concepts.sketched_stats(known.unionByName(concepts.triple_sketches(t.filter("source_file = 'f2'")))).first()
+    exact = concepts.triple_stats(t).first()
+    assert both.triples == exact.triples == 6000 and both.predicates == 7
+    assert all(abs(both[c] - exact[c]) <= 0.03 * exact[c] for c in concepts.SKETCHED)
+    assert concepts.sketched_stats(concepts.triple_sketches(t.limit(0))).first().asDict() == dict.fromkeys(["triples", *concepts.SKETCHED], 0)
