@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from .shared import quoted
 
+#: Shards of a task, beyond so many tasks.
+SHARDS, FEW_TASKS = 256, 512
 SCHEMA = "doc_id bigint, part int, bin string, start bigint, length bigint"
 
 
@@ -81,7 +83,9 @@ def pack(
     )
     n = max(1, -(-docs.count() // shard_rows))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "length"), F.lit(n)).cast("int"))
-    rows = rows.withColumn("rest", F.col("length") % capacity).repartition(n, "shard").sortWithinPartitions(
+    # a task packs many shards one after the other, so tasks stay few however many rows there are
+    tasks = min(n, max(FEW_TASKS, -(-n // SHARDS)))
+    rows = rows.withColumn("rest", F.col("length") % capacity).repartition(tasks, "shard").sortWithinPartitions(
         "shard", F.desc("rest"), "doc_id", "cluster", "source", "length"
     )
 

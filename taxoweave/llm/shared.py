@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -58,23 +59,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     executor costs no recomputation."""
     path = f"{shared_folder(df.sparkSession)}/taxoweave-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    for held in _scratch:
+    for held in _scratch.__dict__.get("lists", []):
         held.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Lists that `recorded` fills.
-_scratch: list[list[str]] = []
+#: Lists that `recorded` fills, of each thread.
+_scratch = threading.local()
 
 
 @contextmanager
 def recorded(held: list[str]) -> Iterator[None]:
     """Adds to `held` the folders that `written` makes inside."""
-    _scratch.append(held)
+    lists = _scratch.__dict__.setdefault("lists", [])
+    lists.append(held)
     try:
         yield
     finally:
-        _scratch.pop()
+        lists.pop()
 
 
 def remove(spark: SparkSession, held: list[str]) -> None:

@@ -552,3 +552,53 @@ def test_tokens_long_parts(spark):
     assert tokens.lengths(odd, path, max_bytes=64) == [len(t.encode(x, add_special_tokens=False)) for x in odd]
     assert not any(len(x) > tokens.PART_CHARS for x in tokens._tokenizer(path)[1])
     assert tokens.count_tokens(empty(spark), path).count() == 0
+
+
+def test_tightest_compatible_bin_by_scan():
+    """Every place is the one that a scan over all bins finds: the fullest that has room and neither
+    the text's source nor its cluster; a new one if there is none."""
+    import random
+
+    for seed in range(6):
+        pick = random.Random(seed)
+        bins, scanned = packing.Bins(100), []
+        texts = [
+            (pick.randrange(0, 101), pick.choice([None, "a", "b", "c", "d"]), pick.choice([None, *range(8)])) for _ in range(300)
+        ]
+        texts += [(pick.randrange(1, 20), "hot", None) for _ in range(100)]  # one source with a quarter of all rows
+        for length, source, cluster in sorted(texts, key=lambda t: -t[0]) if seed % 2 else texts:
+            fits = [
+                (100 - b["used"], i) for i, b in enumerate(scanned) if 100 - b["used"] >= length and (
+                    source is None or source not in b["sources"]
+                ) and (cluster is None or cluster not in b["clusters"])
+            ]
+            b, start = bins.place(length, source, cluster)
+            if fits:
+                assert (100 - scanned[b]["used"], b) == min(fits)
+            else:
+                assert b == len(scanned)
+                scanned.append({"used": 0, "sources": set(), "clusters": set()})
+            assert start == scanned[b]["used"]
+            scanned[b]["used"] += length
+            scanned[b]["sources"] |= {source} - {None}
+            scanned[b]["clusters"] |= {cluster} - {None}
+
+
+def test_packing_conflicts_with_clashing_names(spark, monkeypatch):
+    """Sources beside null sources, clusters beside null clusters, few tasks for many shards."""
+    monkeypatch.setattr(packing, "FEW_TASKS", 2)
+    rows = [(i, f"w{i % 40} x", None if i % 3 == 0 else f"s{i % 5}", i % 7 * 10, 1, "x", 2) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, bin int, shard string, rest int")
+    for cluster in (None, F.when(F.col("doc_id") % 2 == 0, F.col("doc_id") % 11)):
+        out = packing.pack(docs, F.col("size"), 100, cluster=cluster, shard_rows=50).collect()
+        assert sorted(r.doc_id for r in out) == list(range(400))
+        held = {}
+        for r in out:
+            held.setdefault(r.bin, []).append(r)
+        assert len({r.bin.split("-")[0] for r in out}) == 8
+        for parts in held.values():
+            assert sum(r.length for r in parts) <= 100
+            sources = [rows[r.doc_id][2] for r in parts if rows[r.doc_id][2]]
+            assert len(sources) == len(set(sources))
+            clusters = [r.doc_id % 11 for r in parts if r.doc_id % 2 == 0] if cluster is not None else [rows[r.doc_id][1] for r in parts]
+            assert len(clusters) == len(set(clusters))
