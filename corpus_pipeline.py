@@ -10,6 +10,7 @@ columns of documents.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -26,14 +27,15 @@ WINDOW = 10
 #: Words of a packed bin.
 BIN_WORDS = 2048
 
-#: Folders that the stage before wrote beside its result.
-_left: list[str] = []
+#: Folders that the stage before wrote beside its result, of each thread that runs a pipeline.
+_threads = threading.local()
 
 
 @contextmanager
 def _stage(spark: SparkSession) -> Iterator[None]:
-    remove(spark, _left)
-    with recorded(_left):
+    left = _threads.__dict__.setdefault("left", [])
+    remove(spark, left)
+    with recorded(left):
         yield
 
 
@@ -99,11 +101,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bins of all documents that the stages keep.  A run that fails deletes what it has written."""
     docs, before = documents(spark, sf_dir), []
-    for name, stage in STAGES[:-1]:
-        out, now = stage(spark, docs, sf_dir), []
-        with recorded(now):
-            docs = written(out, name)
+    try:
+        for name, stage in STAGES[:-1]:
+            out, now = stage(spark, docs, sf_dir), []
+            with recorded(now):
+                docs = written(out, name)
+            remove(spark, before)
+            before = now
+        return STAGES[-1][1](spark, docs, sf_dir)
+    except BaseException:
         remove(spark, before)
-        before = now
-    return STAGES[-1][1](spark, docs, sf_dir)
+        remove(spark, _threads.__dict__.get("left", []))
+        raise
