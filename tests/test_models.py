@@ -96,3 +96,16 @@ def test_search_from_either_side(spark):
     }
     assert set(pairs) == {(1, 2), (3, 4)} and math.isclose(pairs[1, 2], s[1, 2], abs_tol=1e-9)
     assert V.similarity_search(queries.limit(0), vectors).count() == 0
+
+
+def test_word_vectors_keep_the_most_frequent_words(spark):
+    """A bound on the words raises the least count; the rarest words go, none that is more frequent."""
+    rows = [([f"w{i}"] * (i + 1),) for i in range(40)] + [(["often"] * 5000,), (["common"] * 3000,)]
+    sentences = spark.createDataFrame(rows, "words array<string>")
+    assert M.least_count(sentences, 1, 100) == 1 and M.least_count(sentences, 7, 100) == 7
+    for most in (41, 20, 5, 2, 1):
+        least = M.least_count(sentences, 1, most)
+        left = [len(w) for (w,) in rows if len(w) >= least]
+        assert len(left) <= most and (most < 3 or len(left) == most)
+    words = M.train_word_vectors(sentences, size=4, max_words=10, partitions=1)
+    assert {r.word for r in words.collect()} == {"often", "common", *(f"w{i}" for i in range(32, 40))}
