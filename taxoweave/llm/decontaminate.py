@@ -57,6 +57,7 @@ def find(
 ) -> DataFrame:
     """Adds the struct `into`: n_words, starts (first word and length of each window
     that occurs, in order) and items (ids, as sorted strings)."""
+    (into,) = fresh(docs, into)
     table = windows(items, n, item_id, item_text)
     rows = table.limit(max_windows + 1).collect()
     if len(rows) > max_windows:

@@ -139,6 +139,7 @@ def scan(
     reaches the threshold anywhere in the text, ordered by name."""
     sets = {k: [template_bigrams(t) for t in v] for k, v in sorted((templates or TEMPLATES).items())}
     every = [grams for v in sets.values() for _, grams in v]
+    (into,) = fresh(docs, into)
     cand, places = fresh(docs, into + "_bigrams", into + "_places")
     body = F.coalesce(quoted(text), F.lit(""))
     maybe = F.lower(body).rlike("|".join(anchors(every, threshold)))

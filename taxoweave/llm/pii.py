@@ -357,6 +357,7 @@ def find(
 ) -> DataFrame:
     """Adds `into`: base spans, secrets and spans of disclosing terms by start; their kinds are
     places in `NAMES` and `MARKS`."""
+    (into,) = fresh(docs, into)
     extra, have, found, out = fresh(docs, into + "_secrets", into + "_terms", into + "_found", into + "_all")
     based = secret_spans(base_spans(docs, text, into), text, into, extra)
     both = F.concat(quoted(into), quoted(extra))

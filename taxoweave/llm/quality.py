@@ -28,6 +28,7 @@ STOP_WORDS = ["the", "of", "and", "to", "der", "die", "und", "de", "la", "le", "
 
 def measures(docs: DataFrame, text: str = "text", into: str = "measures") -> DataFrame:
     """Adds the struct column `into` with the counts that the rules use."""
+    (into,) = fresh(docs, into)
     w, win, dup, pos = fresh(docs, into + "_words", into + "_windows", into + "_same", into + "_starts")
     body = F.coalesce(quoted(text), F.lit(""))
     W, V, S, P = (quoted(x) for x in (w, win, dup, pos))

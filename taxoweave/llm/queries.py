@@ -9,7 +9,8 @@ from . import (
     classifier, decontaminate, jaccard, kneser_ney, language, lexical, licenses, packing, pii, quality, tokens, toxicity,
     whitening
 )
-from .shared import documents, words, written
+from .shared import documents as all_columns
+from .shared import words, written
 
 #: Production parameters of packing: bins of so many words.
 BIN_WORDS = 2048
@@ -17,6 +18,12 @@ BIN_WORDS = 2048
 LABEL_ROWS = 1_000_000
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with the columns that the queries use, so no other column can clash with theirs."""
+    docs = all_columns(spark, sf_dir)
+    return docs.select(*(c for c in docs.columns if c in ("doc_id", "text", "lang", "source", "n_chars")))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = written(quality.measures(documents(spark, sf_dir)).select("doc_id", "measures"), "quality")
     scored = quality.score(m, quality.fit(m))

@@ -602,3 +602,54 @@ def test_packing_conflicts_with_clashing_names(spark, monkeypatch):
             assert len(sources) == len(set(sources))
             clusters = [r.doc_id % 11 for r in parts if r.doc_id % 2 == 0] if cluster is not None else [rows[r.doc_id][1] for r in parts]
             assert len(clusters) == len(set(clusters))
+
+
+def test_decontaminate_ids(spark):
+    """Items without an id mark words but are not listed, an id that repeats counts once, ties are all listed."""
+    words = [f"w{i}" for i in range(30)]
+    docs = spark.createDataFrame([(1, " ".join(words), "x"), (None, " ".join(words[5:25]), "y"), (3, "none", "z")], "doc_id long, text string, hit string")
+    items = [(None, " ".join(words[0:12])), (7, " ".join(words[10:22])), (7, " ".join(words[18:29])), (8, " ".join(words[10:22])), (9, None)]
+    for limit in (50_000, 0):
+        out = decontaminate.find(docs, spark.createDataFrame(items, "item_id long, text string"), n=10, into="hit", max_windows=limit)
+        assert out.columns == ["doc_id", "text", "hit", "_hit"]
+        found = {r.doc_id: r["_hit"] for r in out.collect()}
+        assert found[1]["items"] == ["7", "8"] and found[None]["items"] == ["7", "8"] and found[3]["items"] == []
+        starts = {s.i for s in found[1]["starts"]}
+        assert starts == {0, 1, 2, 10, 11, 12, 18, 19}
+
+
+def test_jaccard_null_ids(spark):
+    """Rows without an id take the component of what they link with; alone they have none."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, text), (5, text), (None, text + " more"), (None, "quite another text of its own here"), (2, "short"), (2, "short")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, node int")
+    found = jaccard.similar_components(docs, n=4, percent=85).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in found) == [
+        (False, 2, 1, 2), (False, 2, 1, 2), (False, 5, 37, 5), (True, 0, 4, 0), (True, 0, 37, 5), (True, 0, 38, 5)
+    ]
+
+
+def test_language_of_two_halves(spark):
+    """A text of two languages in equal parts is less sure than one of either, and the most doubtful are flagged."""
+    train = [(i, " ".join(f"{a}{b}{a}o" for a in "kst" for b in "aei"), "x") for i in range(5)]
+    train += [(10 + i, " ".join(f"u{a}{b}m" for a in "gbd" for b in "lrw"), "y") for i in range(5)]
+    docs = spark.createDataFrame(train, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    halves = spark.createDataFrame([(1, train[0][1]), (2, train[5][1]), (3, train[0][1] + " " + train[5][1])], "doc_id long, text string")
+    found = {r.doc_id: r for r in language.identify(halves, model).collect()}
+    assert (found[1].lang_pred, found[2].lang_pred) == ("x", "y")
+    assert not found[1].lang_ambiguous and not found[2].lang_ambiguous
+    assert found[3].lang_score < min(found[1].lang_score, found[2].lang_score)
+    most = language.identify(halves, model, ambiguous=0.0).collect()
+    assert all(r.lang_ambiguous for r in most)
+
+
+def test_added_columns_take_free_names(spark):
+    """Columns named like the added one, in any case, keep their names and values."""
+    docs = spark.createDataFrame([(1, "a text of some words", "m", "S", 3, 4)], "doc_id long, text string, measures string, Spans string, hit int, licenses int")
+    items = spark.createDataFrame([(1, "some words")], "item_id long, text string")
+    for out, name in (
+        (quality.measures(docs), "_measures"), (pii.find(docs), "_spans"), (decontaminate.find(docs, items), "_hit"), (licenses.scan(docs), "_licenses")
+    ):
+        assert out.columns == [*docs.columns, name]
+        assert tuple(out.first())[:6] == (1, "a text of some words", "m", "S", 3, 4)

@@ -187,3 +187,17 @@ def test_pipeline_brute_force(spark):
     kept = {i for i, t in kept.items() if not dirty(split(t))}
     out = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in out.collect()} == kept and kept
+
+
+def test_pipeline_with_clashing_names(spark):
+    """Columns named like those that stages add keep their names and values, and come out of every stage but the last."""
+    docs = Q.documents(spark, SF).limit(60)
+    for name in ("measures", "spans", "hit", "quality", "node", "component", "text_key", "shard", "rest"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), "doc_id"))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        docs = spark.createDataFrame(out.collect(), out.schema)
+        assert all(r.spans == f"spans{r.doc_id}" and r.node == f"node{r.doc_id}" for r in docs.collect()), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).select("doc_id").distinct().count() == docs.count() > 0
