@@ -9,9 +9,10 @@ each order come from its counts of counts (Chen and Goodman 1999).
 Tokens are words `[^\x20\x09-\x0D]+` with A-Z lowered, then one end.  The model is a
 folder of sorted hash arrays: word hashes in files by hash range (a word's id is its place,
 counted over all files), bigram keys id(v) * 2**32 + id(w) in shards by key range (a
-bigram's place is counted likewise), and trigram keys place(u v) * (V + 1) + id(w) in shards
-by key range, with their upper halves once for each run.  Range bounds come from the counts,
-so a frequent context is spread over several shards.  Tasks write the arrays to the shared
+bigram's place is counted likewise), and trigrams (place(u v), id(w)) in shards by range, as
+keys told from the first place of the shard, with their upper halves once for each run.
+Range bounds come from the counts, so a frequent context is spread over several shards; a
+shard has `SHARD_TOKENS` tokens, more where there would be over `MAX_SHARDS` shards.  Tasks write the arrays to the shared
 folder; scoring tasks map into memory the files that they look into, `MAPPED` at most at a
 time (from a folder that is not mounted they fetch them first).  Neither words nor counts go
 through the driver, which sees a few numbers a file.  One order is counted after the other,
@@ -21,7 +22,7 @@ Defined cases: null and empty texts are the end token alone; very long texts are
 and scored whole; unknown words get the share of 1 / (V + 1); repeated rows count once each;
 without training texts every token has probability 1; an empty table to score gives no rows;
 columns named like the added ones keep their names, the added ones get underscores; more
-than 2**32 - 1 words, or trigram keys beyond 64 bits, raise an error.
+than 2**32 - 2 words raise an error.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ from .shared import fresh, quoted, shared_folder, small_batches, written
 END = np.uint64(0x0E0D0E0D0E0D0E0D)
 #: Bigram tokens of a shard and words of a range, about.
 SHARD_TOKENS, RANGE_WORDS = 2_000_000, 1 << 18
+#: Shards up to which their size stays; with 10**13 tokens a shard has 40 million.
+MAX_SHARDS = 1 << 18
 #: Bigrams that a task collects before it hands them on.
 HELD = 1 << 22
 #: Files that hold the words: with 2**32 words, the most there can be, 2**20 words a file.
@@ -262,19 +265,19 @@ def _opened(uri: str, stage: str = "whole") -> dict:
     """The model; `stage` says how far it is that is still in the making ("words", "bigrams"),
     so that a worker does not keep it for the finished one."""
     meta = json.loads(Folder(uri).read("model.json"))
-    of = lambda name, have, kind=Shards: kind(uri, name, meta.get(have, ()))
-    array = lambda name, kind: np.array(meta.get(name, ()), kind)
+    have_of = lambda have: _mapped(uri, have).tolist() if have in meta["saved"] else meta.get(have, ())
+    of = lambda name, have, kind=Shards: kind(uri, name, have_of(have))
+    saved = lambda name, kind: _mapped(uri, name) if name in meta["saved"] else np.zeros(0, kind)
     return meta | {
-        "words": of("words", "files"), "counts": of("counts", "files"), "word_bounds": _uniform_bounds(meta["n_files"]), "word_starts": array(
-            "word_starts", np.int64
+        "words": of("words", "files"), "counts": of("counts", "files"), "word_bounds": _uniform_bounds(meta["n_files"]), "word_starts": np.array(
+            meta["word_starts"], np.int64
         ),
-        "bounds": array("bounds", np.uint64), "starts": array("starts", np.int64), "keys": of("keys", "shards"), "values": of("values", "shards"),
+        "bounds": saved("bounds", np.uint64), "starts": saved("starts", np.int64), "keys": of("keys", "shards"), "values": of("values", "shards"),
         "id_starts": np.append(
             np.arange(0, meta["vocabulary"] + 1, RANGE_WORDS), meta["vocabulary"] + 1
         ), "left": of("left", "lefts"), "after": of("after", "afters"),
-        "bounds3": array("bounds3", np.uint64), "keys3": of(
-            "keys3", "shards3", SplitShards
-        ), "values3": of("values3", "shards3"),
+        "ranges3": TrigramRanges(saved("bounds3", np.int64).reshape(-1, 2), meta["vocabulary"]),
+        "keys3": of("keys3", "shards3", SplitShards), "values3": of("values3", "shards3"),
         "distinct": of("distinct", "shards"), "rest2": of("rest2", "shards"),
     }
 
@@ -303,8 +306,35 @@ def _contexts(places: np.ndarray, left: np.ndarray, n_words: int) -> np.ndarray:
     return before
 
 
-def _trigram_keys(contexts: np.ndarray, ids: np.ndarray, n_words: int) -> np.ndarray:
-    return contexts.astype(np.uint64) * np.uint64(n_words + 1) + ids.astype(np.uint64)
+class TrigramRanges:
+    """Ranges of trigrams (place of the bigram, word).  `bounds` are the first trigrams of the
+    ranges, the first one (0, 0).  A key counts from the first place of its range, so it has 64
+    bits however many bigrams there are: a range has fewer than 2**32 of them."""
+
+    def __init__(self, bounds: np.ndarray, n_words: int):
+        self.first, self.base = bounds[:, 0], np.uint64(n_words + 1)
+        self.places, rank = np.unique(self.first, return_inverse=True)
+        self.order = rank.astype(np.uint64) * self.base + bounds[:, 1].astype(np.uint64)
+
+    def keys(self, places: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(range, key) of each trigram."""
+        rank = np.searchsorted(self.places, places, "right") - 1
+        words = words.astype(np.uint64)
+        inside = np.where(self.places[rank] == places, words, self.base - np.uint64(1))
+        s = np.searchsorted(self.order, rank.astype(np.uint64) * self.base + inside, "right") - 1
+        return s, (places - self.first[s]).astype(np.uint64) * self.base + words
+
+    def trigrams(self, s: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, words) of keys of range s."""
+        return (keys // self.base).astype(np.int64) + self.first[s], keys % self.base
+
+    def cut(self, places: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(range, places in the arrays, keys) for each range that has some."""
+        s, keys = self.keys(places, words)
+        order = np.argsort(s, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(s[order])) + 1):
+            if len(part):
+                yield int(s[part[0]]), part, keys[part]
 
 
 def _discounts(n: list[int]) -> list[float]:
@@ -382,24 +412,31 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
     word_starts = np.concatenate(([0], np.cumsum([of_file.get(r, 0) for r in range(n_ranges)]))).astype(int)
     # bigrams of about `shard_tokens` tokens, if words follow each other by chance; inside a
     # frequent left word the bound falls on a right word
-    bounds = [
-        (int(word_starts[r]) + i << 32) | (w * n_words >> 32) for r, _, _, cuts in files for i, w in json.loads(cuts)
-    ]
+    bounds = np.array(
+        sorted(
+            {
+                (int(word_starts[r]) + i << 32) | (w * n_words >> 32) for r, _, _, cuts in files
+                for i, w in json.loads(cuts)
+            } - {0}
+        ),
+        np.uint64
+    )
+    wider = -(-(len(bounds) + 1) // MAX_SHARDS)
+    bounds, shard_tokens = bounds[wider - 1 :: wider], shard_tokens * wider
     meta = {
         "tokens": n_tokens, "vocabulary": n_words, "files": sorted(of_file), "n_files": n_ranges,
-        "word_starts": word_starts.tolist(), "bounds": sorted(set(bounds) - {0}), "uri": uri, "order": order
+        "word_starts": word_starts.tolist(), "uri": uri, "order": order, "saved": []
     }
-    n_shards = len(meta["bounds"]) + 1
-    _save_meta(store, meta)
+    n_shards = len(bounds) + 1
+    _save_meta(store, meta, bounds=bounds)
     if not n_words:
         _save_meta(
             store,
             meta | {
-                "starts": [0, 0], "d3": [0.5, 1, 1.5], "d2": [0.5, 1, 1.5], "d1": [0.5, 1, 1.5], "types": 0, "rest": 1.0
+                "d3": [0.5, 1, 1.5], "d2": [0.5, 1, 1.5], "d1": [0.5, 1, 1.5], "types": 0, "rest": 1.0
             }
         )
         return uri
-    bounds = np.array(meta["bounds"], np.uint64)
     word_ranges = -(-(n_words + 1) // RANGE_WORDS)
 
     def bigrams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,15 +497,13 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
         x.s: json.loads(bytes(x.blob)) for x in stats.filter("kind = 'size'").select("s", "blob").toLocalIterator()
     }
     starts = np.concatenate(([0], np.cumsum([sizes.get(s, [0])[0] for s in range(len(bounds) + 1)])))
-    meta |= {"shards": sorted(sizes), "starts": starts.tolist()}
+    _save_meta(store, meta, shards=np.array(sorted(sizes)), starts=starts)
     if order > 2:
-        if int(starts[-1]) * (n_words + 1) >= 2**64 - 1:
-            raise ValueError("too many bigrams and words for trigram keys of 64 bits")
-        cuts = [((int(starts[s]) + i) * (n_words + 1) + w) for s in sorted(sizes) for i, w in [(0, 0), *sizes[s][1]]]
-        meta["bounds3"] = sorted(set(cuts) - {0})
-        _save_meta(store, meta)
-        more = _count_trigrams(spark, texts, store, meta, counted_bigrams)
+        cuts = {(int(starts[s]) + i, w) for s in sizes for i, w in [(0, 0), *sizes[s][1]]}
+        _save_meta(store, meta, bounds3=np.array(sorted(cuts | {(0, 0)}), np.int64))
+        more = _count_trigrams(spark, texts, store, meta, n_shards, len(cuts | {(0, 0)}), sorted(sizes), counted_bigrams)
         stats = stats.unionByName(more.pop("stats"))
+        _save_meta(store, meta, shards3=np.array(more.pop("shards3")))
         meta |= more
 
     def save_stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -547,11 +582,19 @@ def _shuffles_dropped(spark) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_bigrams) -> dict:
+def _count_trigrams(
+    spark, texts: DataFrame, store: Folder, meta: dict, n_shards: int, n_ranges: int, shards: list[int], counted_bigrams
+) -> dict:
     """Counts trigrams over a model of words and bigrams, and the distinct left neighbours of
     bigrams; gives back what the model lacked."""
-    uri, n_words, n_shards = meta["uri"], meta["vocabulary"], len(meta["bounds"]) + 1
-    bounds3, starts = np.array(meta["bounds3"], np.uint64), np.array(meta["starts"], np.int64)
+    uri, n_words = meta["uri"], meta["vocabulary"]
+
+    def cut(held: list[tuple[np.ndarray, np.ndarray]], ranges: TrigramRanges) -> pa.RecordBatch:
+        places, words = (np.concatenate(x) for x in zip(*held, strict=True))
+        some = [(s, _packed(*_counted(keys))) for s, _, keys in ranges.cut(places, words)]
+        return pa.RecordBatch.from_pydict(
+            {"s": pa.array([s for s, _ in some], pa.int32()), "blob": pa.array([b for _, b in some], pa.binary())}
+        )
 
     def trigrams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _opened(uri, "bigrams")
@@ -560,22 +603,23 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
             for tokens, ends in _sequences(batch.column(0)):
                 left, ids = _bigrams(tokens, ends, model)
                 contexts = _contexts(
-                    _places(_bigram_keys(left, ids), model["bounds"], model["keys"], starts), left, n_words
+                    _places(_bigram_keys(left, ids), model["bounds"], model["keys"], model["starts"]), left, n_words
                 )
-                held.append(_trigram_keys(contexts[contexts >= 0], ids[contexts >= 0], n_words))
-                size += len(held[-1])
+                held.append((contexts[contexts >= 0], ids[contexts >= 0]))
+                size += len(held[-1][0])
                 if size > HELD:
-                    yield _cut(*_counted(np.concatenate(held)), bounds3, "s")
+                    yield cut(held, model["ranges3"])
                     held, size = [], 0
         if held:
-            yield _cut(*_counted(np.concatenate(held)), bounds3, "s")
+            yield cut(held, model["ranges3"])
 
     def save_trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _opened(uri, "bigrams")
+        starts = model["starts"]
         for s, keys, counts in _merged(batches, "s"):
             _save_split(store, "keys3", s, keys)
             store.save(f"values3-{s}", counts.astype(np.uint8) if counts.max() < 256 else counts.astype(np.uint32))
-            context, w = (keys // np.uint64(n_words + 1)).astype(np.int64), keys % np.uint64(n_words + 1)
+            context, w = model["ranges3"].trigrams(s, keys)
             first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
             seen = context[first]
             (raw,) = _at(seen, starts, model["values"])
@@ -606,7 +650,7 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
 
     made = written(
         _deal(
-            texts.mapInArrow(trigrams_of, "s int, blob binary"), "s", len(bounds3) + 1
+            texts.mapInArrow(trigrams_of, "s int, blob binary"), "s", n_ranges
         ).mapInPandas(save_trigrams, "s int, kind string, blob binary, to int"),
         "trigrams"
     )
@@ -647,7 +691,7 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
         if key is not None:
             yield done()
 
-    every = spark.createDataFrame([(s, "every", None) for s in meta["shards"]], "to int, kind string, blob binary")
+    every = spark.createDataFrame([(s, "every", None) for s in shards], "to int, kind string, blob binary")
     rows = made.filter("kind <> 'small'").select("to", "kind", "blob").unionByName(every)
     stats = written(
         _deal(rows, "to", n_shards).mapInPandas(save_bigrams, "s int, kind string, r int, blob binary"), "bigrams"
@@ -655,7 +699,12 @@ def _count_trigrams(spark, texts: DataFrame, store: Folder, meta: dict, counted_
     return {"stats": stats, "d3": d3, "shards3": sorted(small)}
 
 
-def _save_meta(store: Folder, meta: dict) -> None:
+def _save_meta(store: Folder, meta: dict, **arrays: np.ndarray) -> None:
+    """Writes model.json; `arrays`, which grow with the corpus, are files of their own."""
+    for name, array in arrays.items():
+        if len(array):
+            store.save(name, array)
+            meta["saved"] = [*meta["saved"], name]
     store.write("model.json", json.dumps(meta).encode())
     _opened.cache_clear()
 
@@ -682,8 +731,13 @@ def _scores(tokens: np.ndarray, ends: np.ndarray, model: dict) -> tuple[np.ndarr
         if model["order"] > 2:
             contexts = _contexts(places, left, v_words)
             some = np.flatnonzero(contexts >= 0)
-            keys = np.where(known[some], _trigram_keys(contexts[some], safe[some], v_words), np.uint64(2**64 - 1))
-            found = _places(keys, model["bounds3"], model["keys3"], None, model["values3"])
+            found = np.zeros(len(some), np.int64)
+            told = np.flatnonzero(known[some])
+            for s, at, keys in model["ranges3"].cut(contexts[some[told]], safe[some[told]]):
+                if s in model["keys3"]:
+                    each, back = np.unique(keys, return_inverse=True)
+                    i = model["keys3"].find(s, each)
+                    found[told[at]] = np.where(i >= 0, model["values3"][s][i], 0)[back]
             p[some] = _interpolated(found, raw[some - 1], rest2[some - 1], model["d3"], p[some])
     begin = np.concatenate(([0], ends[:-1] + 1))
     sums = lambda x: np.add.reduceat(x, begin)
@@ -698,19 +752,16 @@ def _interpolated(c: np.ndarray, total: np.ndarray, rest: np.ndarray, d: list[fl
 
 
 def _places(
-    keys: np.ndarray, bounds: np.ndarray, tables: Shards, starts: np.ndarray | None, values: Shards | None = None
+    keys: np.ndarray, bounds: np.ndarray, tables: Shards, starts: np.ndarray
 ) -> np.ndarray:
-    """Places of keys over all shards, -1 if unknown; or their `values`, 0 if unknown.  Keys are
-    looked up in order, so pages are read once."""
+    """Places of keys over all shards, -1 if unknown.  Keys are looked up in order, so pages are read once."""
     some, back = np.unique(keys, return_inverse=True)
-    out = np.full(len(some), -1 if values is None else 0, np.int64)
+    out = np.full(len(some), -1, np.int64)
     at = np.concatenate(([0], np.searchsorted(some, bounds), [len(some)]))
     for s in np.flatnonzero(np.diff(at)).tolist():
         if s in tables:
             i = tables.find(s, some[at[s] : at[s + 1]])
-            out[at[s] : at[s + 1]] = np.where(
-                i >= 0, starts[s] + i, -1
-            ) if values is None else np.where(i >= 0, values[s][i], 0)
+            out[at[s] : at[s + 1]] = np.where(i >= 0, starts[s] + i, -1)
     return out[back]
 
 

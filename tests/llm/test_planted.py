@@ -378,6 +378,30 @@ def test_language_model(spark):
     assert kneser_ney.score(edge(spark), none).count() == len(EDGE)
 
 
+def test_trigram_ranges():
+    """Keys of ranges against plain order, with more bigrams and words than a 64-bit product holds."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(3)
+    for n_words, start in ((2**32 - 2, 2**40), (7, 0)):
+        place = lambda: start + rng.randrange(40)
+        bounds = sorted({(0, 0)} | {(place(), rng.randrange(n_words)) for _ in range(12)})
+        if start:  # a range holds fewer than 2**32 bigrams
+            bounds = sorted({*bounds, (start - 1, 0)})
+        asked = [*((place(), rng.randrange(n_words)) for _ in range(500)), *bounds[2:]]
+        ranges = kneser_ney.TrigramRanges(np.array(bounds, np.int64), n_words)
+        places, words = np.array(asked, np.int64).T
+        s, keys = ranges.keys(places, words)
+        assert s.tolist() == [sum(b <= x for b in bounds) - 1 for x in asked]
+        rank = sorted(range(len(asked)), key=lambda i: (s[i], keys[i]))
+        assert [asked[i] for i in rank] == sorted(asked)
+        for r, at, part in ranges.cut(places, words):
+            back = ranges.trigrams(r, part)
+            assert [(int(a), int(b)) for a, b in zip(*back, strict=True)] == [asked[i] for i in at]
+
+
 def brute_kneser_ney(train):
     """(chance of a word after up to two words, all words) at order 3, from dictionaries."""
     split = lambda t: ["<s>", *(t or "").lower().split(), "</s>"]
@@ -429,8 +453,9 @@ def test_language_model_order_3(spark, monkeypatch):
     chance, vocabulary = brute_kneser_ney(texts)
     for h in [(), ("a",), ("<s>",), ("a", "b"), ("<s>", "a"), ("x", "y"), ("zzz", "a")]:  # all chances sum to 1, an unknown word included
         assert abs(sum(chance(h, w) for w in [*vocabulary, "zzz"]) - 1) < 1e-9
-    for size in (2_000_000, 20):  # the second cuts contexts over shards
+    for size, most in ((2_000_000, 100), (20, 1000), (20, 4)):  # the second cuts contexts over shards, the third widens shards
         monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", size)
+        monkeypatch.setattr(kneser_ney, "MAX_SHARDS", most)
         out = kneser_ney.score(asked, kneser_ney.train(docs)).collect()
         for r in out:
             assert abs(r.score - brute_score(chance, r.text)) < 1e-5
