@@ -142,3 +142,50 @@ def test_sketches_of_files_are_added(spark):
     assert both.triples == exact.triples == 6000 and both.predicates == 7
     assert all(abs(both[c] - exact[c]) <= 0.03 * exact[c] for c in concepts.SKETCHED)
     assert concepts.sketched_stats(concepts.triple_sketches(t.limit(0))).first().asDict() == dict.fromkeys(["triples", *concepts.SKETCHED], 0)
+
+
+def test_equal_queries_and_labels_are_matched_once_and_lose_no_pair(spark):
+    """Many copies, several labels of a URI, a row given twice, nulls: as a plain join."""
+    labels = [(i, ["red box", "blue box", "red"][i % 3]) for i in range(60)] + [(0, "hot rod"), (1, "blue box"), (2, None)]
+    queries = [(i, ["red box", "redbox", "blue", None][i % 4], "hot rod") for i in range(40)] + [(1, "red", "red box"), (50, "cold", "blue")]
+    n = spark.createDataFrame(labels, "uri long, norm string")
+    q = spark.createDataFrame(queries, "c long, norm string, spaced string")
+    first = [(c, u, 1) for c, a, _ in queries for u, b in labels if a is not None and a == b]
+    hit = {c for c, _, _ in first}
+    want = sorted(first + [(c, u, 2) for c, _, s in queries if c not in hit for u, b in labels if s == b])
+    assert sorted(map(tuple, relations.direct_label_match(q, n).collect())) == want
+    held = {(c, u) for c, a, _ in queries if a for u, b in labels if b and f" {a} " in f" {b} "}
+    e = spark.createDataFrame([(3, "related", 999), (4, "other", 998)], "uri long, rel string, dst long").withColumnRenamed("uri", "src")
+    near = held | {(c, 999) for c, u in held if u == 3}
+    found = [tuple(r) for r in relations.partial_label_match(q.select("c", "norm"), n, e).collect()]
+    assert set(found) == near and len(found) == len(near)
+    con = spark.createDataFrame([("red", "blue"), ("blue", "red")], "pattern string, word string")
+    bad = {(c, u) for c, a, _ in queries if a for u, b in labels if b and a != b for p, w in (("red", "blue"), ("blue", "red")) if p in a.split() and w in b.split()}
+    found = [tuple(r) for r in relations.must_not_have_by_pattern(q.select("c", "norm"), con, n).collect()]
+    assert set(found) == bad and len(found) == len(bad)
+
+
+def test_classes_meet_in_blocks(spark):
+    rows = spark.createDataFrame([(i, i % 2, None) for i in range(300)], "c long, k int, word string")
+    members, forms = relations.classes(rows, "c")
+    assert forms.count() == 2 and members.count() == 300
+    others = spark.createDataFrame([(i, i % 2) for i in range(200)], "uri long, k int")
+    named, labels = relations.classes(others, "uri")
+    met = forms.join(labels, "k").select("c", "uri", "word")
+    out = relations.expand_classes(met.unionByName(met), members, named, size=16)
+    want = sorted((i, j, None) for i in range(300) for j in range(200) if i % 2 == j % 2)
+    assert sorted(map(tuple, out.collect())) == sorted(want * 2)
+    # a task holds blocks, not a class: no group of members is larger than a few blocks
+    assert max(r[0] for r in relations._member_blocks(members, "c", 16).selectExpr("size(c_members)").collect()) < 64
+
+
+@pytest.mark.parametrize("name", ["d22_manual_mapping", "d25_association_boost", "c13_forbidden_context"])
+def test_pairs_are_not_shuffled(spark, name):
+    """Labels are put together by text before they meet the queries: no text is a join key of single rows."""
+    from taxoweave import catalog
+
+    plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    if name == "d22_manual_mapping":
+        assert "Aggregate [norm#" in plan
+    else:
+        assert "c_members" in plan and "uri_members" in plan
