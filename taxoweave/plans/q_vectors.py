@@ -347,7 +347,8 @@ def d21(spark, d):
 )
 def d22(spark, d):
     n, q = names(spark, d)
-    m = q.join(n, "norm").groupBy("c").agg(F.min("uri").alias("uri")).withColumn("confidence", F.lit(50))
+    least = n.groupBy("norm").agg(F.min("uri").alias("uri"))
+    m = q.join(least, "norm").groupBy("c").agg(F.min("uri").alias("uri")).withColumn("confidence", F.lit(50))
     return L.manual_mapping(m, q.filter("c % 20 = 0").select("c", (F.col("c") + 1000).alias("uri")))
 
 
