@@ -189,3 +189,14 @@ def test_pairs_are_not_shuffled(spark, name):
         assert "Aggregate [norm#" in plan
     else:
         assert "c_members" in plan and "uri_members" in plan
+
+
+def test_pairs_leave_a_worker_in_tiles_of_bounded_size():
+    rng = np.random.default_rng(5)
+    a, b = rng.standard_normal((700, 8)), rng.standard_normal((6000, 8))
+    tiles = [*vectors._tiles(a, b, -100.0, None, None)]
+    assert max(len(s) for _, _, s in tiles) <= vectors.CELLS < len(a) * len(b)
+    assert sum(len(s) for _, _, s in tiles) == len(a) * len(b)
+    i, j, s = (np.concatenate(x) for x in zip(*vectors._tiles(a, b, None, None, 3), strict=True))
+    assert sorted(zip(i, j)) == sorted((r, c) for r in range(700) for c in np.argsort(-(a[r] @ b.T))[:3])
+    assert [*vectors._tiles(a, b[:0], None, None, 3)] == []
