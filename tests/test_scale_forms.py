@@ -214,3 +214,92 @@ def test_strict_concepts_are_made_without_joins(spark):
         ("a", "prefLabel", "m", "n"), ("a", "broader", "b"), ("b", "label"), ("d", "label", "n")
     } and found.count() == 4
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def plain_cosine(a, b):
+    if a is None or b is None or len(a) != len(b) or None in a or None in b:
+        return 0.0
+    x, y = np.array(a), np.array(b)
+    n = np.linalg.norm(x) * np.linalg.norm(y)
+    return 0.0 if n == 0 else float(x @ y / n)
+
+
+def some_vectors(n, seed, d=4):
+    """Keys with several vectors, copies, one of length 0 and a null."""
+    rng = np.random.default_rng(seed)
+    rows = [(int(i * 0.7), rng.standard_normal(d).round(1).tolist()) for i in range(n)]
+    return [*rows, *rows[:3], (n, [0.0] * d), (n + 1, None)]
+
+
+@pytest.mark.parametrize("size", [1 << 20, 0])
+def test_best_similarity_has_a_row_a_pair(spark, size, monkeypatch):
+    monkeypatch.setattr(vectors, "CELLS", 64)
+    a, b = some_vectors(12, 6), some_vectors(90, 7)
+    q, t = spark.createDataFrame(a, "c long, v array<double>"), spark.createDataFrame(b, "uri long, v array<double>")
+    best = {}
+    for c, x in a:
+        for uri, y in b:
+            if x and y and plain_cosine(x, y) >= 0.1:
+                best[c, uri] = max(best.get((c, uri), -1), round(plain_cosine(x, y), 9))
+    found = vectors.best_similarity(q, t, 0.1, broadcast_bytes=size).collect()
+    assert {(r.c, r.uri): round(r.sim_score, 9) for r in found} == best and len(found) == len(best)
+    top = vectors.best_similarity(q, t, 0.1, k=3, broadcast_bytes=size).collect()
+    for c in {c for c, _ in best}:
+        scores = sorted((-s for (x, _), s in best.items() if x == c))[:3]
+        assert sorted(round(-r.sim_score, 9) for r in top if r.c == c) == scores
+    assert vectors.best_similarity(q.filter("c < 0"), t, 0.1, 3, size).collect() == []
+
+
+def test_slice_keeps_the_first_only_and_slots_are_not_shuffled(spark):
+    """What a task gives of a concept's list does not grow with its vectors; pairs of slots meet no shuffle."""
+    from taxoweave import catalog
+
+    t = spark.range(4000).selectExpr("id AS uri", "array(1D, id / 4000) AS v").repartition(1)
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "c long, v array<double>")
+    assert [r.uri for r in vectors.best_similarity(q, t, 0.1, 5).orderBy("uri").collect()] == [0, 1, 2, 3, 4]
+    plan = lambda n: catalog.queries()[n](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    sliced, slots = plan("e26_kg_slice"), plan("d18_strict_theme_select")
+    assert "WindowGroupLimit" in sliced and "MapInArrow" in sliced
+    assert "Exchange" not in slots.split("MapInArrow")[0] or "BroadcastExchange" in slots.split("MapInArrow")[0]
+    assert "SortMergeJoin" not in slots.split("MapInArrow")[0]
+
+
+@pytest.mark.parametrize("size", [1 << 20, 0])
+def test_slots_of_concepts_and_themes_with_and_without_vectors(spark, size):
+    a, b = some_vectors(6, 8), some_vectors(40, 9)
+    labels = [(i, f"red w{i % 5} w{i % 3}") for i in range(0, 60, 2)] + [(4, "red Red blue")]
+    hints = [(0, "RED"), (1, "w1"), (1, "w2"), (2, "blue"), (77, "w4"), (7, "w3"), (0, "red")]
+    frame = spark.createDataFrame
+    found = vectors.slot_scores(
+        frame(a, "c long, v array<double>"), frame(b, "uri long, v array<double>"), frame(labels, "uri long, label string"),
+        frame(hints, "theme long, hint string"), 0.2, size
+    ).collect()
+    assert vectors.slot_scores(
+        frame(a, "c long, v array<double>"), frame(b, "uri long, v array<double>").filter("uri < 0"),
+        frame(labels, "uri long, label string"), frame(hints, "theme long, hint string"), 0.2, size
+    ).selectExpr("sum(hits)", "max(sim)").collect() == [(sum(r.hits for r in found), 0.0)]
+    hits, sims = {}, {}
+    for uri, label in labels:
+        for word in set(label.lower().split()):
+            for theme in {h for h, w in hints if w.lower() == word}:
+                hits[uri, theme] = hits.get((uri, theme), 0) + 1
+    for c, x in a:
+        for uri, y in b:
+            if x and y:
+                sims[uri, c] = max(sims.get((uri, c), -9), plain_cosine(x, y))
+    want = {p: (round(sims.get(p, 0.0), 9), hits.get(p, 0)) for p in {*hits, *(p for p, s in sims.items() if s >= 0.2)}}
+    assert {(r.uri, r.theme): (round(r.sim, 9), r.hits) for r in found} == want and len(found) == len(want)
+
+
+@pytest.mark.parametrize("size", [1 << 20, 0])
+def test_every_cosine_is_the_cosine_of_each_pair(spark, size, monkeypatch):
+    monkeypatch.setattr(vectors, "CELLS", 64)
+    a = [*some_vectors(9, 10), (50, [1.0, 2.0]), (51, []), (52, [1.0, None, 2.0, 0.0])]
+    b = [*some_vectors(30, 11), (60, [2.0, 1.0]), (61, [1.0, None, 2.0, 0.0])]
+    q, t = spark.createDataFrame(a, "c long, v array<double>"), spark.createDataFrame(b, "uri long, v array<double>")
+    found = vectors.every_cosine(q, t, size)
+    assert sorted((r.c, r.uri, round(r.sim_score, 9) + 0.0) for r in found.collect()) == sorted(
+        (c, uri, round(plain_cosine(x, y), 9) + 0.0) for c, x in a for uri, y in b
+    )
+    assert ("MapInArrow" in found._jdf.queryExecution().executedPlan().toString()) == (size > 0)
+    assert vectors.every_cosine(q.filter("c < 0"), t, size).collect() == []
