@@ -101,7 +101,8 @@ def e25(spark, d):
     _ARCH + ", al AS (SELECT c, uri, sim_score FROM sims WHERE c % 2 = 1 UNION ALL SELECT b.c, s.uri, 0.5 * sim_score FROM best b JOIN sims s ON s.c = b.archetype), g AS (SELECT c, uri, max(sim_score) AS score FROM al GROUP BY c, uri) SELECT c, uri, round(score, 4) AS score FROM g WHERE score >= 0.15 QUALIFY row_number() OVER (PARTITION BY c ORDER BY score DESC, uri) <= 50"
 )
 def e26(spark, d):
-    every = A.similar(spark, d, min_score=0.15)  # nothing lower reaches the threshold
+    # nothing lower reaches the threshold, nor what 50 URIs precede for a concept or an archetype
+    every = V.best_similarity(view(spark, d, "fx_vec_q"), view(spark, d, "fx_vec_t"), min_score=0.15, k=50)
     by = archetypes(spark, d).select("c", "archetype").join(
         every.withColumnRenamed("c", "archetype"), "archetype"
     ).select("c", "uri", "sim_score")
