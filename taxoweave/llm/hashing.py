@@ -14,6 +14,8 @@ import pyarrow as pa
 
 #: Bytes hashed at once; longer texts are cut between words and joined again.
 CHUNK = 1 << 20
+#: Bytes of short texts that are hashed together, so that the arrays stay in the cache.
+TOGETHER = 1 << 17
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -29,6 +31,7 @@ _UNPOW = _powers(_INVERSE, CHUNK + 1)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+_DIGIT = LOWER.astype(np.uint64) + np.uint64(1)
 #: Separators of the words `[^\x20\x09-\x0D]+`.
 WORD = np.ones(256, bool)
 WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -44,10 +47,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def string_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, bytes) of an Arrow string array; nulls have no bytes."""
+    """(offsets, bytes) of an Arrow string array, or of a binary one without nulls; nulls have no bytes."""
     if texts.null_count:
         texts = texts.fill_null("")
-    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    kind = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
     _, offsets, data = texts.buffers()
     off = np.frombuffer(offsets, kind)[
         texts.offset : texts.offset + len(texts) + 1
@@ -57,19 +60,22 @@ def string_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _hash_piece(data: np.ndarray, starts_of_texts: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of one piece, and where each word starts."""
-    data = LOWER[data]
-    word = is_word[data]
-    before = np.empty_like(word)
-    before[0], before[1:] = False, word[:-1]
-    before[starts_of_texts] = False
-    starts = np.flatnonzero(word & ~before)
-    after = np.empty_like(word)
-    after[-1], after[:-1] = False, word[1:]
-    after[starts_of_texts[starts_of_texts > 0] - 1] = False
-    ends = np.flatnonzero(word & ~after) + 1
+    word = is_word[LOWER].take(data)
+    edge = np.empty(len(word) + 1, bool)  # a word starts or ends before this byte
+    edge[0], edge[-1] = word[0], word[-1]
+    np.not_equal(word[1:], word[:-1], out=edge[1:-1])
+    edges = np.flatnonzero(edge)
+    starts, ends = edges[::2], edges[1::2]
+    inner = np.unique(starts_of_texts[starts_of_texts > 0])
+    inner = inner[word[inner] & word[inner - 1]]  # no separator stands between two texts
+    if len(inner):
+        starts = np.insert(starts, np.searchsorted(starts, inner), inner)
+        ends = np.insert(ends, np.searchsorted(ends, inner), inner)
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POW[: len(data)], out=total[1:])
+    digits = _DIGIT.take(data)
+    digits *= _POW[: len(data)]
+    np.cumsum(digits, out=total[1:])
     return mix((total[ends] - total[starts]) * _UNPOW[starts] + (ends - starts).astype(np.uint64)), starts
 
 
@@ -79,7 +85,7 @@ def word_hashes(texts: pa.Array, is_word: np.ndarray = WORD) -> Iterator[tuple[i
     off, data = string_buffers(texts)
     lo, n = 0, len(off) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + CHUNK, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + min(CHUNK, TOGETHER), "right")) - 1)
         begin, end = int(off[lo]), int(off[hi])
         if end - begin <= CHUNK:
             if end == begin:
@@ -138,3 +144,30 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         out += hashes[k : k + size] * _FACTORS[k]
     return mix(out + np.uint64(n))
+
+
+def shingle_sets(hashes: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets): the sorted set of `shingles` of each of some texts, one after the other.
+
+    The words of text i are hashes[offsets[i]:offsets[i + 1]]."""
+    counts = np.diff(offsets)
+    sizes = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    flat = np.empty(at[-1], np.uint64)
+    whole = counts >= n
+    if whole.any():  # shingles at all places, of which those within one text are taken
+        take = np.arange(int(sizes[whole].sum()))
+        take += np.repeat(offsets[:-1][whole] - np.concatenate(([0], np.cumsum(sizes[whole])))[:-1], sizes[whole])
+        inside = shingles(hashes, n)[take]
+        if whole.all():
+            flat = inside
+        else:
+            flat[np.repeat(whole, sizes)] = inside
+    for i in np.flatnonzero(~whole & (counts > 0)).tolist():
+        flat[at[i]] = shingles(hashes[offsets[i] : offsets[i + 1]], n)[0]
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        flat[a:b].sort()
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    new[at[:-1][sizes > 0]] = True
+    return flat[new], np.concatenate(([0], np.cumsum(new)))[at]

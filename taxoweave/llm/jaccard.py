@@ -7,7 +7,8 @@ Two texts link if 100 * |A & B| >= percent * |A | B| for their sets of word shin
 2. The shingles of a node are ordered rare first: estimates that chance alone can give come
    first in order of hash, then the frequent ones by the logarithm of their estimate.  Two linked sets
    share a shingle within the first n - ceil(percent * n) + 1 of each, so only these
-   prefixes are joined.  A prefix shingle of a single node is dropped; one that the sketch
+   prefixes are joined.  A prefix shingle of a single node is dropped, and one of a few nodes
+   that fail the length or the positional filter; one that the sketch
    counts in more than `LIST` texts is cut into parts by node, and each two parts meet in a
    task, so no task holds a whole hot list.
 3. The nodes of a prefix shingle that pass the length, positional and suffix filters are
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .hashing import mix, shingles, word_hashes
+from .hashing import mix, shingle_sets, string_buffers, word_hashes
 from .shared import fresh, quoted, small_batches, written
 
 #: Cells of the sketch (16 MB on the driver and in a worker), and of one piece of it.
@@ -56,27 +57,60 @@ BROADCAST_ROWS = 500_000
 MEETINGS = 2_000_000
 #: Parts of the hash space for the suffix filter.
 SUFFIX_BINS = 256
+#: Rows of lists that are worked on at once, and shingles that a task counts at once.
+ROWS, COUNTED = 1 << 15, 1 << 21
+#: Nodes of a short list, all pairs of which are filtered at once.
+SHORT = 8
 
 
-def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
-    """The sorted set of shingle hashes of each text."""
-    for lo, hi, hashes, off in word_hashes(texts):
-        for i in range(hi - lo):
-            yield np.unique(shingles(hashes[off[i] : off[i + 1]], n))
+def _sets(texts: pa.Array, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(shingles, offsets, words) of some texts at a time, in order: the sorted set of shingle hashes of
+    text i is shingles[offsets[i]:offsets[i + 1]]; it has words[i] words."""
+    for _, _, hashes, off in word_hashes(texts):
+        yield *shingle_sets(hashes, off, n), np.diff(off)
 
 
-def _signature(s: np.ndarray) -> int:
-    """64 bits of a set."""
-    if not len(s):
-        return 0
-    return int(mix(np.sum(s, dtype=np.uint64, keepdims=True) + mix(np.array([len(s)], np.uint64))).view(np.int64)[0])
+def _signatures(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """64 bits of each set; 0 for empty ones."""
+    sums, sizes = np.concatenate((np.zeros(1, np.uint64), np.cumsum(sets, dtype=np.uint64))), np.diff(off)
+    return np.where(sizes > 0, mix(sums[off[1:]] - sums[off[:-1]] + mix(sizes.astype(np.uint64))).view(np.int64), 0)
+
+
+def _unseen(nodes: np.ndarray, seen: set[int]) -> np.ndarray:
+    """The places of nodes that are not in `seen`, which they are added to."""
+    out = []
+    for i, node in enumerate(nodes.tolist()):
+        if node not in seen:
+            seen.add(node)
+            out.append(i)
+    return np.array(out, np.int64)
+
+
+def _places(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers first[i] up to first[i] + sizes[i], one range after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at least `rows` but for the last; none is empty."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= (ROWS if rows is None else rows):
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def _slots(s: np.ndarray) -> np.ndarray:
     return (s & np.uint64(SKETCH - 1)).astype(np.int64)
 
 
-def _prefix(size: int, percent: int) -> int:
+def _prefix(size, percent: int):
+    """Length of the prefix of a set, or of sets, of that size."""
     return size - -(-percent * size // 100) + 1
 
 
@@ -90,44 +124,53 @@ def _wide(blob: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(blob[1:]), f"u{blob[0]}").astype(np.int64)
 
 
-def _signed(texts: DataFrame, n: int) -> DataFrame:
-    """Rows (doc_id, text_key, n_shingles, node), and pieces of the tasks' sketches."""
+def _signed(texts: DataFrame, n: int, carried: list[str]) -> DataFrame:
+    """Rows (doc_id, text_key, n_shingles, n_words, node, carried...), and pieces of the tasks' sketches."""
+    names = ["doc_id", "text_key", "n_shingles", "n_words", "node", *carried, "piece", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.int64)
-        names = ["doc_id", "text_key", "n_shingles", "node", "piece", "counts"]
         seen: set[int] = set()
+        slots, waiting, types = [], 0, []
         for batch in batches:
-            sizes, nodes, slots = [], [], []
-            for s in _sets(batch.column(2), n):
-                sizes.append(len(s))
-                nodes.append(_signature(s))
-                if nodes[-1] not in seen:  # copies within a task count once
-                    seen.add(nodes[-1])
-                    slots.append(_slots(s))
-            if slots:
+            types = [batch.column(c).type for c in carried]
+            sizes, lengths, nodes = [], [], []
+            for sets, off, n_words in _sets(batch.column("text"), n):
+                sizes.append(np.diff(off))
+                lengths.append(n_words)
+                nodes.append(_signatures(sets, off))
+                new = _unseen(nodes[-1], seen)  # copies within a task count once
+                slots.append(_slots(sets[_places(off[new], sizes[-1][new])]).astype(np.int32))
+                waiting += len(slots[-1])
+            if waiting >= COUNTED:
                 sketch += np.bincount(np.concatenate(slots), minlength=SKETCH)
+                slots, waiting = [], 0
             k = batch.num_rows
+            cols = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (sizes, lengths, nodes)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                    pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())
+                    batch.column("doc_id"), batch.column("text_key"), *(pa.array(c, pa.int64()) for c in cols),
+                    *(batch.column(c) for c in carried), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())
                 ],
                 names
             )
+        if slots:
+            sketch += np.bincount(np.concatenate(slots), minlength=SKETCH)
         for p in range(SKETCH // PIECE):
             part = sketch[p * PIECE : (p + 1) * PIECE]
             if part.any():
-                blob = _narrow(part)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                        pa.nulls(1, pa.int64()), pa.array([p], pa.int32()), pa.array([blob], pa.binary())
+                        *(pa.nulls(1, t) for t in [pa.int64()] * 5 + types), pa.array([p], pa.int32()),
+                        pa.array([_narrow(part)], pa.binary())
                     ],
                     names
                 )
 
-    return texts.mapInArrow(run, "doc_id long, text_key long, n_shingles long, node long, piece int, counts binary")
+    fields = [f"{c} {texts.schema[c].dataType.simpleString()}" for c in carried]
+    return texts.mapInArrow(
+        run, ", ".join([*(f"{c} long" for c in names[:5]), *fields, "piece int", "counts binary"])
+    )
 
 
 def _sketch(signed: DataFrame) -> np.ndarray:
@@ -159,9 +202,13 @@ def _classes(sketch: np.ndarray) -> np.ndarray:
     ).astype(np.uint8)
 
 
-def _ordered(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """The set, rare first."""
-    return s[np.lexsort((s, classes[_slots(s)]))]
+def _rare_first(sets: np.ndarray, off: np.ndarray, classes: np.ndarray) -> None:
+    """Puts each set in order, rare first."""
+    of = classes[_slots(sets)]
+    frequent = np.concatenate(([0], np.cumsum(of > 0)))
+    for i in np.flatnonzero(frequent[off[1:]] > frequent[off[:-1]]).tolist():
+        a, b = off[i], off[i + 1]
+        sets[a:b] = sets[a:b][np.argsort(of[a:b], kind="stable")]
 
 
 def _prefixes(texts: DataFrame, n: int, percent: int, sketch, list_bits: int) -> DataFrame:
@@ -169,22 +216,22 @@ def _prefixes(texts: DataFrame, n: int, percent: int, sketch, list_bits: int) ->
     logarithm of the number of parts into which the shingle's list is cut."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[int] = {0}  # empty sets have no prefix
         for batch in batches:
-            hs, nodes, sizes, places = [], [], [], []
-            for s in _sets(batch.column(0), n):
-                key = _signature(s)
-                if len(s) and key not in seen:
-                    seen.add(key)
-                    k = _prefix(len(s), percent)
-                    hs.append(_ordered(s, sketch.value)[:k])
-                    nodes.append(np.full(k, key, np.int64))
-                    sizes.append(np.full(k, len(s), np.int32))
-                    places.append(np.arange(k, dtype=np.int32))
-            if hs:
-                h = np.concatenate(hs)
+            for sets, off, _ in _sets(batch.column(0), n):
+                nodes = _signatures(sets, off)
+                new = _unseen(nodes, seen)
+                if not len(new):
+                    continue
+                _rare_first(sets, off, sketch.value)
+                size = np.diff(off)[new]
+                k = _prefix(size, percent)
+                h = sets[_places(off[new], k)]
                 cut = np.maximum(sketch.value[_slots(h)].astype(np.int32) - (list_bits - 1), 0)
-                cols = [h.view(np.int64), *(np.concatenate(x) for x in (nodes, sizes, places)), cut]
+                cols = [
+                    h.view(np.int64), np.repeat(nodes[new], k), np.repeat(size.astype(np.int32), k),
+                    _places(np.zeros(len(k), np.int64), k).astype(np.int32), cut
+                ]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], LIST_COLUMNS)
 
     return texts.mapInArrow(run, "h long, node long, size int, pos int, cut int")
@@ -195,33 +242,53 @@ LIST_COLUMNS = ["h", "node", "size", "pos", "cut"]
 PART = "pmod(node, shiftleft(1L, cut))"
 
 
+def _alike(x: np.ndarray, y: np.ndarray, size: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows x and y of a shingle's list, y being larger, pass the length and the positional filter."""
+    need = -(-percent * (size[x] + size[y]) // (100 + percent))
+    return (100 * size[x] >= percent * size[y]) & (
+        1 + np.minimum(size[x] - pos[x] - 1, size[y] - pos[y] - 1) >= need
+    )
+
+
 def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
-    """The rows whose shingle another node of a similar size has (length filter): in order of
-    size, the next smaller or larger one decides.  Rows of a cut list all stay."""
+    """The rows whose shingle another node has, with which they pass the length and the positional
+    filter; of more than `SHORT` nodes, the length filter with the next smaller or larger one
+    decides.  Rows of a cut list all stay."""
+
+    def kept(h, node, size, pos, cut) -> pa.RecordBatch:
+        first, runs = _runs(h)
+        some = np.flatnonzero(np.repeat(runs > 1, runs) | (cut > 0))
+        h, node, size, pos, cut = (c[some] for c in (h, node, size, pos, cut))
+        order = np.lexsort((node, size, node % (np.int64(1) << cut.astype(np.int64)), h))
+        order = order[np.concatenate(([True], (h[order[1:]] != h[order[:-1]]) | (node[order[1:]] != node[order[:-1]])))[
+            : len(order)
+        ]]  # a node that came twice stays once
+        h, node, size, pos, cut = (c[order] for c in (h, node, size, pos, cut))
+        wide, keep = size.astype(np.int64), cut > 0
+        first, runs = _runs(h)
+        short = np.repeat(runs <= SHORT, runs)
+        for d in range(1, SHORT):
+            x = np.flatnonzero((h[d:] == h[:-d]) & short[d:]) if d < len(h) else np.zeros(0, np.int64)
+            x = x[_alike(x, x + d, wide, pos, percent)]
+            keep[x] = keep[x + d] = True
+        x = np.flatnonzero((h[1:] == h[:-1]) & ~short[1:] & (100 * wide[:-1] >= percent * wide[1:]))
+        keep[x] = keep[x + 1] = True
+        return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (h, node, size, pos, cut)], LIST_COLUMNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_kept = None, False  # the last row so far, and whether it was given out
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        held = None
+        for batch in _gathered(batches):
             cols = [batch.column(c).to_numpy() for c in LIST_COLUMNS]
-            if last is not None:
-                cols = [np.concatenate((x, c)) for x, c in zip(last, cols, strict=True)]
-            h, node, size, _, _ = cols
-            twin = np.concatenate(([False], (h[1:] == h[:-1]) & (node[1:] == node[:-1])))
-            cols = [c[~twin] for c in cols]
-            h, node, size, _, cut = cols
-            pair = (h[1:] == h[:-1]) & (100 * size[:-1].astype(np.int64) >= percent * size[1:].astype(np.int64))
-            keep = np.concatenate(([False], pair)) | np.concatenate((pair, [False])) | (cut > 0)
-            kept = bool(keep[-1]) or (len(keep) == 1 and last_kept)
-            if last is not None and last_kept:
-                keep[0] = False
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], LIST_COLUMNS)
-            last, last_kept = [c[-1:] for c in cols], kept
-
-    return prefixes.repartition("h", F.expr(PART)).sortWithinPartitions(
-        "h", F.expr(PART), "size", "node"
-    ).mapInArrow(run, prefixes.schema)
+            if held is not None:
+                cols = [np.concatenate((x, c)) for x, c in zip(held, cols, strict=True)]
+            end = int(np.searchsorted(cols[0], cols[0][-1]))  # the last list may go on
+            if end:
+                yield kept(*(c[:end] for c in cols))
+            held = [c[end:] for c in cols]
+        if held is not None:
+            yield kept(*held)
+
+    return prefixes.repartition("h", F.expr(PART)).sortWithinPartitions("h").mapInArrow(run, prefixes.schema)
 
 
 def passing(x: int, first: int, cols: tuple[np.ndarray, ...], percent: int, ask: np.ndarray) -> np.ndarray:
@@ -274,9 +341,7 @@ def _whole_lists(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterato
     """Arrays (key, names..., bins) of some whole lists at a time; key tells lists apart."""
     held: list[np.ndarray] | None = None
     seen = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in _gathered(batches):
         h, i, j = (batch.column(c).to_numpy() for c in ("h", "i", "j"))
         new = np.concatenate(([True], (h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
         if held is not None and (h[0], i[0], j[0]) == at:
@@ -284,9 +349,8 @@ def _whole_lists(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterato
         key = seen + np.cumsum(new)
         seen, at = int(key[-1]), (h[-1], i[-1], j[-1])
         cols = [key, *(batch.column(c).to_numpy().astype(np.int64) for c in names)]
-        cols.append(
-            np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, SUFFIX_BINS)
-        )
+        off, data = string_buffers(batch.column("bins"))
+        cols.append(data[off[0] : off[-1]].reshape(batch.num_rows, SUFFIX_BINS))
         if held is not None:
             cols = [np.concatenate((x, c)) for x, c in zip(held, cols, strict=True)]
         end = int(np.searchsorted(cols[0], cols[0][-1]))  # the last list may go on
@@ -319,20 +383,18 @@ def _candidates(lists: DataFrame, percent: int) -> DataFrame:
         for key, node, size, pos, part, bins in _whole_lists(batches, ["node", "size", "pos", "part"]):
             out = []
             first, runs = _runs(key)
-            # lists of two, most of all, at once
-            x = first[runs == 2]
-            y = x + 1
-            need = -(-percent * (size[x] + size[y]) // (100 + percent))
-            ok = (100 * size[x] >= percent * size[y]) & (
-                1 + np.minimum(size[x] - pos[x] - 1, size[y] - pos[y] - 1) >= need
-            )
-            x, y, need = x[ok], y[ok], need[ok]
-            ok = _may_overlap(bins[x], bins[y], need, size[x], size[y])
-            for a, b in zip(node[x[ok]].tolist(), node[y[ok]].tolist(), strict=True):
-                if root(a) != root(b):
-                    root(a, b)
-                    out.append((a, b))
-            for i, m in zip(first[runs > 2].tolist(), runs[runs > 2].tolist(), strict=True):
+            short = np.repeat(runs <= SHORT, runs)
+            for d in range(1, min(SHORT, len(key))):  # all pairs of short lists, most of all, at once
+                x = np.flatnonzero((key[d:] == key[:-d]) & short[d:])
+                x = x[_alike(x, x + d, size, pos, percent)]
+                y = x + d
+                need = -(-percent * (size[x] + size[y]) // (100 + percent))
+                ok = _may_overlap(bins[x], bins[y], need, size[x], size[y])
+                for a, b in zip(node[x[ok]].tolist(), node[y[ok]].tolist(), strict=True):
+                    if root(a) != root(b):
+                        root(a, b)
+                        out.append((a, b))
+            for i, m in zip(first[runs > SHORT].tolist(), runs[runs > SHORT].tolist(), strict=True):
                 sides = part[i : i + m]
                 out += candidate_links(
                     *(c[i : i + m] for c in (node, size, pos, bins)), percent, root,
@@ -378,10 +440,14 @@ def _meetings(lists: DataFrame, percent: int) -> DataFrame:
     return _met(lists).mapInArrow(run, "grp long, bi long, bj long, node long").distinct()
 
 
-def _bins(s: np.ndarray) -> np.ndarray:
-    """Shingles of a set in each part of the hash space, one byte each; 255 stands for 255 or more."""
-    n = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=SUFFIX_BINS)
-    return np.minimum(n, 255).astype(np.uint8)
+def _bins(s: np.ndarray, rows: np.ndarray | None = None, n: int = 1) -> np.ndarray:
+    """Shingles of a set in each part of the hash space, one byte each; 255 stands for 255 or more.
+    With `rows`, the number of the set that each shingle is of: one row for each of the n sets."""
+    at = (s >> np.uint64(56)).astype(np.int64)
+    if rows is not None:
+        at += rows * SUFFIX_BINS
+    out = np.minimum(np.bincount(at, minlength=n * SUFFIX_BINS), 255).astype(np.uint8)
+    return out if rows is None else out.reshape(n, SUFFIX_BINS)
 
 
 def _may_overlap(a: np.ndarray, b: np.ndarray, need: np.ndarray, size_a, size_b) -> np.ndarray:
@@ -482,17 +548,21 @@ def _small(df: DataFrame, rows: int | None = None) -> DataFrame:
 
 def similar_components(
     docs: DataFrame, n: int = 4, percent: int = 85, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK,
-    list_bits: int = LIST
+    list_bits: int = LIST, carried: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the smallest doc_id reachable
-    by links, itself included), node (equal for equal sets)."""
+    by links, itself included), node (equal for equal sets), n_words, and the columns `carried`."""
     spark = docs.sparkSession
     small_batches(spark)
     texts = docs.select(
         quoted(doc_id).cast("long").alias("doc_id"), F.xxhash64(quoted(text)).alias("text_key"),
         quoted(text).alias("text")
     )
-    signed = written(_signed(texts, n), "signed")
+    alone = texts if not carried else docs.select(
+        quoted(doc_id).cast("long").alias("doc_id"), F.xxhash64(quoted(text)).alias("text_key"),
+        quoted(text).alias("text"), *(quoted(c) for c in carried)
+    )
+    signed = written(_signed(alone, n, [*carried]), "signed")
     rows = signed.filter("piece IS NULL").drop("piece", "counts")
     sketch = spark.sparkContext.broadcast(_classes(_sketch(signed)))
     lists = written(
@@ -513,14 +583,15 @@ def similar_components(
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [*_sets(batch.column(0), n)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_signature(s) for s in sets], pa.int64()),
-                    pa.array([_bins(s).tobytes() for s in sets], pa.binary())
-                ],
-                ["node", "bins"]
-            )
+            for sets, off, _ in _sets(batch.column(0), n):
+                rows = np.repeat(np.arange(len(off) - 1), np.diff(off))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(_signatures(sets, off), pa.int64()),
+                        pa.array([b.tobytes() for b in _bins(sets, rows, len(off) - 1)], pa.binary())
+                    ],
+                    ["node", "bins"]
+                )
 
     bins = texts_of(lists.select("node").distinct()).mapInArrow(
         binned, "node long, bins binary"
@@ -546,9 +617,10 @@ def similar_components(
     def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, blobs = [], []
-            for s in _sets(batch.column(4), n):
-                nodes.append(_signature(s))
-                blobs.append(_ordered(s, sketch.value).tobytes())
+            for sets, off, _ in _sets(batch.column(4), n):
+                nodes += _signatures(sets, off).tolist()
+                _rare_first(sets, off, sketch.value)
+                blobs += [sets[a:b].tobytes() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in range(4)), pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())],
                 ["grp", "bi", "bj", "blocks", "node", "shingles"]
@@ -571,7 +643,8 @@ def similar_components(
         F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")
     ).otherwise(F.col("doc_id")).alias("component_id")
     return out.select(
-        "doc_id", "n_shingles", named, "node", "text_key", F.coalesce("component", "node").alias("component")
+        "doc_id", "n_shingles", named, "node", "text_key", F.coalesce("component", "node").alias("component"), "n_words",
+        *(quoted(c) for c in carried)
     )
 
 

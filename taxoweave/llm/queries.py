@@ -10,7 +10,7 @@ from . import (
     whitening
 )
 from .shared import documents as all_columns
-from .shared import words, written
+from .shared import written
 
 #: Production parameters of packing: bins of so many words.
 BIN_WORDS = 2048
@@ -61,26 +61,23 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return packing.pack(clustered(docs), F.size(words(F.col("text"))), BIN_WORDS, cluster=F.col("cluster"))
+    return packing.pack(clustered(docs), F.col("n_words"), BIN_WORDS, cluster=F.col("cluster"))
 
 
 def clustered(docs: DataFrame) -> DataFrame:
-    """Adds `cluster`: equal for texts that near copies (five words, 0.8) connect; null for null texts."""
-    key = F.xxhash64("text")
+    """(doc_id, source, n_words, cluster): `cluster` is equal for texts that near copies (five words, 0.8)
+    connect; null for null texts.  The join has the words of every text, so no text is read again."""
     # hashes of texts stand for ids, so repeated and missing ids do no harm
     found = jaccard.similar_components(
-        docs.filter("text IS NOT NULL").select(key.alias("doc_id"), "text"), n=5, percent=80
+        docs.select(
+            F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("text_id"), "text",
+            F.col("doc_id").alias("id"), "source"
+        ),
+        n=5, percent=80, doc_id="text_id", carried=("id", "source")
     )
-    # a text that is not here stands for its group, or is alone
-    moved = written(
-        found.filter("doc_id <> component_id").select(F.col("doc_id").alias("cluster_key"), "component_id").distinct(),
-        "clusters"
-    )
-    few = moved.count() <= jaccard.BROADCAST_ROWS
-    rows = docs.withColumn("cluster_key", F.when(F.col("text").isNotNull(), key)).join(
-        F.broadcast(moved) if few else moved, "cluster_key", "left"
+    return found.select(
+        F.col("id").alias("doc_id"), "source", "n_words", F.col("component_id").alias("cluster")
     )
-    return rows.select(*docs.columns, F.coalesce("component_id", "cluster_key").alias("cluster"))
 
 
 def op5_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -678,3 +678,74 @@ def test_added_columns_take_free_names(spark):
     ):
         assert out.columns == [*docs.columns, name]
         assert tuple(out.first())[:6] == (1, "a text of some words", "m", "S", 3, 4)
+
+
+def test_words_and_sets_of_many_texts():
+    """Words end where their text ends; sets of many texts are those of each alone."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from taxoweave.llm import hashing
+
+    rng = random.Random(4)
+    texts = [
+        "".join(rng.choice("aB é\t\nxy ") for _ in range(rng.randrange(50))) if rng.random() > 0.2 else rng.choice([None, ""])
+        for _ in range(300)
+    ]
+
+    def each(values):
+        for lo, hi, words, off in hashing.word_hashes(pa.array(values, pa.string())):
+            sets, at = hashing.shingle_sets(words, off, 3)
+            for i in range(hi - lo):
+                yield words[off[i] : off[i + 1]].tolist(), sets[at[i] : at[i + 1]].tolist()
+
+    together = list(each(texts))
+    assert together == [pair for t in texts for pair in each([t])]
+    for t, (words, found) in zip(texts, together, strict=True):
+        assert len(words) == len((t or "").split())
+        assert found == np.unique(hashing.shingles(np.array(words, np.uint64), 3)).tolist()
+
+
+def test_jaccard_shared_rows(spark, monkeypatch):
+    """Of short lists only rows that pass the length and the positional filter with another node stay."""
+    import random
+
+    monkeypatch.setattr(jaccard, "ROWS", 7)
+    rng, rows = random.Random(9), []
+    for h in range(300):
+        cut = 1 if h % 50 == 0 else 0
+        for _ in range(rng.choice([1, 2, 2, 2, 3, 5, jaccard.SHORT, jaccard.SHORT + 4])):
+            size = rng.randrange(50, 90)
+            row = (h, rng.randrange(10**6), size, rng.randrange(jaccard._prefix(size, 80)), cut)
+            rows += [row] * rng.choice([1, 1, 2])
+    schema = "h long, node long, size int, pos int, cut int"
+    got = sorted(tuple(r) for r in jaccard._shared(spark.createDataFrame(rows, schema), 80).collect())
+    lists = {}
+    for r in set(rows):
+        lists.setdefault(r[0], []).append(r)
+    want = []
+    for members in lists.values():
+        for x in members:
+            others = [y for y in members if y != x]
+            long = [y for y in others if 100 * min(x[2], y[2]) >= 80 * max(x[2], y[2])]
+            near = [y for y in long if 180 * (1 + min(x[2] - x[3] - 1, y[2] - y[3] - 1)) >= 80 * (x[2] + y[2])]
+            if x[4] or (near if len(members) <= jaccard.SHORT else long):
+                want.append(x)
+    assert got == sorted(want)
+
+
+def test_packing_reads_texts_once_for_the_join(spark, tmp_path):
+    """Words are counted by the join that finds the near copies; the texts are not split again."""
+    from taxoweave.llm.shared import words
+
+    texts = ["  one\ttwo  three ", "", None, "\u00a0 four", "\x0b\n", "five six seven eight nine ten", None, "one two three"]
+    rows = [(i, t, f"s{i}" if i % 2 else None) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = queries.documents(spark, str(tmp_path))
+    found = queries.clustered(docs)
+    assert not [f for f in found.inputFiles() if "documents.parquet" in f]
+    got = {r.doc_id: (r.source, r.n_words, r.cluster is None) for r in found.collect()}
+    counts = {r.doc_id: r.n for r in docs.select("doc_id", F.size(words(F.col("text"))).alias("n")).collect()}
+    assert got == {i: (s, counts[i], t is None) for i, t, s in rows}
