@@ -14,7 +14,8 @@ keys told from the first place of the shard, with their upper halves once for ea
 Range bounds come from the counts, so a frequent context is spread over several shards; a
 shard has `SHARD_TOKENS` tokens, more where there would be over `MAX_SHARDS` shards.  Tasks write the arrays to the shared
 folder; scoring tasks map into memory the files that they look into, `MAPPED` at most at a
-time (from a folder that is not mounted they fetch them first).  Neither words nor counts go
+time (from a folder that is not mounted they fetch them first).  Many texts are looked up at
+once, more of them the more files there are, so that a file is searched once for many words.  Neither words nor counts go
 through the driver, which sees a few numbers a file.  One order is counted after the other,
 and its shuffle dropped.
 
@@ -54,6 +55,9 @@ END = np.uint64(0x0E0D0E0D0E0D0E0D)
 SHARD_TOKENS, RANGE_WORDS = 2_000_000, 1 << 18
 #: Shards up to which their size stays; with 10**13 tokens a shard has 40 million.
 MAX_SHARDS = 1 << 18
+#: Tokens that are looked up at once, about, as a file is searched once for all of them: so many,
+#: or so many a file of n-grams if that is more, but no more than the last.
+TOGETHER, A_FILE, MOST = 1 << 19, 300, 1 << 21
 #: Bigrams that a task collects before it hands them on.
 HELD = 1 << 22
 #: Files that hold the words: with 2**32 words, the most there can be, 2**20 words a file.
@@ -103,7 +107,7 @@ class Folder:
 
 @lru_cache(MAPPED)
 def _mapped(uri: str, name: str) -> np.ndarray:
-    return Folder(uri).load(name)
+    return Folder(uri).load(name).view(np.ndarray)
 
 
 class Shards:
@@ -125,24 +129,24 @@ class Shards:
 
 
 class SplitShards(Shards):
-    """Files of 64-bit keys in two parts: lower halves, and (upper half, begin) of each run."""
+    """Files of 64-bit keys in two parts: lower halves, and (upper half, begin) of each run, then an end."""
 
     def find(self, s: int, keys: np.ndarray) -> np.ndarray:
-        lows, heads = self[s], _mapped(self.uri, f"{self.name}heads-{s}")
-        run = _find(np.ascontiguousarray(heads[:, 0]), keys >> np.uint64(32))
+        lows, (highs, begins) = self[s], _mapped(self.uri, f"{self.name}heads-{s}")
+        run = _find(highs, keys >> np.uint64(32))
         some = np.flatnonzero(run >= 0)
-        low, ends = (
-            keys[some] & np.uint64(0xFFFFFFFF)
-        ).astype(np.uint32), np.append(heads[:, 1], np.uint64(len(lows))).astype(np.int64)
-        # a binary search of all keys at once, each inside its run
-        lo, end = ends[run[some]], ends[run[some] + 1]
-        hi = end
-        while (lo < hi).any():
-            mid = (lo + hi) >> 1
-            less = (lows[np.minimum(mid, len(lows) - 1)] < low) & (lo < hi)
-            lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
         out = np.full(len(keys), -1, np.int64)
-        out[some] = np.where((lo < end) & (lows[np.minimum(lo, len(lows) - 1)] == low), lo, -1)
+        if not len(some):
+            return out
+        run, low = run[some], (keys[some] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        lo, end = begins[run].astype(np.int64), begins[run + 1].astype(np.int64)
+        # a binary search of all keys at once, each inside its run
+        at, hi = lo, end
+        while (at < hi).any():
+            mid = (at + hi) >> 1
+            less = (lows[np.minimum(mid, len(lows) - 1)] < low) & (at < hi)
+            at, hi = np.where(less, mid + 1, at), np.where(less, hi, mid)
+        out[some] = np.where((at < end) & (lows[np.minimum(at, len(lows) - 1)] == low), at, -1)
         return out
 
 
@@ -150,7 +154,9 @@ def _save_split(store: Folder, name: str, s: int, keys: np.ndarray) -> None:
     high = keys >> np.uint64(32)
     first = np.flatnonzero(np.concatenate(([True], high[1:] != high[:-1])))
     store.save(f"{name}-{s}", (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-    store.save(f"{name}heads-{s}", np.stack([high[first], first.astype(np.uint64)], axis=1))
+    # the end has an upper half that no key has
+    heads = np.stack([np.append(high[first], np.uint64(2**64 - 1)), np.append(first, len(keys)).astype(np.uint64)])
+    store.save(f"{name}heads-{s}", heads)
 
 
 def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -175,6 +181,26 @@ def _sequences(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield out, ends
 
 
+def _together(arrays: Iterator[pa.Array], least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """`_sequences` of all arrays in their order, joined until they have `least` tokens."""
+    held, size = [], 0
+    for texts in arrays:
+        for tokens, ends in _sequences(texts):
+            held.append((tokens, ends + size))
+            size += len(tokens)
+            if size >= least:
+                joined = [np.concatenate(x) for x in zip(*held, strict=True)]
+                held, size = [], 0
+                yield tuple(joined)
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def _many(model: dict) -> int:
+    """Tokens that are looked up at once."""
+    return min(max(TOGETHER, A_FILE * (len(model["starts"]) + len(model["ranges3"].first))), MOST)
+
+
 def _counted(values: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values in order, and their counts."""
     if counts is None:
@@ -282,27 +308,43 @@ def _opened(uri: str, stage: str = "whole") -> dict:
     }
 
 
-def _bigrams(tokens: np.ndarray, ends: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(left ids, ids): what stands before each token (V at a text's start), and the token."""
-    ids = _places(tokens, model["word_bounds"], model["words"], model["word_starts"])
-    left = np.empty_like(ids)
-    left[1:] = ids[:-1]
-    left[0] = left[ends[:-1] + 1] = model["vocabulary"]
-    return left, ids
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and each value's rank in them."""
+    some, rank = np.unique(values, return_inverse=True)
+    return some, rank.astype(np.int32 if len(some) < 2**31 - 1 else np.int64)
+
+
+def _ranked(tokens: np.ndarray, ends: np.ndarray, model: dict) -> tuple[np.ndarray, ...]:
+    """(ids of the distinct words, rank of each token's word in them, rank of the word before it):
+    ids are in order, -1 if unknown; the rank before a text's first token is the number of words,
+    as V is the id there."""
+    words, rank = _distinct(tokens)
+    ids = _sorted_places(words, model["word_bounds"], model["words"], model["word_starts"])
+    left = np.empty_like(rank)
+    left[1:] = rank[:-1]
+    left[0] = left[ends[:-1] + 1] = len(words)
+    return ids, rank, left
 
 
-def _bigram_keys(left: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Keys of known bigrams; a key that no bigram has where a word is unknown."""
-    keys = (left.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64)
-    keys[(left < 0) | (ids < 0)] = np.uint64(2**64 - 1)
-    return keys
+def _bigrams(ids: np.ndarray, rank: np.ndarray, left: np.ndarray, model: dict) -> tuple[np.ndarray, ...]:
+    """(places of the distinct bigrams, -1 if unknown, ranks of their words, rank of each token's
+    bigram in them)."""
+    bits = len(ids).bit_length()
+    pairs, which = _distinct((left.astype(np.int64) << bits) | rank)
+    before, word = pairs >> bits, pairs & ((1 << bits) - 1)
+    u, w = np.append(ids, model["vocabulary"])[before], ids[word]
+    known = np.flatnonzero((u >= 0) & (w >= 0))
+    keys = (u[known].astype(np.uint64) << np.uint64(32)) | w[known].astype(np.uint64)
+    places = np.full(len(pairs), -1, np.int64)
+    places[known] = _sorted_places(keys, model["bounds"], model["keys"], model["starts"])
+    return places, before, word, which
 
 
-def _contexts(places: np.ndarray, left: np.ndarray, n_words: int) -> np.ndarray:
+def _contexts(places: np.ndarray, which: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The place of the bigram before each token; -1 for a text's first token or if unknown."""
-    before = np.empty_like(places)
-    before[:1], before[1:] = -1, places[:-1]
-    before[left == n_words] = -1
+    before = np.empty(len(which), np.int64)
+    before[1:] = places[which[:-1]]
+    before[0] = before[ends[:-1] + 1] = -1
     return before
 
 
@@ -373,16 +415,15 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
-            for tokens, _ in _sequences(batch.column(0)):
-                held.append(_counted(tokens))
-                size += len(held[-1][0])
-                if size > HELD:
-                    held = [_counted(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))]
-                    size = len(held[0][0])
-                    if size > HELD // 2:
-                        yield _cut(*held[0], _uniform_bounds(n_ranges), "r")
-                        held, size = [], 0
+        for tokens, _ in _together((batch.column(0) for batch in batches), TOGETHER):
+            held.append(_counted(tokens))
+            size += len(held[-1][0])
+            if size > HELD:
+                held = [_counted(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))]
+                size = len(held[0][0])
+                if size > HELD // 2:
+                    yield _cut(*held[0], _uniform_bounds(n_ranges), "r")
+                    held, size = [], 0
         if held:
             yield _cut(
                 *_counted(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])),
@@ -442,14 +483,14 @@ def _train(docs: DataFrame, text: str, folder: str | None, order: int) -> str:
     def bigrams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _opened(uri, "words")
         held, size = [], 0
-        for batch in batches:
-            for tokens, ends in _sequences(batch.column(0)):
-                left, ids = _bigrams(tokens, ends, model)
-                held.append((left.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64))
-                size += len(held[-1])
-                if size > HELD:
-                    yield _cut(*_counted(np.concatenate(held)), bounds, "s")
-                    held, size = [], 0
+        for tokens, ends in _together((batch.column(0) for batch in batches), TOGETHER):
+            ids, rank, left = _ranked(tokens, ends, model)
+            ids = np.append(ids, n_words).astype(np.uint64)
+            held.append((ids[left] << np.uint64(32)) | ids[rank])
+            size += len(held[-1])
+            if size + TOGETHER > HELD:
+                yield _cut(*_counted(np.concatenate(held)), bounds, "s")
+                held, size = [], 0
         if held:
             yield _cut(*_counted(np.concatenate(held)), bounds, "s")
 
@@ -599,17 +640,16 @@ def _count_trigrams(
     def trigrams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _opened(uri, "bigrams")
         held, size = [], 0
-        for batch in batches:
-            for tokens, ends in _sequences(batch.column(0)):
-                left, ids = _bigrams(tokens, ends, model)
-                contexts = _contexts(
-                    _places(_bigram_keys(left, ids), model["bounds"], model["keys"], model["starts"]), left, n_words
-                )
-                held.append((contexts[contexts >= 0], ids[contexts >= 0]))
-                size += len(held[-1][0])
-                if size > HELD:
-                    yield cut(held, model["ranges3"])
-                    held, size = [], 0
+        many = _many(model)
+        for tokens, ends in _together((batch.column(0) for batch in batches), many):
+            ids, rank, left = _ranked(tokens, ends, model)
+            places, _, _, which = _bigrams(ids, rank, left, model)
+            contexts = _contexts(places, which, ends)
+            held.append((contexts[contexts >= 0], ids[rank[contexts >= 0]]))
+            size += len(held[-1][0])
+            if size + many > HELD:
+                yield cut(held, model["ranges3"])
+                held, size = [], 0
         if held:
             yield cut(held, model["ranges3"])
 
@@ -710,38 +750,51 @@ def _save_meta(store: Folder, meta: dict, **arrays: np.ndarray) -> None:
 
 
 def _scores(tokens: np.ndarray, ends: np.ndarray, model: dict) -> tuple[np.ndarray, ...]:
-    """Of each text: tokens, known tokens, base score, model score."""
-    left, ids = _bigrams(tokens, ends, model)
+    """Of each text: tokens, known tokens, base score, model score.  What a distinct word or
+    bigram has is looked up and computed once."""
+    ids, rank, left = _ranked(tokens, ends, model)
     v_words, n = model["vocabulary"], model["tokens"]
-    known = ids >= 0
-    safe = np.where(known, ids, 0)
-    (c,) = _at(ids, model["word_starts"], model["counts"])
-    base = np.log10((c + 1) / (n + v_words + 1))
+    (c,) = _sorted_at(ids, model["word_starts"], model["counts"])
+    base = np.log10((c + 1) / (n + v_words + 1))[rank]
     types = max(model["types"], 1)
-    (lefts,) = _at(ids, model["id_starts"], model["left"])
+    (lefts,) = _sorted_at(ids, model["id_starts"], model["left"])
     p = np.maximum(lefts - _by_count(model["d1"], lefts), 0) / types + model["rest"] / (v_words + 1)
     if v_words:
-        (after,) = _at(left, model["id_starts"], model["after"], width=4)
-        places = _places(_bigram_keys(left, ids), model["bounds"], model["keys"], model["starts"])
+        (after,) = _sorted_at(np.append(ids, v_words), model["id_starts"], model["after"], width=4)
+        places, before, word, which = _bigrams(ids, rank, left, model)
         if model["order"] == 2:
-            (both,) = _at(places, model["starts"], model["values"])
+            (both,) = _sorted_at(places, model["starts"], model["values"])
         else:
-            raw, both, rest2 = _at(places, model["starts"], model["values"], model["distinct"], model["rest2"])
-        p = _interpolated(both, after[:, 0], after[:, 1:] @ np.array(model["d2"]), model["d2"], p)
+            raw, both, rest2 = _sorted_at(places, model["starts"], model["values"], model["distinct"], model["rest2"])
+        rest = after[:, 1:] @ np.array(model["d2"])
+        p = _interpolated(both, after[before, 0], rest[before], model["d2"], p[word])[which]
         if model["order"] > 2:
-            contexts = _contexts(places, left, v_words)
-            some = np.flatnonzero(contexts >= 0)
-            found = np.zeros(len(some), np.int64)
-            told = np.flatnonzero(known[some])
-            for s, at, keys in model["ranges3"].cut(contexts[some[told]], safe[some[told]]):
+            # trigrams as ranks of the bigram before and of the word, which are in the order of their keys
+            some = np.flatnonzero(_contexts(places, which, ends) >= 0)
+            bits = len(ids).bit_length()
+            triples, back = _distinct((which[some - 1].astype(np.int64) << bits) | rank[some])
+            context, w = triples >> bits, ids[triples & ((1 << bits) - 1)]
+            found = np.zeros(len(triples), np.int64)
+            told = np.flatnonzero(w >= 0)
+            for s, at, keys in model["ranges3"].cut(places[context[told]], w[told]):
                 if s in model["keys3"]:
-                    each, back = np.unique(keys, return_inverse=True)
-                    i = model["keys3"].find(s, each)
-                    found[told[at]] = np.where(i >= 0, model["values3"][s][i], 0)[back]
-            p[some] = _interpolated(found, raw[some - 1], rest2[some - 1], model["d3"], p[some])
+                    i = model["keys3"].find(s, keys)
+                    found[told[at]] = np.where(i >= 0, model["values3"][s][i], 0)
+            lower = np.empty(len(triples))
+            lower[back] = p[some]  # a trigram ends with one bigram
+            p[some] = _interpolated(found, raw[context], rest2[context], model["d3"], lower)[back]
+    else:
+        p = p[rank]
     begin = np.concatenate(([0], ends[:-1] + 1))
     sums = lambda x: np.add.reduceat(x, begin)
-    return np.diff(np.append(begin, len(ids))), sums(known.astype(np.int64)), sums(base), sums(np.log10(p))
+    known = (ids >= 0)[rank]
+    return np.diff(np.append(begin, len(rank))), sums(known.astype(np.int64)), sums(base), sums(np.log10(p))
+
+
+def _scored(arrays: Iterator[pa.Array], model: dict) -> Iterator[tuple[np.ndarray, ...]]:
+    """`_scores` of the texts of all arrays in their order, of many texts at once."""
+    for tokens, ends in _together(arrays, _many(model)):
+        yield _scores(tokens, ends, model)
 
 
 def _interpolated(c: np.ndarray, total: np.ndarray, rest: np.ndarray, d: list[float], p: np.ndarray) -> np.ndarray:
@@ -756,26 +809,40 @@ def _places(
 ) -> np.ndarray:
     """Places of keys over all shards, -1 if unknown.  Keys are looked up in order, so pages are read once."""
     some, back = np.unique(keys, return_inverse=True)
+    return _sorted_places(some, bounds, tables, starts)[back]
+
+
+def _sorted_places(some: np.ndarray, bounds: np.ndarray, tables: Shards, starts: np.ndarray) -> np.ndarray:
+    """`_places` of distinct keys in order."""
     out = np.full(len(some), -1, np.int64)
     at = np.concatenate(([0], np.searchsorted(some, bounds), [len(some)]))
     for s in np.flatnonzero(np.diff(at)).tolist():
         if s in tables:
             i = tables.find(s, some[at[s] : at[s + 1]])
             out[at[s] : at[s + 1]] = np.where(i >= 0, starts[s] + i, -1)
-    return out[back]
+    return out
 
 
 def _at(places: np.ndarray, starts: np.ndarray, *arrays: Shards, kind=np.float64, width: int = 0) -> list[np.ndarray]:
     """What the shards of each of `arrays` have at the places; 0 where the place is -1."""
     some, back = np.unique(places, return_inverse=True)
+    return [x[back] for x in _sorted_at(some, starts, *arrays, kind=kind, width=width)]
+
+
+def _sorted_at(
+    places: np.ndarray, starts: np.ndarray, *arrays: Shards, kind=np.float64, width: int = 0
+) -> list[np.ndarray]:
+    """`_at` of places in order, with -1 anywhere among them."""
+    there = np.flatnonzero(places >= 0)
+    some = places[there]
     at = np.searchsorted(some, starts)
-    out = [np.zeros((len(some), width) if width else len(some), kind) for _ in arrays]
+    out = [np.zeros((len(places), width) if width else len(places), kind) for _ in arrays]
     for s in np.flatnonzero(np.diff(at)).tolist():
         i = some[at[s] : at[s + 1]] - starts[s]
         for x, shards in zip(out, arrays, strict=True):
             if s in shards:
-                x[at[s] : at[s + 1]] = shards[s][i]
-    return [x[back] for x in out]
+                x[there[at[s] : at[s + 1]]] = shards[s][i]
+    return out
 
 
 def score(docs: DataFrame, uri: str, text: str = "text") -> DataFrame:
@@ -792,9 +859,7 @@ def score(docs: DataFrame, uri: str, text: str = "text") -> DataFrame:
     @F.arrow_udf(kind)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _opened(uri)
-        for texts in batches:
-            parts = [_scores(tokens, ends, model) for tokens, ends in _sequences(texts)]
-            cols = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0) for i in range(4)]
+        for cols in _scored(batches, model):
             yield pa.StructArray.from_arrays(
                 [
                     pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int64)), pa.array(cols[2]),

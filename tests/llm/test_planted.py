@@ -472,6 +472,42 @@ def test_language_model_order_3(spark, monkeypatch):
     assert kneser_ney.score(empty(spark), model).count() == 0
 
 
+def test_language_model_many_texts(spark, monkeypatch):
+    """The files of a model are searched once for many texts, and rows keep their order."""
+    import random
+
+    import pyarrow as pa
+
+    pick = random.Random(9)
+    texts = [" ".join(f"w{pick.randrange(400)}" for _ in range(pick.randrange(400))) for _ in range(1100)]
+    texts[3:3], texts[600:600] = [None, ""], ["", "w1 " * 30000, None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", 20000)
+    uri = kneser_ney.train(docs.filter("doc_id % 3 > 0"))
+    rows = kneser_ney.score(docs, uri).collect()  # three Arrow batches
+    assert all(r.n_tokens == len((r.text or "").split()) + 1 and r.text == texts[r.doc_id] for r in rows)
+
+    model, looked = kneser_ney._opened(uri), []
+    find = kneser_ney.Shards.find
+    monkeypatch.setattr(
+        kneser_ney.Shards, "find", lambda self, s, keys: looked.append((self.name, s)) or find(self, s, keys)
+    )
+    arrays = [pa.array(texts[i : i + 100], pa.string()) for i in range(0, len(texts), 100)]
+
+    def scored():
+        looked.clear()
+        parts = [*kneser_ney._scored((x.fill_null("") for x in arrays), model)]
+        return [tuple(x[i] for x in p) for p in parts for i in range(len(p[0]))]
+
+    once = scored()
+    assert len(looked) == len(set(looked)) > 8
+    assert [(x[0], x[3]) for x in once] == [(r.n_tokens, r.score) for r in sorted(rows, key=lambda r: r.doc_id)]
+    monkeypatch.setattr(kneser_ney, "TOGETHER", 1000)
+    assert scored() == once and len(looked) > 2 * len(set(looked))  # 300 tokens a file
+    monkeypatch.setattr(kneser_ney, "MOST", 1)
+    assert scored() == once
+
+
 def test_split_keys(tmp_path):
     import numpy as np
 
