@@ -179,6 +179,19 @@ def test_classes_meet_in_blocks(spark):
     assert max(r[0] for r in relations._member_blocks(members, "c", 16).selectExpr("size(c_members)").collect()) < 64
 
 
+def test_written_pairs_of_classes_are_small_and_arrays_are_not_sorted(spark, tmp_path):
+    """2.25 million pairs of two classes, whose members are given in chunks that a file holds once."""
+    left, right = (spark.range(1500).selectExpr("'x' AS k", "xxhash64(id) AS member").withColumnRenamed("k", k) for k in ("c", "uri"))
+    pairs = spark.createDataFrame([("x", "x", 0.5)], "c string, uri string, score double")
+    out = relations.expand_classes(pairs, left, right)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "first(uri_members" not in plan and "c_block#" not in plan.split("Join Inner")[0]
+    out.write.parquet(f"{tmp_path}/out")
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert back.distinct().count() == back.count() == 1500 * 1500
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < 0.3 * 1500 * 1500
+
+
 @pytest.mark.parametrize("name", ["d22_manual_mapping", "d25_association_boost", "c13_forbidden_context"])
 def test_pairs_are_not_shuffled(spark, name):
     """Labels are put together by text before they meet the queries: no text is a join key of single rows."""
